@@ -7,15 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm.common import LOWER, UPPER, documents
+from tidewatch.llm.decontaminate import find_leaks
 from tidewatch.llm.exact_dedup import exact_groups
+from tidewatch.llm.pii import pii_digest
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir), keep="max")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(documents(spark, sf_dir))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) pair that leaks; documents that are clean have no row."""
+    return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_pii": op3_pii,
     "op5_exact_dedup": op5_exact_dedup,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
