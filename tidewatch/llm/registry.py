@@ -10,6 +10,7 @@ from tidewatch.llm.common import LOWER, UPPER, documents
 from tidewatch.llm.decontaminate import find_leaks
 from tidewatch.llm.exact_dedup import exact_groups
 from tidewatch.llm.pii import pii_digest
+from tidewatch.llm.substring_dedup import dedup_substrings
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(documents(spark, sf_dir))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(documents(spark, sf_dir)).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every (document, benchmark item) pair that leaks; documents that are clean have no row."""
     return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -28,6 +33,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op5_exact_dedup": op5_exact_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
@@ -38,4 +44,23 @@ ORACLE_SQL: dict[str, str] = {
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.t) AS text_sha256
         FROM d JOIN g ON d.t = g.t
     """,
+    "op9_substring_dedup": r"""
+        WITH w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+        ),
+        win AS (
+            SELECT doc_id, s, array_to_string(list_slice(ws, s + 1, s + 20), ' ') AS k
+            FROM (SELECT doc_id, ws, unnest(range(0, len(ws) - 19)) AS s FROM w WHERE len(ws) >= 20)
+        ),
+        late AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM win) WHERE r > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM late),
+        pos AS (SELECT doc_id, unnest(range(0, len(ws))) AS i, unnest(ws) AS x FROM w),
+        kept AS (
+            SELECT pos.doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY pos.i) AS t
+            FROM pos LEFT JOIN gone ON gone.doc_id = pos.doc_id AND gone.i = pos.i WHERE gone.i IS NULL GROUP BY pos.doc_id
+        )
+        SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, len(w.ws)::BIGINT - coalesce(kept.n, 0) AS n_removed,
+               sha256(coalesce(kept.t, '')) AS kept_sha256
+        FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
+    """,
 }
