@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewatch.llm.common import LOWER, UPPER, documents
 from tidewatch.llm.decontaminate import find_leaks
 from tidewatch.llm.exact_dedup import exact_groups
 from tidewatch.llm.pii import pii_digest
+from tidewatch.llm.simhash import near_groups
 from tidewatch.llm.substring_dedup import dedup_substrings
 
 
@@ -17,6 +19,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir), keep="max")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_groups(documents(spark, sf_dir))
+    return groups.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(documents(spark, sf_dir))
 
@@ -31,6 +38,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op3_pii": op3_pii,
     "op5_exact_dedup": op5_exact_dedup,
     "op9_substring_dedup": op9_substring_dedup,
