@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import LOWER, UPPER, documents
 from tidewatch.llm.decontaminate import find_leaks
 from tidewatch.llm.exact_dedup import exact_groups
+from tidewatch.llm.langid import identify_language
 from tidewatch.llm.pii import pii_digest
+from tidewatch.llm.quality import score_quality
 from tidewatch.llm.simhash import near_groups
 from tidewatch.llm.substring_dedup import dedup_substrings
+from tidewatch.llm.toxicity import score_toxicity
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,10 +27,22 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(documents(spark, sf_dir))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(documents(spark, sf_dir))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(documents(spark, sf_dir)).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
 
@@ -39,8 +54,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_toxicity": op2_toxicity,
     "op3_pii": op3_pii,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_quality": op7_quality,
+    "op8_language": op8_language,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontamination": op10_decontamination,
 }
