@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.llm.bpe import encode_digest
 from tidewatch.llm.common import LOWER, UPPER, documents
 from tidewatch.llm.decontaminate import find_leaks
 from tidewatch.llm.exact_dedup import exact_groups
@@ -35,6 +37,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(documents(spark, sf_dir))
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digest(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -57,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_pii": op3_pii,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_byte_bpe": op6_byte_bpe,
     "op7_quality": op7_quality,
     "op8_language": op8_language,
     "op9_substring_dedup": op9_substring_dedup,
