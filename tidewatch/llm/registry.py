@@ -12,6 +12,7 @@ from tidewatch.llm.bpe import encode_digest
 from tidewatch.llm.common import LOWER, UPPER, documents
 from tidewatch.llm.decontaminate import find_leaks
 from tidewatch.llm.exact_dedup import exact_groups
+from tidewatch.llm.hmm import score_lm
 from tidewatch.llm.langid import identify_language
 from tidewatch.llm.pii import pii_digest
 from tidewatch.llm.quality import score_quality
@@ -20,6 +21,10 @@ from tidewatch.llm.substring_dedup import dedup_substrings
 from tidewatch.llm.toxicity import score_toxicity
 
 
+def op4_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_lm(documents(spark, sf_dir))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir), keep="max")
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
     "op3_pii": op3_pii,
+    "op4_hmm": op4_hmm,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_quality": op7_quality,
