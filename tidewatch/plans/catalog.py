@@ -1,6 +1,574 @@
-"""Every query of the telemetry and corpus side, with the SQL that expresses it."""
+"""Every query of the telemetry and corpus side, each over its whole tables, with the SQL that expresses it."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewatch.functions import telemetry as tel
+from tidewatch.functions import text as tx
+from tidewatch.operators import api, audit, dedupe, dlq, evalrun, leak, records, split, stats, store
+from tidewatch.sources.adapter import chat_records, security_events, table
+from tidewatch.sources.streams import heartbeats, synthetic_events
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+#: The adapter's view, and findings over it, as SQL.
+EVENTS_SQL = """
+    ev AS (
+        SELECT event_id::VARCHAR AS event_id, md5(event_id::VARCHAR) AS trace_id,
+               'host-' || lpad(user_id::VARCHAR, 4, '0') AS host_id, 'agent-' || (user_id % 16)::VARCHAR AS agent_id,
+               CASE event_id % 3 WHEN 0 THEN 'ebpf' WHEN 1 THEN 'logs' ELSE 'simulator' END AS source_type,
+               CASE WHEN event_type IN ('view', 'click') THEN 'network_egress' WHEN event_type IN ('purchase', 'signup') THEN 'process_exec' ELSE 'host_startup' END AS event_type,
+               CASE WHEN value < 20 THEN 'low' WHEN value < 60 THEN 'medium' WHEN value < 150 THEN 'high' ELSE 'critical' END AS severity,
+               ts,
+               CASE WHEN k < 10 THEN '/usr/bin/nc' WHEN k < 15 THEN '/bin/nc' WHEN k < 18 THEN '/usr/bin/netcat'
+                    WHEN k < 22 THEN 'curl --token topsecret' WHEN k < 26 THEN 'mysql --password=x' ELSE '/usr/bin/curl' END AS command
+        FROM (SELECT *, (props::JSON ->> '$.k')::INT AS k FROM events)
+    ),
+    clean AS (
+        SELECT * REPLACE (CASE WHEN lower(command) LIKE '%token%' OR lower(command) LIKE '%password%' THEN '[redacted]' ELSE command END AS command) FROM ev
+    ),
+    hit AS (
+        SELECT *, event_type = 'network_egress' AS h1, command IN ('/usr/bin/nc', '/bin/nc', '/usr/bin/netcat') AS h2 FROM clean
+    ),
+    ruled AS (
+        SELECT *, CASE WHEN h2 AND severity IN ('low', 'medium') THEN 'high' WHEN h1 AND severity = 'low' THEN 'medium' ELSE severity END AS derived, h1::INT + h2::INT AS n_hits FROM hit
+    ),
+    fnd AS (
+        SELECT md5('analysis|' || event_id) AS analysis_id, event_id, trace_id, host_id,
+               round(least(0.99::DOUBLE, CASE derived WHEN 'low' THEN 0.15::DOUBLE WHEN 'medium' THEN 0.45::DOUBLE WHEN 'high' THEN 0.75::DOUBLE ELSE 0.95::DOUBLE END
+                     + least(0.2::DOUBLE, n_hits * 0.05::DOUBLE) + CASE WHEN source_type = 'ebpf' THEN 0.03::DOUBLE ELSE 0::DOUBLE END), 3) AS score,
+               derived AS severity,
+               concat_ws(',', CASE WHEN h1 THEN 'network_egress_activity' END, CASE WHEN h2 THEN 'suspicious_exec' END) AS rule_hits,
+               CASE WHEN n_hits = 0 THEN 'no high-signal heuristics matched'
+                    ELSE concat_ws('; ', CASE WHEN h1 THEN 'network egress activity observed' END, CASE WHEN h2 THEN 'high-risk binary executed: ' || command END) END AS explanation,
+               ts AS analyzed_at, source_type, event_type
+        FROM ruled
+    )
+"""
+
+
+def query(sql: str | None = None, name: str | None = None):
+    def add(fn):
+        key = name or fn.__name__
+        QUERIES[key] = fn
+        if sql:
+            ORACLE_SQL[key] = sql
+        return fn
+
+    return add
+
+
+def ev(sql: str) -> str:
+    return f"WITH {EVENTS_SQL} {sql}"
+
+
+def _clean(spark, d) -> DataFrame:
+    return security_events(spark, d).withColumn("command", tel.redact(F.col("command")))
+
+
+def _findings(spark, d) -> DataFrame:
+    """Findings analysed at their event's time, so that two engines agree."""
+    return tel.findings(_clean(spark, d), F.col("ts"))
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    return df.withColumn("rule_hits", F.array_join("rule_hits", ","))
+
+
+# --- telemetry ---------------------------------------------------------------------------------------------------
+
+
+@query(ev("SELECT * FROM ev"))
+def normalize_events(spark, d):
+    return tel.with_defaults(security_events(spark, d), "host-0000", F.col("ts"))
+
+
+@query(ev("SELECT event_id, command FROM clean"))
+def redact_commands(spark, d):
+    return _clean(spark, d).select("event_id", "command")
+
+
+@query(ev("SELECT event_id, rule_hits, severity AS derived_severity, explanation FROM fnd"))
+def rule_hits(spark, d):
+    return _flat(tel.apply_rules(_clean(spark, d), F.col("command"))).select("event_id", "rule_hits", "derived_severity", "explanation")
+
+
+@query(ev("SELECT * EXCLUDE (source_type, event_type) FROM fnd"))
+def score_findings(spark, d):
+    return _flat(_findings(spark, d))
+
+
+@query(ev("SELECT md5('alert|' || analysis_id) AS alert_id, analysis_id, event_id, trace_id, host_id, severity, 'Security finding (' || severity || ')' AS title, strftime(analyzed_at, '%Y-%m-%dT%H:%M:%SZ') AS created_at FROM fnd WHERE score >= 0.8 OR severity IN ('high', 'critical')"))
+def alerts(spark, d):
+    return tel.alerts(_findings(spark, d), tel.utc_text(F.col("analyzed_at")))
+
+
+@query(ev("SELECT analysis_id, event_id, host_id, score, severity, explanation, analyzed_at FROM fnd ORDER BY analyzed_at DESC, analysis_id DESC LIMIT 20 OFFSET 40"))
+def recent_findings_page(spark, d):
+    return api.page_frame(api.recent_findings(_findings(spark, d)), 20, 40)
+
+
+_SEARCH = "SELECT event_id, trace_id, host_id, agent_id, source_type, event_type, severity, ts, command FROM ev"
+
+
+@query(ev(f"{_SEARCH} ORDER BY ts DESC, event_id DESC LIMIT 50"))
+def event_search_all(spark, d):
+    return api.page_frame(api.event_search(security_events(spark, d)), 50, 0)
+
+
+@query(ev(f"{_SEARCH} WHERE host_id = 'host-0007' AND event_type = 'network_egress' AND severity = 'high' ORDER BY ts DESC, event_id DESC LIMIT 50"))
+def event_search_filtered(spark, d):
+    return api.page_frame(api.event_search(security_events(spark, d), " host-0007 ", "network_egress", "high"), 50, 0)
+
+
+@query(ev(f"{_SEARCH} WHERE event_type = 'process_exec' ORDER BY ts DESC, event_id DESC LIMIT 250 OFFSET 250"))
+def event_search_page2(spark, d):
+    return api.page_frame(api.event_search(security_events(spark, d), event_type="process_exec"), 250, 250)
+
+
+@query(ev(f"{_SEARCH} WHERE severity = 'HIGH'"))
+def event_search_upper_severity(spark, d):
+    return api.event_search(security_events(spark, d), severity="HIGH")
+
+
+@query(ev("SELECT agent_id, host_id, source_type, ts AS seen_at, 'online' AS status FROM (SELECT *, row_number() OVER (PARTITION BY agent_id ORDER BY ts DESC) AS r FROM ev) WHERE r = 1"))
+def agent_latest_status(spark, d):
+    return store.heartbeat_table(security_events(spark, d).select("agent_id", "host_id", "source_type", F.col("ts").alias("seen_at")))
+
+
+@query(ev("SELECT agent_id, host_id, source_type, ts AS seen_at, 'online' AS status FROM ev WHERE agent_id = 'agent-7' ORDER BY ts DESC LIMIT 1"))
+def agent_status_lookup(spark, d):
+    return api.agent_status(agent_latest_status(spark, d), "agent-7")
+
+
+@query(ev("SELECT host_id, min(ts) AS first_seen_at, max(ts) AS last_seen_at FROM ev GROUP BY host_id"))
+def hosts_upsert(spark, d):
+    return store.hosts(security_events(spark, d))
+
+
+def _writes(spark, d):
+    """Events written under twenty-times reused ids, so that upserts meet."""
+    e = security_events(spark, d)
+    return e.withColumns({"pos": F.col("event_id").cast("long"), "event_id": F.concat(F.lit("e"), (F.col("event_id").cast("long") % 500).cast("string"))})
+
+
+_WRITES = "w AS (SELECT * REPLACE ('e' || (event_id::BIGINT % 500)::VARCHAR AS event_id), event_id::BIGINT AS pos FROM ev)"
+
+
+@query(f"WITH {EVENTS_SQL}, {_WRITES} SELECT event_id, arg_min(trace_id, pos) AS trace_id, arg_min(host_id, pos) AS host_id, arg_min(ts, pos) AS ts, arg_max(severity, pos) AS severity FROM w GROUP BY event_id")
+def events_upsert_merge(spark, d):
+    return store.first_last(_writes(spark, d), "event_id", "pos", store.EVENT_FIRST, store.EVENT_LAST).select("event_id", "trace_id", "host_id", "ts", "severity")
+
+
+@query(f"WITH {EVENTS_SQL}, {_WRITES} SELECT event_id, arg_min(trace_id, pos) AS trace_id, arg_min(host_id, pos) AS host_id, arg_min(ts, pos) AS ts, arg_max(severity, pos) AS severity FROM w GROUP BY event_id", name="events_upsert_incremental")
+def events_upsert_incremental(spark, d):
+    w = _writes(spark, d).select("event_id", "trace_id", "host_id", "ts", "severity", "pos")
+    half = F.col("pos") % 1000 < 500
+    old = store.first_last(w.where(half & (F.col("pos") < 500)), "event_id", "pos", store.EVENT_FIRST, store.EVENT_LAST)
+    return store.upsert(old, w.where(~(half & (F.col("pos") < 500))), "event_id", "pos", store.EVENT_FIRST, store.EVENT_LAST).select("event_id", "trace_id", "host_id", "ts", "severity")
+
+
+@query(ev("SELECT f.analysis_id, f.event_id, f.score FROM fnd f WHERE NOT EXISTS (SELECT 1 FROM ev WHERE ev.event_id = f.event_id AND ev.event_id::BIGINT % 7 <> 0)"))
+def findings_fk_reject(spark, d):
+    parents = security_events(spark, d).where(F.col("event_id").cast("long") % 7 != 0)
+    return store.split_by_key(_findings(spark, d), parents, "event_id")[1].select("analysis_id", "event_id", "score")
+
+
+@query(ev("SELECT count(*) AS kept FROM fnd WHERE event_id::BIGINT % 7 <> 0"))
+def findings_cascade(spark, d):
+    gone = security_events(spark, d).where(F.col("event_id").cast("long") % 7 == 0)
+    return store.cascade_delete(_findings(spark, d), gone, "event_id").agg(F.count("*").alias("kept"))
+
+
+@query(f"WITH {EVENTS_SQL}, {_WRITES} SELECT event_id, count(*) AS count FROM w GROUP BY event_id HAVING count(*) > 1")
+def primary_key_repeats(spark, d):
+    return store.repeated_keys(_writes(spark, d), "event_id")
+
+
+@query(ev("SELECT event_id, trace_id, host_id, event_type, severity, event_id || '-0' AS stream_id, 1 AS attempt, 'processed' AS outcome FROM ev"))
+def lifecycle_projection(spark, d):
+    return tel.lifecycle(security_events(spark, d), F.concat("event_id", F.lit("-0")), F.lit(1), F.lit("processed"))
+
+
+@query(ev("SELECT event_id, '{\"event\":\"finding\",\"event_id\":\"' || event_id || '\",\"severity\":\"' || severity || '\"}' AS line FROM fnd"))
+def structured_log(spark, d):
+    f = _findings(spark, d)
+    line = F.to_json(F.struct(F.lit("finding").alias("event"), "event_id", "severity"))
+    return f.select("event_id", line.alias("line"))
+
+
+@query(ev("SELECT severity, count(*) AS n, round(avg(score), 4) AS avg_score, max(score) AS max_score FROM fnd GROUP BY severity"))
+def severity_histogram(spark, d):
+    return _findings(spark, d).groupBy("severity").agg(F.count("*").alias("n"), F.round(F.avg("score"), 4).alias("avg_score"), F.max("score").alias("max_score"))
+
+
+@query(ev("SELECT rule, count(*) AS n FROM (SELECT unnest(string_split(rule_hits, ',')) AS rule FROM fnd WHERE rule_hits <> '') GROUP BY rule"))
+def rule_hit_counts(spark, d):
+    return _findings(spark, d).select(F.explode("rule_hits").alias("rule")).groupBy("rule").agg(F.count("*").alias("n"))
+
+
+@query(ev("SELECT source_type, count(*) FILTER (severity = 'low') AS low, count(*) FILTER (severity = 'medium') AS medium, count(*) FILTER (severity = 'high') AS high, count(*) FILTER (severity = 'critical') AS critical FROM fnd GROUP BY source_type"))
+def severity_by_source_pivot(spark, d):
+    f = _findings(spark, d).join(security_events(spark, d).select("event_id", "source_type"), "event_id")
+    return stats.crosstab(f, "source_type", "severity", ["low", "medium", "high", "critical"])
+
+
+@query(ev("""SELECT count(*) FILTER (o = 'processed') AS processed, 0::BIGINT AS retried, count(*) FILTER (o = 'deduped') AS deduped, count(*) FILTER (o = 'dlq') AS dlq_published, 0::BIGINT AS pipeline_errors,
+    round(count(*) FILTER (o = 'processed') / 60.0::DOUBLE, 3) AS throughput_per_sec
+    FROM (SELECT CASE WHEN event_id::BIGINT % 50 = 0 THEN 'dlq' WHEN event_id::BIGINT % 10 = 0 THEN 'deduped' ELSE 'processed' END AS o FROM ev)"""))
+def worker_metrics(spark, d):
+    n = F.col("event_id").cast("long")
+    o = security_events(spark, d).select(F.when(n % 50 == 0, "dlq").when(n % 10 == 0, "deduped").otherwise("processed").alias("outcome"), F.lit(60.0).alias("s"))
+    return tel.metrics(o, F.col("s"))
+
+
+@query(ev("SELECT host_id, count(*) AS n, max(score) AS top_score, arg_max(event_id, score * 1e7 + event_id::DOUBLE) AS worst_event FROM fnd GROUP BY host_id"))
+def host_risk(spark, d):
+    order = F.col("score") * 1e7 + F.col("event_id").cast("double")
+    return _findings(spark, d).groupBy("host_id").agg(F.count("*").alias("n"), F.max("score").alias("top_score"), F.max_by("event_id", order).alias("worst_event"))
+
+
+_TTL = """
+    WITH RECURSIVE e AS (SELECT user_id::VARCHAR AS k, event_id, ts FROM events),
+    kept AS (
+        SELECT k, min(ts) AS ts FROM e GROUP BY k
+        UNION ALL
+        SELECT k, ts FROM (SELECT e.k, e.ts, row_number() OVER (PARTITION BY e.k ORDER BY e.ts) AS r FROM e JOIN kept ON e.k = kept.k AND e.ts >= kept.ts + INTERVAL 7200 SECOND) WHERE r = 1
+    )
+    SELECT e.k AS key, e.event_id FROM e JOIN kept ON e.k = kept.k AND e.ts = kept.ts
+"""
+
+
+@query(_TTL)
+def ttl_dedupe(spark, d):
+    e = table(spark, d, "events").select(F.col("user_id").cast("string").alias("key"), "event_id", "ts")
+    return dedupe.ttl_dedupe(e, "key", "ts", 7200).select("key", "event_id")
+
+
+@query("""SELECT n, CASE WHEN n % 3 = 0 THEN 'network_egress' ELSE 'process_exec' END AS event_type, CASE WHEN n % 5 = 0 THEN 'high' ELSE 'medium' END AS severity,
+    n + 1000 AS pid, CASE WHEN n % 5 = 0 THEN '/usr/bin/nc' ELSE '/usr/bin/curl' END AS command, CASE WHEN n % 5 = 0 THEN 'nc' ELSE 'curl' END AS process_name,
+    CASE WHEN n % 3 = 0 THEN 'egress' ELSE 'none' END AS network_direction, 'linux,server,runtime' AS tags FROM (SELECT event_id + 1 AS n FROM events)""")
+def rate_generator(spark, d):
+    g = synthetic_events(table(spark, d, "events").select((F.col("event_id") + 1).alias("n")))
+    return g.select("n", "event_type", "severity", "pid", "command", "process_name", "network_direction", F.array_join("tags", ",").alias("tags"))
+
+
+@query("SELECT event_id + 1 AS n, 'agent-local' AS agent_id, 'host-local' AS host_id, 'simulator' AS source_type, 'online' AS status FROM events WHERE (event_id + 1) % 5 = 0")
+def heartbeat_generator(spark, d):
+    return heartbeats(synthetic_events(table(spark, d, "events").select((F.col("event_id") + 1).alias("n"))))
+
+
+_CHECKIN = "SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN '  ' ELSE 'agent-' || c_custkey END AS agent_id, CASE WHEN c_custkey % 13 = 0 THEN '' ELSE 'host-' || c_nationkey END AS host_id, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE lower(c_mktsegment) END AS source_type FROM customer"
+
+
+@query(f"SELECT agent_id, host_id, CASE WHEN source_type = '' THEN 'unknown' ELSE source_type END AS source_type FROM ({_CHECKIN}) WHERE trim(agent_id) <> '' AND trim(host_id) <> ''")
+def agent_checkins(spark, d):
+    k = F.col("c_custkey")
+    c = table(spark, d, "customer").select(
+        F.when(k % 11 == 0, "  ").otherwise(F.concat(F.lit("agent-"), k.cast("string"))).alias("agent_id"),
+        F.when(k % 13 == 0, "").otherwise(F.concat(F.lit("host-"), F.col("c_nationkey").cast("string"))).alias("host_id"),
+        F.when(k % 5 == 0, "").otherwise(F.lower("c_mktsegment")).alias("source_type"),
+    )
+    return api.checkins(c.select(F.to_json(F.struct("*")).alias("body")))[0].drop("capabilities")
+
+
+# --- dead letters ------------------------------------------------------------------------------------------------
+
+
+def _dlq_entries(spark, d):
+    n, k = F.col("event_id"), F.col("event_id") % 6
+    item = lambda **kv: F.to_json(F.struct(*[v.alias(c) for c, v in kv.items()]), {"ignoreNullFields": "false"})
+    body = F.struct(F.col("event_type").alias("event"), n.alias("n"), F.lit(None).cast("string").alias("gone"))
+    raw = (
+        F.when(k == 0, "").when(k == 1, "{bad").when(k == 2, "[1]")
+        .when(k == 3, item(stream=F.lit(" "), payload=body)).when(k == 4, item(stream=F.lit("security_events"), payload=F.struct(n.alias("n"))))
+        .otherwise(item(stream=F.when(n % 12 == 5, "security_dlq").otherwise("security_events"), payload=body))
+    )
+    return table(spark, d, "events").select(F.concat(n.cast("string"), F.lit("-0")).alias("stream_id"), raw.alias("dlq"))
+
+
+_REASONS = "CASE event_id % 6 WHEN 0 THEN 'missing dlq field' WHEN 1 THEN 'dlq entry is not valid JSON' WHEN 2 THEN 'dlq entry must be object' WHEN 3 THEN 'dlq entry missing source stream' WHEN 4 THEN 'dlq payload missing event field' END"
+
+
+@query(f"""SELECT event_id::VARCHAR || '-0' AS stream_id, {_REASONS} AS reason,
+    CASE WHEN event_id % 6 IN (3, 5) THEN event_type END AS event, CASE WHEN event_id % 6 IN (3, 4, 5) THEN event_id::VARCHAR END AS n FROM events""")
+def dlq_parse(spark, d):
+    p = dlq.parsed(_dlq_entries(spark, d))
+    return p.select("stream_id", "reason", F.try_element_at("payload", F.lit("event")).alias("event"), F.try_element_at("payload", F.lit("n")).alias("n"))
+
+
+@query("SELECT event_id::VARCHAR || '-0' AS stream_id, CASE WHEN event_id % 12 = 5 THEN 'fallback' ELSE 'security_events' END AS destination FROM events WHERE event_id % 6 = 5")
+def dlq_route(spark, d):
+    p = dlq.parsed(_dlq_entries(spark, d)).where("reason is null")
+    return p.select("stream_id", dlq.destination(F.col("source_stream"), None, "fallback", "security_dlq").alias("destination"))
+
+
+@query("SELECT count(*) AS scanned, count(*) FILTER (event_id % 6 = 5) AS eligible, 0::BIGINT AS replayed, count(*) FILTER (event_id % 6 <> 5) AS skipped FROM (SELECT * FROM events WHERE event_id >= 100 ORDER BY event_id LIMIT 500)")
+def dlq_replay(spark, d):
+    return dlq.replay(dlq.replay_plan(_dlq_entries(spark, d), "100-0", 500), "", execute=False)
+
+
+# --- corpus ------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT coalesce(lang, 'TOTAL') AS task, count(*) AS n, sum(t)::BIGINT AS tokens, max(t) AS max_tokens, (sum(t) // count(*))::BIGINT AS avg_tokens FROM (SELECT lang, floor(length(text) / 3.8::DOUBLE)::BIGINT AS t FROM documents) GROUP BY ROLLUP (lang)")
+def task_rollup_total(spark, d):
+    docs = table(spark, d, "documents").select(F.col("lang").alias("task"), tx.estimated_tokens(F.length("text")).alias("n_tokens"))
+    return stats.task_totals(docs)
+
+
+@query("SELECT CASE WHEN grouping(lang) = 0 THEN 'lang' WHEN grouping(source) = 0 THEN 'source' ELSE 'all' END AS dimension, CASE WHEN grouping(lang) = 0 THEN lang WHEN grouping(source) = 0 THEN source END AS value, count(*) AS n, sum(t)::BIGINT AS tokens FROM (SELECT lang, source, floor(length(text) / 3.8::DOUBLE)::BIGINT AS t FROM documents) GROUP BY GROUPING SETS ((lang), (source), ())")
+def grouping_sets_profile(spark, d):
+    docs = table(spark, d, "documents").select("lang", "source", tx.estimated_tokens(F.length("text")).alias("t"))
+    return stats.profile(docs, ["lang", "source"], "t")
+
+
+@query("SELECT source, count(*) AS n FROM documents GROUP BY source ORDER BY n DESC, source")
+def source_distribution(spark, d):
+    return stats.most_common(table(spark, d, "documents"), "source")
+
+
+@query("SELECT doc_id, floor(length(text) / 3.8::DOUBLE)::BIGINT AS tokens, floor(length(text) / 3.85::DOUBLE)::BIGINT AS tokens_synthesis FROM documents")
+def token_estimate(spark, d):
+    n = F.length("text")
+    return table(spark, d, "documents").select("doc_id", tx.estimated_tokens(n).alias("tokens"), tx.estimated_tokens(n, tx.CHARS_PER_TOKEN_SYNTHESIS).alias("tokens_synthesis"))
+
+
+@query("SELECT lang, (sum(t) * 3 / 7000.0::DOUBLE / 3600)::DOUBLE AS raw_hours FROM (SELECT lang, floor(length(text) / 3.8::DOUBLE)::BIGINT AS t FROM documents) GROUP BY lang")
+def training_cost(spark, d):
+    docs = table(spark, d, "documents").groupBy("lang").agg(F.sum(tx.estimated_tokens(F.length("text"))).alias("t"))
+    return docs.select("lang", (F.col("t") * 3 / F.lit(stats.TOKENS_PER_SECOND) / 3600.0).alias("raw_hours"))
+
+
+_CLEAN = r"trim(regexp_replace(regexp_replace(regexp_replace(text, '\(Citation:[^)]+\)', '', 'g'), '\[([^\]]+)\]\([^)]+\)', '\1', 'g'), '\s+', ' ', 'g'))"
+
+
+@query(f"SELECT doc_id, {_CLEAN} AS cleaned FROM documents")
+def text_clean(spark, d):
+    return table(spark, d, "documents").select("doc_id", tx.clean_text(F.col("text")).alias("cleaned"))
+
+
+@query(f"SELECT doc_id, CASE WHEN length(s) <= 120 THEN s ELSE regexp_replace(substr(s, 1, 119), ' [^ ]*$', '') || '…' END AS short FROM (SELECT doc_id, {_CLEAN} AS s FROM documents)")
+def text_truncate(spark, d):
+    return table(spark, d, "documents").select("doc_id", tx.truncate(F.col("text"), 120).alias("short"))
+
+
+@query(r"SELECT doc_id, len(w)::BIGINT AS n_words, array_to_string(list_transform(w[1:10], lambda x: lower(x)), ' ') AS first_words FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z][A-Za-z0-9_''\-]*') AS w FROM documents)")
+def word_tokens(spark, d):
+    w = table(spark, d, "documents").select("doc_id", tx.word_tokens(F.col("text")).alias("w"))
+    return w.select("doc_id", F.size("w").cast("long").alias("n_words"), F.array_join(F.slice("w", 1, 10), " ").alias("first_words"))
+
+
+_GRAMS = r"""
+    w AS (SELECT doc_id AS id, list_transform(regexp_extract_all(text, '[A-Za-z][A-Za-z0-9_''\-]*'), lambda x: lower(x)) AS w FROM documents),
+    v AS (SELECT item_id AS id, list_transform(regexp_extract_all(text, '[A-Za-z][A-Za-z0-9_''\-]*'), lambda x: lower(x)) AS w FROM benchmark),
+    a AS (SELECT DISTINCT id, array_to_string(w[i + 1 : i + 13], ' ') AS g FROM (SELECT id, w, unnest(range(0, len(w) - 12)) AS i FROM w WHERE len(w) >= 13)),
+    b AS (SELECT DISTINCT id, array_to_string(w[i + 1 : i + 13], ' ') AS g FROM (SELECT id, w, unnest(range(0, len(w) - 12)) AS i FROM v WHERE len(w) >= 13)),
+    s AS (SELECT a.id AS text_id, b.id AS chunk_id, count(*) AS n_shared FROM a JOIN b USING (g) GROUP BY 1, 2)
+"""
+
+
+def _shared(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("text_id"), "text")
+    return leak.shared_shingles(docs, table(spark, d, "benchmark").select(F.col("item_id").alias("chunk_id"), "text"))
+
+
+@query(f"WITH {_GRAMS} SELECT * FROM s")
+def ngram_leak_13(spark, d):
+    return _shared(spark, d)
+
+
+@query(f"WITH {_GRAMS} SELECT (SELECT count(*) FROM documents) AS records, count(DISTINCT text_id) AS leaks, round(100.0::DOUBLE * count(DISTINCT text_id) / (SELECT count(*) FROM documents), 2) AS leak_rate FROM s")
+def leak_rate(spark, d):
+    leaks = _shared(spark, d).agg(F.countDistinct("text_id").alias("leaks"))
+    n = table(spark, d, "documents").agg(F.count("*").alias("records"))
+    both = n.select("records", F.lit(0).cast("long").alias("leaks")).unionByName(leaks.select(F.lit(0).cast("long").alias("records"), "leaks")).agg(F.sum("records").alias("records"), F.sum("leaks").alias("leaks"))
+    return both.withColumn("leak_rate", F.round(F.col("leaks") * 100.0 / F.greatest("records", F.lit(1)), 2))
+
+
+@query(f"WITH {_GRAMS} SELECT text_id, max(n_shared) AS most FROM s GROUP BY text_id ORDER BY most DESC, text_id LIMIT 5")
+def leak_first_examples(spark, d):
+    return _shared(spark, d).groupBy("text_id").agg(F.max("n_shared").alias("most")).orderBy(F.desc("most"), "text_id").limit(5)
+
+
+@query("SELECT doc_id, min(doc_id) OVER (PARTITION BY sha256(text)) AS first_doc, doc_id <> min(doc_id) OVER (PARTITION BY sha256(text)) AS is_duplicate FROM documents")
+def exact_duplicates_first_seen(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    got = dedupe.first_seen(docs, F.sha2("text", 256), [F.col("doc_id")], F.col("doc_id"))
+    return got.select("doc_id", F.col("first_place").alias("first_doc"), "is_duplicate")
+
+
+_MD5 = "('0x' || substr(md5({}), 1, 2))::INT % 100"
+
+
+@query(f"SELECT doc_id, CASE WHEN {_MD5.format('doc_id::VARCHAR')} < 14 THEN 'eval' ELSE 'train' END AS split FROM documents")
+def stable_split_md5(spark, d):
+    return table(spark, d, "documents").select("doc_id", tx.stable_split(F.col("doc_id").cast("string"), 14).alias("split"))
+
+
+@query("SELECT doc_id, CASE WHEN r <= greatest(50, n // 10) THEN 'eval' ELSE 'train' END AS split FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('13:' || doc_id), doc_id) AS r, count(*) OVER () AS n FROM documents)")
+def holdout_topn_by_hash(spark, d):
+    return split.holdout(table(spark, d, "documents").select("doc_id"), "doc_id", 13)
+
+
+@query("SELECT doc_id, CASE WHEN r <= (n * 0.9::DOUBLE)::BIGINT THEN 'train' ELSE 'eval' END AS split FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS r, count(*) OVER () AS n FROM documents)")
+def ratio_split(spark, d):
+    return split.ratio_split(table(spark, d, "documents").select("doc_id"), "doc_id", 42, 0.1)
+
+
+@query("SELECT item_id FROM (SELECT item_id FROM benchmark ORDER BY md5('5:' || item_id), item_id LIMIT 12) ORDER BY item_id")
+def sample_cases(spark, d):
+    return split.sample(table(spark, d, "benchmark").select("item_id"), "item_id", 12, 5, "item_id")
+
+
+@query("SELECT doc_id, md5('42:' || doc_id) AS place FROM documents ORDER BY place, doc_id")
+def seeded_shuffle(spark, d):
+    return split.shuffled(table(spark, d, "documents").select("doc_id", tx.seeded(F.col("doc_id"), 42).alias("place")), "doc_id", 42)
+
+
+@query()
+def stratified_split(spark, d):
+    return split.stratified_split(table(spark, d, "documents").select("doc_id", F.col("lang").alias("grp")), "grp", "doc_id", 7)
+
+
+@query("SELECT role, count(*) AS n FROM conversations GROUP BY role")
+def role_histogram(spark, d):
+    return stats.role_histogram(chat_records(spark, d))
+
+
+@query("SELECT conv_id, turn, role AS \"from\", CASE WHEN role = 'system' THEN 'replaced' ELSE text END AS value FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS p FROM conversations)")
+def chat_to_sharegpt(spark, d):
+    c = table(spark, d, "conversations")
+    turns = F.sort_array(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
+    rows = c.groupBy("conv_id").agg(turns.alias("t")).withColumn("conversations", records.conversations(F.col("t"), "replaced"))
+    return rows.select("conv_id", F.explode(F.arrays_zip(F.col("t.turn").alias("turn"), F.col("conversations").alias("c"))).alias("x")).select("conv_id", "x.turn", "x.c.from", "x.c.value")
+
+
+@query("""SELECT item_id, substr(sha256('["' || replace(replace(text, '"', '\\"'), chr(10), '\\n') || '"]'), 1, 20) AS id FROM benchmark""")
+def content_sha_ids(spark, d):
+    return table(spark, d, "benchmark").select("item_id", tx.content_id(20, F.col("text")).alias("id"))
+
+
+@query("SELECT doc_id, phrase FROM (SELECT doc_id, lower(text) AS t, unnest(['this ', 'the passage says', 'page ', 'that the', 'worthless']) AS phrase FROM documents) WHERE contains(t, phrase)")
+def forbidden_phrase_lint(spark, d):
+    phrases = F.array(*[F.lit(p) for p in ("this ", "the passage says", "page ", "that the", "worthless")])
+    low = F.lower("text")
+    return table(spark, d, "documents").select("doc_id", F.explode(F.filter(phrases, lambda p: F.contains(low, p))).alias("phrase"))
+
+
+_STYLES = "CASE p_partkey % 5 WHEN 0 THEN 'mitre-T' || lpad((p_partkey % 10000)::VARCHAR, 4, '0') WHEN 1 THEN 'owasp-2021-a' || lpad((p_partkey % 100)::VARCHAR, 2, '0') WHEN 2 THEN 'CVE-2024-1' WHEN 3 THEN 'concept-' || replace(p_name, ' ', '-') ELSE 'sigma-' || p_brand END"
+
+
+@query("SELECT s AS source_id, regexp_full_match(s, '" + "|".join(audit.STYLES_STRICT) + f"') AS canonical FROM (SELECT {_STYLES} AS s FROM part)")
+def source_id_style(spark, d):
+    k = F.col("p_partkey")
+    s = (
+        F.when(k % 5 == 0, F.concat(F.lit("mitre-T"), F.lpad((k % 10000).cast("string"), 4, "0")))
+        .when(k % 5 == 1, F.concat(F.lit("owasp-2021-a"), F.lpad((k % 100).cast("string"), 2, "0"))).when(k % 5 == 2, "CVE-2024-1")
+        .when(k % 5 == 3, F.concat(F.lit("concept-"), F.replace("p_name", F.lit(" "), F.lit("-")))).otherwise(F.concat(F.lit("sigma-"), F.col("p_brand")))
+    )
+    return table(spark, d, "part").select(s.alias("source_id")).withColumn("canonical", F.col("source_id").rlike(audit.one_of(audit.STYLES_STRICT)))
+
+
+@query("SELECT o_orderkey, list_aggregate(list_filter(['a', 'b', 'o_orderkey', 'o_orderstatus'], lambda x: x NOT IN ('o_orderkey', 'o_custkey', 'o_orderstatus')), 'string_agg', ',') AS missing FROM orders")
+def required_keys_except(spark, d):
+    doc = F.to_json(F.struct("o_orderkey", "o_custkey", "o_orderstatus"))
+    missing = F.array_except(F.array(*[F.lit(k) for k in ("a", "b", "o_orderkey", "o_orderstatus")]), F.json_object_keys(doc))
+    return table(spark, d, "orders").select("o_orderkey", F.array_join(missing, ",").alias("missing"))
+
+
+# --- evaluation, lookups and splits over the business tables -------------------------------------------------------
+
+
+def _results(spark, d):
+    """An order as one model's answer to a case: the priority is the model, some fail, some answers parse."""
+    k = F.col("o_orderkey")
+    content = F.when(k % 4 == 0, "no tags").when(k % 4 == 1, '<answer>{"summary": 1, "actions": []}</answer>').when(k % 4 == 2, "<reasoning>r</reasoning><answer>{bad</answer>").otherwise("<reasoning>r</reasoning>\n<answer> [1] </answer>")
+    rows = table(spark, d, "orders").select(
+        F.col("o_orderpriority").alias("label"), (k % 100).alias("case_id"), k.alias("row_id"), F.when(k % 17 == 0, "timeout").alias("error"), content.alias("content"),
+        (F.col("o_custkey") % 50 / F.lit(4.0)).alias("latency_seconds"), (k % 1000).alias("completion_tokens"), F.when(k % 3 == 0, "length").when(k % 3 == 1, "stop").alias("finish_reason"),
+    )
+    return evalrun.score_content(rows)
+
+
+_RESULTS = """r AS (SELECT o_orderpriority AS label, o_orderkey % 100 AS case_id, o_orderkey % 17 = 0 AS bad, o_orderkey % 4 = 1 AS valid, (o_custkey % 50) / 4.0::DOUBLE AS lat, o_orderkey % 1000 AS tok,
+    CASE o_orderkey % 3 WHEN 0 THEN 'length' WHEN 1 THEN 'stop' ELSE 'unknown' END AS reason FROM orders)"""
+
+
+@query(f"""WITH {_RESULTS}, f AS (SELECT label, '{{' || string_agg('"' || reason || '":' || n, ',' ORDER BY reason) || '}}' AS finish_reasons FROM (SELECT label, reason, count(*) AS n FROM r WHERE NOT bad GROUP BY 1, 2) GROUP BY label)
+    SELECT label, count(*) AS cases, count(*) FILTER (bad) AS errors, count(*) FILTER (valid AND NOT bad) AS valid_json, round(avg(lat) FILTER (NOT bad), 3) AS avg_latency, max(lat) FILTER (NOT bad) AS max_latency, (sum(tok) FILTER (NOT bad))::BIGINT AS completion_tokens, any_value(finish_reasons) AS finish_reasons
+    FROM r JOIN f USING (label) GROUP BY label""")
+def eval_summary(spark, d):
+    return evalrun.summary(_results(spark, d))
+
+
+@query("SELECT o_orderkey AS row_id, o_orderkey % 4 >= 2 AS reasoning_open, o_orderkey % 4 > 0 AS answer_open, o_orderkey % 4 = 1 AS answer_json_valid, CASE WHEN o_orderkey % 4 = 1 THEN 'actions,summary' ELSE '' END AS answer_keys FROM orders")
+def response_scores(spark, d):
+    return _results(spark, d).select("row_id", "reasoning_open", "answer_open", "answer_json_valid", F.array_join("answer_keys", ",").alias("answer_keys"))
+
+
+def _judged(spark, d):
+    k = F.col("l_orderkey")
+    li = table(spark, d, "lineitem").select((k % 500).alias("case_id"), F.concat(F.lit("model-"), (F.col("l_linenumber") % 4).cast("string")).alias("label"), F.col("l_quantity").alias("q"))
+    return li.groupBy("case_id", "label").agg(F.max("q").alias("score"))
+
+
+@query("""WITH j AS (SELECT l_orderkey % 500 AS case_id, 'model-' || (l_linenumber % 4) AS label, max(l_quantity) AS score FROM lineitem GROUP BY 1, 2),
+    w AS (SELECT label, count(*) AS wins FROM (SELECT label, row_number() OVER (PARTITION BY case_id ORDER BY score DESC, label) AS r FROM j) WHERE r = 1 GROUP BY label)
+    SELECT j.label, round(avg(score), 2) AS avg_score, coalesce(any_value(w.wins), 0) AS wins FROM j LEFT JOIN w USING (label) GROUP BY j.label""")
+def case_winner(spark, d):
+    return evalrun.winners(_judged(spark, d))
+
+
+@query("SELECT b.item_id, m.label FROM benchmark b, (SELECT 'model-' || r_regionkey AS label FROM region) m")
+def model_case_cross(spark, d):
+    models = table(spark, d, "region").select(F.concat(F.lit("model-"), F.col("r_regionkey").cast("string")).alias("label"))
+    return evalrun.model_cases(models, table(spark, d, "benchmark").select("item_id"))
+
+
+@query("SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey < 20")
+def technique_inner_lookup(spark, d):
+    n = table(spark, d, "nation").where("n_nationkey < 20")
+    return table(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
+
+
+@query("SELECT c_custkey, coalesce(n_name, c_nationkey::VARCHAR) AS nation FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) ON c_nationkey = n_nationkey")
+def mitigation_left_lookup(spark, d):
+    n = table(spark, d, "nation").where("n_nationkey < 20")
+    return table(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left").select("c_custkey", F.coalesce("n_name", F.col("c_nationkey").cast("string")).alias("nation"))
+
+
+@query("SELECT s_suppkey, coalesce(n, 0) AS n_parts FROM supplier LEFT JOIN (SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_quantity > 45 GROUP BY l_suppkey) ON s_suppkey = l_suppkey")
+def aggregated_left_lookup(spark, d):
+    n = table(spark, d, "lineitem").where("l_quantity > 45").groupBy("l_suppkey").agg(F.count("*").alias("n_parts"))
+    return table(spark, d, "supplier").join(n, F.col("s_suppkey") == F.col("l_suppkey"), "left").select("s_suppkey", F.coalesce("n_parts", F.lit(0)).alias("n_parts"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') THEN 'eval' ELSE 'train' END AS split FROM orders")
+def train_eval_semi_anti(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    chosen = table(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    return o.join(chosen, "o_custkey", "left_semi").select("o_orderkey", F.lit("eval").alias("split")).unionByName(o.join(chosen, "o_custkey", "left_anti").select("o_orderkey", F.lit("train").alias("split")))
+
+
+@query("SELECT 'document' AS kind, doc_id AS id, source FROM documents UNION ALL SELECT 'benchmark', item_id, NULL FROM benchmark")
+def corpus_union(spark, d):
+    return records.merge(
+        table(spark, d, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), "source"),
+        table(spark, d, "benchmark").select(F.lit("benchmark").alias("kind"), F.col("item_id").alias("id")),
+    )
+
+
+@query("SELECT source, '{' || string_agg('\"' || lang || '\":' || n, ',' ORDER BY lang) || '}' AS histogram FROM (SELECT source, lang, count(*) AS n FROM documents GROUP BY 1, 2) GROUP BY source")
+def histogram_json(spark, d):
+    return stats.histogram_json(table(spark, d, "documents"), "source", "lang")
+
+
+@query("SELECT coalesce(lang, 'unknown') AS lang, count(*) AS n FROM documents GROUP BY 1 ORDER BY 1")
+def count_by_key(spark, d):
+    return stats.count_by(table(spark, d, "documents"), F.col("lang"), "lang")
