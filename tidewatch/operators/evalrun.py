@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.functions.text import content_id, is_json_object, tagged
 
@@ -36,7 +37,7 @@ def score_content(df: DataFrame, content: str = "content") -> DataFrame:
 
 def run_model(cases: DataFrame, prompt: str, ask: Callable[[pd.Series], pd.Series]) -> DataFrame:
     """``cases`` with content: a callable answers batches of prompts on the executors; a batch that fails has its error in ``error``."""
-    out = cases.schema.add("content", "string").add("error", "string")
+    out = T.StructType(list(cases.schema.fields)).add("content", "string").add("error", "string")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -16,7 +16,8 @@ def shared_shingles(texts: DataFrame, chunks: DataFrame, n: int = LEAK) -> DataF
     Runs meet by their 64-bit hash, on which Spark may broadcast or shuffle as their sizes ask, and are then compared.
     """
     def runs(df, key):
-        rows = df.select(key, F.explode(shingles(word_tokens(F.col("text")), n)).alias("run"))
+        words = df.select(key, word_tokens(F.col("text")).alias("_w"))  # a column of its own: once a row, not once a run
+        rows = words.select(key, F.explode(shingles(F.col("_w"), n)).alias("run"))
         return rows.select(key, F.xxhash64("run").alias("h"), "run")
 
     a, b = runs(texts, "text_id"), runs(chunks, "chunk_id").withColumnRenamed("run", "_run")
