@@ -39,7 +39,8 @@ def test_edges_match_the_library(spark, library):
 
 
 def test_table_matches_the_library(spark, library, monkeypatch):
-    monkeypatch.setattr(bpe, "HEAD_WORDS", 500)
+    monkeypatch.setattr(bpe, "WORDS_AT_ONCE", 500)
+    monkeypatch.setattr(bpe, "_ROWS", 16)
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
     check(spark, library, texts)
 

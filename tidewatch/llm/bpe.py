@@ -4,11 +4,10 @@ A word's bytes are written as the characters 0 to 255, and the ranks are a liter
 buckets.  A fold keeps a word's pieces and the ranks of neighbouring pairs, and merges the leftmost pair of the lowest
 rank until none has one.
 
-1. Words are counted over all documents, combined in each task first; words that are themselves tokens are left out.
-2. Words above a count, chosen from a histogram of powers of two so that at most ``HEAD_WORDS`` remain, are folded once
-   and broadcast: that size is bounded whatever the corpus.
-3. Documents are split into words; tokens and head words are looked up, and what is left of a document, each word once,
-   is folded where it is.  No document is shuffled.
+Documents stay where they are; nothing is shuffled.  In each task, the first pass splits texts into words, numbers the
+words that aren't tokens themselves, and sends each on with the first document that has it; the fold merges those; the
+last pass, which sees the same rows in the same order, fills the numbers in.  A task so folds each of its distinct words
+once.  Numbering begins anew after ``WORDS_AT_ONCE`` words, which bounds what a task remembers.
 
 Words of more than ``LONG_BYTES`` bytes, for which a fold would be quadratic, are merged with a heap; the result is the
 same.  Decoding concatenates the binary pieces of the ids.
@@ -19,24 +18,22 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-from collections import Counter
 from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import materialize
-
-HEAD_WORDS = 1 << 18
+WORDS_AT_ONCE = 400_000
 LONG_BYTES = 512
 BUCKETS = 1 << 14
-_COUNTED_AT_ONCE = 300_000
+_ROWS = 512
 #: Joins the pieces of a folded word; no piece has it, since pieces are made of the characters 0 to 255.
 _GAP = "Ā"
 
@@ -61,7 +58,7 @@ def _let(value: Column, body) -> Column:
 
 
 def merged(word: Column, table: Column) -> Column:
-    """The pieces of a word (characters 0 to 255), joined by ``_GAP``."""
+    """The pieces of a word (characters 0 to 255), joined by ``_GAP``; a word that has a gap already is as it is."""
     rank = lambda pair: F.try_element_at(F.get(table, F.pmod(F.xxhash64(pair), F.lit(BUCKETS)).cast("int")), pair)
 
     def start(chars: Column) -> Column:
@@ -94,7 +91,7 @@ def merged(word: Column, table: Column) -> Column:
     chars = F.split(word, "")
     many = F.length(word)
     folded = F.aggregate(F.sequence(F.lit(2), many), _let(chars, start), step, lambda s: F.array_join(s["pieces"], _GAP))
-    return F.when(many < 2, word).otherwise(folded)
+    return F.when((many < 2) | F.contains(word, F.lit(_GAP)), word).otherwise(folded)
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -127,6 +124,30 @@ def _texts(column: pa.Array) -> Iterator[str]:
         yield x.as_py() or ""
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    edges = np.concatenate([[0], np.cumsum([x.size for x in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int32)))
+
+
+class _Codes(dict):
+    """Word to id, or, below zero, to the number it got here; ``fresh``: words numbered since it was emptied."""
+
+    def __init__(self, ranks: dict[bytes, int], names: dict[int, str]):
+        super().__init__()
+        self.ranks, self.names, self.fresh, self.numbered = ranks, names, [], 0
+
+    def __missing__(self, word: str) -> int:
+        raw = word.encode()
+        code = self.ranks.get(raw)
+        if code is None:
+            self.numbered += 1
+            code = -self.numbered
+            whole = _GAP.join(self.names[i] for i in merge_long(raw, self.ranks)) if len(raw) > LONG_BYTES else raw.decode("latin-1")
+            self.fresh.append(whole)
+        self[word] = code
+        return code
+
+
 class Tokenizer:
     """A rank file and a pattern; ``encode`` and ``decode`` are DataFrame to DataFrame."""
 
@@ -135,101 +156,64 @@ class Tokenizer:
         self.shared = spark.sparkContext.broadcast(self.ranks)
         self.table = _rank_table(self.ranks)
 
-    def _counted(self, docs: DataFrame, text_col: str) -> DataFrame:
-        shared, pattern = self.shared, self.pattern
-
-        def run(batches):
-            find, ranks, seen = regex.compile(pattern).findall, shared.value, Counter()
-
-            def rows():
-                words = [(w.encode(), n) for w, n in seen.items()]
-                keep = [(w.decode("latin-1"), n) for w, n in words if len(w) <= LONG_BYTES and w not in ranks]
-                seen.clear()
-                return pa.RecordBatch.from_arrays([pa.array([w for w, _ in keep], pa.string()), pa.array([n for _, n in keep], pa.int64())], ["word", "n"])
-
-            for batch in batches:
-                for text in _texts(batch.column(0)):
-                    seen.update(find(text))
-                    if len(seen) > _COUNTED_AT_ONCE:
-                        yield rows()
-            yield rows()
-
-        return docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(run, "word string, n long")
-
-    def _head(self, docs: DataFrame, text_col: str) -> dict[str, list[int]]:
-        words = self._counted(docs, text_col).groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
-        words = materialize(words, "bpe-words")
-        sizes = {r.b: r["count"] for r in words.groupBy(F.floor(F.log2("n")).alias("b")).count().collect()}  # at most 63 rows
-        total, least = 0, None
-        for b in sorted(sizes, reverse=True):
-            if (total := total + sizes[b]) > HEAD_WORDS:
-                break
-            least = b
-        if least is None:
-            return {}
-        got = words.where(F.floor(F.log2("n")) >= least).select("word", merged(F.col("word"), self.table).alias("pieces")).toArrow()
-        ids = {t.decode("latin-1"): r for t, r in self.ranks.items()}
-        return {w.encode("latin-1").decode(): [ids[p] for p in pieces.split(_GAP)] for w, pieces in zip(got["word"].to_pylist(), got["pieces"].to_pylist())}
-
     def encode(self, docs: DataFrame, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
         """``docs`` with ``ids_col``: array<int>, each match of the pattern encoded by itself, no special tokens.
 
         A null text counts as empty and has no ids.  Texts of any length are encoded whole; a column of that name is
         replaced, other columns pass through.
         """
-        spark, shared, pattern = docs.sparkSession, self.shared, self.pattern
-        head = spark.sparkContext.broadcast(self._head(docs, text_col))
+        shared, pattern, most = self.shared, self.pattern, WORDS_AT_ONCE
         keep = [c for c in docs.columns if c != ids_col]
         rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text_col}`").alias("text"))
 
         def look_up(batches):
-            find, ranks, known = regex.compile(pattern).findall, shared.value, head.value
-            own = {}
-            for t, r in ranks.items():
-                try:
-                    own[t.decode()] = [r]
-                except UnicodeDecodeError:
-                    pass  # half of a character is never a whole word
+            find, ranks = regex.compile(pattern).findall, shared.value
+            names = {r: t.decode("latin-1") for t, r in ranks.items()}
+            codes, begin = _Codes(ranks, names), True
             for batch in batches:
-                ids, rest = [], []
-                for text in _texts(batch.column("text")):
-                    out, left = [], {}
-                    for w in find(text):
-                        got = own.get(w) or known.get(w)
-                        if got is None:
-                            raw = w.encode()
-                            got = merge_long(raw, ranks) if len(raw) > LONG_BYTES else [-1 - left.setdefault(raw, len(left))]
-                        out += got
-                    ids.append(np.array(out, np.int32))
-                    rest.append([w.decode("latin-1") for w in left])
-                edges = np.concatenate([[0], np.cumsum([x.size for x in ids])]).astype(np.int32)
-                flat = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column("row"), flat, pa.array(rest, pa.list_(pa.string()))], ["row", "ids", "rest"])
+                for at in range(0, batch.num_rows, _ROWS):
+                    part = batch.slice(at, _ROWS)
+                    begins = np.zeros(part.num_rows, bool)
+                    if len(codes) > most:
+                        codes, begin = _Codes(ranks, names), True
+                    begins[0], begin = begin, False
+                    ids, fresh = [], []
+                    for text in _texts(part.column("text")):
+                        ids.append(np.array(list(map(codes.__getitem__, find(text))), np.int32))
+                        fresh.append(codes.fresh)
+                        codes.fresh = []
+                    yield pa.RecordBatch.from_arrays([part.column("row"), _lists(ids), pa.array(fresh, pa.list_(pa.string())), pa.array(begins)], ["row", "ids", "rest", "begins"])
 
         def fill(batches):
             ids_of = {t.decode("latin-1"): r for t, r in shared.value.items()}
+            flat, ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
             for batch in batches:
-                out = []
-                for ids, rest in zip(batch.column("ids"), batch.column("rest").to_pylist()):
-                    x = ids.values.to_numpy()
-                    if rest:
-                        parts = [np.array([ids_of[p] for p in w.split(_GAP)], np.int32) for w in rest]
-                        sizes = np.array([p.size for p in parts])
-                        hole = x < 0
-                        slot = np.where(hole, -1 - x, 0)
-                        n = np.where(hole, sizes[slot], 1)
-                        flat, at = np.concatenate(parts), np.concatenate([[0], np.cumsum(sizes)])
-                        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                        x = np.where(np.repeat(hole, n), flat[np.minimum(np.repeat(at[slot], n) + within, flat.size - 1)], np.repeat(x, n)).astype(np.int32)
-                    out.append(x)
-                edges = np.concatenate([[0], np.cumsum([x.size for x in out])]).astype(np.int32)
-                flat = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(out) if out else np.zeros(0, np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column("row"), flat], ["row", "ids"])
+                cuts = np.unique(np.concatenate([[0], np.flatnonzero(batch.column("begins").to_numpy(zero_copy_only=False)), np.arange(0, batch.num_rows, _ROWS), [batch.num_rows]]))
+                for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                    part = batch.slice(low, high - low)
+                    if part.column("begins")[0].as_py():
+                        flat, ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+                    new = [[ids_of[p] for p in w.split(_GAP)] for w in part.column("rest").flatten().to_pylist()]
+                    if new:
+                        flat = np.concatenate([flat, np.array([i for w in new for i in w], np.int32)])
+                        ends = np.concatenate([ends, ends[-1] + np.cumsum([len(w) for w in new])])
+                    x, sizes = part.column("ids").flatten().to_numpy(), pc.list_value_length(part.column("ids")).to_numpy()
+                    hole = x < 0
+                    slot = np.where(hole, -1 - x, 0)
+                    n = np.where(hole, ends[slot + 1] - ends[slot], 1) if ends.size > 1 else np.ones(x.size, np.int64)
+                    total = np.concatenate([[0], np.cumsum(n)])
+                    out = np.repeat(x, n)
+                    at = np.flatnonzero(np.repeat(hole, n))
+                    if at.size:
+                        first = np.repeat(total[:-1], n)[at]
+                        out[at] = flat[np.repeat(ends[slot], n)[at] + at - first]
+                    edges = total[np.concatenate([[0], np.cumsum(sizes)])].astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([part.column("row"), pa.ListArray.from_arrays(pa.array(edges), pa.array(out))], ["row", "ids"])
 
         shape = rows.select("row").schema.add("ids", T.ArrayType(T.IntegerType()))
         table = self.table
-        split = rows.mapInArrow(look_up, rows.select("row").schema.add("ids", T.ArrayType(T.IntegerType())).add("rest", T.ArrayType(T.StringType())))
-        folded = split.select("row", "ids", F.transform("rest", lambda w: merged(w, table)).alias("rest"))
+        split = rows.mapInArrow(look_up, rows.select("row").schema.add("ids", T.ArrayType(T.IntegerType())).add("rest", T.ArrayType(T.StringType())).add("begins", "boolean"))
+        folded = split.select("row", "ids", F.transform("rest", lambda w: merged(w, table)).alias("rest"), "begins")
         return folded.mapInArrow(fill, shape).select("row.*", F.col("ids").alias(ids_col))
 
     def decode(self, df: DataFrame, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -239,10 +223,12 @@ class Tokenizer:
         rows = df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{ids_col}`").cast("array<int>").alias("ids"))
 
         def run(batches):
-            pieces = {r: t for t, r in shared.value.items()}
+            piece = {r: t for t, r in shared.value.items()}.__getitem__
             for batch in batches:
-                out = [b"".join([pieces[i] for i in ids.values.to_pylist()]) if ids.is_valid else None for ids in batch.column("ids")]
-                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.binary())], ["row", "decoded"])
+                for at in range(0, batch.num_rows, _ROWS):
+                    part = batch.slice(at, _ROWS)
+                    out = [b"".join(map(piece, ids.values.to_pylist())) if ids.is_valid else None for ids in part.column("ids")]
+                    yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(out, pa.binary())], ["row", "decoded"])
 
         return rows.mapInArrow(run, rows.select("row").schema.add("decoded", T.BinaryType())).select("row.*", F.col("decoded").alias(out_col))
 
