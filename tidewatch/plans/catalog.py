@@ -431,7 +431,19 @@ def seeded_shuffle(spark, d):
     return split.shuffled(table(spark, d, "documents").select("doc_id", tx.seeded(F.col("doc_id"), 42).alias("place")), "doc_id", 42)
 
 
-@query()
+#: Quotas as in ``split.quotas``, where what is missing or over is less than the number of groups.
+_STRATA = """
+    WITH g AS (SELECT lang AS grp, count(*) AS n FROM documents GROUP BY 1),
+    t AS (SELECT sum(n) AS total, least(round_even(sum(n) * 0.05::DOUBLE, 0), sum(n - 1)) AS wanted FROM g),
+    s AS (SELECT grp, n, wanted, wanted * n / total AS share, least(n - 1, greatest(CASE WHEN n > 1 THEN 1 ELSE 0 END, floor(wanted * n / total))) AS got FROM g, t),
+    d AS (SELECT *, wanted - sum(got) OVER () AS missing, row_number() OVER (ORDER BY share - got DESC, n DESC, grp) AS up, row_number() OVER (PARTITION BY got > 0 ORDER BY share - floor(share), got, grp) AS down FROM s),
+    q AS (SELECT grp, got + CASE WHEN missing >= up THEN 1 WHEN -missing >= down AND got > 0 THEN -1 ELSE 0 END AS quota FROM d)
+    SELECT grp, doc_id, CASE WHEN r <= quota THEN 'eval' ELSE 'train' END AS split
+    FROM (SELECT lang AS grp, doc_id, row_number() OVER (PARTITION BY lang ORDER BY md5('7:' || doc_id), doc_id) AS r FROM documents) JOIN q USING (grp)
+"""
+
+
+@query(_STRATA)
 def stratified_split(spark, d):
     return split.stratified_split(table(spark, d, "documents").select("doc_id", F.col("lang").alias("grp")), "grp", "doc_id", 7)
 
