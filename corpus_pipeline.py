@@ -40,7 +40,7 @@ def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, text, ids, and decoded: the text that the ids decode to."""
     tokenizer = Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    both = tokenizer.decode(tokenizer.encode(docs.select("doc_id", "text")))
+    both = tokenizer.encode(docs.select("doc_id", "text"), decoded_col="decoded")
     return both.selectExpr("doc_id", "text", "ids", "decode(decoded, 'UTF-8') as decoded")
 
 

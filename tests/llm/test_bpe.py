@@ -61,4 +61,5 @@ def test_columns_and_empty_table(spark):
     out = tok.decode(tok.encode(docs))
     assert out.columns == ["doc_id", "text", "row", "ids", "decoded"]
     assert bytes(out.first().decoded) == b"some text"
+    assert bytes(tok.encode(docs, decoded_col="row").first().row) == b"some text"
     assert tok.encode(docs.limit(0)).count() == 0

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WORDS_AT_ONCE = 400_000
+WORDS_AT_ONCE = 200_000
 LONG_BYTES = 512
 BUCKETS = 1 << 14
 _ROWS = 512
@@ -129,6 +129,11 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int32)))
 
 
+def _decoded(ids: pa.ListArray, pieces: dict[int, bytes]) -> pa.Array:
+    piece = pieces.__getitem__
+    return pa.array([b"".join(map(piece, x.values.to_pylist())) if x.is_valid else None for x in ids], pa.binary())
+
+
 class _Codes(dict):
     """Word to id, or, below zero, to the number it got here; ``fresh``: words numbered since it was emptied."""
 
@@ -156,14 +161,17 @@ class Tokenizer:
         self.shared = spark.sparkContext.broadcast(self.ranks)
         self.table = _rank_table(self.ranks)
 
-    def encode(self, docs: DataFrame, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+    def encode(self, docs: DataFrame, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
         """``docs`` with ``ids_col``: array<int>, each match of the pattern encoded by itself, no special tokens.
 
+        With ``decoded_col``, also the binary that the ids decode to, in the pass that completes them: each pass over
+        the documents has a Python process of its own, and this spares one.
+
         A null text counts as empty and has no ids.  Texts of any length are encoded whole; a column of that name is
         replaced, other columns pass through.
         """
         shared, pattern, most = self.shared, self.pattern, WORDS_AT_ONCE
-        keep = [c for c in docs.columns if c != ids_col]
+        keep = [c for c in docs.columns if c not in (ids_col, decoded_col)]
         rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text_col}`").alias("text"))
 
         def look_up(batches):
@@ -186,6 +194,7 @@ class Tokenizer:
 
         def fill(batches):
             ids_of = {t.decode("latin-1"): r for t, r in shared.value.items()}
+            pieces = {r: t for t, r in shared.value.items()}
             flat, ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
             for batch in batches:
                 cuts = np.unique(np.concatenate([[0], np.flatnonzero(batch.column("begins").to_numpy(zero_copy_only=False)), np.arange(0, batch.num_rows, _ROWS), [batch.num_rows]]))
@@ -208,13 +217,18 @@ class Tokenizer:
                         first = np.repeat(total[:-1], n)[at]
                         out[at] = flat[np.repeat(ends[slot], n)[at] + at - first]
                     edges = total[np.concatenate([[0], np.cumsum(sizes)])].astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([part.column("row"), pa.ListArray.from_arrays(pa.array(edges), pa.array(out))], ["row", "ids"])
+                    lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(out))
+                    extra = [_decoded(lists, pieces)] if decoded_col else []
+                    yield pa.RecordBatch.from_arrays([part.column("row"), lists, *extra], ["row", "ids", "decoded"][: 2 + len(extra)])
 
         shape = rows.select("row").schema.add("ids", T.ArrayType(T.IntegerType()))
+        if decoded_col:
+            shape = shape.add("decoded", T.BinaryType())
         table = self.table
         split = rows.mapInArrow(look_up, rows.select("row").schema.add("ids", T.ArrayType(T.IntegerType())).add("rest", T.ArrayType(T.StringType())).add("begins", "boolean"))
         folded = split.select("row", "ids", F.transform("rest", lambda w: merged(w, table)).alias("rest"), "begins")
-        return folded.mapInArrow(fill, shape).select("row.*", F.col("ids").alias(ids_col))
+        extra = [F.col("decoded").alias(decoded_col)] if decoded_col else []
+        return folded.mapInArrow(fill, shape).select("row.*", F.col("ids").alias(ids_col), *extra)
 
     def decode(self, df: DataFrame, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
         """``df`` with ``out_col``: the binary pieces of the ids, concatenated; null ids give null, unknown ids fail."""
@@ -223,12 +237,11 @@ class Tokenizer:
         rows = df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{ids_col}`").cast("array<int>").alias("ids"))
 
         def run(batches):
-            piece = {r: t for t, r in shared.value.items()}.__getitem__
+            pieces = {r: t for t, r in shared.value.items()}
             for batch in batches:
                 for at in range(0, batch.num_rows, _ROWS):
                     part = batch.slice(at, _ROWS)
-                    out = [b"".join(map(piece, ids.values.to_pylist())) if ids.is_valid else None for ids in part.column("ids")]
-                    yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(out, pa.binary())], ["row", "decoded"])
+                    yield pa.RecordBatch.from_arrays([part.column("row"), _decoded(part.column("ids"), pieces)], ["row", "decoded"])
 
         return rows.mapInArrow(run, rows.select("row").schema.add("decoded", T.BinaryType())).select("row.*", F.col("decoded").alias(out_col))
 
@@ -236,5 +249,5 @@ class Tokenizer:
 def encode_digest(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row of ``docs``, its text encoded and decoded again."""
     tokenizer = Tokenizer(docs.sparkSession, path, pattern)
-    both = tokenizer.decode(tokenizer.encode(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).select("doc_id", "ids"))
+    both = tokenizer.encode(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), decoded_col="decoded")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
