@@ -28,7 +28,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, of the smallest id, of each group whose fingerprints of 5-word shingles say 0.8 alike or more."""
+    """One document, of the smallest id, of each group linked by a Jaccard similarity of 0.8 or more of 5-word shingles."""
     return near_dedup(docs)
 
 

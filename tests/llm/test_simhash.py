@@ -7,6 +7,7 @@ import xxhash
 
 from tidewatch.llm import simhash
 from tidewatch.llm.components import least_reachable
+from tidewatch.llm.jaccard import jaccard_groups
 from tidewatch.llm.simhash import bits_for_similarity, near_dedup, near_groups, near_links
 
 
@@ -97,3 +98,49 @@ def test_near_dedup(spark):
 def test_long_chain_settles(spark):
     edges = spark.range(1, 300).selectExpr("id as u", "id - 1 as v")
     assert least_reachable(edges).where("root = 0").count() == 299
+
+
+def shingles(text, k=5):
+    w = [x for x in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if x]
+    return frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset()
+
+
+def jaccard_closure(rows):
+    """doc_id -> smallest id reached over pairs of real Jaccard 0.8 or more"""
+    sets, root = [shingles(t) for _, t in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            if root[i] != root[j] and (a == b or (min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) and len(a & b) / len(a | b) >= 0.8)):
+                x, y = root[i], root[j]
+                root = [min(x, y) if z in (x, y) else z for z in root]
+    least = {}
+    for (d, _), r in zip(rows, root):
+        least[r] = min(least.get(r, d), d)
+    return {d: least[r] for (d, _), r in zip(rows, root)}
+
+
+def test_near_dedup_is_exact_jaccard(spark):
+    rng = random.Random(3)
+    rows = []
+    for _ in range(60):  # bases with copies whose similarity lies on both sides of 0.8
+        base = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([4, 9, 60, 300, 2000]))]
+        rows.append(" ".join(base))
+        for share in (0.01, 0.018, 0.02, 0.022, 0.025, 0.03, 0.05):
+            copy = list(base)
+            for i in rng.sample(range(len(copy)), max(1, int(share * len(copy)))):
+                copy[i] = f"x{rng.randrange(10**9)}"
+            rows.append(" ".join(copy).upper() if share == 0.02 else " ".join(copy))
+    rows += ["", None, " \n", "one", "ONE", "one two", "é x 😀 " * 30]
+    rows = list(enumerate(rows))
+    want = jaccard_closure(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.id: r.component_id for r in jaccard_groups(docs).collect()} == want
+    assert sorted(r.doc_id for r in near_dedup(docs).collect()) == sorted(set(want.values()))
+    assert 100 < len(set(want.values())) < 400
+
+
+def test_near_dedup_of_documents_is_exact_jaccard(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.id: r.component_id for r in jaccard_groups(docs).collect()} == jaccard_closure(rows)

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.common import materialize
 from tidewatch.llm.components import least_reachable
+from tidewatch.llm.jaccard import jaccard_groups
 from tidewatch.llm.textkernel import U64, mix
 
 SEED = 42
@@ -361,11 +362,11 @@ def bits_for_similarity(similarity: float, bits: int) -> int:
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns: of each group of near-duplicates the one with the smallest id.
 
-    Fingerprints of 128 bits over 5-word shingles; two rows are linked if the bits in which they differ say that their
-    shingles overlap by ``similarity`` or more, and linked rows form groups.  Rows without words are one group.  Rows
-    that repeat both id and text are one document and stay or go together.
+    Two rows are linked if the Jaccard similarity of their sets of 5-word shingles is ``similarity`` or more, and linked
+    rows form groups; see ``jaccard_groups``.  Rows without words are one group.  Rows that repeat both id and text are
+    one document and stay or go together.
     """
-    groups = near_groups(docs, id_col, text_col, shingle_words, 2, bits_for_similarity(similarity, 128), 8)
+    groups = jaccard_groups(docs, id_col, text_col, shingle_words, similarity)
     gone = materialize(groups.where("not first").select(F.col("id").alias("_gone_id"), F.col("digest").alias("_gone_digest")).distinct(), "near-gone")
     same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_gone_id")) & (F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))) == F.col("_gone_digest"))
     return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, same, "left_anti")
