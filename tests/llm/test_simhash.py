@@ -82,6 +82,21 @@ def test_links_of_clusters_against_brute_force(spark, monkeypatch, small, words,
     assert {i: root.get(i, i) for i in want} == want
 
 
+@pytest.mark.parametrize("step", [8, 12])  # 12: a step straddles the end of the front block
+def test_links_of_one_block_that_is_split_deeper(spark, monkeypatch, step):
+    monkeypatch.setattr(simhash, "NODE_ROWS", 8)
+    monkeypatch.setattr(simhash, "STEP_BITS", step)
+    rng = random.Random(2)
+    marks = []
+    for _ in range(300):  # pairs that agree in the first block and have one error in each of the others
+        m = 0xBEEF << 48 | rng.getrandbits(48)
+        marks += [m, m ^ 1 << rng.randrange(16) ^ 1 << rng.randrange(16, 32) ^ 1 << rng.randrange(32, 48)]
+    assert len(set(marks)) == 600 > 4 * simhash.NODE_ROWS
+    nodes = spark.createDataFrame([(i, int(np.uint64(m).astype(np.int64))) for i, m in enumerate(marks)], "node long, f0 long")
+    got = {r.node: r.root for r in least_reachable(near_links(nodes)).collect()}
+    assert [got.get(i, i) for i in range(600)] == closure([(i, m) for i, m in enumerate(marks)], 3)
+
+
 def test_near_dedup(spark):
     rng = random.Random(1)
     base = [rng.choice("abcdefgh") + str(rng.randrange(900)) for _ in range(300)]

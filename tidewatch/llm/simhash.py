@@ -275,15 +275,16 @@ def _tasks(nodes: DataFrame, words: int, max_bits: int, blocks: int, depth: int)
     for turn in range(blocks):
         own = nodes.select("node", *names, F.lit(turn).alias("turn"), _rotated_bits(words, turn, width, 0, depth).alias("_p"))
         parts = own if parts is None else parts.unionByName(own)
-    return _spread(parts.withColumns({"a": F.lit(0).cast("long"), "b": F.lit(0).cast("long"), "errs": F.lit(0), "side": F.lit(0), "depth": F.lit(0)}), depth, max_bits, width, budget)
+    return _spread(parts.withColumns({"a": F.lit(0).cast("long"), "b": F.lit(0).cast("long"), "errs": F.lit(0), "side": F.lit(0), "depth": F.lit(0)}), 0, depth, max_bits, width, budget)
 
 
-def _spread(rows: DataFrame, bits: int, max_bits: int, width: int, budget: int) -> DataFrame:
-    """Each node pair's rows go to its pairs of children ``bits`` levels below; ``_p``: a row's own bits there."""
-    after = F.col("depth") + bits
-    limit = F.when(after <= width, budget).otherwise(max_bits)
-    most = max_bits if bits > width else budget
-    masks = _masks(bits, most)
+def _spread(rows: DataFrame, depth: int, bits: int, max_bits: int, width: int, budget: int) -> DataFrame:
+    """Each node pair's rows go from ``depth`` to its pairs of children ``bits`` levels below; ``_p``: a row's own bits there."""
+    after = F.lit(depth + bits)
+    most = max_bits if depth + bits > width else budget
+    limit = F.lit(most)
+    front = max(0, min(bits, width - depth))  # levels of this step inside the front block
+    masks = [m for m in _masks(bits, most) if (m >> bits - front).bit_count() <= budget]
     table = F.array(*[F.struct(F.lit(m).cast("long").alias("m"), F.lit(m.bit_count()).alias("c")) for m in masks])
     if len(masks) == 1:
         out = rows.withColumns({"_m": F.lit(0).cast("long"), "_c": F.lit(0)})
@@ -327,7 +328,11 @@ def near_links(nodes: DataFrame, words: int = 1, max_bits: int = 3, blocks: int
         bits = F.lit(0).cast("long")
         for turn in range(blocks):
             bits = F.when(F.col("turn") == turn, _rotated_bits(words, turn, width, depth, STEP_BITS)).otherwise(bits)
-        rows = materialize(_spread(heavy.withColumn("_p", bits), STEP_BITS, max_bits, width, budget), "trie-rows")
+        left = F.col("side") == 0
+        there = heavy.select("turn", (F.shiftleft(F.when(left, F.col("a")).otherwise(F.col("b")), STEP_BITS) + bits).alias("_other")).distinct()
+        rows = _spread(heavy.withColumn("_p", bits), depth, STEP_BITS, max_bits, width, budget)
+        rows = rows.withColumn("_other", F.when(left, F.col("b")).otherwise(F.col("a"))).join(there, ["turn", "_other"], "left_semi").drop("_other")
+        rows = materialize(rows, "trie-rows")
         depth += STEP_BITS
 
 
