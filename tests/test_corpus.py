@@ -1,4 +1,6 @@
+import hashlib
 import json
+import re
 
 import pandas as pd
 import pytest
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import text as tx
 from tidewatch.operators import audit, evalrun, generate, leak, records, split, stats
+from tidewatch.plans import catalog
 from tidewatch.sources import files, sinks
 
 
@@ -161,3 +164,13 @@ def test_generators(spark):
     assert "Full text" in by["mitigation_recommend"][0].messages[2].content
     event = json.loads(generate.rule_events(tables["rules"]).first().event)
     assert event["fields"] == {"Image": "nc", "CommandLine": "-l"} and event["event_id"] == 1
+
+
+def test_word_tokens_of_whole_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    want = {}
+    for r in docs:
+        w = [x.lower() for x in re.findall(r"[A-Za-z][A-Za-z0-9_'\-]*", r.text)]
+        want[r.doc_id] = (len(w), hashlib.sha256(" ".join(w).encode()).hexdigest())
+    got = catalog.QUERIES["word_tokens_whole"](spark, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id: (r.n_words, r.words_sha256) for r in got} == want

@@ -364,6 +364,12 @@ def word_tokens(spark, d):
     return w.select("doc_id", F.size("w").cast("long").alias("n_words"), F.array_join(F.slice("w", 1, 10), " ").alias("first_words"))
 
 
+@query(r"SELECT doc_id, len(w)::BIGINT AS n_words, sha256(array_to_string(list_transform(w, lambda x: lower(x)), ' ')) AS words_sha256 FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z][A-Za-z0-9_''\-]*') AS w FROM documents)")
+def word_tokens_whole(spark, d):
+    w = table(spark, d, "documents").select("doc_id", tx.word_tokens(F.col("text")).alias("w"))
+    return w.select("doc_id", F.size("w").cast("long").alias("n_words"), F.sha2(F.array_join("w", " "), 256).alias("words_sha256"))
+
+
 _GRAMS = r"""
     w AS (SELECT doc_id AS id, list_transform(regexp_extract_all(text, '[A-Za-z][A-Za-z0-9_''\-]*'), lambda x: lower(x)) AS w FROM documents),
     v AS (SELECT item_id AS id, list_transform(regexp_extract_all(text, '[A-Za-z][A-Za-z0-9_''\-]*'), lambda x: lower(x)) AS w FROM benchmark),
