@@ -174,3 +174,11 @@ def test_word_tokens_of_whole_texts(spark):
         want[r.doc_id] = (len(w), hashlib.sha256(" ".join(w).encode()).hexdigest())
     got = catalog.QUERIES["word_tokens_whole"](spark, "/root/testdata/sf0.001").collect()
     assert {r.doc_id: (r.n_words, r.words_sha256) for r in got} == want
+
+
+def test_every_case_for_over_a_thousand_models(spark):
+    models = spark.range(1500).selectExpr("concat('m', id) as label")
+    got = evalrun.model_cases(models, spark.range(2).selectExpr("id as item_id"))
+    assert got.columns == ["item_id", "label"]
+    assert got.distinct().count() == 3000
+    assert evalrun.model_cases(models.limit(0), spark.range(2)).count() == 0

@@ -17,9 +17,8 @@ def with_case_ids(cases: DataFrame) -> DataFrame:
 
 
 def model_cases(models: DataFrame, cases: DataFrame) -> DataFrame:
-    """Every case for every model: the models are a handful and are put to the cases as an array, so no join is needed."""
-    names = [r[0] for r in models.select("label").limit(1000).collect()]
-    return cases.withColumn("label", F.explode(F.array(*[F.lit(n) for n in sorted(names)]) if names else F.array().cast("array<string>")))
+    """Every case for every model, however many there are: the models are the small side and are broadcast."""
+    return cases.crossJoin(F.broadcast(models.select("label")))
 
 
 def score_content(df: DataFrame, content: str = "content") -> DataFrame:
