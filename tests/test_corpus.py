@@ -182,3 +182,29 @@ def test_every_case_for_over_a_thousand_models(spark):
     assert got.columns == ["item_id", "label"]
     assert got.distinct().count() == 3000
     assert evalrun.model_cases(models.limit(0), spark.range(2)).count() == 0
+
+
+def test_splits_by_keys_that_repeat(spark):
+    from hashlib import md5
+
+    df = spark.createDataFrame([(k % 100, k) for k in range(200)] + [(None, 1000)], "k long, n long")
+    order = sorted(range(100), key=lambda k: (md5(f"3:{k}".encode()).hexdigest(), k))
+    got = {r.n: r.split for r in split.ratio_split(df, "k", 3, 0.1).collect()}
+    assert got == {n: "train" if n % 100 in order[:90] else "eval" for n in range(200)} | {1000: "eval"}
+    got = {r.n: r.split for r in split.holdout(df, "k", 3, least=7, share=20).collect()}
+    assert got == {n: "eval" if n % 100 in order[:7] else "train" for n in range(200)} | {1000: "train"}
+    assert {r.split for r in split.holdout(df.where("k < 3"), "k", 3).collect()} == {"eval"}
+    assert split.ratio_split(df.limit(0), "k", 3, 0.1).count() == 0
+
+
+def test_templates_are_filled_in_one_pass(spark):
+    row = spark.range(1).select(
+        tx.filled(F.lit("a {x} b {y}{x} {z} }{"), x=F.lit("{y}"), y=F.lit("$1\\ {x}")).alias("a"),
+        tx.filled(F.lit(""), x=F.lit("v")).alias("b"), tx.filled(F.lit("{x}"), x=F.lit(None).cast("string")).alias("c"),
+    ).first()
+    assert (row.a, row.b, row.c) == ("a {y} b $1\\ {x}{y} {z} }{", "", "")
+
+
+def test_every_model_is_crossed(spark):
+    models = spark.range(1500).selectExpr("cast(id as string) as label")
+    assert evalrun.model_cases(models, spark.createDataFrame([(1,), (2,)], "c int")).distinct().count() == 3000

@@ -118,11 +118,15 @@ def picked(templates: list[str], key: Column) -> Column:
 
 
 def filled(template: Column, **values: Column) -> Column:
-    """A template with each ``{name}`` replaced; nulls count as empty."""
-    out = template
-    for name, value in values.items():
-        out = F.replace(out, F.lit("{" + name + "}"), F.coalesce(value.cast("string"), F.lit("")))
-    return out
+    """A template with each ``{name}`` replaced, in one pass: what a value says is not replaced again; nulls count as empty."""
+
+    def value(part: Column) -> Column:
+        out = part
+        for name, v in values.items():
+            out = F.when(part == F.lit("{" + name + "}"), F.coalesce(v.cast("string"), F.lit(""))).otherwise(out)
+        return out
+
+    return F.array_join(F.transform(F.split(template, r"(?=\{)|(?<=\})"), value), "")
 
 
 def is_json(text: Column) -> Column:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.text import seeded
@@ -19,24 +20,48 @@ def sample(df: DataFrame, key: str, n: int, seed: int, order: str) -> DataFrame:
     return df.orderBy(seeded(F.col(key), seed), key).limit(n).orderBy(order)
 
 
-def least_of(df: DataFrame, key: str, seed: int, n: int) -> DataFrame:
-    """The keys that come first in the seeded order: top n, so no global sort."""
-    return df.select(key).distinct().orderBy(seeded(F.col(key), seed), key).limit(n)
+#: Hex digits of the md5 by which keys are counted before any are ranked: 65,536 counts, however many keys there are.
+PREFIX = 4
+
+
+def _prefix(key: str, seed: int) -> Column:
+    return F.substring(seeded(F.col(key), seed), 1, PREFIX)
+
+
+def first_keys(df: DataFrame, key: str, seed: int, wanted: Callable[[int], int]) -> Column:
+    """Whether a row's key is one of the first ``wanted(distinct keys)`` in the seeded order; never for a null key.
+
+    Keys are counted by the prefix of their hash; only those that share the prefix of the last one chosen are ranked,
+    and what is left is a filter.
+    """
+    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
+    sizes = {r.p: r.n for r in keys.groupBy(_prefix(key, seed).alias("p")).agg(F.count("*").alias("n")).collect()}
+    n = wanted(sum(sizes.values()))
+    at = None
+    for at in sorted(sizes):
+        if n <= sizes[at]:
+            break
+        n -= sizes[at]
+    if at is None or n <= 0:
+        return F.lit(False)
+    order = F.struct(seeded(F.col(key), seed).alias("h"), F.col(key).alias("k"))
+    last = keys.where(_prefix(key, seed) == at).select(order.alias("o")).orderBy("o").limit(n).agg(F.max("o").alias("o")).first().o
+    return F.col(key).isNotNull() & (order <= F.struct(F.lit(last.h).alias("h"), F.lit(last.k).alias("k")))
 
 
 def holdout(df: DataFrame, key: str, seed: int, least: int = 50, share: int = 10) -> DataFrame:
     """``df`` with split: the first max(least, n // share) distinct keys of the seeded order are eval, all their rows with them."""
-    n = df.select(key).distinct().count()
-    chosen = least_of(df, key, seed, max(least, n // share)).withColumn("_eval", F.lit(True))
-    return df.join(chosen, key, "left").withColumn("split", F.when(F.col("_eval"), "eval").otherwise("train")).drop("_eval")
+    chosen = first_keys(df, key, seed, lambda n: max(least, n // share))
+    return df.withColumn("split", F.when(chosen, "eval").otherwise("train"))
 
 
 def ratio_split(df: DataFrame, key: str, seed: int, eval_ratio: float) -> DataFrame:
-    """``df`` with split: int(n * (1 - ratio)) rows of the seeded order are train."""
-    n = df.count()
-    train = int(n * (1 - eval_ratio))
-    chosen = least_of(df, key, seed, train).withColumn("_train", F.lit(True))
-    return df.join(chosen, key, "left").withColumn("split", F.when(F.col("_train"), "train").otherwise("eval")).drop("_train")
+    """``df`` with split: int(n * (1 - ratio)) of the n distinct keys, in the seeded order, are train, all their rows with them.
+
+    Rows without a key are eval.
+    """
+    chosen = first_keys(df, key, seed, lambda n: int(n * (1 - eval_ratio)))
+    return df.withColumn("split", F.when(chosen, "train").otherwise("eval"))
 
 
 def quotas(sizes: dict[str, int], wanted: int, least: int = 0) -> dict[str, int]:
@@ -69,15 +94,23 @@ def quotas(sizes: dict[str, int], wanted: int, least: int = 0) -> dict[str, int]
 def stratified_split(df: DataFrame, group: str, key: str, seed: int, eval_ratio: float = 0.05, eval_count: int | None = None, least: int = 1) -> DataFrame:
     """``df`` with split: of each group, as many keys as its quota, first in the seeded order.
 
-    Group sizes reach the driver: a row for each group.
+    Group sizes reach the driver: a row for each group.  As in ``first_keys``, a group's keys are counted by the prefix
+    of their hash and only those at its edge are ranked, so a group that holds most rows costs no task of its own.
     """
     sizes = {r[0]: r[1] for r in df.groupBy(group).count().orderBy(group).collect()}
     n = sum(sizes.values())
     wanted = max(0, min(round(n * eval_ratio) if eval_count is None else eval_count, n))
-    quota = quotas(sizes, wanted, least)
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(seeded(F.col(key), seed), key))
-    most = max(quota.values(), default=0)
-    firsts = df.select(group, key).withColumn("_r", rank).where(F.col("_r") <= max(1, most))
-    limits = df.sparkSession.createDataFrame(list(quota.items()) or [(None, 0)], f"{group} string, _q int")
-    chosen = firsts.join(F.broadcast(limits), group).where("_r <= _q").select(group, key, F.lit(True).alias("_eval"))
-    return df.join(chosen, [group, key], "left").withColumn("split", F.when(F.col("_eval"), "eval").otherwise("train")).drop("_eval")
+    quota = [(g, q) for g, q in quotas(sizes, wanted, least).items() if q]
+    limits = F.broadcast(df.sparkSession.createDataFrame(quota or [("", 0)], f"_g {df.schema[group].dataType.simpleString()}, _q long"))
+    rows = df.select(F.col(group).alias("_g"), F.col(key).alias("_k"), _prefix(key, seed).alias("_p"))
+    counts = rows.groupBy("_g", "_p").agg(F.count("*").alias("_n"))
+    counts = counts.withColumn("_upto", F.sum("_n").over(Window.partitionBy("_g").orderBy("_p")))
+    same = F.col("_g").eqNullSafe(F.col("_other"))
+    edge = counts.join(limits.withColumnRenamed("_g", "_other"), same).where("_upto >= _q and _upto - _n < _q")
+    edge = edge.select("_other", F.col("_p").alias("_edge"), (F.col("_q") - F.col("_upto") + F.col("_n")).alias("_left"))  # a row for each group
+    place = F.row_number().over(Window.partitionBy("_g").orderBy(seeded(F.col("_k"), seed), "_k"))
+    last = rows.join(F.broadcast(edge), same).where("_p = _edge").withColumn("_r", place).where("_r = _left")
+    last = last.select("_other", F.struct(seeded(F.col("_k"), seed).alias("h"), F.col("_k").alias("k")).alias("_last"))
+    own = F.struct(seeded(F.col(key), seed).alias("h"), F.col(key).alias("k"))
+    joined = df.join(F.broadcast(last), F.col(group).eqNullSafe(F.col("_other")), "left")
+    return joined.withColumn("split", F.when(own <= F.col("_last"), "eval").otherwise("train")).drop("_other", "_last")
