@@ -132,3 +132,28 @@ def test_upsert_keeps_first_writer_columns(spark):
     new = spark.createDataFrame([("a", "h2", "high", 3), ("c", "h3", "low", 4), ("c", "h4", "high", 5)], cols)
     got = {r.event_id: (r.host_id, r.severity) for r in store.upsert(old, new, "event_id", "pos", ["host_id"], ["severity"]).collect()}
     assert got == {"a": ("h1", "high"), "b": ("h1", "low"), "c": ("h3", "high")}
+
+
+def test_ttl_dedupe_by_brute_force(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(rng.choice("abc"), rng.randrange(3000), i) for i in range(600)] + [("hot", t // 3, 1000 + t) for t in range(3000)]
+    want, last = set(), {}
+    for k, t, i in sorted(rows):
+        if k not in last or t >= last[k] + 60:
+            want.add(i)
+            last[k] = t
+    df = spark.createDataFrame(rows, "k string, t long, i long").withColumn("ts", F.timestamp_seconds("t"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = [r.i for r in dedupe.ttl_dedupe(df, "k", "ts", 60).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == len(want) and set(got) == want  # of equal times the least row
+
+
+def test_ties_have_one_answer(spark):
+    beats = spark.createDataFrame([("a", "h1", "logs", 5), ("a", "h2", "logs", 5), ("a", "h3", "logs", 4)], "agent_id string, host_id string, source_type string, seen_at long")
+    for df in (beats, beats.orderBy(F.desc("host_id"))):
+        assert store.heartbeat_table(df.coalesce(1)).first().host_id == "h2"

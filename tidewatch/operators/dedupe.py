@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,19 +22,36 @@ def first_seen(df: DataFrame, key: Column, order: list[Column], place: Column) -
     return joined.withColumns({"is_duplicate": F.struct("_order", "_place") != F.col("_first"), "first_place": F.col("_first._place")}).drop("_key", "_order", "_place", "_first")
 
 
+def _kept_rows(ttl: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_key, last_at = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, at = batch.column("_key"), batch.column("_at").to_numpy()
+            runs = pc.run_end_encode(keys)
+            keep, low = [], 0
+            for key, high in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+                i = low if key != last_key else low + int(np.searchsorted(at[low:high], last_at + ttl))
+                while i < high:
+                    keep.append(i)
+                    last_at = int(at[i])
+                    i = low + int(np.searchsorted(at[low:high], last_at + ttl))
+                last_key, low = key, high
+            yield batch.select(["_row"]).take(pa.array(keep, pa.int64()))
+
+    return run
+
+
 def ttl_dedupe(events: DataFrame, key: str, ts: str, ttl_seconds: int) -> DataFrame:
     """Rows that are kept if a key is suppressed for ``ttl_seconds`` from its last kept row, which a repeat doesn't renew.
 
-    Whether a row is kept depends on which was kept before, so each key's times are folded in order; the fold is over
-    one key's times only, and equal times of a key are one row.  Null keys are never suppressed.
+    Whether a row is kept depends on which was kept before, so a key's rows pass one task in order; it remembers a
+    key and a time, nothing else, and skips from one kept row to the next.  Of equal times the least row counts, by its
+    columns in order.  Null keys and null times are never suppressed.
     """
     at = F.unix_micros(F.col(ts).cast("timestamp"))
-    times = events.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(F.array_sort(F.collect_set(at)).alias("_times"))
-    ttl = ttl_seconds * 1_000_000
-    none = F.array().cast("array<bigint>")
-    kept = F.aggregate("_times", none, lambda acc, t: F.when((F.size(acc) == 0) | (t >= F.element_at(acc, -1) + ttl), F.concat(acc, F.array(t))).otherwise(acc))
-    starts = times.select("_k", F.explode(kept).alias("_t"))
-    alone = events.where(F.col(key).isNull())
-    known = events.where(F.col(key).isNotNull()).withColumn("_at", at)
-    firsts = known.join(starts, (F.col(key) == F.col("_k")) & (F.col("_at") == F.col("_t")), "left_semi").drop("_at")
-    return firsts.dropDuplicates([key, ts]).unionByName(alone)
+    rows = events.select(F.col(key).cast("string").alias("_key"), at.alias("_at"), F.struct(*[F.col(f"`{c}`") for c in events.columns]).alias("_row"))
+    known = rows.where("_key is not null and _at is not null").repartition("_key").sortWithinPartitions("_key", "_at", "_row")
+    kept = known.mapInArrow(_kept_rows(max(ttl_seconds * 1_000_000, 1)), known.select("_row").schema)
+    return kept.select("_row.*").unionByName(rows.where("_key is null or _at is null").select("_row.*"))

@@ -43,9 +43,10 @@ def hosts(seen: DataFrame, host: str = "host_id", at: str = "ts") -> DataFrame:
 
 
 def latest(history: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Each key's last row; an aggregate, so rows combine before they are shuffled."""
+    """Each key's last row, ties broken by the other columns; an aggregate, so rows combine before they are shuffled."""
     rest = [c for c in history.columns if c != key]
-    return history.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r")).select(key, "_r.*")
+    ties = [c for c in rest if c not in order]
+    return history.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order, *ties)).alias("_r")).select(key, "_r.*")
 
 
 def heartbeat_table(history: DataFrame) -> DataFrame:

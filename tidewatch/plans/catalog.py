@@ -136,12 +136,12 @@ def event_search_upper_severity(spark, d):
     return api.event_search(security_events(spark, d), severity="HIGH")
 
 
-@query(ev("SELECT agent_id, host_id, source_type, ts AS seen_at, 'online' AS status FROM (SELECT *, row_number() OVER (PARTITION BY agent_id ORDER BY ts DESC) AS r FROM ev) WHERE r = 1"))
+@query(ev("SELECT agent_id, host_id, source_type, ts AS seen_at, 'online' AS status FROM (SELECT *, row_number() OVER (PARTITION BY agent_id ORDER BY ts DESC, host_id DESC, source_type DESC) AS r FROM ev) WHERE r = 1"))
 def agent_latest_status(spark, d):
     return store.heartbeat_table(security_events(spark, d).select("agent_id", "host_id", "source_type", F.col("ts").alias("seen_at")))
 
 
-@query(ev("SELECT agent_id, host_id, source_type, ts AS seen_at, 'online' AS status FROM ev WHERE agent_id = 'agent-7' ORDER BY ts DESC LIMIT 1"))
+@query(ev("SELECT agent_id, host_id, source_type, ts AS seen_at, 'online' AS status FROM ev WHERE agent_id = 'agent-7' ORDER BY ts DESC, host_id DESC, source_type DESC LIMIT 1"))
 def agent_status_lookup(spark, d):
     return api.agent_status(agent_latest_status(spark, d), "agent-7")
 
@@ -227,9 +227,9 @@ def worker_metrics(spark, d):
     return tel.metrics(o, F.col("s"))
 
 
-@query(ev("SELECT host_id, count(*) AS n, max(score) AS top_score, arg_max(event_id, score * 1e7 + event_id::DOUBLE) AS worst_event FROM fnd GROUP BY host_id"))
+@query(ev("SELECT host_id, count(*) AS n, max(score) AS top_score, first(event_id ORDER BY score DESC, event_id::BIGINT DESC) AS worst_event FROM fnd GROUP BY host_id"))
 def host_risk(spark, d):
-    order = F.col("score") * 1e7 + F.col("event_id").cast("double")
+    order = F.struct("score", F.col("event_id").cast("long"))
     return _findings(spark, d).groupBy("host_id").agg(F.count("*").alias("n"), F.max("score").alias("top_score"), F.max_by("event_id", order).alias("worst_event"))
 
 
@@ -240,7 +240,7 @@ _TTL = """
         UNION ALL
         SELECT k, ts FROM (SELECT e.k, e.ts, row_number() OVER (PARTITION BY e.k ORDER BY e.ts) AS r FROM e JOIN kept ON e.k = kept.k AND e.ts >= kept.ts + INTERVAL 7200 SECOND) WHERE r = 1
     )
-    SELECT e.k AS key, e.event_id FROM e JOIN kept ON e.k = kept.k AND e.ts = kept.ts
+    SELECT e.k AS key, min(e.event_id) AS event_id FROM e JOIN kept ON e.k = kept.k AND e.ts = kept.ts GROUP BY e.k, e.ts
 """
 
 
