@@ -59,3 +59,73 @@ def test_loading_rejects_orphans(spark):
     assert (out["events"].first().host_id, out["events"].first().severity) == ("h1", "high")
     assert [r.analysis_id for r in out["findings"].collect()] == ["a1"] and [r.analysis_id for r in out["rejected"].collect()] == ["a2"]
     assert {r.host_id: (r.first_seen_at, r.last_seen_at) for r in out["hosts"].collect()} == {"h1": (0, 1), "h2": (2, 2)}
+
+
+def analysed(spark, folder):
+    return sorted(r.event_id for r in spark.read.json(f"{folder}/analysis").collect())
+
+
+def test_a_repeat_in_the_next_batch_is_analysed_once(spark, tmp_path):
+    one = [json.dumps({"event_id": e, "event_type": "process_exec", "severity": "high"}) for e in "abc"]
+    write(tmp_path / "in", "a", list(enumerate(one)))
+    write(tmp_path / "in", "b", list(enumerate([one[0], one[2], one[0], json.dumps({"event_id": "d"}), "{bad"])))
+    entries = read_stream(spark, str(tmp_path / "in"), files_per_trigger=1)
+    out, log = str(tmp_path / "out"), pl.ProgressLog()
+    spark.streams.addListener(log)
+    assert pl.run_once(pl.start(entries, out, str(tmp_path / "ckpt"), now=lambda: F.lit(NOW), ttl_seconds=60))
+    spark.streams.removeListener(log)
+    assert analysed(spark, out) == ["a", "b", "c", "d"]
+    counts = spark.read.json(f"{out}/metrics").groupBy().sum().first().asDict()
+    assert (counts["sum(processed)"], counts["sum(deduped)"], counts["sum(dlq_published)"]) == (4, 3, 1)
+    assert sum(json.loads(x)["rows"] for x in log.lines) == 8
+    # later than the time to live it is an event of its own
+    batch = spark.createDataFrame([("9-0", one[0])], "stream_id string, payload string")
+    pl.publish_batch(out, now=lambda: F.lit("2026-01-01T00:02:00Z"), ttl_seconds=60)(batch, 7)
+    assert analysed(spark, out) == ["a", "a", "b", "c", "d"]
+    pl.publish_batch(out, now=lambda: F.lit("2026-01-01T00:02:01Z"), ttl_seconds=60)(batch, 8)
+    pl.publish_batch(out, now=lambda: F.lit("2026-01-01T00:02:00Z"), ttl_seconds=60)(batch, 7)
+    assert analysed(spark, out) == ["a", "a", "b", "c", "d"]
+
+
+def test_rows_that_keep_failing_end_as_dead_letters(spark, tmp_path):
+    tried = str(tmp_path / "tried")
+
+    def work(row):
+        with open(tried, "a") as f:
+            f.write(row["event_id"])
+        if row["event_id"] == "b" or (row["event_id"] == "c" and open(tried).read().count("c") < 2):
+            raise ValueError("no luck")
+
+    batch = spark.createDataFrame([(f"{i}-0", json.dumps({"event_id": e})) for i, e in enumerate("abc")], "stream_id string, payload string").coalesce(1)
+    out = str(tmp_path / "out")
+    pl.publish_batch(out, now=lambda: F.lit(NOW), work=work, tries=3, wait=lambda n: 0)(batch, 0)
+    assert analysed(spark, out) == ["a", "c"]
+    dead = [json.loads(r.dlq) for r in spark.read.json(f"{out}/dlq").collect()]
+    assert [(d["stream_id"], d["reason"]) for d in dead] == [("1-0", "failed after 3 attempts: ValueError: no luck")]
+    assert sorted(open(tried).read()) == sorted("abbbcc")
+    m = spark.read.json(f"{out}/metrics").first()
+    assert (m.processed, m.retried, m.dlq_published) == (2, 3, 1)
+
+
+def test_tables_change_as_one_version(spark, tmp_path):
+    empty = {
+        "hosts": spark.createDataFrame([], "host_id string, first_seen_at long, last_seen_at long"),
+        "events": spark.createDataFrame([], "event_id string, host_id string, ts long, severity string"),
+        "findings": spark.createDataFrame([], "analysis_id string, event_id string, host_id string, score double"),
+    }
+    shape = "kind string, id string, event_id string, host_id string, severity string, score double, pos long"
+    split = lambda b: (b.where("kind = 'e'").selectExpr("event_id", "host_id", "severity", "pos", "pos as ts"), b.where("kind = 'a'").selectExpr("id as analysis_id", "event_id", "host_id", "score", "pos"))
+    one = spark.createDataFrame([("e", None, "e1", "h", "low", None, 1), ("a", "a1", "e1", "h", None, 0.5, 1), ("a", "a2", "gone", "h", None, 0.5, 1)], shape)
+    two = spark.createDataFrame([("e", None, "e1", "other", "high", None, 2), ("a", "a3", "e1", "h", None, 0.7, 2)], shape)
+    folder = str(tmp_path / "tables")
+    load = pl.load_batch(folder, empty, split)
+    assert pl.committed(spark, folder) is None
+    load(one, 0)
+    load(two, 1)
+    load(two, 1)
+    assert pl.committed(spark, folder) == 1 and pl.committed(spark, folder, 1) == 0
+    table = lambda v, name: spark.read.parquet(f"{folder}/version={v}/{name}").collect()
+    assert sorted(r.analysis_id for r in table(1, "findings")) == ["a1", "a3"]
+    assert [(r.host_id, r.severity) for r in table(1, "events")] == [("h", "high")]
+    pl.commit_tables({"hosts": spark.range(1)}, str(tmp_path / "half"), 5)
+    assert pl.committed(spark, str(tmp_path / "half")) == 5

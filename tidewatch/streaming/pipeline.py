@@ -6,15 +6,22 @@ batch, overwritten when a batch runs again, and ids are digests, so a retried ba
 
 from __future__ import annotations
 
+import json
+import time
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tidewatch.functions.telemetry import alerts, findings, redact, with_defaults
+from tidewatch.config import backoff_seconds
+from tidewatch.functions.telemetry import alerts, findings, now_text, redact, with_defaults
 from tidewatch.operators.dlq import dead_letters
 from tidewatch.operators.store import EVENT_FIRST, EVENT_LAST, FINDING_FIRST, FINDING_LAST, first_last, hosts, split_by_key, upsert
 from tidewatch.schemas import EVENT
@@ -71,29 +78,152 @@ def findings_path(folder: str, kind: str, batch: int) -> str:
     return f"{folder}/{kind}/batch={batch}"
 
 
-def publish_batch(folder: str, host_id: str = "unknown-host", now: Callable[[], Column] | None = None) -> Callable[[DataFrame, int], None]:
-    """What is done with a micro-batch: analyses, alerts and dead letters are written, each in a folder of the batch."""
+def _earlier(spark: SparkSession, folder: str, number: int) -> DataFrame:
+    """event_id, at (seconds) of the events that batches before this one passed on."""
+    shape = "event_id string, at long, batch long"
+    try:
+        return spark.read.schema(shape).parquet(f"{folder}/seen").where(F.col("batch") < number)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], shape)
+
+
+def with_retries(rows: DataFrame, work: Callable[[dict], None], tries: int, wait: Callable[[int], float] = backoff_seconds) -> DataFrame:
+    """``rows`` with attempts and error: ``work`` is called on each row until it doesn't raise, at most ``tries`` times.
+
+    ``wait`` gives the seconds to wait after an attempt; error is null for rows that went well.
+    """
+    shape = T.StructType(list(rows.schema.fields)).add("attempts", "integer").add("error", "string")
+
+    def attempt(row: dict) -> tuple[int, str | None]:
+        for n in range(1, tries + 1):
+            try:
+                work(row)
+                return n, None
+            except Exception as e:  # noqa: BLE001  what fails is a row of the result
+                error = f"{type(e).__name__}: {e}"[:500]
+                if n < tries:
+                    time.sleep(wait(n))
+        return tries, error
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = [attempt(row) for row in batch.to_pylist()]
+            more = [pa.array([n for n, _ in done], pa.int32()), pa.array([e for _, e in done], pa.string())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "attempts", "error"])
+
+    return rows.mapInArrow(run, shape)
+
+
+def publish_batch(
+    folder: str, host_id: str = "unknown-host", now: Callable[[], Column] | None = None,
+    ttl_seconds: int | None = None, work: Callable[[dict], None] | None = None, tries: int = 3, wait: Callable[[int], float] = backoff_seconds,
+) -> Callable[[DataFrame, int], None]:
+    """What is done with a micro-batch: analyses, alerts, dead letters and counters are written, each in a folder of the batch.
+
+    An event that an earlier batch passed on less than ``ttl_seconds`` ago is dropped, and doesn't renew that time; what
+    passed is kept in ``seen``, by batch, so a batch that runs again sees what it saw before.  ``work`` is called on
+    each event that is left, again if it raises; after ``tries`` attempts the entry goes to the dead letters.
+    """
 
     def run(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
         batch = batch.persist()
         stamp = now() if now else None
         good, bad = parse_entries(batch)
         events = normalised(good, host_id, stamp).dropDuplicates(["event_id"])
+        if ttl_seconds is not None:
+            at = F.unix_timestamp((stamp if now else now_text()).cast("timestamp"))
+            live = _earlier(spark, folder, number).where(F.col("at") > at - ttl_seconds).select("event_id")
+            fresh = events.join(live, "event_id", "left_anti")
+            fresh.select("event_id", at.alias("at")).write.mode("overwrite").parquet(findings_path(folder, "seen", number))
+            events = events.join(spark.read.parquet(findings_path(folder, "seen", number)).select("event_id"), "event_id", "left_semi")
+        dead = dead_letters(bad, "security_events", F.col("reason"), stamp)
+        retried = F.lit(0)
+        if work is not None:
+            events = with_retries(events, work, tries, wait).persist()
+            failed = events.where("error is not null")
+            dead = dead.unionByName(dead_letters(failed, "security_events", F.concat(F.lit("failed after "), F.col("attempts").cast("string"), F.lit(" attempts: "), "error"), stamp))
+            retried = F.sum(F.col("attempts") - 1)
+        counts = events.agg(F.count("*").alias("n"), F.coalesce(retried, F.lit(0)).cast("long").alias("retried")).first()
+        if work is not None:
+            events = events.where("error is null").drop("attempts", "error")
         analyses = findings(events, stamp)
         analyses.write.mode("overwrite").json(findings_path(folder, "analysis", number))
         alerts(analyses, stamp).write.mode("overwrite").json(findings_path(folder, "alert", number))
-        dead_letters(bad, "security_events", F.col("reason"), stamp).write.mode("overwrite").json(findings_path(folder, "dlq", number))
+        dead.write.mode("overwrite").json(findings_path(folder, "dlq", number))
+        processed, dlq = events.count(), spark.read.schema("dlq string").json(findings_path(folder, "dlq", number)).count()
+        row = (processed, counts.retried, good.count() - counts.n, dlq, 0)
+        names = "processed long, retried long, deduped long, dlq_published long, pipeline_errors long"
+        spark.createDataFrame([row], names).write.mode("overwrite").json(findings_path(folder, "metrics", number))
         batch.unpersist()
+        events.unpersist()
 
     return run
 
 
-def start(entries: DataFrame, folder: str, checkpoint: str, host_id: str = "unknown-host", now: Callable[[], Column] | None = None, every: str | None = None) -> StreamingQuery:
-    """Runs once over what is there, or again and again if ``every`` names an interval."""
-    writer = entries.writeStream.option("checkpointLocation", checkpoint).foreachBatch(publish_batch(folder, host_id, now))
+def start(
+    entries: DataFrame, folder: str, checkpoint: str, host_id: str = "unknown-host", now: Callable[[], Column] | None = None, every: str | None = None, **more,
+) -> StreamingQuery:
+    """Runs once over what is there, or again and again if ``every`` names an interval; more: see ``publish_batch``."""
+    writer = entries.writeStream.option("checkpointLocation", checkpoint).foreachBatch(publish_batch(folder, host_id, now, **more))
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
+class ProgressLog(StreamingQueryListener):
+    """Keeps a line of counters for each micro-batch of every query of a session, the last ``most`` of them."""
+
+    def __init__(self, most: int = 1000):
+        self.lines: deque[str] = deque(maxlen=most)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.lines.append(json.dumps({"batch": p.batchId, "event": "stream_progress", "rows": p.numInputRows, "rows_per_second": round(p.processedRowsPerSecond, 3)}, sort_keys=True))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def commit_tables(tables: dict[str, DataFrame], folder: str, version: int) -> None:
+    """Writes all tables as one version; it counts from the moment its mark is there, so readers see all of it or none."""
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{folder}/version={version}/{name}")
+    df.sparkSession.createDataFrame([(version,)], "version long").coalesce(1).write.mode("overwrite").json(f"{folder}/commits/of={version}")
+
+
+def committed(spark: SparkSession, folder: str, before: int | None = None) -> int | None:
+    """The last version whose mark is there, of those before ``before``."""
+    try:
+        marks = spark.read.schema("version long").json(f"{folder}/commits")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return marks.where(F.lit(True) if before is None else F.col("version") < before).agg(F.max("version").alias("v")).first().v
+
+
+def load_batch(folder: str, empty: dict[str, DataFrame], split: Callable[[DataFrame], tuple[DataFrame, DataFrame]]) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: ``load_tables`` over the last version, committed as the batch's own; running it again changes nothing.
+
+    split: a batch -> its events and its analyses, each with ``pos``; empty: the tables before the first batch.
+    """
+
+    def run(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        last = committed(spark, folder, number)
+        old = empty if last is None else {name: spark.read.parquet(f"{folder}/version={last}/{name}") for name in empty}
+        commit_tables(load_tables(*split(batch), old), folder, number)
+
+    return run
+
+
 def load_tables(events: DataFrame, analyses: DataFrame, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Hosts, events and findings after a batch: events first, then findings whose event is there; others are rejected.
 
