@@ -42,12 +42,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of 2,000 rows unless the session says otherwise: texts are long, and a task holds several batches."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, "2000")
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, and a lost executor costs nothing.
 
     The folder's name is unique, so concurrent runs don't meet; whoever owns the shared folder clears it.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_dir(spark)}/tidewatch/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

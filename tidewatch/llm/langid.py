@@ -1,6 +1,6 @@
 """Language identification: averaged hashed subword embeddings, a linear softmax, and calibrated rejection.
 
-A text is the average of the embeddings of its 2-, 3- and 4-byte grams inside words; embeddings and softmax weights are
+A text is the average of the embeddings of its grams of 2, 3 and 4 characters inside words; embeddings and softmax weights are
 trained together by stochastic gradient descent in numpy.  A part of the sample that isn't trained on sets the
 softmax's temperature, and the score below which a prediction is marked as rejected.  Scoring multiplies embeddings and
 weights once, so that a gram costs one row of a table.
@@ -13,11 +13,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import materialize
 from tidewatch.llm.textkernel import chunks
-from tidewatch.llm.training import SAMPLE_CHARS, gram_keys, held_out, row_sums, scored
+from tidewatch.llm.training import SAMPLE_CHUNK, gram_keys, held_out, row_sums, scored
 
 SAMPLE_PER_LANG = 800
-MOST_LANGS = 400
+BROADCAST_LANGS = 100_000
 BITS = 16
 DIM = 16
 GRAMS = (2, 3, 4)
@@ -26,13 +27,12 @@ REJECTED_SHARE = 0.01
 
 
 def _grams(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    parts = [gram_keys(data, offs, n, BITS) for n in GRAMS]
-    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    return gram_keys(data, offs, GRAMS, BITS)
 
 
 def _feature_rows(batches):
     for batch in batches:
-        for a, b, data, offs in chunks(batch.column("text")):
+        for a, b, data, offs in chunks(batch.column("text"), SAMPLE_CHUNK):
             row, key = _grams(data, offs)
             key, count = np.unique((row << BITS) | key, return_counts=True)
             edges = np.searchsorted(key >> BITS, np.arange(b - a + 1))
@@ -41,13 +41,20 @@ def _feature_rows(batches):
 
 
 def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int) -> DataFrame:
-    """lang and text of at most ``per_lang`` rows of each of the ``MOST_LANGS`` commonest languages, chosen by hash."""
+    """lang and text of at most ``per_lang`` ids of each language, chosen by their hash, however many languages there are.
+
+    A language's ids are first thinned by a hash threshold to about twice what is asked for, so that ranking them costs
+    one task a bounded number of rows, and no more where a language holds most rows.
+    """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
-    langs = rows.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).select("lang")
-    ids = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).join(F.broadcast(langs), "lang")
-    ids = ids.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))).where(F.col("r") <= per_lang).select("id", "lang")
-    text = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.lower(F.col(text_col)).alias("text")).where(F.length("text") <= SAMPLE_CHARS)
-    return text.join(F.broadcast(ids), ["id", "lang"]).select("lang", "text")  # ids: at most per_lang * MOST_LANGS rows
+    ids = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
+    sizes = materialize(ids.groupBy("lang").agg(F.approx_count_distinct("id").alias("n")), "lang-sizes")
+    few = sizes.count() <= BROADCAST_LANGS
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / (1 << 30)
+    near = ids.join(F.broadcast(sizes) if few else sizes, "lang").where(place * F.col("n") <= 2 * per_lang + 100).select("id", "lang").distinct()
+    ids = near.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(place, "id"))).where(F.col("r") <= per_lang).select("id", "lang")
+    text = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.lower(F.col(text_col)).alias("text"))
+    return text.join(F.broadcast(ids) if few else ids, ["id", "lang"]).select("lang", "text")  # ids: at most per_lang a language
 
 
 def train(sample: DataFrame, epochs: int = 6, seed: int = 0) -> dict | None:
@@ -55,7 +62,7 @@ def train(sample: DataFrame, epochs: int = 6, seed: int = 0) -> dict | None:
     lang = rows["lang"].to_pylist()
     keys = [np.frombuffer(k, np.int32) for k in rows["keys"].to_pylist()]
     counts = [np.frombuffer(c, np.int32) for c in rows["counts"].to_pylist()]
-    order = sorted((i for i in range(len(lang)) if keys[i].size), key=lambda i: (lang[i], keys[i].size, int(counts[i].sum()), int(keys[i].sum())))
+    order = sorted((i for i in range(len(lang)) if keys[i].size), key=lambda i: (lang[i], keys[i].size, keys[i].tobytes(), counts[i].tobytes()))
     if not order:
         return None
     names = sorted({lang[i] for i in order})
@@ -115,7 +122,9 @@ def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Learns from text and non-null ``lang_col`` of rows that are not held out: crc32 of the id's text modulo 3 is not 1.
     A null text, or one without a letter, is ``und`` with score 0 and rejected; so is every text if nothing could be
-    learned.  Ties go to the language that comes first in order.  Rows that repeat an id are judged one by one.
+    learned.  Ties go to the language that comes first in order, as do texts that have letters but no gram.  Rows that
+    repeat an id are judged one by one, texts of any length whole; an empty table gives no rows; other columns are
+    ignored.
     """
     model = train(training_sample(docs, id_col, text_col, lang_col, per_lang))
     text = F.col(text_col)

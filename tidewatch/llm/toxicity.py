@@ -1,10 +1,11 @@
-"""Toxicity: a linear classifier of byte n-grams whose features are scaled by naive Bayes log-count ratios.
-
-A text's features are the hashed 4-, 6- and 8-byte grams of its words, lower-cased (A-Z), a word's first with
-the gap before it.  Each is scaled by the logarithm
-of the ratio of its smoothed frequencies among toxic and other training texts; grams that say little either way are
-left at zero, so that long texts don't gather noise.  A logistic regression on the scaled features is fitted by
-Adagrad on at most ``SAMPLE_PER_CLASS`` labelled texts of each class.
+"""Toxicity: a linear classifier of character n-grams whose features are scaled by naive Bayes log-count ratios.
+
+A text's features are the hashed grams of 4, 6 and 8 characters (code points) of its words, lower-cased (A-Z), a word's
+first with the gap before it.  Each is scaled by the logarithm of the ratio of its smoothed frequencies among toxic and
+other training texts; grams that say little either way are left at zero, so that long texts don't gather noise, and are
+looked up and left out before a text's grams are made distinct.  A logistic regression on the scaled features is fitted
+by Adagrad on at most ``SAMPLE_PER_CLASS`` labelled texts of each class, whole; their counts are added up by bucket
+on the executors, and only grams that say something reach the driver.
 """
 
 from __future__ import annotations
@@ -14,9 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import lower_ascii
-from tidewatch.llm.textkernel import chunks
-from tidewatch.llm.training import Adagrad, gram_keys, held_out, labelled_sample, lengths_to_offsets, row_sums, scored, sigmoid
+from tidewatch.llm.common import materialize
+from tidewatch.llm.textkernel import LOWER_BYTE, chunks, distinct
+from tidewatch.llm.training import SAMPLE_CHUNK, Adagrad, gram_keys, held_out, labelled_sample, row_sums, scored, sigmoid
 
 SAMPLE_PER_CLASS = 3_000
 BITS = 20
@@ -27,42 +28,62 @@ THRESHOLD = 0.7
 
 
 def _spaced(text):
-    return F.concat(F.lit(" "), lower_ascii(F.coalesce(text, F.lit(""))))
+    return F.concat(F.lit(" "), F.coalesce(text, F.lit("")))
 
 
-def _features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _features(data: np.ndarray, offs: np.ndarray, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Row and bucket of the grams that each row has, each once."""
-    keys = [np.unique((r << BITS) | k) for r, k in (gram_keys(data, offs, n, BITS, 1) for n in GRAMS)]
-    keys = np.unique(np.concatenate(keys))
+    row, key = gram_keys(LOWER_BYTE[data], offs, GRAMS, BITS, 1, wanted)
+    keys = distinct((row << BITS) | key)
     return keys >> BITS, keys & ((1 << BITS) - 1)
 
 
-def _feature_rows(batches):
+def _count_rows(batches):
     for batch in batches:
-        for a, b, data, offs in chunks(batch.column("text")):
+        for a, b, data, offs in chunks(batch.column("text"), SAMPLE_CHUNK):
             row, key = _features(data, offs)
-            edges = np.searchsorted(row, np.arange(b - a + 1))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("y").slice(a, b - a), pa.array([key[x:y].astype(np.int32).tobytes() for x, y in zip(edges[:-1], edges[1:])], pa.binary())], ["y", "keys"]
-            )
+            bad = batch.column("y").slice(a, b - a).to_numpy()[row] == 1
+            bucket, at = np.unique(key, return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(np.bincount(at[bad], minlength=bucket.size)), pa.array(np.bincount(at[~bad], minlength=bucket.size))], ["bucket", "bad", "good"])
+
+
+def _feature_rows(shared):
+    def run(batches):
+        for batch in batches:
+            for a, b, data, offs in chunks(batch.column("text"), SAMPLE_CHUNK):
+                row, key = _features(data, offs, shared.value)
+                edges = np.searchsorted(row, np.arange(b - a + 1))
+                keys = pa.array([key[x:y].astype(np.int32).tobytes() for x, y in zip(edges[:-1], edges[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("y").slice(a, b - a), keys], ["y", "keys"])
+
+    return run
+
+
+def log_ratios(bad: np.ndarray, good: np.ndarray, n_bad: int, n_good: int) -> np.ndarray:
+    """Log of the ratio of smoothed frequencies; zero where it is small or few texts have the gram."""
+    ratio = (np.log((bad + 1) / (n_bad + 2)) - np.log((good + 1) / (n_good + 2))).astype(np.float32)
+    ratio[(np.abs(ratio) < LEAST_RATIO) | (bad + good < LEAST_TEXTS)] = 0
+    return ratio
 
 
 def train(sample: DataFrame, epochs: int = 12, seed: int = 0) -> dict | None:
     """Weights by bucket and a bias, from rows (y, text); None without rows of both classes."""
-    rows = sample.select(F.col("y").cast("int").alias("y"), _spaced(F.col("text")).alias("text")).mapInArrow(_feature_rows, "y int, keys binary").toArrow()
-    y = rows["y"].to_numpy().astype(np.float32)
-    if not 0 < y.sum() < y.size:
+    sample = materialize(sample.select(F.col("y").cast("int").alias("y"), _spaced(F.col("text")).alias("text")), "toxicity-sample")
+    sizes = sample.agg(F.count("*").alias("n"), F.sum("y").alias("bad")).first()
+    if not 0 < (sizes.bad or 0) < sizes.n:
         return None
-    keys = [np.frombuffer(k, np.int32) for k in rows["keys"].to_pylist()]
-    order = np.lexsort(([k.size for k in keys], [int(k.sum()) for k in keys], y))  # the order rows arrived in doesn't matter
-    y, keys = y[order], [keys[i] for i in order]
-    ends, every = lengths_to_offsets(keys), np.concatenate(keys)
-    owner = np.repeat(y, np.diff(ends))
+    counts = sample.mapInArrow(_count_rows, "bucket long, bad long, good long").groupBy("bucket").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    counts = counts.where(F.col("bad") + F.col("good") >= LEAST_TEXTS).toArrow()  # a row for each bucket at most
     size = 1 << BITS
-    bad, good = np.bincount(every, weights=owner, minlength=size), np.bincount(every, weights=1 - owner, minlength=size)
-    ratio = (np.log((bad + 1) / (y.sum() + 2)) - np.log((good + 1) / (y.size - y.sum() + 2))).astype(np.float32)
-    ratio[(np.abs(ratio) < LEAST_RATIO) | (bad + good < LEAST_TEXTS)] = 0
-    used = [k[ratio[k] != 0] for k in keys]
+    bad, good = np.zeros(size), np.zeros(size)
+    bad[counts["bucket"].to_numpy()], good[counts["bucket"].to_numpy()] = counts["bad"].to_numpy(), counts["good"].to_numpy()
+    ratio = log_ratios(bad, good, sizes.bad, sizes.n - sizes.bad)
+    shared = sample.sparkSession.sparkContext.broadcast(ratio != 0)
+    rows = sample.mapInArrow(_feature_rows(shared), "y int, keys binary").toArrow()
+    y = rows["y"].to_numpy().astype(np.float32)
+    used = [np.frombuffer(k, np.int32) for k in rows["keys"].to_pylist()]
+    order = sorted(range(y.size), key=lambda i: (y[i], used[i].size, used[i].tobytes()))  # the order rows arrived in doesn't matter
+    y, used = y[order], [used[i] for i in order]
     weights, bias = np.full(size, 0.1, np.float32), np.zeros(1, np.float32)
     step, step_bias = Adagrad(size, 0.05), Adagrad(1, 0.1)
     rng = np.random.default_rng(seed)
@@ -76,11 +97,11 @@ def train(sample: DataFrame, epochs: int = 12, seed: int = 0) -> dict | None:
             at, where = np.unique(ids, return_inverse=True)
             step.step(weights, at, row_sums(where, g[row] * ratio[ids], at.size).astype(np.float32) + 1e-5 * weights[at])
             step_bias.step(bias, slice(0, 1), g.sum(keepdims=True))
-    return {"weights": (weights * ratio).astype(np.float32), "bias": float(bias[0])}
+    return {"weights": (weights * ratio).astype(np.float32), "wanted": ratio != 0, "bias": float(bias[0])}
 
 
 def _score(model, data, offs, batch):
-    row, key = _features(data, offs)
+    row, key = _features(data, offs, model["wanted"])
     return [sigmoid(row_sums(row, model["weights"][key], offs.size - 1) + model["bias"])]
 
 
@@ -89,7 +110,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     Learns from ``labels`` (doc_id, toxic) of rows that are not held out: crc32 of the id's text modulo 3 is not 1.
     Null texts score as empty ones: by the bias alone.  Without labels of both classes every score is 0.5.  Rows that
-    repeat an id are scored one by one; other columns, whatever their names, are ignored.
+    repeat an id are scored one by one, texts of any length whole; an empty table gives no rows; other columns,
+    whatever their names, are ignored.
     """
     model = train(labelled_sample(docs, labels, "toxic", per_class, id_col, text_col))
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), _spaced(F.col(text_col)).alias("text"))
