@@ -14,38 +14,52 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.textkernel import U64, chunks, split_words, word_hashes
-from tidewatch.llm.training import Adagrad, byte_classes, held_out, labelled_sample, lengths_to_offsets, row_sums, scored, sigmoid
+from tidewatch.llm.training import SAMPLE_CHUNK, Adagrad, byte_groups, held_out, labelled_sample, lengths_to_offsets, row_sums, scored, sigmoid
 
 SAMPLE_PER_CLASS = 3_000
 BITS = 16
 RANK = 8
 THRESHOLD = 0.5
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Groups of bytes whose share of a text is a statistic.
-_GROUPS = byte_classes(_UPPER, _UPPER.lower(), "0123456789", ".,;:", "!?", "#$%&*@^~_=+<>", "|", "\n", " \t", "\"'()[]{}", "-/\\", "".join(map(chr, range(128, 256))))
+#: Groups of bytes whose share of a text is a statistic; a byte is in one at most.
+_GROUPS = byte_groups(_UPPER, _UPPER.lower(), "0123456789", ".,;:", "!?", "#$%&*@^~_=+<>", "|", "\n", " \t", "\"'()[]{}", "-/\\", "".join(map(chr, range(128, 256))))
+_GROUP_OF = np.zeros(256, np.int32)
+for _k, _g in enumerate(_GROUPS):
+    _GROUP_OF[_g] = _k + 1
 
 
-def _statistics(data: np.ndarray, offs: np.ndarray, words, chars: np.ndarray) -> np.ndarray:
-    """One row of statistics for each text; ``chars``: the metadata column n_chars."""
+_HASH_BITS = 44
+
+
+def _per_row(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Sorted row << 44 | the upper bits of a hash; rows are fewer than 2**20."""
+    return np.sort(rows.astype(U64) << U64(_HASH_BITS) | hashes >> U64(64 - _HASH_BITS))
+
+
+def _runs(sorted_: np.ndarray) -> np.ndarray:
+    """Where a new value begins."""
+    new = np.ones(sorted_.size, bool)
+    new[1:] = sorted_[1:] != sorted_[:-1]
+    return np.flatnonzero(new)
+
+
+def _statistics(data: np.ndarray, offs: np.ndarray, per: np.ndarray, long: np.ndarray, distinct: np.ndarray, chars: np.ndarray) -> np.ndarray:
+    """One row of statistics for each text; per: words, long: lengths of all words, chars: the metadata column n_chars."""
     n = offs.size - 1
-    starts, ends, at, hashes = words
     sizes = np.maximum(np.diff(offs), 1)
-    row = np.repeat(np.arange(n), np.diff(offs))
-    out = [np.bincount(row, weights=g[data], minlength=n) / sizes for g in _GROUPS]
-    per = np.diff(at)
+    kinds = len(_GROUPS) + 1
+    group = np.repeat(np.arange(n, dtype=np.int32) * kinds, np.diff(offs))
+    group += _GROUP_OF[data]
+    shares = np.bincount(group, minlength=n * kinds).reshape(n, kinds)[:, 1:] / sizes[:, None]
     word_row = np.repeat(np.arange(n), per)
     many = np.maximum(per, 1)
-    long = ends - starts
-    distinct = np.unique(np.stack([word_row.astype(U64), hashes], 1), axis=0)[:, 0].astype(np.int64) if hashes.size else np.zeros(0, np.int64)
-    out.append(np.bincount(word_row, weights=long, minlength=n) / many)
-    out.append(np.bincount(word_row, weights=long > 15, minlength=n) / many)
-    out.append(np.bincount(distinct, minlength=n) / many)
+    out = [np.bincount(word_row, weights=long, minlength=n) / many, np.bincount(word_row, weights=long > 15, minlength=n) / many, distinct / many]
     line_row, line_hash = _lines(data, offs)
     lines = np.bincount(line_row, minlength=n)
-    seen = np.unique(np.stack([line_row.astype(U64), line_hash], 1), axis=0)[:, 0].astype(np.int64) if line_hash.size else np.zeros(0, np.int64)
-    out.append(np.bincount(seen, minlength=n) / np.maximum(lines, 1))
-    out += [np.log1p(lines), np.log1p(per), np.log1p(np.diff(offs)), np.log1p(np.maximum(chars, 0))]
-    return np.stack(out, 1).astype(np.float32)
+    seen = _per_row(line_row, line_hash)
+    seen = np.bincount((seen[_runs(seen)] >> U64(_HASH_BITS)).astype(np.int64), minlength=n)
+    out += [seen / np.maximum(lines, 1), np.log1p(lines), np.log1p(per), np.log1p(np.diff(offs)), np.log1p(np.clip(np.nan_to_num(chars), 0, 1e18))]
+    return np.concatenate([shares, np.stack(out, 1)], 1).astype(np.float32)
 
 
 def _lines(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -63,19 +77,22 @@ def _lines(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _features(data: np.ndarray, offs: np.ndarray, chars: np.ndarray):
-    """Row, bucket and value of word features, and the statistics."""
+    """Row, bucket and value of word features, in the order of rows, and the statistics."""
+    n = offs.size - 1
     starts, ends, at = split_words(data, offs)
-    hashes = word_hashes(data, starts, ends)
-    row = np.repeat(np.arange(offs.size - 1), np.diff(at))
-    key, count = np.unique((row << BITS) | (hashes >> U64(64 - BITS)).astype(np.int64), return_counts=True)
+    key = _per_row(np.repeat(np.arange(n), np.diff(at)), word_hashes(data, starts, ends))
+    distinct = np.bincount((key[_runs(key)] >> U64(_HASH_BITS)).astype(np.int64), minlength=n)
+    key >>= U64(_HASH_BITS - BITS)
+    lead = _runs(key)
+    count, key = np.diff(np.append(lead, key.size)), key[lead].astype(np.int64)
     row, bucket = key >> BITS, key & ((1 << BITS) - 1)
-    norm = np.sqrt(row_sums(row, count.astype(np.float64) ** 2, offs.size - 1))
-    return row, bucket, (count / np.maximum(norm[row], 1)).astype(np.float32), _statistics(data, offs, (starts, ends, at, hashes), chars)
+    norm = np.sqrt(row_sums(row, count.astype(np.float64) ** 2, n))
+    return row, bucket, (count / np.maximum(norm[row], 1)).astype(np.float32), _statistics(data, offs, np.diff(at), ends - starts, distinct, chars)
 
 
 def _feature_rows(batches):
     for batch in batches:
-        for a, b, data, offs in chunks(batch.column("text")):
+        for a, b, data, offs in chunks(batch.column("text"), SAMPLE_CHUNK):
             part = batch.slice(a, b - a)
             row, bucket, value, stats = _features(data, offs, part.column("n_chars").to_numpy())
             edges = np.searchsorted(row, np.arange(b - a + 1))
@@ -127,9 +144,9 @@ def train(sample: DataFrame, epochs: int = 15, seed: int = 0) -> dict | None:
     return {"w0": float(w0[0]), "w": w, "v": v, "mean": mean, "scale": scale}
 
 
-def _score(model, data, offs, batch):
-    n = offs.size - 1
-    row, bucket, x, stats = _features(data, offs, batch.column("n_chars").to_numpy())
+def machine(model: dict, row: np.ndarray, bucket: np.ndarray, x: np.ndarray, stats: np.ndarray) -> np.ndarray:
+    """The machine's value before the sigmoid, for each row of ``stats``: time linear in the features."""
+    n = stats.shape[0]
     stats = np.clip((stats - model["mean"]) / model["scale"], -6, 6)
     w, v = model["w"], model["v"]
     linear = row_sums(row, w[bucket] * x, n) + stats @ w[1 << BITS :]
@@ -138,14 +155,19 @@ def _score(model, data, offs, batch):
         word = v[bucket, f] * x
         part = stats * v[1 << BITS :, f]
         pairs += (row_sums(row, word, n) + part.sum(1)) ** 2 - row_sums(row, word**2, n) - (part**2).sum(1)
-    return [sigmoid(model["w0"] + linear + 0.5 * pairs)]
+    return model["w0"] + linear + 0.5 * pairs
+
+
+def _score(model, data, offs, batch):
+    return [sigmoid(machine(model, *_features(data, offs, batch.column("n_chars").to_numpy())))]
 
 
 def _with_chars(docs: DataFrame, text_col: str) -> DataFrame:
     """docs (.., text, n_chars): the metadata column where it is there and not null, else the text's length."""
     chars = F.length(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).cast("double")
     if "n_chars" in docs.columns:
-        chars = F.coalesce(F.col("n_chars").try_cast("double"), chars)
+        given = F.col("n_chars").try_cast("double")
+        chars = F.coalesce(F.when(~F.isnan(given), given), chars)
     return chars.alias("n_chars")
 
 
@@ -153,8 +175,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """doc_id, held_out, score, predicted for every row of ``docs``, and its columns are otherwise left out.
 
     Learns from ``labels`` (doc_id, quality) of rows that are not held out: crc32 of the id's text modulo 3 is not 1.
-    Null texts score as empty ones; a null or missing n_chars is the text's length.  Without labels of both classes
-    every score is 0.5.  Rows that repeat an id are scored one by one.
+    Null texts score as empty ones; a null, missing or NaN n_chars is the text's length.  Without labels of both classes
+    every score is 0.5.  Rows that repeat an id are scored one by one, texts of any length whole; an empty table gives
+    no rows.
     """
     model = fit(docs, labels, id_col, text_col, per_class)
     got = _apply(model, docs, id_col, text_col)
@@ -162,20 +185,26 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_class: int = SAMPLE_PER_CLASS) -> dict | None:
-    return train(labelled_sample(docs, labels, "quality", per_class, id_col, text_col).select("y", "text", F.length("text").cast("double").alias("n_chars")))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), _with_chars(docs, text_col))
+    return train(labelled_sample(rows, labels.select(F.col(id_col).alias("id"), "quality"), "quality", per_class, "id", "text", ("n_chars",)))
 
 
 def _apply(model: dict | None, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), held_out(F.col(f"`{id_col}`")).alias("held_out"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), _with_chars(docs, text_col))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), held_out(F.col(f"`{id_col}`")).alias("held_out"), F.col(f"`{text_col}`").alias("text"), _with_chars(docs, text_col))
     if model is None:
         return rows.select("doc_id", "held_out", F.lit(0.5).alias("score"))
     return scored(rows, model, _score, "score double")
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score ``threshold`` or more, with their columns as they are."""
+    """The rows of ``docs`` that score ``threshold`` or more, with their columns as they are; see ``score_quality``.
+
+    Without labels of both classes all rows stay.
+    """
     model = fit(docs, labels, id_col, text_col)
     if model is None:
         return docs
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc_id"), F.lit(False).alias("held_out"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), _with_chars(docs, text_col))
-    return scored(whole, model, _score, "score double").where(F.col("score") >= threshold).select("doc_id.*")
+    others = F.struct(F.lit(0).alias(""), *[F.col(f"`{c}`") for c in docs.columns if c != text_col])  # a struct needs a field
+    rows = docs.select(others.alias("row"), F.col(f"`{text_col}`").alias("text"), _with_chars(docs, text_col))
+    kept = scored(rows, model, _score, "score double", ("row", "text")).where(F.col("score") >= threshold)
+    return kept.select(*[F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
