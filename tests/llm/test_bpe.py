@@ -1,13 +1,16 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
 from tidewatch.llm import bpe
-from tidewatch.llm.bpe import Tokenizer, encode_digest, load_ranks, merge_long, merged
+from tidewatch.llm.bpe import Lexicon, Tokenizer, _starts, encode_digest, folded, load_ranks, merge_bytes
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
@@ -19,6 +22,7 @@ def library():
 
 CASES = [
     None, "", " ", "\n\n  x", "Hello world, it's we'll 123 456abc", "<|endoftext|> as text", "é😀 ñandú  été  x", "a" * 3000, "ab" * 400, " " * 700 + "z",
+    "''s 's'll'x 'sabc 'veto'd\n's  'm 're", "\x1c\x1d \x85\u180e\u200b\u2028 \u00a0\u3000x", "x'", "'", "'r", "x  \n", "  'tis  ''tis",
     "日本語のテキスト" * 20, "\x00\x01\x7f", "!?" * 900, "mixed\tTabs\r\nand\x0bmore", "ﬁ Ǆ İstanbul ß", "0" * 700,
 ]
 
@@ -40,19 +44,49 @@ def test_edges_match_the_library(spark, library):
 
 def test_table_matches_the_library(spark, library, monkeypatch):
     monkeypatch.setattr(bpe, "WORDS_AT_ONCE", 500)
-    monkeypatch.setattr(bpe, "_ROWS", 16)
+    monkeypatch.setattr(bpe, "HEAD_WORDS", 60)
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
     check(spark, library, texts)
 
 
-def test_fold_and_heap_agree(spark, library):
+def test_fold_by_the_definition(spark):
     rng = random.Random(2)
-    words = {"".join(rng.choices("abcdeiénst ", k=rng.randrange(1, 40))) for _ in range(300)}
-    ranks = load_ranks(PATH)
-    table = Tokenizer(spark, PATH, PATTERN).table
-    rows = spark.createDataFrame([(w, w.encode().decode("latin-1")) for w in words], "w string, x string").select("w", merged(F.col("x"), table).alias("p")).collect()
-    for r in rows:
-        assert [ranks[p.encode("latin-1")] for p in r.p.split("Ā")] == merge_long(r.w.encode(), ranks)
+    words = [w.encode() for w in sorted({"".join(rng.choices("abcdeiénst ", k=rng.randrange(1, 40))) for _ in range(300)} | {"=" * 1500, "ab" * 700})]
+    ranks, tok = load_ranks(PATH), Tokenizer(spark, PATH, PATTERN)
+    data, ends = np.frombuffer(b"".join(words), np.uint8), np.cumsum([len(w) for w in words])
+    opened = Lexicon(ranks, PATTERN).opened(data, np.append(0, ends[:-1]), ends)
+    rows = spark.createDataFrame(pa.table({"w": pa.array(words, pa.binary()), "x": opened}))
+    for r in rows.select("w", F.element_at(folded(F.array("x"), tok.slots, tok.shift), 1).alias("ids")).collect():
+        assert r.ids == merge_bytes(bytes(r.w), ranks)
+
+
+def test_splits_like_the_pattern():
+    rng = random.Random(3)
+    kinds, find = bpe.character_classes(), regex.compile(PATTERN).finditer
+    for _ in range(300):
+        rows = ["".join(rng.choices("'  \n\tstmdrevl Aé日1٣!?\u00a0\x1c😀", k=rng.randrange(0, 60))) for _ in range(5)]
+        raw = [t.encode() for t in rows]
+        offs = np.cumsum([0, *map(len, raw)])
+        want = [a + len(t[: m.start()].encode()) for a, t in zip(offs, rows) for m in find(t)]
+        assert _starts(np.frombuffer(b"".join(raw), np.uint8), offs, kinds).tolist() == want
+
+
+def test_words_without_hashes(library):
+    texts = ["alphabetagammadelta", "omegapsichiphi uvwxyzzz", "alphabetagammadelta omegapsichiphi"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offs = np.cumsum([0, *[len(t) for t in texts]])
+    lexicon = Lexicon(load_ranks(PATH), PATTERN).ready()
+    ids, per = bpe._by_bytes(lexicon, load_ranks(PATH), data, offs)
+    assert ids.tolist() == [i for t in texts for i in library.encode_ordinary(t)]
+    assert per.tolist() == [len(library.encode_ordinary(t)) for t in texts]
+
+
+def test_another_pattern(spark):
+    pattern = r"\w+"
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=load_ranks(PATH), special_tokens={})
+    docs = spark.createDataFrame([(1, "anöther pattern, with gaps"), (2, None)], "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in Tokenizer(spark, PATH, pattern).encode(docs).collect()}
+    assert got == {1: [i for w in ("anöther", "pattern", "with", "gaps") for i in library.encode_ordinary(w)], 2: []}
 
 
 def test_columns_and_empty_table(spark):

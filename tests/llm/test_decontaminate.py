@@ -2,7 +2,7 @@ import itertools
 import random
 import re
 
-from tidewatch.llm.decontaminate import MASKS, decontaminate, find_leaks
+from tidewatch.llm.decontaminate import MASKS, _masks, decontaminate, find_leaks
 
 
 def tokens(t):
@@ -16,7 +16,7 @@ def brute(docs, items):
         if len(b) < 4:
             continue
         w = min(13, len(b))
-        need = 11 if len(b) >= 13 else len(b)
+        need = w - 2 * w // 13  # 2 of 13, 1 of 7 to 12, none of fewer
         if any(sum(x == y for x, y in zip(a[i : i + w], b[j : j + w])) >= need for i in range(len(a) - w + 1) for j in range(len(b) - w + 1)):
             out.add((d, k))
     return out
@@ -33,6 +33,13 @@ def test_masks_meet_every_pair_of_errors():
         assert any(not {o + x for x in m} & set(bad) for m in MASKS for o in range(13 - m[-1]))
 
 
+def test_masks_of_short_items_meet_every_error():
+    for n in range(7, 13):
+        masks = [m for m in _masks([n]) if m.size == n]
+        assert all(any(bad not in m.offsets for m in masks) for bad in range(n))
+    assert [m.offsets for m in _masks([5]) if m.size] == [(0, 1, 2, 3, 4)]
+
+
 def test_substitutions_against_brute_force(spark):
     rng = random.Random(7)
     vocab = [f"w{i}" for i in range(60)]
@@ -69,3 +76,12 @@ def test_planted_items_on_table(spark):
     text = {k: " ".join(tokens(t)) for k, t in docs}
     exact = {(d, k) for d in text for k, u in items if f" {' '.join(tokens(u))} " in f" {text[d]} "}
     assert exact <= got
+
+
+def test_clashing_columns_and_long_texts(spark):
+    item = " ".join(f"t{i}" for i in range(20))
+    names = ["span", "mask", "seed", "at", "_leak_id", "digest", "doc", "item_key"]
+    docs = spark.createDataFrame([(1, "x y " * 60_000 + item, *names), (2, "x y " * 60_000, *names)], "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    left = decontaminate(docs, spark.createDataFrame([(5, item)], "item_id long, text string"))
+    assert left.columns == docs.columns and [r.doc_id for r in left.collect()] == [2]
+    assert decontaminate(docs.limit(0), spark.createDataFrame([(5, item)], "item_id long, text string")).count() == 0

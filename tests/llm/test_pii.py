@@ -79,3 +79,34 @@ def test_redaction_and_empty_table(spark):
 def test_luhn(spark, digits, ok):
     rows = spark.createDataFrame([(1, f"x {digits} y")], "doc_id long, text string")
     assert pii_digest(rows).first().n_card == ok
+
+
+def test_accounts_end_before_the_next_word(spark):
+    texts = ["DE89370400440532013000 BIC COBADEFF", "DE89 3704 0044 0532 0130 00 2024 EUR", "pay DE89370400440532013000", "DE89370400440532013001 BIC"]
+    got = find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    values = {r.doc_id: r.value for r in span_values(got).where("kind = 'iban'").collect()}
+    assert values == {0: "DE89370400440532013000", 1: "DE89 3704 0044 0532 0130 00", 2: "DE89370400440532013000"}
+
+
+def test_a_text_full_of_spans(spark):
+    import time
+
+    text = " ".join(f"u{i}@ex{i % 7}.org" for i in range(80_000)) + " ssn 078-05-1120"
+    docs = spark.createDataFrame([(1, text), (2, "x@y.z " * 700), (2, "x@y.z " * 700)], "doc_id long, text string")
+    began = time.time()
+    got = pii_digest(docs).collect()
+    assert time.time() - began < 60
+    want = brute(text)
+    for r in got:
+        if r.doc_id == 1:
+            assert r.n_email == len(want) == 80_000 and r.spans.endswith(f"ssn:{len(text) - 11}:{len(text)}")
+            assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, _, e, k in want).encode()).hexdigest()
+    assert [r.n_email for r in got if r.doc_id == 2] == [700, 700]
+
+
+def test_context_reaches_over_neighbours(spark):
+    """Forty characters, short numbers in between, and no further."""
+    near = "ssn" + " 11" * 12 + " "
+    texts = [f"{near}078-05-1120", f"ssn{' 11' * 14} 078-05-1120", f"078-05-1120 {'22 ' * 12}ssn", f"078-05-1120 {'22 ' * 14}ssn"]
+    got = pii_digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert ["ssn" in r.spans for r in sorted(got, key=lambda r: r.doc_id)] == [True, False, True, False]

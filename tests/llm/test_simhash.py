@@ -7,8 +7,8 @@ import xxhash
 
 from tidewatch.llm import simhash
 from tidewatch.llm.components import least_reachable
-from tidewatch.llm.jaccard import jaccard_groups
-from tidewatch.llm.simhash import bits_for_similarity, near_dedup, near_groups, near_links
+from tidewatch.llm.shingles import _sets, set_fingerprints
+from tidewatch.llm.simhash import NEAR, Scheme, bits_for_similarity, near_dedup, near_groups, near_links, similar_groups
 
 
 def mark(text, k=3):
@@ -68,7 +68,7 @@ def test_links_of_clusters_against_brute_force(spark, monkeypatch, small, words,
     marks = sorted(marks)
     split = lambda m: [int(np.uint64(m >> 64 * w & (1 << 64) - 1).astype(np.int64)) for w in range(words)]
     nodes = spark.createDataFrame([(i, *split(m)) for i, m in enumerate(marks)], "node long, " + ", ".join(f"f{w} long" for w in range(words)))
-    found = least_reachable(near_links(nodes, words, bits, blocks)).collect()
+    found = least_reachable(near_links(nodes, Scheme(words, size // blocks, ((size // blocks, bits // blocks), (size, bits))))).collect()
     root = {r.node: r.root for r in found}
     want = {}
     find = list(range(len(marks)))
@@ -150,7 +150,7 @@ def test_near_dedup_is_exact_jaccard(spark):
     rows = list(enumerate(rows))
     want = jaccard_closure(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r.id: r.component_id for r in jaccard_groups(docs).collect()} == want
+    assert {r.id: r.component_id for r in similar_groups(docs).collect()} == want
     assert sorted(r.doc_id for r in near_dedup(docs).collect()) == sorted(set(want.values()))
     assert 100 < len(set(want.values())) < 400
 
@@ -158,4 +158,4 @@ def test_near_dedup_is_exact_jaccard(spark):
 def test_near_dedup_of_documents_is_exact_jaccard(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r.id: r.component_id for r in jaccard_groups(docs).collect()} == jaccard_closure(rows)
+    assert {r.id: r.component_id for r in similar_groups(docs).collect()} == jaccard_closure(rows)

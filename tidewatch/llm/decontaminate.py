@@ -1,8 +1,10 @@
 """Benchmark decontamination by spaced seeds, in DataFrame functions only.
 
 A seed hashes six of eight neighbouring tokens; the two fixed masks below together hit every stretch of 13 aligned
-tokens of which at most two differ, wherever the two fall, so nothing that the check accepts is missed.  Seeds of all
-benchmark items are joined with the seeds of all documents; around each hit the aligned tokens are compared.
+tokens of which at most two differ, wherever the two fall, so nothing that the check accepts is missed.  Shorter items
+have masks of their own length, and errors in proportion: from 7 tokens on one may differ, and of the two masks that
+take every other token it spares one.  Seeds of all benchmark items are joined with the seeds of all documents; around
+each hit the aligned tokens are compared.
 
 Benchmark seeds are broadcast in blocks of a checked size; a larger benchmark costs more passes, never memory.
 """
@@ -10,6 +12,7 @@ Benchmark seeds are broadcast in blocks of a checked size; a larger benchmark co
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,26 +34,43 @@ def token_hashes(text: Column) -> Column:
     return F.transform(tokens, lambda t: F.xxhash64(t))
 
 
-def _masks(short: list[int]) -> list[tuple[int, ...]]:
-    return [*MASKS, *[tuple(range(n)) for n in short]]
+def _errors(width):
+    """Tokens that may differ in a stretch: 2 of 13, 1 of 7 to 12, none of fewer; a number or a column."""
+    return width * ERRORS / WINDOW
 
 
-def _seed_hash(tokens: Column, at: Column, mask: Column, masks: list[tuple[int, ...]]) -> Column:
+@dataclass(frozen=True)
+class Mask:
+    """Token offsets of a seed inside ``span`` tokens; ``size``: the only item size it is for."""
+
+    offsets: tuple[int, ...]
+    span: int
+    size: int | None = None
+
+
+def _masks(short: list[int]) -> list[Mask]:
+    out = [Mask(m, m[-1] + 1) for m in MASKS]
+    for n in short:
+        out += [Mask(tuple(range(k, n, 2)), n, n) for k in (0, 1)] if int(_errors(n)) else [Mask(tuple(range(n)), n, n)]
+    return out
+
+
+def _seed_hash(tokens: Column, at: Column, mask: Column, masks: list[Mask]) -> Column:
     out = F.when(F.lit(False), F.lit(None).cast("long"))
-    for k, offsets in enumerate(masks):
-        out = out.when(mask == k, F.xxhash64(F.lit(k), *[F.get(tokens, at + o) for o in offsets]))
+    for k, m in enumerate(masks):
+        out = out.when(mask == k, F.xxhash64(F.lit(k), *[F.get(tokens, at + o) for o in m.offsets]))
     return out
 
 
-def _seeds(rows: DataFrame, tokens: str, masks: list[tuple[int, ...]]) -> DataFrame:
-    """A row for each position and mask that fits: at, mask, seed, beside the columns of ``rows``."""
-    least = min(m[-1] + 1 for m in masks)
+def _seeds(rows: DataFrame, tokens: str, masks: list[Mask]) -> DataFrame:
+    """A row for each position and mask that fits: at, mask, span, seed, beside the columns of ``rows``."""
+    least = min(m.span for m in masks)
     n = len(masks)
     fits = rows.where(F.size(tokens) >= least)
     every = fits.select("*", F.explode(F.sequence(F.lit(0), (F.size(tokens) - least + 1) * n - 1)).alias("_k"))
     every = every.withColumn("at", (F.col("_k") / n).cast("int")).withColumn("mask", F.col("_k") % n).drop("_k")
-    span = F.element_at(F.array(*[F.lit(m[-1] + 1) for m in masks]), F.col("mask") + 1)
-    if len({m[-1] for m in masks}) > 1:
+    span = F.element_at(F.array(*[F.lit(m.span) for m in masks]), F.col("mask") + 1)
+    if len({m.span for m in masks}) > 1:
         every = every.where(F.col("at") + span <= F.size(tokens))
     return every.withColumn("seed", _seed_hash(F.col(tokens), F.col("at"), F.col("mask"), masks)).withColumn("span", span)
 
@@ -59,7 +79,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """Pairs of a document and a benchmark item that it repeats: doc_id, digest, item_id, matched, n_seeds, first_token, end_token.
 
     A pair is reported if somewhere 13 neighbouring tokens of the item stand in the document with at most two of them
-    substituted (an item of 4 to 12 tokens: all of them, unchanged; shorter items are never reported).  ``matched`` is
+    substituted (an item of 7 to 12 tokens: all of them, at most one substituted; of 4 to 6: all of them, unchanged;
+    shorter items are never reported).  ``matched`` is
     the most equal tokens of such a stretch, ``digest`` the document text's 64-bit hash, which with doc_id tells rows
     apart that repeat an id.  Null and empty texts on either side match nothing; an empty table on either side gives no
     rows; item ids may be null or repeat.
@@ -67,10 +88,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     items = benchmark.select(F.col(item_col).alias("item_id"), token_hashes(F.col(item_text)).alias("item")).where(F.size("item") >= LEAST_TOKENS)
     items = materialize(items.withColumn("item_key", F.monotonically_increasing_id()), "leak-items")
     sizes = items.select(F.size("item").alias("n"))
-    short = sorted(r.n for r in sizes.where(F.col("n") < 1 + MASKS[0][-1]).distinct().collect())  # at most a handful of lengths below 8
+    short = sorted(r.n for r in sizes.where(F.col("n") < WINDOW).distinct().collect())  # at most nine lengths
     masks = _masks(short)
     seeds = _seeds(items, "item", masks)
-    seeds = seeds.where((F.col("mask") < len(MASKS)) | (F.col("span") == F.size("item"))).select("seed", "item_key", F.col("at").alias("item_at"), "mask", "span")
+    seeds = seeds.where((F.col("mask") < len(MASKS)) | (F.col("span") == F.size("item")) & (F.col("at") == 0)).select("seed", "item_key", F.col("at").alias("item_at"), "mask", "span")
     blocks = max(1, math.ceil(seeds.count() / BROADCAST_SEEDS))
 
     text = F.col(text_col)
@@ -90,7 +111,7 @@ def _verified(placed: DataFrame, seeds: DataFrame, items: DataFrame) -> DataFram
     hits = placed.join(F.broadcast(seeds), "seed").join(F.broadcast(items), "item_key")
     m, n, shift = F.size("item"), F.size("doc"), F.col("doc_at") - F.col("item_at")
     width = F.least(F.lit(WINDOW), m)
-    need = F.when(m >= WINDOW, WINDOW - ERRORS).otherwise(m)
+    need = width - F.floor(_errors(width)).cast("int")
     low = F.greatest(F.lit(0), F.col("item_at") + F.col("span") - width, -shift)
     high = F.least(F.col("item_at"), m - width, n - width - shift)
 
@@ -108,5 +129,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     leaks = find_leaks(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("_leak_id"), F.col("digest").alias("_leak_digest")).distinct()
     leaks = materialize(leaks, "leaks")
     small = leaks.count() <= BROADCAST_SEEDS
-    same = F.col(id_col).eqNullSafe(F.col("_leak_id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_leak_digest"))
+    same = docs[f"`{id_col}`"].eqNullSafe(leaks["_leak_id"]) & (F.xxhash64(F.coalesce(docs[f"`{text_col}`"], F.lit(""))) == leaks["_leak_digest"])
     return docs.join(F.broadcast(leaks) if small else leaks, same, "left_anti")

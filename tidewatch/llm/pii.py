@@ -40,6 +40,8 @@ _CONTEXT = {
 }
 CONTEXT_CHARS = 40
 CONTEXT_GAIN = 0.3
+#: Matches folded one after another.
+BLOCK = 256
 ACCEPT = 0.5
 
 
@@ -72,32 +74,77 @@ def _valid(kind: str, m: Column) -> Column:
     if kind == "phone":
         return F.length(_digits(m)).between(9, 15)
     if kind == "iban":
-        return mod97(F.replace(m, F.lit(" "), F.lit("")))
+        return F.size(_accounts(m)) > 0
     return F.lit(True)
 
 
-def _score(kind: str, text: Column, start: Column, end: Column) -> Column:
-    before = F.substring(text, F.greatest(start - CONTEXT_CHARS, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT_CHARS)))
-    after = F.substring(text, end + 1, F.lit(CONTEXT_CHARS))
+def _accounts(m: Column) -> Column:
+    """Of the heads of a match that end before a blank or with it, those of 15 characters or more that pass mod-97.
+
+    A match may run on into the words behind an account number.
+    """
+    words = F.split(m, " ")
+    heads = F.transform(F.sequence(F.lit(1), F.size(words)), lambda k: F.array_join(F.slice(words, F.lit(1), k), " "))
+    return F.filter(heads, lambda h: (F.length(F.replace(h, F.lit(" "), F.lit(""))) >= 15) & mod97(F.replace(h, F.lit(" "), F.lit(""))))
+
+
+def _length(kind: str, m: Column) -> Column:
+    """How much of a match is its span."""
+    return F.length(F.element_at(_accounts(m), -1)) if kind == "iban" else F.length(m)
+
+
+def _score(kind: str, before: Column, after: Column) -> Column:
     near = F.lower(F.concat_ws(" ", before, after)).rlike(rf"\b(?:{_CONTEXT[kind]})\b")
     return F.least(F.lit(1.0), F.lit(_SCORE[kind]) + F.when(near, CONTEXT_GAIN).otherwise(0.0))
 
 
+def _let(value: Column, body) -> Column:
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _spans(kind: str, text: Column, found: Column) -> Column:
-    """array<struct<start, ord, end, kind, score>> of the matches that pass; ``found``: all matches in order."""
+    """array<struct<start, ord, end, kind, score>> of the matches that pass; ``found``: all matches in order.
+
+    Matches go in blocks of ``BLOCK``, whose starts are sums over blocks, so that a text full of matches costs little
+    more than in proportion to them; a match's context is cut from the pieces and matches next to it.
+    """
     shape = "array<struct<start:int,ord:int,end:int,kind:string,score:double>>"
     nothing = F.array().cast(shape)
+    # no match is shorter than 2 characters, so this many beside one hold its whole context
+    beside = CONTEXT_CHARS // 2 + 1
+
+    def with_parts(parts: Column) -> Column:
+        pieces, matches = parts["pieces"], parts["matches"]
+        many = F.size(matches)
+        size = lambda i: F.length(F.get(pieces, i)) + F.length(F.get(matches, i))
+        ids = lambda low, high: F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+        def context(i: Column) -> tuple[Column, Column]:
+            joined = lambda low, high: F.array_join(F.transform(ids(low, high), lambda k: F.concat(F.get(matches, k), F.get(pieces, k + 1))), "")
+            first = F.greatest(i - beside, F.lit(0))
+            before = F.concat(F.get(pieces, first), joined(first, i - 1))
+            after = F.concat(F.get(pieces, i + 1), F.array_join(F.transform(ids(i + 1, F.least(i + beside, many - 1)), lambda k: F.concat(F.get(matches, k), F.get(pieces, k + 1))), ""))
+            return F.right(before, F.lit(CONTEXT_CHARS)), F.left(after, F.lit(CONTEXT_CHARS))
+
+        def block(lengths: Column, b: Column) -> Column:
+            begin = F.aggregate(F.slice(lengths, F.lit(1), b), F.lit(0), lambda a, n: a + n)
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["piece"])
-        end = start + F.length(x["found"])
-        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("ord"), end.alias("end"), F.lit(kind).alias("kind"), _score(kind, text, start, end).alias("score"))
-        return F.struct(end.alias("at"), F.when(_valid(kind, x["found"]), F.concat(acc["spans"], F.array(span).cast(shape))).otherwise(acc["spans"]).alias("spans"))
+            def step(acc: Column, i: Column) -> Column:
+                match = F.get(matches, i)
+                start = acc["at"] + F.length(F.get(pieces, i))
+                end = start + F.length(match)
+                span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("ord"), (start + _length(kind, match)).alias("end"), F.lit(kind).alias("kind"), _score(kind, *context(i)).alias("score"))
+                return F.struct(end.alias("at"), F.when(_valid(kind, match), F.concat(acc["spans"], F.array(span).cast(shape))).otherwise(acc["spans"]).alias("spans"))
 
-    pieces = F.slice(F.split(text, _PATTERNS[kind], -1), F.lit(1), F.size(found))
-    pairs = F.arrays_zip(pieces.alias("piece"), found.alias("found"))
-    folded = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), nothing.alias("spans")), step, lambda acc: acc["spans"])
-    return F.when(F.size(found) > 0, folded).otherwise(nothing)
+            mine = ids(b * BLOCK, F.least((b + 1) * BLOCK, many) - 1)
+            return F.aggregate(mine, F.struct(begin.alias("at"), nothing.alias("spans")), step, lambda acc: acc["spans"])
+
+        blocks = F.sequence(F.lit(0), ((many - 1) / BLOCK).cast("int"))
+        lengths = F.transform(blocks, lambda b: F.aggregate(ids(b * BLOCK, F.least((b + 1) * BLOCK, many) - 1), F.lit(0), lambda a, i: a + size(i)))
+        return F.flatten(_let(lengths, lambda n: F.transform(blocks, lambda b: block(n, b))))
+
+    parts = F.struct(F.split(text, _PATTERNS[kind], -1).alias("pieces"), found.alias("matches"))
+    return F.when(F.size(found) > 0, _let(parts, with_parts)).otherwise(nothing)
 
 
 def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -105,8 +152,9 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     Starts and ends count code points, ends exclusive.  Base kinds (email, ip, card, phone) are reported whenever they
     pass their check; iban needs mod-97, and ssn needs a context word within 40 characters to reach the accepted score.
-    A null text counts as empty and has no spans; texts of any length are read whole; other columns pass through, and a
-    column named ``pii`` is replaced.
+    A null text counts as empty and has no spans; texts of any length are read whole, in time about in proportion to
+    their length and matches; rows that repeat are read one by one; an empty table gives no rows; other columns pass
+    through, and a column named ``pii`` is replaced.
     """
     keep = [c for c in docs.columns if c != "pii"]
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
@@ -127,7 +175,10 @@ def _joined(spans: Column) -> Column:
 
 
 def pii_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Counts of each base kind, the digest of the base spans, and all spans as text, for every row of ``docs``."""
+    """Counts of each base kind, the digest of the base spans, and all spans as text, for every row of ``docs``.
+
+    A null or empty text has counts of zero and the digest of the empty text; an empty table gives no rows.
+    """
     found = find_pii(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).select("doc_id", "pii")
     base = F.filter("pii", lambda s: s["kind"].isin(*BASE_KINDS))
     count = lambda kind: F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")

@@ -2,9 +2,10 @@
 
 A fingerprint has one or more 64-bit words.  The trie over all fingerprints is traversed in pairs of nodes: a pair adds
 up the bits in which its prefixes differ and is dropped as soon as an error budget is exceeded.  The bits are read from
-each of several rotations in turn: two fingerprints that differ in at most k of b blocks of bits differ in at most
-k // b bits of some block, so with that block in front the top of the trie has the budget k // b, and only below it k.
-That is exact, and it prunes where a trie is widest.
+each of several rotations in turn, and a ``Scheme`` says how many errors a prefix may have: with a small budget for the
+first bits, the trie is pruned where it is widest.  Two fingerprints that differ in at most 3 of 64 bits agree on one of
+four blocks, so with four rotations a budget of 0 in front is exact; ``NEAR`` is for larger distances, and what it may
+miss is said there.
 
 The top levels are dealt out: a task is a pair of nodes at a depth where a node has about ``NODE_ROWS`` fingerprints,
 and pairs that hold more go on splitting by eight more bits, so no task holds an unbounded group.  Inside a task the
@@ -15,6 +16,7 @@ task, so a group of n near copies gives at most n rows a task and not n squared.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.common import materialize
 from tidewatch.llm.components import least_reachable
-from tidewatch.llm.jaccard import jaccard_groups
+from tidewatch.llm.shingles import alike, fingerprint_rows, set_rows
 from tidewatch.llm.textkernel import U64, mix
 
 SEED = 42
@@ -35,6 +37,33 @@ _FRONTIER = 1 << 20
 _SMALL = 64
 
 
+@dataclass(frozen=True)
+class Scheme:
+    """Rotations by ``step`` bits, and the most errors of a prefix: (depth, errors), deeper entries later."""
+
+    words: int
+    step: int
+    budgets: tuple[tuple[int, int], ...]
+
+    @property
+    def turns(self) -> int:
+        return 64 * self.words // self.step
+
+    @property
+    def max_bits(self) -> int:
+        return self.budgets[-1][1]
+
+    def most(self, depth: int) -> int:
+        return next((errors for d, errors in self.budgets if d >= depth), self.max_bits)
+
+
+#: At most 3 of 64 bits: exact.
+EXACT = Scheme(1, 16, ((16, 0), (64, 3)))
+#: 256 bits of which 15 of 100 differ at a Jaccard similarity of 0.8: 99.8 of 100 such pairs have one of 32 rotations that
+#: keeps to the budgets, nearly all above it; of random pairs 1 in 2,000 does for 32 bits, none for all.
+NEAR = Scheme(4, 8, ((8, 0), (16, 2), (24, 4), (32, 5), (256, 64)))
+
+
 def _fingerprint(text: bytes, shingle_words: int, words: int) -> np.ndarray:
     parts = text.lower().split()
     if not parts:
@@ -93,11 +122,12 @@ def rotate(values: np.ndarray, by: int) -> np.ndarray:
     return (v << U64(bits)) | (after >> U64(64 - bits))
 
 
-def _pairs_within(link, left, right, errs, values, max_bits, front_bits, front_budget, depth, same):
-    """Links index pairs of ``values`` (rotated, sorted by the first word in each node) that differ in at most ``max_bits``.
+def _pairs_within(link, left, right, errs, values, scheme, depth, same):
+    """Links index pairs of ``values`` (rotated, sorted by the first word in each node) within the scheme's budgets.
 
     left, right: node intervals (low, high), pairwise; errs: bits in which they differ so far; same: left is right.
     """
+    max_bits, most = scheme.max_bits, np.array([scheme.most(d) for d in range(66)])
     stack = [(left[0], left[1], right[0], right[1], errs, same, np.full(errs.size, depth))]
     head = values[:, 0]
     while stack:
@@ -139,7 +169,7 @@ def _pairs_within(link, left, right, errs, values, max_bits, front_bits, front_b
         parts = []
         for x0, x1, y0, y1, more in ((a0, am, b0, bm, 0), (am, a1, bm, b1, 0), (a0, am, bm, b1, 1), (am, a1, b0, bm, 1)):
             ee = e + more
-            ok = (x0 < x1) & (y0 < y1) & (ee <= np.where(d <= front_bits, front_budget, max_bits))
+            ok = (x0 < x1) & (y0 < y1) & (ee <= most[d])
             if more and x0 is am:
                 ok &= ~s
             parts.append((x0[ok], x1[ok], y0[ok], y1[ok], ee[ok], s[ok] & (more == 0), d[ok]))
@@ -158,10 +188,10 @@ def _split(head: np.ndarray, low: np.ndarray, high: np.ndarray, bit: np.ndarray)
 
 
 class Forest:
-    """Smallest index that each of n nodes reaches over the links so far; holds no more links than ``_FRONTIER``."""
+    """Smallest index that each of n nodes reaches over the links so far, and links that suffice for that."""
 
     def __init__(self, n: int):
-        self.root, self.kept, self.size = np.arange(n), [], 0
+        self.root, self.kept, self.size, self.links = np.arange(n), [], 0, []
 
     def link(self, u: np.ndarray, v: np.ndarray) -> None:
         if u.size:
@@ -179,15 +209,37 @@ class Forest:
                 a, b = root[u], root[v]
                 open_ = a != b
                 u, v, a, b = u[open_], v[open_], a[open_], b[open_]
-                np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+                high, first = np.unique(np.maximum(a, b), return_index=True)  # each root hooks to one smaller root
+                self.links.append((u[first], v[first]))
+                root[high] = np.minimum(a, b)[first]
                 while ((up := root[root]) != root).any():
                     root[:] = up
         return self.root
 
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        self.settle()
+        none = np.zeros(0, np.int64)
+        return tuple(np.concatenate([none, *x]) for x in (zip(*self.links) if self.links else ((), ())))
 
-def _task_rows(words: int, max_bits: int, blocks: int) -> Callable:
-    names = [f"f{w}" for w in range(words)]
-    width = 64 * words // blocks
+
+class Across:
+    """All distinct links between nodes of different groups."""
+
+    def __init__(self, group: np.ndarray):
+        self.group, self.kept = group, []
+
+    def link(self, u: np.ndarray, v: np.ndarray) -> None:
+        open_ = self.group[u] != self.group[v]
+        if open_.any():
+            self.kept.append(np.stack([u[open_], v[open_]], 1))
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        both = np.concatenate([np.zeros((0, 2), np.int64), *self.kept])
+        return both[:, 0], both[:, 1]
+
+
+def _task_rows(scheme: Scheme, across: bool) -> Callable:
+    names = [f"f{w}" for w in range(scheme.words)]
 
     def solve(t: dict):
         n = t["side"].size
@@ -196,11 +248,11 @@ def _task_rows(words: int, max_bits: int, blocks: int) -> Callable:
         rotated = np.empty_like(values)
         for r in np.unique(turn):
             k = turn == r
-            rotated[k] = rotate(values[k], int(r) * width)
+            rotated[k] = rotate(values[k], int(r) * scheme.step)
         # rows are grouped by task, side after side; each side sorted by its rotated first word
         keys = np.stack([turn, t["depth"], t["a"], t["b"], t["side"]], 1)
         order = np.lexsort((rotated[:, 0], keys[:, 4], keys[:, 3], keys[:, 2], keys[:, 1], keys[:, 0]))
-        keys, rotated, values, errs = keys[order], rotated[order], values[order], t["errs"][order]
+        keys, rotated, errs = keys[order], rotated[order], t["errs"][order]
         new = np.ones(n, bool)
         new[1:] = (keys[1:] != keys[:-1]).any(1)
         low = np.flatnonzero(new)
@@ -211,16 +263,16 @@ def _task_rows(words: int, max_bits: int, blocks: int) -> Callable:
         own = first[:, 2] == first[:, 3]
         a = np.flatnonzero(own | mate)
         b = np.where(own[a], a, np.minimum(a + 1, low.size - 1))
-        forest = Forest(n)
+        found = Across(t["root"][order]) if across else Forest(n)
         for depth in np.unique(first[a, 1]):
             here = first[a, 1] == depth
             k, m = a[here], b[here]
-            _pairs_within(forest.link, (low[k], high[k]), (low[m], high[m]), errs[low[k]].astype(np.int64), rotated, max_bits, width, max_bits // blocks, int(depth), own[k])
-        root = forest.settle()
-        child = np.flatnonzero(root != np.arange(n))
+            _pairs_within(found.link, (low[k], high[k]), (low[m], high[m]), errs[low[k]].astype(np.int64), rotated, scheme, int(depth), own[k])
+        u, v = found.pairs()
         node = t["node"][order]
-        x, y = node[child], node[root[child]]
-        return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["u", "v"])
+        both = np.stack([np.maximum(node[u], node[v]), np.minimum(node[u], node[v])], 1)
+        both = np.unique(both, axis=0) if across else both
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1]))], ["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -252,39 +304,32 @@ def _task_rows(words: int, max_bits: int, blocks: int) -> Callable:
     return run
 
 
-def _rotated_bits(words: int, turn: int, width: int, depth: int, bits: int) -> Column:
-    """Bits depth .. depth + bits of the fingerprint rotated to block ``turn``, as a long."""
-    out = F.lit(0).cast("long")
-    for i in range(bits):
-        at = (turn * width + depth + i) % (64 * words)
-        word, shift = divmod(at, 64)
-        one = F.shiftrightunsigned(f"f{word}", 63 - shift).bitwiseAND(F.lit(1).cast("long"))
-        out = out.bitwiseOR(F.shiftleft(one, bits - 1 - i))
+def _rotated_bits(scheme: Scheme, turn: int, depth: int, bits: int) -> Column:
+    """Bits depth .. depth + bits of the fingerprint rotated by ``turn`` steps, as a long."""
+    out, done = F.lit(0).cast("long"), 0
+    while done < bits:  # a piece for each word that they lie in
+        word, at = divmod((turn * scheme.step + depth + done) % (64 * scheme.words), 64)
+        many = min(bits - done, 64 - at)
+        piece = F.shiftrightunsigned(f"f{word}", 64 - at - many).bitwiseAND(F.lit((1 << many) - 1).cast("long"))
+        out = out.bitwiseOR(F.shiftleft(piece, bits - done - many))
+        done += many
     return out
 
 
-def _masks(bits: int, budget: int) -> list[int]:
-    return [m for m in range(1 << bits) if m.bit_count() <= budget]
-
-
-def _tasks(nodes: DataFrame, words: int, max_bits: int, blocks: int, depth: int) -> DataFrame:
+def _tasks(nodes: DataFrame, scheme: Scheme, depth: int) -> DataFrame:
     """A row for each fingerprint, rotation and pair of nodes at ``depth`` that it takes part in."""
-    width, budget = 64 * words // blocks, max_bits // blocks
-    parts = None
-    names = [f"f{w}" for w in range(words)]
-    for turn in range(blocks):
-        own = nodes.select("node", *names, F.lit(turn).alias("turn"), _rotated_bits(words, turn, width, 0, depth).alias("_p"))
-        parts = own if parts is None else parts.unionByName(own)
-    return _spread(parts.withColumns({"a": F.lit(0).cast("long"), "b": F.lit(0).cast("long"), "errs": F.lit(0), "side": F.lit(0), "depth": F.lit(0)}), 0, depth, max_bits, width, budget)
+    own = F.array(*[F.struct(F.lit(turn).alias("turn"), _rotated_bits(scheme, turn, 0, depth).alias("_p")) for turn in range(scheme.turns)])
+    rows = nodes.select("*", F.inline(own))
+    return _spread(rows.withColumns({"a": F.lit(0).cast("long"), "b": F.lit(0).cast("long"), "errs": F.lit(0), "side": F.lit(0), "depth": F.lit(0)}), 0, depth, scheme)
 
 
-def _spread(rows: DataFrame, depth: int, bits: int, max_bits: int, width: int, budget: int) -> DataFrame:
+def _spread(rows: DataFrame, depth: int, bits: int, scheme: Scheme) -> DataFrame:
     """Each node pair's rows go from ``depth`` to its pairs of children ``bits`` levels below; ``_p``: a row's own bits there."""
     after = F.lit(depth + bits)
-    most = max_bits if depth + bits > width else budget
+    most = scheme.most(depth + bits)
     limit = F.lit(most)
-    front = max(0, min(bits, width - depth))  # levels of this step inside the front block
-    masks = [m for m in _masks(bits, most) if (m >> bits - front).bit_count() <= budget]
+    inside = [(depth + bits - d, errors) for d, errors in scheme.budgets if depth < d < depth + bits]  # budgets that end within this step
+    masks = [m for m in range(1 << bits) if m.bit_count() <= most and all((m >> rest).bit_count() <= errors for rest, errors in inside)]
     table = F.array(*[F.struct(F.lit(m).cast("long").alias("m"), F.lit(m.bit_count()).alias("c")) for m in masks])
     if len(masks) == 1:
         out = rows.withColumns({"_m": F.lit(0).cast("long"), "_c": F.lit(0)})
@@ -301,18 +346,19 @@ def _spread(rows: DataFrame, depth: int, bits: int, max_bits: int, width: int, b
     return out.drop("a", "b", "_m", "_c", "_p").withColumnsRenamed({"_l": "a", "_r": "b"})
 
 
-def near_links(nodes: DataFrame, words: int = 1, max_bits: int = 3, blocks: int = 4) -> DataFrame:
-    """u, v (nodes): a spanning forest of each task's links between fingerprints that differ in 1 to ``max_bits`` bits.
+def near_links(nodes: DataFrame, scheme: Scheme = EXACT, across: bool = False) -> DataFrame:
+    """u, v (nodes): a spanning forest of each task's links between fingerprints within the scheme's budgets.
 
-    nodes: node (long, unique), f0, f1, ... (distinct fingerprints).  The transitive closure is that of all links.
+    nodes: node (long, unique), f0, f1, ... ; distinct fingerprints if the scheme's distance is to be the only link.
+    The transitive closure of the result is that of all links.  ``across``: instead, all links between nodes of
+    different ``root`` (a column of nodes).
     """
     n = nodes.count()
-    width, budget = 64 * words // blocks, max_bits // blocks
-    depth = min(width, max(0, (max(n, 1) // NODE_ROWS).bit_length()))
-    if not budget:
-        depth = min(width, max(depth, STEP_BITS))
-    rows = _tasks(nodes, words, max_bits, blocks, depth)
-    key = ["turn", "depth", "a", "b"]
+    depth = min(scheme.budgets[0][0], max(0, (max(n, 1) // NODE_ROWS).bit_length()))
+    if not scheme.budgets[0][1]:
+        depth = min(scheme.budgets[0][0], max(depth, STEP_BITS))
+    rows = _tasks(nodes, scheme, depth)
+    key, more = ["turn", "depth", "a", "b"], ["root"] if across else []
     links = None
     while True:
         sizes = rows.groupBy(*key).agg(F.count("*").alias("n"))
@@ -320,40 +366,47 @@ def near_links(nodes: DataFrame, words: int = 1, max_bits: int = 3, blocks: int
         some = depth + STEP_BITS <= 48 and large.count() > 0
         light = rows.join(large, key, "left_anti") if some else rows
         shape = light.repartition(*key).sortWithinPartitions(*key)
-        got = shape.select(*key, "side", "errs", "node", *[f"f{w}" for w in range(words)]).mapInArrow(_task_rows(words, max_bits, blocks), "u long, v long")
+        got = shape.select(*key, "side", "errs", "node", *more, *[f"f{w}" for w in range(scheme.words)]).mapInArrow(_task_rows(scheme, across), "u long, v long")
         links = got if links is None else links.unionByName(got)
         if not some:
             return links
         heavy = rows.join(large, key, "left_semi")
         bits = F.lit(0).cast("long")
-        for turn in range(blocks):
-            bits = F.when(F.col("turn") == turn, _rotated_bits(words, turn, width, depth, STEP_BITS)).otherwise(bits)
+        for turn in range(scheme.turns):
+            bits = F.when(F.col("turn") == turn, _rotated_bits(scheme, turn, depth, STEP_BITS)).otherwise(bits)
         left = F.col("side") == 0
         there = heavy.select("turn", (F.shiftleft(F.when(left, F.col("a")).otherwise(F.col("b")), STEP_BITS) + bits).alias("_other")).distinct()
-        rows = _spread(heavy.withColumn("_p", bits), depth, STEP_BITS, max_bits, width, budget)
+        rows = _spread(heavy.withColumn("_p", bits), depth, STEP_BITS, scheme)
         rows = rows.withColumn("_other", F.when(left, F.col("b")).otherwise(F.col("a"))).join(there, ["turn", "_other"], "left_semi").drop("_other")
         rows = materialize(rows, "trie-rows")
         depth += STEP_BITS
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, words: int = 1, max_bits: int = 3, blocks: int = 4) -> DataFrame:
+def _named(marked: DataFrame, nodes: DataFrame, roots: DataFrame, on: list[str]) -> DataFrame:
+    """marked (id, digest, ..) with the smallest id of its component, and whether it is the row that has it."""
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "digest")
+    placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = placed.groupBy("root").agg(F.min("least").alias("least"))
+    named = placed.select(*on, "root").join(least, "root").select(*on, "least")
+    return marked.join(named, on).withColumns({"component_id": F.col("least.id"), "first": rank == F.col("least")}).drop("least")
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, scheme: Scheme = EXACT) -> DataFrame:
     """One row per input row: id, digest, f0, f1, ..., component_id, first.
 
-    Rows whose fingerprints differ in at most ``max_bits`` bits are linked; component_id is the smallest id that can be
+    Rows whose fingerprints differ in at most the scheme's bits are linked; component_id is the smallest id that can be
     reached, a row's own included (null if no row of the component has an id).  ``first`` marks the row that stands for
-    its component: the one with that id, and of rows that share it the one with the smallest digest.
+    its component: the one with that id, and of rows that share it the one with the smallest digest.  Texts of any
+    length are read whole, null ones as empty; an empty table gives no rows; other columns are ignored.
     """
-    names = [f"f{w}" for w in range(words)]
-    marked = materialize(fingerprints(docs, id_col, text_col, shingle_words, words), "fingerprints")
+    names = [f"f{w}" for w in range(scheme.words)]
+    marked = materialize(fingerprints(docs, id_col, text_col, shingle_words, scheme.words), "fingerprints")
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "digest")
     nodes = marked.groupBy(*names).agg(F.min(rank).alias("least"))
-    nodes = nodes.withColumn("node", F.col("f0") if words == 1 else F.monotonically_increasing_id())
+    nodes = nodes.withColumn("node", F.col("f0") if scheme.words == 1 else F.monotonically_increasing_id())
     nodes = materialize(nodes.select("node", *names, "least"), "nodes")
-    roots = least_reachable(near_links(nodes.drop("least"), words, max_bits, blocks))
-    placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = placed.groupBy("root").agg(F.min("least").alias("least"))
-    named = placed.select(*names, "root").join(least, "root").select(*names, "least")
-    return marked.join(named, names).select("id", "digest", *names, F.col("least.id").alias("component_id"), (rank == F.col("least")).alias("first"))
+    roots = least_reachable(near_links(nodes.drop("least"), scheme))
+    return _named(marked, nodes, roots, names).select("id", "digest", *names, "component_id", "first")
 
 
 def bits_for_similarity(similarity: float, bits: int) -> int:
@@ -364,14 +417,55 @@ def bits_for_similarity(similarity: float, bits: int) -> int:
     return int(bits * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
 
 
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8, scheme: Scheme = NEAR) -> DataFrame:
+    """One row per input row: id, digest, component_id, first; as ``near_groups``, linked by Jaccard similarity.
+
+    Candidates are pairs whose fingerprints of sets of shingles are within the scheme's budgets; a pair is linked if the
+    sets' exact similarity is ``similarity`` or more.  First each task's candidates at the distance that the similarity
+    stands for are reduced to a spanning forest, and its pairs are checked; then all candidates between groups that are
+    still apart.  So n near copies cost about n comparisons of sets a rotation, and not n squared.
+
+    A text of fewer words than a shingle is one shingle; rows without words, empty or null, are one component.
+    """
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("digest"), text.alias("text"))
+    names = [f"f{w}" for w in range(scheme.words)]
+    shape = "id long, digest long, node long, " + ", ".join(f"{c} long" for c in names)
+    marked = materialize(rows.mapInArrow(fingerprint_rows(shingle_words, scheme.words), shape), "near-marks")
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "digest")
+    # equal sets are one node, and one of its rows gives its text
+    nodes = marked.groupBy("node").agg(F.min(rank).alias("least"), *[F.min(c).alias(c) for c in names])
+    nodes = materialize(nodes, "near-nodes")
+    close = Scheme(scheme.words, scheme.step, (*scheme.budgets[:-1], (scheme.budgets[-1][0], bits_for_similarity(similarity, 64 * scheme.words))))
+    forest = materialize(near_links(nodes.drop("least"), close).distinct(), "near-forest")
+    sets = materialize(_sets_of(rows, nodes, forest, shingle_words), "near-sets")
+    links = materialize(alike(forest, sets, similarity), "near-links")
+    roots = least_reachable(links)
+    apart = nodes.drop("least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    pairs = near_links(materialize(apart, "near-apart"), scheme, True).distinct().join(forest, ["u", "v"], "left_anti")
+    pairs = materialize(pairs, "near-pairs")
+    known = sets.select("node")
+    sets = sets.unionByName(_sets_of(rows, nodes.join(known, "node", "left_anti"), pairs, shingle_words))
+    roots = least_reachable(links.unionByName(materialize(alike(pairs, sets, similarity), "near-links")))
+    return _named(marked, nodes, roots, ["node"]).select("id", "digest", "component_id", "first")
+
+
+def _sets_of(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle_words: int) -> DataFrame:
+    """node, set of the nodes in ``pairs``, from the text of one row each."""
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    chosen = nodes.join(wanted, "node", "left_semi").select(F.col("least.digest").alias("_digest"), F.col("least.id").alias("_id"))
+    texts = rows.join(chosen, (rows["digest"] == F.col("_digest")) & rows["id"].eqNullSafe(F.col("_id")), "left_semi").select("text")
+    return texts.mapInArrow(set_rows(shingle_words), "node long, set array<long>").dropDuplicates(["node"])
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns: of each group of near-duplicates the one with the smallest id.
 
     Two rows are linked if the Jaccard similarity of their sets of 5-word shingles is ``similarity`` or more, and linked
-    rows form groups; see ``jaccard_groups``.  Rows without words are one group.  Rows that repeat both id and text are
+    rows form groups; see ``similar_groups``.  Rows without words are one group.  Rows that repeat both id and text are
     one document and stay or go together.
     """
-    groups = jaccard_groups(docs, id_col, text_col, shingle_words, similarity)
+    groups = similar_groups(docs, id_col, text_col, shingle_words, similarity)
     gone = materialize(groups.where("not first").select(F.col("id").alias("_gone_id"), F.col("digest").alias("_gone_digest")).distinct(), "near-gone")
-    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_gone_id")) & (F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))) == F.col("_gone_digest"))
+    same = docs[f"`{id_col}`"].cast("long").eqNullSafe(gone["_gone_id"]) & (F.xxhash64(F.coalesce(docs[f"`{text_col}`"], F.lit(""))) == gone["_gone_digest"])
     return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, same, "left_anti")
