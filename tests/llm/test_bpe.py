@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -10,7 +11,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from tidewatch.llm import bpe
-from tidewatch.llm.bpe import Lexicon, Tokenizer, _starts, encode_digest, folded, load_ranks, merge_bytes
+from tidewatch.llm.bpe import Lexicon, Tokenizer, _starts, encode_digest, folded, load_ranks, mergeable, merged_ids, pair_table
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
@@ -38,6 +39,64 @@ def check(spark, library, texts):
         assert got[i].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
 
 
+def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """By the definition: the leftmost pair of the lowest rank is merged until none has one."""
+    pieces = [word[i : i + 1] for i in range(len(word))]
+    while len(pieces) > 1:
+        rank, i = min((ranks.get(a + b, len(ranks) + 1), i) for i, (a, b) in enumerate(zip(pieces, pieces[1:])))
+        if rank > len(ranks):
+            break
+        pieces[i : i + 2] = [pieces[i] + pieces[i + 1]]
+    return [ranks[p] for p in pieces]
+
+
+def test_pair_table_holds_every_pair_and_ends():
+    pairs = mergeable(load_ranks(PATH))
+    began = time.time()
+    slots, shift = pair_table(pairs)
+    assert time.time() - began < 30 and slots.size < 500_000
+    assert (slots[shift[pairs[:, 0]] + pairs[:, 1]] == (pairs[:, 0] << 16 | pairs[:, 2])).all()
+    used = slots[slots != bpe._FREE]
+    assert used.size == len(pairs)
+    # every left id has the same rights: none fits between another's, each goes behind the last
+    dense = np.array([(a, b, 7) for a in range(40) for b in range(0, 40_000, 400)])
+    slots, shift = pair_table(dense)
+    assert (slots[shift[dense[:, 0]] + dense[:, 1]] == (dense[:, 0] << 16 | 7)).all()
+    assert pair_table(np.zeros((0, 3), np.int64))[0].size == 1
+
+
+def test_heap_by_the_definition():
+    rng, ranks = random.Random(5), load_ranks(PATH)
+    for _ in range(300):
+        word = "".join(rng.choices("abcdeiénst th", k=rng.randrange(0, 90))).encode()
+        assert merged_ids(word, ranks) == merge_bytes(word, ranks)
+    few = {bytes([b]): b for b in range(256)} | {b"ab": 300, b"ba": 299, b"abab": 298, b"aba": 400}
+    for word in (b"ab" * 31, b"ba" * 30 + b"b", b"aabba" * 9):
+        assert merged_ids(word, few) == [few[p] for p in _pieces(word, few)]
+
+
+def _pieces(word, ranks):
+    pieces = [word[i : i + 1] for i in range(len(word))]
+    while True:
+        known = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(pieces, pieces[1:])) if a + b in ranks]
+        if not known:
+            return pieces
+        i = min(known)[1]
+        pieces[i : i + 2] = [pieces[i] + pieces[i + 1]]
+
+
+def test_words_of_a_million_bytes(spark, library):
+    rng = random.Random(6)
+    texts = ["ab" * 150_000, "".join(rng.choices("etaoinshrdlu", k=1_000_000)), "x " * 100 + "=" * 300_000]
+    began = time.time()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in encode_digest(docs, PATH, PATTERN).collect()}
+    assert time.time() - began < 90
+    for i, t in enumerate(texts):
+        assert got[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest()
+    assert got[2].n_tokens == len(library.encode_ordinary(texts[2]))
+
+
 def test_edges_match_the_library(spark, library):
     check(spark, library, CASES)
 

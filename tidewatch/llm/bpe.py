@@ -9,7 +9,8 @@
 
 A fold keeps an array with an element for each piece: rank of the pair that it opens, place of its first byte, id.  Its
 least element is so the leftmost pair of the lowest rank; it is merged until none has a rank.  Ranks of pairs of ids
-are a literal table of the plan, rows of left ids laid over one another.
+are a literal table of the plan, rows of left ids laid over one another.  Words of more than ``LONG_BYTES`` bytes, for
+which a fold is quadratic, are merged with a heap; the ids are the same.
 
 Words are known by 64-bit hashes (``textkernel``), but nothing rests on them: every chunk's ids are decoded, and unless
 that gives the bytes of the texts back, the words are merged from their bytes.  Decoding concatenates the binary pieces
@@ -19,6 +20,7 @@ of the ids.
 from __future__ import annotations
 
 import base64
+import heapq
 import json
 from collections.abc import Iterator
 from pathlib import Path
@@ -43,6 +45,10 @@ _NO_RANK = (1 << 16) - 1
 _EDGE = _NO_RANK << 47 | _NO_RANK
 #: A slot of no pair: it reads as no rank whatever the left id is.
 _FREE = _NO_RANK
+#: Places that ``pair_table`` tries at once.
+_SWEEP = 1 << 15
+#: Longer words are merged with a heap: a fold looks at all pieces for each merge.
+LONG_BYTES = 256
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -57,27 +63,36 @@ def mergeable(ranks: dict[bytes, int]) -> np.ndarray:
     return np.array(found, np.int64).reshape(-1, 3)
 
 
-def pair_table(pairs: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def pair_table(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Slots (left id << 16 | rank) and a shift for each left id: a pair is at the left id's shift plus the right id.
 
-    Shifts are drawn until a left id's pairs all fall on free slots; a slot that another left id has says so.
+    First fit, left ids of most pairs first: a left id goes to the first place where all its pairs fall on free slots.
+    The place behind the last used slot always fits, so each left id is placed in one sweep.
     """
     many = int(pairs[:, :2].max(initial=0)) + 1
     pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
     left, first, count = np.unique(pairs[:, 0], return_index=True, return_counts=True)
-    rng, range_ = np.random.default_rng(seed), 2 * many + 2 * len(pairs)
-    free = np.ones(range_ + many, bool)
-    slots, shift = np.full(free.size, _FREE, np.int64), np.zeros(many, np.int64)
+    free, used, shift = np.ones(4 * many, bool), 0, np.zeros(many, np.int64)
+    slots = np.full(free.size, _FREE, np.int64)
     for k in np.argsort(-count, kind="stable").tolist():
         mine = pairs[first[k] : first[k] + count[k]]
-        fits = np.zeros(1, bool)
-        while not fits.any():
-            tries = rng.integers(0, range_, 64)
-            fits = free[tries[:, None] + mine[:, 1]].all(1)
-        shift[left[k]] = tries[fits.argmax()]
-        at = shift[left[k]] + mine[:, 1]
-        free[at], slots[at] = False, left[k] << 16 | mine[:, 2]
-    return slots[: int(np.flatnonzero(~free).max(initial=0)) + 1], shift
+        away = mine[:, 1] - mine[0, 1]
+        if used + _SWEEP + many > free.size:
+            more = np.ones(free.size, bool)
+            free, slots = np.concatenate([free, more]), np.concatenate([slots, np.full(more.size, _FREE, np.int64)])
+        for low in range(0, used + 1, _SWEEP):
+            fits = free[low : low + _SWEEP].copy()
+            for d in away[1:].tolist():
+                fits &= free[low + d : low + d + _SWEEP]
+                if not fits.any():
+                    break
+            if fits.any():
+                break
+        place = low + int(fits.argmax())
+        shift[left[k]] = place - mine[0, 1]
+        free[place + away], slots[place + away] = False, left[k] << 16 | mine[:, 2]
+        used = max(used, place + int(away[-1]) + 1)
+    return slots[: max(used, 1)], shift
 
 
 def _long(value: int) -> Column:
@@ -108,7 +123,8 @@ def folded(words: Column, slots: Column, shift: Column) -> Column:
 
         def word_ids(word: Column) -> Column:
             last = lambda pieces: F.transform(F.slice(pieces, F.lit(2), F.size(pieces) - 2), lambda x: x.bitwiseAND(_long((1 << 16) - 1)).cast("int"))
-            return F.aggregate(F.sequence(F.lit(4), F.greatest(F.size(word), F.lit(4))), word, step, last)
+            merges = F.when(F.array_min(word) >= _long(_NO_RANK << 47), F.lit(4)).otherwise(F.greatest(F.size(word), F.lit(4)))
+            return F.aggregate(F.sequence(F.lit(4), merges), word, step, last)
 
         return F.transform(words, word_ids)
 
@@ -280,15 +296,28 @@ class Lexicon:
         return starts, ends, np.searchsorted(starts, offs)
 
     def opened(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.ListArray:
-        """Words as ``folded`` takes them."""
+        """Words as ``folded`` takes them; those over ``LONG_BYTES`` bytes come merged, without any pair of a rank."""
         size = ends - starts
-        within = _spans(size)
-        at = np.repeat(starts, size) + within
+        merged = {k: merged_ids(data[starts[k] : ends[k]].tobytes(), self._ranks()) for k in np.flatnonzero(size > LONG_BYTES).tolist()}
+        many = size.copy()
+        many[list(merged)] = [len(x) for x in merged.values()]
+        out, first = np.full(int((many + 2).sum()), _EDGE, np.int64), np.cumsum(many + 2) - many - 1
+        short = np.flatnonzero(size <= LONG_BYTES)
+        n = size[short]
+        within = _spans(n)
+        at = np.repeat(starts[short], n) + within
         byte, behind = data[at], data[np.minimum(at + 1, data.size - 1)]
-        rank = np.where(within + 1 < np.repeat(size, size), self.byte_rank[byte, behind], _NO_RANK)
-        out = np.full(int((size + 2).sum()), _EDGE, np.int64)
-        out[np.repeat(np.cumsum(size + 2) - size - 1, size) + within] = rank << 47 | (within + 1) << 16 | self.byte_id[byte]
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size + 2)]).astype(np.int32)), pa.array(out))
+        rank = np.where(within + 1 < np.repeat(n, n), self.byte_rank[byte, behind], _NO_RANK)
+        out[np.repeat(first[short], n) + within] = rank << 47 | (within + 1) << 16 | self.byte_id[byte]
+        for k, ids in merged.items():
+            out[first[k] : first[k] + many[k]] = _NO_RANK << 47 | np.array(ids, np.int64)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many + 2)]).astype(np.int32)), pa.array(out))
+
+    def _ranks(self) -> dict[bytes, int]:
+        if not hasattr(self, "rank_by_token"):
+            raw = self.pieces.tobytes()
+            self.rank_by_token = {raw[a : a + n]: r for r, (a, n) in enumerate(zip(self.piece_at.tolist(), self.piece_size.tolist())) if n}
+        return self.rank_by_token
 
     def decoded(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of all ids, and how many each has."""
@@ -304,15 +333,34 @@ class Lexicon:
         return _strings(raw, lengths - many, pa.string())
 
 
-def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of a word, by the definition: the leftmost pair of the lowest rank is merged until none has one."""
-    pieces = [word[i : i + 1] for i in range(len(word))]
-    while len(pieces) > 1:
-        rank, i = min((ranks.get(a + b, len(ranks) + 1), i) for i, (a, b) in enumerate(zip(pieces, pieces[1:])))
-        if rank > len(ranks):
-            break
-        pieces[i : i + 2] = [pieces[i] + pieces[i + 1]]
-    return [ranks[p] for p in pieces]
+def merged_ids(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of a word of any length: a heap gives the leftmost pair of the lowest rank until none has one.
+
+    ``end[i]``: where the piece that starts at i ends, 0 if none does; ``before[i]``: where the piece before it starts.
+    A heap's entry that no longer is the rank of its pair is passed over.
+    """
+    n = len(word)
+    end, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [ranks[word[i : i + 2]] << 40 | i for i in range(n - 1) if word[i : i + 2] in ranks]
+    heapq.heapify(heap)
+    while heap:
+        top = heapq.heappop(heap)
+        i = top & (1 << 40) - 1
+        mid = end[i]
+        if not mid or mid >= n or ranks.get(word[i : end[mid]]) != top >> 40:
+            continue
+        new, end[mid] = end[mid], 0
+        end[i] = new
+        if new < n:
+            before[new] = i
+        for a in (before[i], i):
+            if a >= 0 and end[a] < n and (rank := ranks.get(word[a : end[end[a]]])) is not None:
+                heapq.heappush(heap, rank << 40 | a)
+    out, i = [], 0
+    while i < n:
+        out.append(ranks[word[i : end[i]]])
+        i = end[i]
+    return out
 
 
 def _lists(ids: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
@@ -498,7 +546,7 @@ def _by_bytes(lexicon: Lexicon, ranks: dict[bytes, int], data: np.ndarray, offs:
     """Ids, and how many each row has, without any hash: for a chunk in which two words share one."""
     starts, ends, at = lexicon.split(data, offs)
     raw = data.tobytes()
-    words = [merge_bytes(raw[a:b], ranks) for a, b in zip(starts.tolist(), ends.tolist())]
+    words = [merged_ids(raw[a:b], ranks) for a, b in zip(starts.tolist(), ends.tolist())]
     sizes = np.concatenate([[0], np.cumsum([len(w) for w in words])])
     return np.array([i for w in words for i in w], np.int32), np.diff(sizes[at])
 
