@@ -18,6 +18,7 @@ from tidewatch.llm.pii import pii_digest
 from tidewatch.llm.quality import score_quality
 from tidewatch.llm.simhash import near_groups
 from tidewatch.llm.substring_dedup import dedup_substrings
+from tidewatch.llm.suffix_dedup import dedup_bytes
 from tidewatch.llm.toxicity import score_toxicity
 
 
@@ -63,6 +64,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_bytes(documents(spark, sf_dir)).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_suffix_dedup": op11_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -102,4 +108,25 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(kept.t, '')) AS kept_sha256
         FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
     """,
+    "op11_suffix_dedup": """
+        WITH d AS (SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        win AS (
+            SELECT r, s, md5(substr(h, 2 * s + 1, 400)) AS k
+            FROM (SELECT r, h, unnest(range(0, length(h) // 2 - 199)) AS s FROM d WHERE length(h) >= 400)
+        ),
+        again AS (SELECT r, s FROM (SELECT r, s, count(*) OVER (PARTITION BY k) AS n FROM win) WHERE n > 1),
+        runs AS (SELECT r, s, CASE WHEN s > lag(s) OVER (PARTITION BY r ORDER BY s) + 200 THEN 1 ELSE 0 END AS new FROM again),
+        spans AS (
+            SELECT r, min(s) AS a, max(s) + 200 AS b
+            FROM (SELECT r, s, sum(new) OVER (PARTITION BY r ORDER BY s) AS g FROM runs) GROUP BY r, g
+        ),
+        gaps AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS low FROM spans),
+        parts AS (
+            SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last, string_agg(substr(h, 2 * low + 1, 2 * (a - low)), '' ORDER BY a) AS t
+            FROM gaps JOIN d USING (r) GROUP BY r
+        )
+        SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+               sha256(unhex(coalesce(t || substr(h, 2 * last + 1), h))) AS kept_sha256
+        FROM d LEFT JOIN parts USING (r)
+    """,
 }
