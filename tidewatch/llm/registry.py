@@ -20,6 +20,7 @@ from tidewatch.llm.simhash import near_groups
 from tidewatch.llm.substring_dedup import dedup_substrings
 from tidewatch.llm.suffix_dedup import dedup_bytes
 from tidewatch.llm.toxicity import score_toxicity
+from tidewatch.llm.whitening import whiten
 
 
 def op4_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +69,10 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_bytes(documents(spark, sf_dir)).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontamination": op10_decontamination,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_whitening": op12_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
