@@ -14,6 +14,7 @@ from tidewatch.llm.decontaminate import find_leaks
 from tidewatch.llm.exact_dedup import exact_groups
 from tidewatch.llm.hmm import score_lm
 from tidewatch.llm.langid import identify_language
+from tidewatch.llm.lexical_search import search
 from tidewatch.llm.pii import pii_digest
 from tidewatch.llm.quality import score_quality
 from tidewatch.llm.simhash import near_groups
@@ -73,6 +74,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).withColumn("deviation", F.col("deviation").cast("long"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(spark.read.parquet(f"{sf_dir}/benchmark.parquet"), documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
     "op11_suffix_dedup": op11_suffix_dedup,
     "op12_whitening": op12_whitening,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -135,4 +141,29 @@ ORACLE_SQL: dict[str, str] = {
                sha256(unhex(coalesce(t || substr(h, 2 * last + 1), h))) AS kept_sha256
         FROM d LEFT JOIN parts USING (r)
     """,
+    "op13_lexical_search": rf"""
+        WITH d AS (
+            SELECT row_number() OVER () AS uid, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+            FROM documents
+        ),
+        st AS (SELECT count(*) AS n_docs, sum(len(ts))::BIGINT AS n_terms FROM d WHERE len(ts) > 0),
+        q AS (
+            SELECT item, item_id, unnest(ts) AS t
+            FROM (SELECT row_number() OVER () AS item, item_id,
+                         list_distinct(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS ts
+                  FROM benchmark)
+        ),
+        p AS (
+            SELECT uid, doc_id, n, t, count(*) AS tf FROM (SELECT uid, doc_id, len(ts) AS n, unnest(ts) AS t FROM d)
+            WHERE t IN (SELECT t FROM q) GROUP BY uid, doc_id, n, t
+        ),
+        w AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, st GROUP BY t, n_docs),
+        s AS (
+            SELECT item, item_id, uid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+            FROM q JOIN p USING (t) JOIN w USING (t), st GROUP BY item, item_id, uid, doc_id
+        )
+        SELECT item_id, rank::INT AS rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 50
+    """,
 }

@@ -95,12 +95,12 @@ def code_points(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32), np.concatenate([[0], np.cumsum(lead)])[offs]
 
 
-def split_words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and where each row's words begin (one more than rows)."""
+def split_words(data: np.ndarray, offs: np.ndarray, blank: np.ndarray = BLANK_BYTE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and where each row's words begin (one more than rows); ``blank``: bytes between words."""
     n = data.size
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(offs.size, np.int64)
-    word = ~BLANK_BYTE[data]
+    word = ~blank[data]
     cut = offs[(offs > 0) & (offs < n)]
     before = np.empty(n, bool)
     before[0] = False
