@@ -1,5 +1,8 @@
 import json
+import time
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidewatch.functions.telemetry import findings
@@ -78,13 +81,90 @@ def test_a_repeat_in_the_next_batch_is_analysed_once(spark, tmp_path):
     counts = spark.read.json(f"{out}/metrics").groupBy().sum().first().asDict()
     assert (counts["sum(processed)"], counts["sum(deduped)"], counts["sum(dlq_published)"]) == (4, 3, 1)
     assert sum(json.loads(x)["rows"] for x in log.lines) == 8
-    # later than the time to live it is an event of its own
-    batch = spark.createDataFrame([("9-0", one[0])], "stream_id string, payload string")
-    pl.publish_batch(out, now=lambda: F.lit("2026-01-01T00:02:00Z"), ttl_seconds=60)(batch, 7)
-    assert analysed(spark, out) == ["a", "a", "b", "c", "d"]
-    pl.publish_batch(out, now=lambda: F.lit("2026-01-01T00:02:01Z"), ttl_seconds=60)(batch, 8)
-    pl.publish_batch(out, now=lambda: F.lit("2026-01-01T00:02:00Z"), ttl_seconds=60)(batch, 7)
-    assert analysed(spark, out) == ["a", "a", "b", "c", "d"]
+
+
+def events(*ids):
+    return list(enumerate(json.dumps({"event_id": e, "event_type": "process_exec"}) for e in ids))
+
+
+def test_repeats_are_known_after_a_restart_and_forgotten_after_their_time(spark, tmp_path):
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    (tmp_path / "in").mkdir()
+    entries = read_stream(spark, str(tmp_path / "in"))
+
+    def run(name, *ids):
+        write(tmp_path / "in", name, events(*ids))
+        q = pl.start(entries, out, ckpt, now=lambda: F.lit(NOW), ttl_seconds=8)
+        assert pl.run_once(q)
+        return [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]][-1]
+
+    began = time.time()
+    assert run("a", *[f"e{i}" for i in range(50)]) == 50
+    marks = run("b", "e1", "e2", "new", "new")  # another process would find the same checkpoint
+    if time.time() - began < 8:
+        assert analysed(spark, out) == sorted([*[f"e{i}" for i in range(50)], "new"]) and marks == 51
+    time.sleep(max(0, began + 20 - time.time()))
+    assert run("c", "e1", "late") <= 3  # all marks but those of the last seconds are gone
+    assert analysed(spark, out).count("e1") == 2 and analysed(spark, out).count("late") == 1
+
+
+def test_a_batch_that_fails_runs_again_from_the_state_before_it(spark, tmp_path):
+    out, ckpt, calls = str(tmp_path / "out"), str(tmp_path / "ckpt"), []
+    write(tmp_path / "in", "a", events("a", "b", "b"))
+
+    def now():
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("lost")
+        return F.lit(NOW)
+
+    entries = read_stream(spark, str(tmp_path / "in"))
+    q = pl.start(entries, out, ckpt, now=now, ttl_seconds=3600)
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination(120)
+    assert pl.run_once(pl.start(entries, out, ckpt, now=now, ttl_seconds=3600))
+    assert analysed(spark, out) == ["a", "b"]
+    m = spark.read.json(f"{out}/metrics").first()
+    assert (m.processed, m.deduped, m.dlq_published) == (2, 1, 0)
+
+
+def test_the_earliest_entry_of_an_event_is_first_and_broken_ones_have_no_state(spark, tmp_path):
+    one = lambda n: json.dumps({"event_id": "x", "raw": {"command": n}})
+    write(tmp_path / "in", "a", [(10, one("ten")), (9, one("nine")), (11, one("eleven")), (3, "{bad"), (4, "[2]"), (5, None), (6, None)])
+    marked = pl.mark_repeats(read_stream(spark, str(tmp_path / "in")), 3600)
+    pl.session_state_store(spark)
+    q = marked.writeStream.format("memory").queryName("marked").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    for key in pl.STATE_SETTINGS | pl.RUN_ONCE_SETTINGS:
+        spark.conf.unset(key)
+    assert pl.run_once(q)
+    got = {r.stream_id: r.repeat for r in spark.table("marked").collect()}
+    assert got == {"9-0": False, "10-0": True, "11-0": True, "3-0": False, "4-0": False, "5-0": False, "6-0": False}
+    assert q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 3
+
+
+def test_counters_come_from_one_pass(spark, tmp_path):
+    calls = str(tmp_path / "calls")
+
+    def work(row):
+        with open(calls, "a") as f:
+            f.write(row["event_id"])
+
+    rows = [*events("a", "b", "b", "c"), (9, "{bad")]
+    batch = spark.createDataFrame([(f"{i}-0", p) for i, p in rows], "stream_id string, payload string")
+    out = str(tmp_path / "out")
+    pl.publish_batch(out, now=lambda: F.lit(NOW), work=work)(batch, 0)
+    assert sorted(open(calls).read()) == ["a", "b", "c"]
+    m = spark.read.json(f"{out}/metrics").first()
+    assert (m.processed, m.retried, m.deduped, m.dlq_published, m.pipeline_errors) == (3, 0, 1, 1, 0)
+
+
+def test_waiting_is_bounded(spark):
+    def work(row):
+        raise ValueError
+
+    began = time.time()
+    got = pl.with_retries(spark.range(30).coalesce(1), work, 3, wait=lambda n: 1, most_wait=2).collect()
+    assert time.time() - began < 20 and {r.attempts for r in got} == {3}
 
 
 def test_rows_that_keep_failing_end_as_dead_letters(spark, tmp_path):

@@ -14,17 +14,18 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidewatch.config import backoff_seconds
-from tidewatch.functions.telemetry import alerts, findings, now_text, redact, with_defaults
+from tidewatch.functions.telemetry import alerts, findings, redact, with_defaults
 from tidewatch.operators.dlq import dead_letters
 from tidewatch.operators.store import EVENT_FIRST, EVENT_LAST, FINDING_FIRST, FINDING_LAST, first_last, hosts, split_by_key, upsert
 from tidewatch.schemas import EVENT
+from tidewatch.sources.streams import position
 
 
 def parse_entries(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -74,40 +75,86 @@ def dedupe_exact(events: DataFrame, ttl_seconds: int, key: str = "event_id") ->
     return events.groupBy(key).transformWithStateInPandas(SeenOnce(ttl_seconds), events.schema, "append", "ProcessingTime")
 
 
-def findings_path(folder: str, kind: str, batch: int) -> str:
-    return f"{folder}/{kind}/batch={batch}"
+class MarkRepeats(StatefulProcessor):
+    """Every row of an event with ``repeat``: false for the earliest entry of an event whose state is gone or never was.
 
+    State is a mark that expires after the time to live, counted from the entry that set it, so what is kept are the
+    events of that time and no more.  Entries without an event (no key) have no state.
+    """
 
-def _earlier(spark: SparkSession, folder: str, number: int) -> DataFrame:
-    """event_id, at (seconds) of the events that batches before this one passed on."""
-    shape = "event_id string, at long, batch long"
-    try:
-        return spark.read.schema(shape).parquet(f"{folder}/seen").where(F.col("batch") < number)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], shape)
+    def __init__(self, ttl_seconds: int):
+        self.ttl_ms = ttl_seconds * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "mark boolean", self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
+        known = key[0] is not None and self.seen.exists()
+        first = None
+        for row in rows:
+            if first is not None and key[0] is not None:
+                row, first = (first, row) if (row["_ms"], row["_seq"]) < (first["_ms"], first["_seq"]) else (row, first)
+                yield Row(stream_id=row["stream_id"], payload=row["payload"], repeat=True)
+            elif first is not None:
+                yield Row(stream_id=row["stream_id"], payload=row["payload"], repeat=False)
+            else:
+                first = row
+        if first is not None:
+            if key[0] is not None and not known:
+                self.seen.update((True,))
+            yield Row(stream_id=first["stream_id"], payload=first["payload"], repeat=known)
+
+    def close(self) -> None:
+        pass
+
+
+def mark_repeats(entries: DataFrame, ttl_seconds: int, host_id: str = "unknown-host") -> DataFrame:
+    """stream_id, payload and repeat of a stream of entries: whether the same event came first less than ``ttl_seconds`` ago.
+
+    Exact, by processing time, across batches and restarts; needs the RocksDB state store.  A repeat doesn't renew the
+    time.  Of one batch's entries of an event the one of the lowest position is first.
+    """
+    text = F.coalesce("payload", F.lit("{}"))
+    event = with_defaults(entries.select("stream_id", "payload", F.from_json(text, EVENT).alias("e")).select("stream_id", "payload", "e.*"), host_id, F.lit("")).select("stream_id", "payload", "event_id")
+    whole = F.try_parse_json(text).isNotNull() & F.ltrim(text).startswith("{")
+    at = position(F.col("stream_id"))
+    keyed = event.select("stream_id", "payload", at["ms"].alias("_ms"), at["seq"].alias("_seq"), F.when(whole, F.col("event_id")).alias("_event"), F.when(~whole, F.col("stream_id")).alias("_entry"))
+    return keyed.groupBy("_event", "_entry").transformWithState(MarkRepeats(ttl_seconds), "stream_id string, payload string, repeat boolean", "append", "ProcessingTime")
+
+
+STATE_SETTINGS = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+#: State by processing time asks for another batch without end; one run stops when it has read what is there.
+RUN_ONCE_SETTINGS = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
 
 
-def with_retries(rows: DataFrame, work: Callable[[dict], None], tries: int, wait: Callable[[int], float] = backoff_seconds) -> DataFrame:
+def findings_path(folder: str, kind: str, batch: int) -> str:
+    return f"{folder}/{kind}/batch={batch}"
+
+
+def with_retries(rows: DataFrame, work: Callable[[dict], None], tries: int, wait: Callable[[int], float] = backoff_seconds, most_wait: float = 60) -> DataFrame:
     """``rows`` with attempts and error: ``work`` is called on each row until it doesn't raise, at most ``tries`` times.
 
-    ``wait`` gives the seconds to wait after an attempt; error is null for rows that went well.
+    ``wait`` gives the seconds to wait after an attempt; a task waits ``most_wait`` seconds in all and then tries again at
+    once, so rows that keep failing can't hold up a batch.  error is null for rows that went well.
     """
     shape = T.StructType(list(rows.schema.fields)).add("attempts", "integer").add("error", "string")
 
-    def attempt(row: dict) -> tuple[int, str | None]:
-        for n in range(1, tries + 1):
-            try:
-                work(row)
-                return n, None
-            except Exception as e:  # noqa: BLE001  what fails is a row of the result
-                error = f"{type(e).__name__}: {e}"[:500]
-                if n < tries:
-                    time.sleep(wait(n))
-        return tries, error
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = most_wait
+
+        def attempt(row: dict) -> tuple[int, str | None]:
+            nonlocal left
+            for n in range(1, tries + 1):
+                try:
+                    work(row)
+                    return n, None
+                except Exception as e:  # noqa: BLE001  what fails is a row of the result
+                    error = f"{type(e).__name__}: {e}"[:500]
+                    if n < tries and (pause := min(wait(n), left)) > 0:
+                        left -= pause
+                        time.sleep(pause)
+            return tries, error
+
         for batch in batches:
             done = [attempt(row) for row in batch.to_pylist()]
             more = [pa.array([n for n, _ in done], pa.int32()), pa.array([e for _, e in done], pa.string())]
@@ -116,59 +163,87 @@ def with_retries(rows: DataFrame, work: Callable[[dict], None], tries: int, wait
     return rows.mapInArrow(run, shape)
 
 
+#: What a batch is counted by, with the log's names.
+COUNTERS = "processed long, retried long, deduped long, dlq_published long, pipeline_errors long"
+
+
+def routed(batch: DataFrame, host_id: str = "unknown-host", now: Column | None = None, work: Callable[[dict], None] | None = None, tries: int = 3, wait: Callable[[int], float] = backoff_seconds) -> DataFrame:
+    """stream_id, payload, event, outcome (processed, deduped or dlq), attempts and reason of every entry of a batch.
+
+    Where the batch has no ``repeat``, repeats are those within it; the entry of the lowest position is first.
+    """
+    good, bad = parse_entries(batch)
+    events = normalised(good, host_id, now)
+    if "repeat" not in batch.columns:
+        events = events.withColumn("repeat", F.row_number().over(Window.partitionBy("event_id").orderBy(position(F.col("stream_id")))) > 1)
+    fields = [c for c in events.columns if c not in ("stream_id", "payload", "repeat")]
+    event, none = F.struct(*fields).alias("event"), F.lit(None).cast("string").alias("reason")
+    fresh = events.where(~F.col("repeat")).drop("repeat")
+    if work is None:
+        done = fresh.select("stream_id", "payload", event, F.lit("processed").alias("outcome"), F.lit(1).alias("attempts"), none)
+    else:
+        why = F.concat(F.lit("failed after "), F.col("attempts").cast("string"), F.lit(" attempts: "), F.col("error")).alias("reason")
+        done = with_retries(fresh, work, tries, wait).select("stream_id", "payload", event, F.when(F.col("error").isNull(), "processed").otherwise("dlq").alias("outcome"), "attempts", why)
+    again = events.where("repeat").select("stream_id", "payload", event, F.lit("deduped").alias("outcome"), F.lit(0).alias("attempts"), none)
+    broken = bad.select("stream_id", "payload", F.lit(None).cast(done.schema["event"].dataType).alias("event"), F.lit("dlq").alias("outcome"), F.lit(0).alias("attempts"), "reason")
+    return done.unionByName(again).unionByName(broken)
+
+
 def publish_batch(
     folder: str, host_id: str = "unknown-host", now: Callable[[], Column] | None = None,
-    ttl_seconds: int | None = None, work: Callable[[dict], None] | None = None, tries: int = 3, wait: Callable[[int], float] = backoff_seconds,
+    work: Callable[[dict], None] | None = None, tries: int = 3, wait: Callable[[int], float] = backoff_seconds,
 ) -> Callable[[DataFrame, int], None]:
     """What is done with a micro-batch: analyses, alerts, dead letters and counters are written, each in a folder of the batch.
 
-    An event that an earlier batch passed on less than ``ttl_seconds`` ago is dropped, and doesn't renew that time; what
-    passed is kept in ``seen``, by batch, so a batch that runs again sees what it saw before.  ``work`` is called on
-    each event that is left, again if it raises; after ``tries`` attempts the entry goes to the dead letters.
+    ``work`` is called on each event that is no repeat, again if it raises; after ``tries`` attempts the entry goes to
+    the dead letters.  Counters are observed on the rows as they pass, so nothing is run again to be counted.
     """
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         batch = batch.persist()
         stamp = now() if now else None
-        good, bad = parse_entries(batch)
-        events = normalised(good, host_id, stamp).dropDuplicates(["event_id"])
-        if ttl_seconds is not None:
-            at = F.unix_timestamp((stamp if now else now_text()).cast("timestamp"))
-            live = _earlier(spark, folder, number).where(F.col("at") > at - ttl_seconds).select("event_id")
-            fresh = events.join(live, "event_id", "left_anti")
-            fresh.select("event_id", at.alias("at")).write.mode("overwrite").parquet(findings_path(folder, "seen", number))
-            events = events.join(spark.read.parquet(findings_path(folder, "seen", number)).select("event_id"), "event_id", "left_semi")
-        dead = dead_letters(bad, "security_events", F.col("reason"), stamp)
-        retried = F.lit(0)
-        if work is not None:
-            events = with_retries(events, work, tries, wait).persist()
-            failed = events.where("error is not null")
-            dead = dead.unionByName(dead_letters(failed, "security_events", F.concat(F.lit("failed after "), F.col("attempts").cast("string"), F.lit(" attempts: "), "error"), stamp))
-            retried = F.sum(F.col("attempts") - 1)
-        counts = events.agg(F.count("*").alias("n"), F.coalesce(retried, F.lit(0)).cast("long").alias("retried")).first()
-        if work is not None:
-            events = events.where("error is null").drop("attempts", "error")
-        analyses = findings(events, stamp)
+        counted = Observation()
+        is_ = lambda o: F.count_if(F.col("outcome") == o)
+        retried = F.coalesce(F.sum(F.greatest(F.col("attempts") - 1, F.lit(0))), F.lit(0)).cast("long")
+        rows = routed(batch, host_id, stamp, work, tries, wait)
+        rows = rows.observe(counted, is_("processed").alias("processed"), retried.alias("retried"), is_("deduped").alias("deduped"), is_("dlq").alias("dlq")).persist()
+        analyses = findings(rows.where("outcome = 'processed'").select("event.*"), stamp)
         analyses.write.mode("overwrite").json(findings_path(folder, "analysis", number))
         alerts(analyses, stamp).write.mode("overwrite").json(findings_path(folder, "alert", number))
+        dead = dead_letters(rows.where("outcome = 'dlq'"), "security_events", F.col("reason"), stamp)
         dead.write.mode("overwrite").json(findings_path(folder, "dlq", number))
-        processed, dlq = events.count(), spark.read.schema("dlq string").json(findings_path(folder, "dlq", number)).count()
-        row = (processed, counts.retried, good.count() - counts.n, dlq, 0)
-        names = "processed long, retried long, deduped long, dlq_published long, pipeline_errors long"
-        spark.createDataFrame([row], names).write.mode("overwrite").json(findings_path(folder, "metrics", number))
+        n = counted.get
+        spark.createDataFrame([(n["processed"], n["retried"], n["deduped"], n["dlq"], 0)], COUNTERS).write.mode("overwrite").json(findings_path(folder, "metrics", number))
+        rows.unpersist()
         batch.unpersist()
-        events.unpersist()
 
     return run
 
 
 def start(
-    entries: DataFrame, folder: str, checkpoint: str, host_id: str = "unknown-host", now: Callable[[], Column] | None = None, every: str | None = None, **more,
+    entries: DataFrame, folder: str, checkpoint: str, host_id: str = "unknown-host", now: Callable[[], Column] | None = None, every: str | None = None,
+    ttl_seconds: int | None = None, **more,
 ) -> StreamingQuery:
-    """Runs once over what is there, or again and again if ``every`` names an interval; more: see ``publish_batch``."""
-    writer = entries.writeStream.option("checkpointLocation", checkpoint).foreachBatch(publish_batch(folder, host_id, now, **more))
-    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+    """Runs once over what is there, or again and again if ``every`` names an interval; more: see ``publish_batch``.
+
+    With ``ttl_seconds``, repeats are known by state of the stream (``mark_repeats``), which its checkpoint keeps: a batch
+    that runs again starts from the state before it.  Without, they are those of one batch.
+    """
+    spark = entries.sparkSession
+    own = {}
+    if ttl_seconds is not None:
+        entries = mark_repeats(entries, ttl_seconds, host_id)
+        own = STATE_SETTINGS if every else STATE_SETTINGS | RUN_ONCE_SETTINGS
+    before = {key: spark.conf.get(key) for key in own}
+    try:
+        for key, value in own.items():
+            spark.conf.set(key, value)
+        writer = entries.writeStream.option("checkpointLocation", checkpoint).foreachBatch(publish_batch(folder, host_id, now, **more))
+        return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+    finally:
+        for key, value in before.items():  # a running query has settings of its own
+            spark.conf.set(key, value)
 
 
 class ProgressLog(StreamingQueryListener):
@@ -262,4 +337,5 @@ def rows_moved(query: StreamingQuery) -> int:
 
 
 def session_state_store(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    for key, value in (STATE_SETTINGS | RUN_ONCE_SETTINGS).items():
+        spark.conf.set(key, value)
