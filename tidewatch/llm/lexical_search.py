@@ -2,10 +2,12 @@
 
 A posting is what a term adds to a document's score, so a score is a sum over lists, and a search wants the ``k`` largest.
 
-1. Each list gives its ``k`` largest entries.  Their sums are lower bounds of scores; the k-th of them is a first bound.
-2. Each of an item's m lists gives all entries of a m-th of that bound or more: a document below it in every list can't be
-   among the k.  The new sums give a higher bound, and what a document may still get from lists that didn't name it gives
-   an upper one; documents whose upper bound is lower than the new bound go.
+1. Each list gives its ``k`` largest entries.  The documents that do best in an item's heads are looked up, and the k-th of
+   their scores is a lower bound of what it takes.
+2. One threshold holds for all of an item's lists, the largest with which the entries below it add up to less than that
+   bound, each list by its own largest entry at most: a document below it in every list can't be among the k.  Lists give
+   all entries above it.  The sums give a bound again, and with what lists that didn't name a document may add an upper
+   one; documents whose upper bound is lower than the bound go.
 3. Exact scores of the documents that are left are looked up in the documents' own rows of postings.
 
 Lists are dealt out by term, and the list of a frequent term in parts of ``LIST_ROWS``; heads are cut in each part before
@@ -33,6 +35,8 @@ MOST_TERMS = 1 << 22
 SMALL_TABLE = 1 << 18
 #: Postings of one part of a list.
 LIST_ROWS = 250_000
+#: Documents of the heads that are looked up, as a multiple of the documents asked for.
+TRIED = 4
 #: Bytes that part terms: ASCII but digits and letters.
 PARTING = np.zeros(256, bool)
 PARTING[[b for b in range(128) if not chr(b).isalnum()]] = True
@@ -101,8 +105,8 @@ def _best(rows: DataFrame, by: str, order: list[Column], top: int) -> DataFrame:
 
 
 def _bound(sums: DataFrame, top: int) -> DataFrame:
-    """item, bound: the ``top``-th largest sum of each item; items of fewer documents have no row."""
-    return _best(sums.select("item", "points"), "item", [F.col("points").desc()], top).where(F.col("rank") == top).select("item", F.col("points").alias("bound"))
+    """item, bound: the ``top``-th largest score of each item; items of fewer documents have no row."""
+    return _best(sums.select("item", "score"), "item", [F.col("score").desc()], top).where(F.col("rank") == top).select("item", F.col("score").alias("bound"))
 
 
 def search(items: DataFrame, docs: DataFrame, item_id: str = "item_id", item_text: str = "text", doc_id: str = "doc_id", doc_text: str = "text", top: int = TOP) -> DataFrame:
@@ -120,24 +124,25 @@ def search(items: DataFrame, docs: DataFrame, item_id: str = "item_id", item_tex
     n_words, known = words.count(), None
     n_items = asked.count()
     small = lambda df, n=n_words: F.broadcast(df) if n <= SMALL_TABLE else df
-    wanted = asked.select(F.col("uid").alias("item"), F.size("terms").alias("lists"), F.explode("terms").alias("term"))
+    wanted = asked.select(F.col("uid").alias("item"), F.explode("terms").alias("term"))
     if n_words <= MOST_TERMS:
         known = spark.sparkContext.broadcast(np.sort(words.toArrow()["term"].to_numpy().view(U64)))
         places = np.arange(n_words)
         table = spark.createDataFrame(pa.table({"term": known.value.view(np.int64), "place": places}))
-        wanted = wanted.join(small(table), "term").select("item", "lists", F.col("place").alias("term"))
+        wanted = wanted.join(small(table), "term").select("item", F.col("place").alias("term"))
     wanted = materialize(wanted, "lexical-items")
+    n_wanted = wanted.count()
 
     rows = term_rows(docs, doc_id, doc_text, known)
     stats = rows.agg(F.count_if(F.col("n") > 0).alias("docs"), F.sum("n").alias("terms")).first()
     if not stats.docs or not n_words:
         return spark.createDataFrame([], shape)
     n_docs, n_terms = F.lit(stats.docs).cast("long"), F.lit(stats.terms).cast("long")
-    lists = rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    known_lists = rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     if known is None:
-        lists = lists.join(wanted.select("term").distinct(), "term", "left_semi")
+        known_lists = known_lists.join(wanted.select("term").distinct(), "term", "left_semi")
     ratio = (2 * n_docs + 2).cast("double") / (2 * F.col("df") + 1).cast("double")
-    weights = materialize(lists.select("term", F.floor(F.log(ratio) * 1000.0).alias("w"), F.ceil(F.col("df") / LIST_ROWS).alias("parts")), "lexical-weights")
+    weights = materialize(known_lists.select("term", F.floor(F.log(ratio) * 1000.0).alias("w"), F.ceil(F.col("df") / LIST_ROWS).alias("parts")), "lexical-weights")
 
     m = 100 - 50 + F.expr("50 * n * docs div total")
     points = F.expr("w * (1000000000 * tf div (1000 * tf + 20 * m))")
@@ -147,25 +152,38 @@ def search(items: DataFrame, docs: DataFrame, item_id: str = "item_id", item_tex
     dealt = scored.select("term", "points", "uid", F.pmod(F.xxhash64("uid"), "parts").alias("part")).repartition("term", "part")
     postings = materialize(dealt.drop("part").sortWithinPartitions("term", F.col("points").desc()), "lexical-postings")
 
-    # 1: heads of lists, lower bounds
+    def exact(pairs: DataFrame) -> DataFrame:
+        """item, uid, score of pairs, which are written and counted: few are broadcast, so that rows of postings stay where they are."""
+        pairs = materialize(pairs, "lexical-pairs")
+        found = sized.join(small(pairs, pairs.count()), "uid")
+        found = found.select("item", "uid", "m", F.explode(F.arrays_zip(F.col("terms").alias("term"), F.col("times").alias("tf"))).alias("x")).select("item", "uid", "m", "x.term", "x.tf")
+        found = found.join(small(wanted.select("item", "term"), n_wanted), ["item", "term"], "left_semi").join(small(weights), "term")
+        return found.groupBy("item", "uid").agg(F.sum(points).alias("score"))
+
+    # 1: heads of lists, and exact scores of the documents that do best in them
     heads = _best(postings.mapInArrow(_heads(top), postings.schema), "term", [F.col("points").desc(), F.col("uid")], top)
     heads = materialize(heads.select("term", "points", "uid"), "lexical-heads")
-    first = _bound(wanted.join(heads, "term").groupBy("item", "uid").agg(F.sum("points").alias("points")), top)
+    sums = wanted.join(small(heads, n_words * top), "term").groupBy("item", "uid").agg(F.sum("points").alias("points"))
+    tried = exact(_best(sums, "item", [F.col("points").desc()], TRIED * top).select("item", "uid"))
+    first = _bound(tried, top)
+    # 2: the largest threshold with which lists that don't name a document add less than the bound in all
     peaks = heads.groupBy("term").agg(F.max("points").alias("peak"))
-    # 2: one threshold for all of an item's lists; a list that doesn't name a document adds ``cap`` at most
-    least = F.expr("coalesce((bound + lists - 1) div lists, 1)")
-    asks = wanted.join(first, "item", "left").join(peaks, "term").withColumn("least", least)
-    asks = materialize(asks.select("item", "term", "least", F.least(F.col("least") - 1, "peak").alias("cap")), "lexical-asks")
+    lists = wanted.join(small(peaks), "term").join(first, "item", "left")
+    rising = Window.partitionBy("item").orderBy("peak", "term").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("item")
+    lists = lists.withColumns({"below": F.coalesce(F.sum("peak").over(rising), F.lit(0)), "before": F.count("*").over(rising), "lists": F.count("*").over(whole)})
+    level = F.max(F.expr("greatest((bound - 1 - below) div (lists - before), 0)")).over(whole)
+    asks = lists.withColumn("level", F.coalesce(level, F.lit(0))).select("item", "term", "level", F.least("level", "peak").alias("cap"))
+    asks = materialize(asks, "lexical-asks")
     rest = asks.groupBy("item").agg(F.sum("cap").alias("caps"))
-    lowest = asks.groupBy("term").agg(F.min("least").alias("lowest"))
-    named = postings.join(small(lowest), "term").where("points >= lowest").drop("lowest").join(asks, "term").where("points >= least")
+    lowest = asks.groupBy("term").agg(F.min("level").alias("lowest"))
+    named = postings.join(small(lowest), "term").where("points > lowest").drop("lowest").join(small(asks, n_wanted), "term").where("points > level")
     sums = materialize(named.groupBy("item", "uid").agg(F.sum("points").alias("points"), F.sum("cap").alias("named")), "lexical-candidates")
-    second = _bound(sums, top)
+    second = _bound(sums.select("item", F.col("points").alias("score")), top)
+    second = first.unionByName(second).groupBy("item").agg(F.max("bound").alias("bound"))
     left = sums.join(small(rest, n_items), "item").join(small(second, n_items), "item", "left")
     left = left.where(F.col("points") + F.col("caps") - F.col("named") >= F.coalesce("bound", F.lit(0))).select("item", "uid")
-    # 3: exact scores
-    looked = left.join(sized, "uid").select("item", "uid", "m", F.explode(F.arrays_zip(F.col("terms").alias("term"), F.col("times").alias("tf"))).alias("x")).select("item", "uid", "m", "x.term", "x.tf")
-    looked = looked.join(wanted.select("item", "term"), ["item", "term"], "left_semi").join(small(weights), "term")
-    scores = looked.groupBy("item", "uid").agg(F.sum(points).alias("score")).where("score > 0").join(rows.select("uid", F.col("id").alias("doc_id")), "uid")
+    # 3: exact scores of what is left
+    scores = exact(left).where("score > 0").join(rows.select("uid", F.col("id").alias("doc_id")), "uid")
     ranked = _best(scores, "item", [F.col("score").desc(), F.col("doc_id").asc_nulls_last(), F.col("uid")], top)
     return ranked.join(asked.select(F.col("uid").alias("item"), F.col("id").alias("item_id")), "item").select("item_id", "rank", "doc_id", "score")
