@@ -6,6 +6,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidewatch.functions.telemetry import findings
+from tidewatch.operators.buckets import Buckets
 from tidewatch.sources.streams import read_stream
 from tidewatch.streaming import pipeline as pl
 
@@ -187,25 +188,67 @@ def test_rows_that_keep_failing_end_as_dead_letters(spark, tmp_path):
     assert (m.processed, m.retried, m.dlq_published) == (2, 3, 1)
 
 
+SCHEMAS = {
+    "hosts": "host_id string, first_seen_at long, last_seen_at long",
+    "events": "event_id string, host_id string, ts long, severity string",
+    "findings": "analysis_id string, event_id string, host_id string, score double",
+}
+KEYS = {"hosts": "host_id", "events": "event_id", "findings": "analysis_id"}
+
+
 def test_tables_change_as_one_version(spark, tmp_path):
-    empty = {
-        "hosts": spark.createDataFrame([], "host_id string, first_seen_at long, last_seen_at long"),
-        "events": spark.createDataFrame([], "event_id string, host_id string, ts long, severity string"),
-        "findings": spark.createDataFrame([], "analysis_id string, event_id string, host_id string, score double"),
-    }
     shape = "kind string, id string, event_id string, host_id string, severity string, score double, pos long"
     split = lambda b: (b.where("kind = 'e'").selectExpr("event_id", "host_id", "severity", "pos", "pos as ts"), b.where("kind = 'a'").selectExpr("id as analysis_id", "event_id", "host_id", "score", "pos"))
     one = spark.createDataFrame([("e", None, "e1", "h", "low", None, 1), ("a", "a1", "e1", "h", None, 0.5, 1), ("a", "a2", "gone", "h", None, 0.5, 1)], shape)
-    two = spark.createDataFrame([("e", None, "e1", "other", "high", None, 2), ("a", "a3", "e1", "h", None, 0.7, 2)], shape)
-    folder = str(tmp_path / "tables")
-    load = pl.load_batch(folder, empty, split)
-    assert pl.committed(spark, folder) is None
-    load(one, 0)
-    load(two, 1)
-    load(two, 1)
-    assert pl.committed(spark, folder) == 1 and pl.committed(spark, folder, 1) == 0
-    table = lambda v, name: spark.read.parquet(f"{folder}/version={v}/{name}").collect()
-    assert sorted(r.analysis_id for r in table(1, "findings")) == ["a1", "a3"]
-    assert [(r.host_id, r.severity) for r in table(1, "events")] == [("h", "high")]
-    pl.commit_tables({"hosts": spark.range(1)}, str(tmp_path / "half"), 5)
-    assert pl.committed(spark, str(tmp_path / "half")) == 5
+    two = spark.createDataFrame([("e", None, "e1", "other", "high", None, 2), ("a", "a3", "e1", "h", None, 0.7, 2), ("e", None, "e2", "h", "low", None, 3)], shape)
+    three = spark.createDataFrame([("a", "a4", "e1", "h", None, 0.1, 4), ("a", None, "e1", "h", None, 0.1, 4), ("a", "a5", None, "h", None, 0.1, 4)], shape)
+    tables = Buckets(spark, str(tmp_path / "tables"), SCHEMAS, KEYS, 8)
+    batch = pl.load_batch(tables, split)
+    assert tables.current() is None and tables.read("events").count() == 0
+    for number, rows in ((0, one), (1, two), (1, two), (2, three)):
+        batch(rows, number)
+    assert tables.current() == 2 and tables.current(1) == 0
+    assert sorted(r.analysis_id for r in tables.read("findings").collect()) == ["a1", "a3", "a4"]
+    assert sorted((r.event_id, r.host_id, r.severity) for r in tables.read("events").collect()) == [("e1", "h", "high"), ("e2", "h", "low")]
+    assert [r.severity for r in tables.read("events", 0).collect()] == ["low"]
+    assert {r.host_id: (r.first_seen_at, r.last_seen_at) for r in tables.read("hosts").collect()} == {"h": (1, 3), "other": (2, 2)}
+    assert sorted(r.analysis_id for r in spark.read.json(f"{tables.folder}/rejected").collect()) == ["a2", "a5"]
+
+
+def test_a_version_counts_from_its_commit(spark, tmp_path):
+    tables = Buckets(spark, str(tmp_path / "tables"), SCHEMAS, KEYS, 8)
+    rows = lambda *e: spark.createDataFrame([(x, "h", 1, s, 1) for x, s in e], "event_id string, host_id string, ts long, severity string, pos long")
+    tables.upsert(0, "events", rows(("a", "low")), ["host_id", "ts"], ["severity"])
+    # version 1 wrote its data and was lost before its commit
+    rows(("a", "high")).drop("pos").withColumn("bucket", tables.bucket(F.col("event_id"))).write.partitionBy("bucket").parquet(f"{tables.folder}/data/version=1/table=events")
+    assert [r.severity for r in tables.read("events").collect()] == ["low"]
+    tables.upsert(1, "events", rows(("a", "critical")), ["host_id", "ts"], ["severity"])
+    assert [r.severity for r in tables.read("events").collect()] == ["critical"]
+
+
+def test_an_upsert_rewrites_the_buckets_it_touches(spark, tmp_path):
+    tables = Buckets(spark, str(tmp_path / "tables"), SCHEMAS, KEYS, 32)
+    writes = lambda ids, s: ids.select(F.concat(F.lit("e"), "id").alias("event_id"), F.md5(F.col("id").cast("string")).alias("host_id"), F.lit(1).alias("ts"), F.lit(s).alias("severity"), F.lit(1).alias("pos"))
+    tables.upsert(0, "events", writes(spark.range(50_000), "low"), ["host_id", "ts"], ["severity"])
+    tables.upsert(1, "events", writes(spark.range(49_999, 50_002), "high"), ["host_id", "ts"], ["severity"])
+    assert 0 < tables.rewritten_bytes(1) < tables.rewritten_bytes(0) * 4 / 32
+    changed = [b for (_, b), v in tables.manifest(1).items() if v == 1]
+    assert 1 <= len(changed) <= 3
+    got = tables.read("events")
+    assert (got.count(), got.where("severity = 'high'").count(), got.select("event_id").distinct().count()) == (50_002, 3, 50_002)
+
+
+def test_the_stream_loads_tables(spark, tmp_path):
+    tables = Buckets(spark, str(tmp_path / "tables"), SCHEMAS, KEYS, 4)
+    write(tmp_path / "in", "a", events("a", "b"))
+    write(tmp_path / "in", "b", events("b", "c"))
+
+    def split(batch):
+        good, _ = pl.parse_entries(batch)
+        e = good.select("event_id", F.lit("h").alias("host_id"), F.lit("low").alias("severity"), F.split_part("stream_id", F.lit("-"), F.lit(1)).cast("long").alias("pos")).withColumn("ts", F.col("pos"))
+        return e, e.select(F.concat(F.lit("f"), "event_id").alias("analysis_id"), "event_id", "host_id", F.lit(0.5).alias("score"), "pos")
+
+    stream = read_stream(spark, str(tmp_path / "in")).writeStream.option("checkpointLocation", str(tmp_path / "c")).foreachBatch(pl.load_batch(tables, split)).trigger(availableNow=True)
+    assert pl.run_once(stream.start())
+    assert sorted(r.event_id for r in tables.read("events").collect()) == ["a", "b", "c"]
+    assert tables.read("findings").count() == 3

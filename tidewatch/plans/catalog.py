@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import telemetry as tel
 from tidewatch.functions import text as tx
-from tidewatch.operators import api, audit, dedupe, dlq, evalrun, leak, records, split, stats, store
+from tidewatch.operators import api, audit, buckets, dedupe, dlq, evalrun, leak, records, split, stats, store
 from tidewatch.sources.adapter import chat_records, security_events, table
 from tidewatch.sources.streams import heartbeats, synthetic_events
+from tidewatch.tables import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -167,10 +168,22 @@ def events_upsert_merge(spark, d):
 
 @query(f"WITH {EVENTS_SQL}, {_WRITES} SELECT event_id, arg_min(trace_id, pos) AS trace_id, arg_min(host_id, pos) AS host_id, arg_min(ts, pos) AS ts, arg_max(severity, pos) AS severity FROM w GROUP BY event_id", name="events_upsert_incremental")
 def events_upsert_incremental(spark, d):
+    """The table has three fifths of the ids; the writes that follow update those and insert the others."""
     w = _writes(spark, d).select("event_id", "trace_id", "host_id", "ts", "severity", "pos")
-    half = F.col("pos") % 1000 < 500
-    old = store.first_last(w.where(half & (F.col("pos") < 500)), "event_id", "pos", store.EVENT_FIRST, store.EVENT_LAST)
-    return store.upsert(old, w.where(~(half & (F.col("pos") < 500))), "event_id", "pos", store.EVENT_FIRST, store.EVENT_LAST).select("event_id", "trace_id", "host_id", "ts", "severity")
+    early = (F.col("pos") < 500) & (F.col("pos") % 5 < 3)
+    old = store.first_last(w.where(early), "event_id", "pos", store.EVENT_FIRST, store.EVENT_LAST)
+    return store.upsert(old, w.where(~early), "event_id", "pos", store.EVENT_FIRST, store.EVENT_LAST).select("event_id", "trace_id", "host_id", "ts", "severity")
+
+
+@query(f"WITH {EVENTS_SQL}, {_WRITES} SELECT event_id, arg_min(trace_id, pos) AS trace_id, arg_min(host_id, pos) AS host_id, arg_min(ts, pos) AS ts, arg_max(severity, pos) AS severity FROM w GROUP BY event_id")
+def events_upsert_buckets(spark, d):
+    """Three versions of a bucketed table: some ids, then the others beside updates of the first, then the rest of the writes."""
+    w = _writes(spark, d).select("event_id", "trace_id", "host_id", "ts", "severity", "pos")
+    late, some = F.col("pos") >= 500, F.col("pos") % 500 % 3 == 0
+    table = buckets.Buckets(spark, new_folder(spark, "events"), {"events": w.drop("pos").schema.toDDL()}, {"events": "event_id"}, 16)
+    for version, part in enumerate((w.where(~late & some), w.where((~late & ~some) | (late & some)), w.where(late & ~some))):
+        table.upsert(version, "events", part, store.EVENT_FIRST, store.EVENT_LAST)
+    return table.read("events")
 
 
 @query(ev("SELECT f.analysis_id, f.event_id, f.score FROM fnd f WHERE NOT EXISTS (SELECT 1 FROM ev WHERE ev.event_id = f.event_id AND ev.event_id::BIGINT % 7 <> 0)"))

@@ -13,7 +13,6 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +21,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from tidewatch.config import backoff_seconds
 from tidewatch.functions.telemetry import alerts, findings, redact, with_defaults
+from tidewatch.operators.buckets import Buckets, load
 from tidewatch.operators.dlq import dead_letters
 from tidewatch.operators.store import EVENT_FIRST, EVENT_LAST, FINDING_FIRST, FINDING_LAST, first_last, hosts, split_by_key, upsert
 from tidewatch.schemas import EVENT
@@ -266,35 +266,16 @@ class ProgressLog(StreamingQueryListener):
         pass
 
 
-def commit_tables(tables: dict[str, DataFrame], folder: str, version: int) -> None:
-    """Writes all tables as one version; it counts from the moment its mark is there, so readers see all of it or none."""
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{folder}/version={version}/{name}")
-    df.sparkSession.createDataFrame([(version,)], "version long").coalesce(1).write.mode("overwrite").json(f"{folder}/commits/of={version}")
+def load_batch(tables: Buckets, split: Callable[[DataFrame], tuple[DataFrame, DataFrame]]) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: loads a batch into the tables as a version of the batch's number; running it again changes nothing.
 
-
-def committed(spark: SparkSession, folder: str, before: int | None = None) -> int | None:
-    """The last version whose mark is there, of those before ``before``."""
-    try:
-        marks = spark.read.schema("version long").json(f"{folder}/commits")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return marks.where(F.lit(True) if before is None else F.col("version") < before).agg(F.max("version").alias("v")).first().v
-
-
-def load_batch(folder: str, empty: dict[str, DataFrame], split: Callable[[DataFrame], tuple[DataFrame, DataFrame]]) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: ``load_tables`` over the last version, committed as the batch's own; running it again changes nothing.
-
-    split: a batch -> its events and its analyses, each with ``pos``; empty: the tables before the first batch.
+    split: a batch -> its events and its analyses, each with ``pos``.
     """
 
     def run(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        last = committed(spark, folder, number)
-        old = empty if last is None else {name: spark.read.parquet(f"{folder}/version={last}/{name}") for name in empty}
-        commit_tables(load_tables(*split(batch), old), folder, number)
+        batch = batch.persist()
+        load(tables, number, *split(batch))
+        batch.unpersist()
 
     return run
 
