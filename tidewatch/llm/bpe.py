@@ -3,7 +3,7 @@
 1. Every task splits its texts into words and sends on the words that aren't tokens themselves, each once.  They are
    counted by the tasks that have them.
 2. Of the words that two tasks or more have, the commonest ``HEAD_WORDS`` are folded once and broadcast, as sorted
-   hashes with their ids: 30 MB at most, whatever the corpus.
+   hashes with their ids: 10 MB at most, whatever the corpus.
 3. In the pass over the documents a task sends the words that it has alone through the same fold, with the first
    document that has them, and a second pass of the same task fills their ids in.  No document is shuffled.
 
@@ -35,9 +35,9 @@ from pyspark.sql import types as T
 from tidewatch.llm.common import materialize
 from tidewatch.llm.textkernel import U64, chunks, text_buffer, word_hashes
 
-HEAD_WORDS = 1_400_000
+HEAD_WORDS = 400_000
 #: A task forgets the words it has numbered beyond so many, and numbers them anew.
-WORDS_AT_ONCE = 400_000
+WORDS_AT_ONCE = 200_000
 #: The pattern that ``_starts`` splits by; any other is left to the regex library.
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)
@@ -269,11 +269,12 @@ class Lexicon:
     def learn(self, keys: np.ndarray, n: np.ndarray, ids: np.ndarray) -> None:
         self.keys, self.n, self.ids = np.concatenate([self.keys, keys]), np.concatenate([self.n, n.astype(np.int32)]), np.concatenate([self.ids, ids.astype(np.int32)])
 
-    def ready(self) -> Lexicon:
-        """With what is quicker made than sent."""
-        if not hasattr(self, "tokens"):
+    def ready(self, finds: bool = True) -> Lexicon:
+        """With what is quicker made than sent; ``finds``: words are looked up, else only their ids are read."""
+        if finds and not hasattr(self, "tokens"):
             few = self.rank_of.size  # most words are tokens, and a small index is quicker
             self.tokens, self.words = Index(self.keys[:few]), Index(self.keys[few:])
+        if not hasattr(self, "at"):
             self.at = np.cumsum(self.n, dtype=np.int64) - self.n
             self.finditer = None if self.classes is not None else regex.compile(self.pattern).finditer
         return self
@@ -487,7 +488,7 @@ class Tokenizer:
                 yield pa.RecordBatch.from_arrays([part.column("row"), part.column("text"), _lists(place.astype(np.int32), np.diff(at)), rest, pa.array(begins), pa.array(leads)], ["row", "text", "code", "rest", "begins", "leads"])
 
         def fill(batches):
-            mine = shared.value.ready()
+            mine = shared.value.ready(finds=False)
             flat, ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
             for batch in batches:
                 leads = np.flatnonzero(batch.column("leads").to_numpy(zero_copy_only=False))
