@@ -1,6 +1,8 @@
 import itertools
 import json
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,8 +137,6 @@ def test_upsert_keeps_first_writer_columns(spark):
 
 
 def test_ttl_dedupe_by_brute_force(spark):
-    import random
-
     rng = random.Random(4)
     rows = [(rng.choice("abc"), rng.randrange(3000), i) for i in range(600)] + [("hot", t // 3, 1000 + t) for t in range(3000)]
     want, last = set(), {}
@@ -157,3 +157,43 @@ def test_ties_have_one_answer(spark):
     beats = spark.createDataFrame([("a", "h1", "logs", 5), ("a", "h2", "logs", 5), ("a", "h3", "logs", 4)], "agent_id string, host_id string, source_type string, seen_at long")
     for df in (beats, beats.orderBy(F.desc("host_id"))):
         assert store.heartbeat_table(df.coalesce(1)).first().host_id == "h2"
+
+
+def kept_times(times, ttl):
+    out = []
+    for t in sorted(set(times)):
+        if not out or t >= out[-1] + ttl:
+            out.append(t)
+    return out
+
+
+def test_step_map_by_brute_force():
+    rng = random.Random(4)
+    for _ in range(300):
+        at = np.array(sorted(rng.sample(range(200), rng.randrange(1, 60))))
+        ttl = rng.choice([1, 2, 7, 30, 500])
+        upto, last = dedupe.step_map(at, ttl)
+        assert (np.diff(upto) > 0).all() and (last[1:] != last[:-1]).all()
+        for kept in range(int(at[0]) - ttl - 3, int(at[0])):
+            chain = kept_times([t for t in at.tolist() if t >= kept + ttl], ttl)
+            step = int(np.searchsorted(upto, kept + ttl))
+            assert (last[step] if step < upto.size else None) == (chain[-1] if chain else None)
+
+
+def test_ttl_dedupe_of_a_key_in_many_pieces(spark, monkeypatch):
+    monkeypatch.setattr(dedupe, "STEPS_A_ROW", 3)
+    rng = random.Random(5)
+    rows = [("hot", rng.randrange(40_000)) for _ in range(6000)] + [(f"k{rng.randrange(40)}", rng.randrange(40_000)) for _ in range(800)] + [("hot", 77)] * 500
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for ttl in (1, 50, 3000, 100_000):
+            df = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rows)], "k string, t long, i long").selectExpr("k", "timestamp_seconds(t) as ts", "t", "i")
+            got = {}
+            for r in dedupe.ttl_dedupe(df, "k", "ts", ttl).collect():
+                got.setdefault(r.k, []).append(r.t)
+            assert {k: sorted(v) for k, v in got.items()} == {k: kept_times([t for x, t in rows if x == k], ttl) for k in {k for k, _ in rows}}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
