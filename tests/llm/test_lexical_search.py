@@ -56,8 +56,8 @@ def test_against_the_definition(spark, top):
     check(spark, *corpus(top, 300), top)
 
 
-def test_large_vocabulary_and_parts_of_lists(spark, monkeypatch):
-    monkeypatch.setattr(lexical_search, "MOST_TERMS", 3)
+def test_blocks_of_items_and_parts_of_lists(spark, monkeypatch):
+    monkeypatch.setattr(lexical_search, "BLOCK_TERMS", 150)
     monkeypatch.setattr(lexical_search, "SMALL_TABLE", 0)
     monkeypatch.setattr(lexical_search, "LIST_ROWS", 20)
     check(spark, *corpus(4, 200), 10)
