@@ -1,5 +1,6 @@
 import hashlib
 import json
+import random
 import re
 
 import pandas as pd
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.functions import text as tx
+from tidewatch.filters import key_filter, passing
 from tidewatch.operators import audit, evalrun, generate, leak, records, split, stats
 from tidewatch.plans import catalog
 from tidewatch.sources import files, sinks
@@ -85,12 +87,68 @@ def test_export_rows_and_manifest(spark):
 
 def test_leaks(spark):
     words = [f"w{i}" for i in range(40)]
-    recs = spark.createDataFrame([("a", " ".join(words[:20]), ["c1"], None), ("b", " ".join(words[:6]), None, "c1"), ("d", "none here", ["c1"], "c1")], "text_id string, text string, source_ids array<string>, source_chunk string")
-    chunks = spark.createDataFrame([("c1", " ".join(words[3:35]))], "chunk_id string, text string")
-    lcs = {r.text_id: r.lcs for r in leak.longest_common(leak.candidates(recs, chunks)).collect()}
-    assert lcs == {"a": 17, "b": 0, "d": 0}
+    good, odd = '<reasoning>r</reasoning><answer>{"a": 1}</answer>', "</answer><reasoning></reasoning><answer>{}"
+    recs = spark.createDataFrame(
+        [("a", " ".join(words[:20]), good, "deep", ["c2", "c1", "c3"], None), ("b", " ".join(words[:6]), good, None, None, "c1"), ("d", "none here", odd, "deep", ["c1"], "c1"), ("e", "W3 w4 w5 w6!", None, "deep", ["gone"], None)],
+        "text_id string, text string, answer_text string, synthesis string, source_ids array<string>, source_chunk string",
+    )
+    chunks = spark.createDataFrame([("c1", " ".join(words[3:35])), ("c2", " ".join(words[5:11])), ("c3", " ".join(words[:40]))], "chunk_id string, text string")
+    lcs = {(r.text_id, r.chunk_id): r.lcs for r in leak.longest_common(leak.candidates(recs, chunks)).collect()}
+    assert lcs == {("a", "c1"): 17, ("a", "c2"): 6, ("a", "c3"): 20, ("b", "c1"): 0, ("d", "c1"): 0}
+    # c1 is the first leak of a; c3, named later, isn't looked at
+    seen = {r.text_id: (r.lcs, r.leak_chunk) for r in leak.examined(recs, chunks).collect()}
+    assert seen == {"a": (17, "c1"), "b": (0, None), "d": (0, None)}
     one = leak.audit(recs, chunks).first()
-    assert (one.records, one.leaks, one.max_lcs, one.leak_rate) == (3, 1, 17, 33.33)
+    assert one.asDict() == {
+        "total": 4, "structurally_valid": 2, "structural_validity_pct": 50.0, "with_source_chunk": 3, "verbatim_leaked": 1, "leak_rate_pct": 33.33,
+        "max_lcs_words_observed": 17, "totals_by_synthesis": '{"?":1,"deep":3}', "leaks_by_synthesis": '{"deep":1}',
+    }
+    none = leak.audit(recs.limit(0), chunks).first()
+    assert (none.total, none.leak_rate_pct, none.totals_by_synthesis) == (0, 0.0, "{}")
+
+
+def test_longest_common_by_brute_force(spark):
+    rng = random.Random(3)
+    pairs = []
+    for i in range(150):
+        base = [rng.choice("abcdefgh") for _ in range(60)]
+        cut = rng.randrange(0, 30)
+        pairs.append((i, " ".join(base), " ".join([rng.choice("xyz") for _ in range(5)] + base[cut : cut + rng.randrange(0, 35)] + ["q"] * 3)))
+
+    def longest(a, b):
+        a, b = a.split(), b.split()
+        best = 0
+        for n in range(4, 26):
+            if not {tuple(a[i : i + n]) for i in range(len(a) - n + 1)} & {tuple(b[i : i + n]) for i in range(len(b) - n + 1)}:
+                break
+            best = n
+        return best
+
+    got = {r.i: r.lcs for r in leak.longest_common(spark.createDataFrame(pairs, "i int, text string, chunk string")).collect()}
+    assert got == {i: longest(a, b) for i, a, b in pairs}
+
+
+def test_shared_runs_by_filter_or_broadcast(spark, monkeypatch):
+    rng = random.Random(6)
+    text = lambda n: " ".join(rng.choices("abcd", k=n))
+    texts = [(i, text(rng.randrange(0, 60))) for i in range(40)] + [(0, text(30)), (99, None)]
+    chunks = [(i, text(rng.randrange(0, 40))) for i in range(20)] + [(7, text(20)), (98, None)]
+    runs = lambda t, n=4: {tuple((t or "").split()[i : i + n]) for i in range(len((t or "").split()) - n + 1)}
+    by_id = lambda rows: {k: set().union(*(runs(t) for x, t in rows if x == k)) for k, _ in rows}
+    want = {(a, b): len(x & y) for a, x in by_id(texts).items() for b, y in by_id(chunks).items() if x & y}
+    frames = spark.createDataFrame(texts, "text_id int, text string"), spark.createDataFrame(chunks, "chunk_id int, text string")
+    for most in (leak.SMALL_RUNS, 0):
+        monkeypatch.setattr(leak, "SMALL_RUNS", most)
+        assert {(r.text_id, r.chunk_id): r.n_shared for r in leak.shared_shingles(*frames, 4).collect()} == want
+    assert leak.shared_shingles(frames[0], frames[1].limit(0)).count() == 0
+
+
+def test_filter_has_every_key(spark):
+    keys = spark.range(5000).selectExpr("xxhash64(id) as h")
+    bits = key_filter(keys, 5000)
+    both = spark.range(10_000).selectExpr("id", "xxhash64(id) as h")
+    got = [r.id for r in passing(both, "h", bits).collect()]
+    assert set(range(5000)) <= set(got) and len(got) < 5000 + 250
 
 
 def test_quotas_and_stratified(spark):

@@ -54,6 +54,12 @@ def has_tags(content: Column, tag: str) -> Column:
     return F.contains(content, F.lit(f"<{tag}>")) & F.contains(content, F.lit(f"</{tag}>"))
 
 
+def first_answer(content: Column) -> Column:
+    """From behind the first opening tag of an answer to the first closing one; empty if that comes before."""
+    start = F.instr(content, "<answer>") + F.lit(len("<answer>"))
+    return F.substring(content, start, F.greatest(F.instr(content, "</answer>") - start, F.lit(0)))
+
+
 def without_fence(text: Column) -> Column:
     """The inside of a code fence, if the text is one."""
     return strip(F.regexp_replace(strip(text), r"(?s)^```[A-Za-z]*\s*\n?(.*?)\n?```$", "$1"))
@@ -89,6 +95,12 @@ def shingles(words: Column, n: int) -> Column:
     return F.when(F.size(words) >= n, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
 
 
+def run_hashes(words: Column, n: int) -> Column:
+    """64-bit hash of each run of n words, in order; fewer words have none."""
+    runs = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.xxhash64(F.slice(words, i, n)))
+    return F.when(F.size(words) >= n, runs).otherwise(F.array().cast("array<bigint>"))
+
+
 def estimated_tokens(chars: Column, per_token: float = CHARS_PER_TOKEN) -> Column:
     return F.floor(chars / F.lit(per_token)).cast("long")
 

@@ -2,54 +2,106 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.text import shingles, word_tokens
+from tidewatch.filters import key_filter, passing
+from tidewatch.functions.text import first_answer, has_tags, is_json, run_hashes, word_tokens
+from tidewatch.tables import written
 
 LEAST, MOST, LEAK = 4, 25, 13
+#: Runs of the chunks are broadcast up to so many, 16 bytes each; beyond that texts' runs pass a filter and are shuffled.
+SMALL_RUNS = 1 << 20
+
+
+def _runs(df: DataFrame, key: str, n: int) -> DataFrame:
+    """key, digest of the text, h and i: hash and place of each run of n words."""
+    words = df.select(key, F.xxhash64("text").alias("digest"), word_tokens(F.col("text")).alias("_w"))
+    return words.select(key, "digest", F.posexplode(run_hashes(F.col("_w"), n)).alias("i", "h"))
+
+
+def _said(df: DataFrame, hits: DataFrame, key: str, n: int) -> DataFrame:
+    """``hits`` (key, digest, i) with run, the words themselves."""
+    words = df.select(key, F.xxhash64("text").alias("digest"), word_tokens(F.col("text")).alias("_w")).dropDuplicates([key, "digest"])
+    return hits.join(words, [key, "digest"]).withColumn("run", F.array_join(F.slice("_w", F.col("i") + 1, n), " ")).drop("_w")
 
 
 def shared_shingles(texts: DataFrame, chunks: DataFrame, n: int = LEAK) -> DataFrame:
     """text_id, chunk_id, n_shared: distinct runs of n words that both have.
 
-    Runs meet by their 64-bit hash, on which Spark may broadcast or shuffle as their sizes ask, and are then compared.
+    Runs of the texts are hashes, and nearly all end where they are made: they meet the chunks' hashes in a broadcast
+    join if those are few, else those that pass a bit filter of them are shuffled.  Only runs that meet become words
+    again, which are compared.  What is shuffled is so in proportion to what is shared.
     """
-    def runs(df, key):
-        words = df.select(key, word_tokens(F.col("text")).alias("_w"))  # a column of its own: once a row, not once a run
-        rows = words.select(key, F.explode(shingles(F.col("_w"), n)).alias("run"))
-        return rows.select(key, F.xxhash64("run").alias("h"), "run")
-
-    a, b = runs(texts, "text_id"), runs(chunks, "chunk_id").withColumnRenamed("run", "_run")
-    return a.join(b, "h").where("run = _run").groupBy("text_id", "chunk_id").agg(F.count("*").alias("n_shared"))
+    theirs = written(_runs(chunks, "chunk_id", n).select("chunk_id", F.col("digest").alias("_digest"), F.col("i").alias("_i"), "h"), "leak-runs")
+    ours, many = _runs(texts, "text_id", n), theirs.count()
+    if many <= SMALL_RUNS:
+        hits = ours.join(F.broadcast(theirs), "h")
+    else:
+        hits = passing(ours, "h", key_filter(theirs.select("h").distinct(), many)).join(theirs, "h")
+    hits = written(hits.drop("h"), "leak-hits")
+    a = _said(texts, hits.select("text_id", "digest", "i").distinct(), "text_id", n)
+    b = _said(chunks, hits.select("chunk_id", F.col("_digest").alias("digest"), F.col("_i").alias("i")).distinct(), "chunk_id", n)
+    b = b.select("chunk_id", F.col("digest").alias("_digest"), F.col("i").alias("_i"), F.col("run").alias("_run"))
+    met = hits.join(a, ["text_id", "digest", "i"]).join(b, ["chunk_id", "_digest", "_i"]).where("run = _run")
+    return met.select("text_id", "chunk_id", "run").distinct().groupBy("text_id", "chunk_id").agg(F.count("*").alias("n_shared"))
 
 
 def longest_common(pairs: DataFrame, a: str = "text", b: str = "chunk") -> DataFrame:
     """``pairs`` with lcs: the longest run of words that both have, from 4 to 25; below that 0.
 
-    Sharing a run of n words implies sharing shorter ones, so the first length that isn't shared ends the search.
+    Who shares a run of n words shares shorter ones, so five lengths, each the middle of what is open, tell it.  Runs are
+    compared by their 64-bit hashes.
     """
     rows = pairs.withColumns({"_a": word_tokens(F.col(a)), "_b": word_tokens(F.col(b))})
-    has = lambda n: F.arrays_overlap(shingles(F.col("_a"), n), shingles(F.col("_b"), n))
-    out = F.when(~has(LEAST), 0)
-    for n in range(LEAST + 1, MOST + 1):
-        out = out.when(~has(n), n - 1)
-    return rows.withColumn("lcs", out.otherwise(MOST)).drop("_a", "_b")
+
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low if low >= LEAST else 0)
+        mid = (low + high + 1) // 2
+        has = F.arrays_overlap(run_hashes(F.col("_a"), mid), run_hashes(F.col("_b"), mid))
+        return F.when(has, between(mid, high)).otherwise(between(low, mid - 1))
+
+    return rows.withColumn("lcs", between(LEAST - 1, MOST)).drop("_a", "_b")
 
 
 def candidates(records: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Records (text_id, text, source_ids, source_chunk) beside each chunk that they name."""
-    ids = F.array_distinct(F.concat(F.coalesce("source_ids", F.array().cast("array<string>")), F.array_compact(F.array("source_chunk"))))
-    named = records.select("text_id", "text", F.explode(ids).alias("chunk_id"))
+    """Records (text_id, text, source_ids, source_chunk) beside each chunk that they name, with place: where they name it."""
+    ids = F.concat(F.coalesce("source_ids", F.array().cast("array<string>")), F.array("source_chunk"))
+    named = records.select("text_id", "text", F.posexplode(ids).alias("place", "chunk_id")).where("chunk_id is not null")
     return named.join(chunks.select("chunk_id", F.col("text").alias("chunk")), "chunk_id")
 
 
+def examined(records: DataFrame, chunks: DataFrame) -> DataFrame:
+    """text_id, lcs and leak_chunk of records that name a chunk: chunks are looked at in the order named, up to the first leak.
+
+    lcs is the longest run of those looked at; leak_chunk is null if none has a run of 13 words.
+    """
+    rows = written(longest_common(candidates(records, chunks)).select("text_id", "place", "chunk_id", "lcs"), "leak-lcs")  # read twice, found once
+    leak = F.col("lcs") >= LEAK
+    first = rows.where(leak).groupBy("text_id").agg(F.min(F.struct("place", "chunk_id")).alias("_first"))
+    seen = rows.join(first, "text_id", "left").where(F.col("_first").isNull() | (F.col("place") <= F.col("_first.place")))
+    return seen.groupBy("text_id").agg(F.max("lcs").alias("lcs"), F.first("_first.chunk_id").alias("leak_chunk"))
+
+
 def audit(records: DataFrame, chunks: DataFrame) -> DataFrame:
-    """One row: records, answers that parse, leaks, the longest overlap and the rate of leaks in percent."""
-    best = longest_common(candidates(records, chunks)).groupBy("text_id").agg(F.max("lcs").alias("lcs"))
-    rows = records.join(best, "text_id", "left")
-    leaks = F.count_if(F.col("lcs") >= LEAK)
-    return rows.agg(F.count("*").alias("records"), leaks.alias("leaks"), F.coalesce(F.max("lcs"), F.lit(0)).alias("max_lcs"), F.bround(leaks * 100.0 / F.greatest(F.count("*"), F.lit(1)), 2).alias("leak_rate"))
+    """One row of counts over records (text_id, text, answer_text, synthesis, source_ids, source_chunk).
+
+    Structure is valid if all four tags are there and what stands in the answer's is JSON; the leak rate is of those
+    records that name a chunk; synthesis is ``?`` where unknown.  Percentages have two digits and are 0 of nothing.
+    """
+    rows = records.join(examined(records, chunks), "text_id", "left")
+    said, leaks = F.coalesce("answer_text", F.lit("")), F.count_if(F.col("leak_chunk").isNotNull())
+    valid = has_tags(said, "reasoning") & has_tags(said, "answer") & is_json(first_answer(said))
+    kinds = rows.groupBy(F.coalesce("synthesis", F.lit("?")).alias("kind")).agg(F.count("*").alias("n"), F.count_if(valid).alias("valid"), F.count("lcs").alias("named"), leaks.alias("leaked"), F.max("lcs").alias("most"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    percent = lambda x, n: F.coalesce(F.bround(F.sum(x) * 100.0 / F.greatest(F.sum(n), F.lit(1)), 2), F.lit(0.0))
+    by_kind = lambda c: F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.when(F.col(c) > 0, F.struct("kind", c))))))
+    return kinds.agg(
+        total("n").alias("total"), total("valid").alias("structurally_valid"), percent("valid", "n").alias("structural_validity_pct"), total("named").alias("with_source_chunk"),
+        total("leaked").alias("verbatim_leaked"), percent("leaked", "named").alias("leak_rate_pct"), F.coalesce(F.max("most"), F.lit(0)).alias("max_lcs_words_observed"),
+        by_kind("n").alias("totals_by_synthesis"), by_kind("leaked").alias("leaks_by_synthesis"),
+    )
 
 
 def first_examples(leaks: DataFrame, n: int = 5) -> DataFrame:

@@ -415,6 +415,47 @@ def leak_first_examples(spark, d):
     return _shared(spark, d).groupBy("text_id").agg(F.max("n_shared").alias("most")).orderBy(F.desc("most"), "text_id").limit(5)
 
 
+#: A document as a record that names, in order, pieces of two documents and of itself; pieces are 6 to 30 words long.
+_CHUNKS = r"""
+    w AS (SELECT doc_id, list_transform(regexp_extract_all(text, '[A-Za-z][A-Za-z0-9_''\-]*'), lambda x: lower(x)) AS w FROM documents),
+    c AS (SELECT doc_id AS chunk_id, w[4 : 9 + (doc_id % 25)::INT] AS c FROM w),
+    named AS (
+        SELECT doc_id, w, unnest([doc_id + 1, doc_id + 2, doc_id]) AS chunk_id, unnest([0, 1, 2]) AS place FROM w WHERE doc_id % 4 <> 3
+    ),
+    pairs AS (SELECT named.doc_id, place, chunk_id, ' ' || array_to_string(w, ' ') || ' ' AS t, c FROM named JOIN c USING (chunk_id)),
+    runs AS (SELECT doc_id, place, chunk_id, n, max(contains(t, ' ' || array_to_string(c[i + 1 : i + n], ' ') || ' ')) AS has
+             FROM (SELECT *, unnest(range(0, len(c) - n + 1)) AS i FROM (SELECT *, unnest(range(4, 26)) AS n FROM pairs) WHERE len(c) >= n) GROUP BY ALL),
+    lcs AS (SELECT pairs.doc_id AS text_id, pairs.place, pairs.chunk_id, coalesce(max(n) FILTER (has), 0)::INT AS lcs FROM pairs LEFT JOIN runs USING (doc_id, place, chunk_id) GROUP BY ALL)
+"""
+
+
+def _records(spark, d) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, d, "documents").withColumn("w", tx.word_tokens(F.col("text")))
+    k = F.col("doc_id")
+    chunk = docs.select(k.cast("string").alias("chunk_id"), F.array_join(F.slice("w", F.lit(4), F.greatest(6 + k % 25, F.lit(0)).cast("int")), " ").alias("text"))
+    valid = F.when(k % 5 == 0, '<reasoning>x</reasoning> <answer>{"a": [1]}</answer>').when(k % 5 == 1, "<reasoning></reasoning><answer>{bad</answer>").when(k % 5 == 2, "</answer><answer>{}<reasoning></reasoning>").otherwise("<answer>1</answer>")
+    names = F.when(k % 4 != 3, F.array((k + 1).cast("string"), (k + 2).cast("string")))
+    recs = docs.select(k.alias("text_id"), "text", valid.alias("answer_text"), F.when(k % 3 != 0, F.concat(F.lit("kind-"), (k % 3).cast("string"))).alias("synthesis"), names.alias("source_ids"), F.when(k % 4 != 3, k.cast("string")).alias("source_chunk"))
+    return recs, chunk
+
+
+@query(f"WITH {_CHUNKS} SELECT text_id, chunk_id::VARCHAR AS chunk_id, lcs FROM lcs")
+def longest_common_run(spark, d):
+    return leak.longest_common(leak.candidates(*_records(spark, d))).select("text_id", "chunk_id", "lcs")
+
+
+@query(f"""WITH {_CHUNKS}, l AS (SELECT text_id, min(place) FILTER (lcs >= 13) AS leak FROM lcs GROUP BY 1),
+    s AS (SELECT text_id, max(lcs) AS lcs, any_value(leak) AS leak FROM lcs JOIN l USING (text_id) WHERE leak IS NULL OR place <= leak GROUP BY 1),
+    r AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '?' ELSE 'kind-' || doc_id % 3 END AS kind, doc_id % 5 = 0 AS valid, lcs, leak FROM documents LEFT JOIN s ON text_id = doc_id),
+    k AS (SELECT kind, count(*) AS n, count(leak) AS leaks FROM r GROUP BY kind)
+    SELECT count(*) AS total, count(*) FILTER (valid) AS structurally_valid, round(100.0::DOUBLE * count(*) FILTER (valid) / count(*), 2) AS structural_validity_pct,
+           count(lcs) AS with_source_chunk, count(leak) AS verbatim_leaked, round(100.0::DOUBLE * count(leak) / greatest(count(lcs), 1), 2) AS leak_rate_pct, max(lcs) AS max_lcs_words_observed,
+           (SELECT '{{' || string_agg('"' || kind || '":' || n, ',' ORDER BY kind) || '}}' FROM k) AS totals_by_synthesis, (SELECT '{{' || string_agg('"' || kind || '":' || leaks, ',' ORDER BY kind) FILTER (leaks > 0) || '}}' FROM k) AS leaks_by_synthesis
+    FROM r""")
+def leak_audit(spark, d):
+    return leak.audit(*_records(spark, d))
+
+
 @query("SELECT doc_id, min(doc_id) OVER (PARTITION BY sha256(text)) AS first_doc, doc_id <> min(doc_id) OVER (PARTITION BY sha256(text)) AS is_duplicate FROM documents")
 def exact_duplicates_first_seen(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
