@@ -47,29 +47,40 @@ def lines(spark, tmp_path):
     return files.numbered_lines(spark, str(tmp_path))
 
 
-def issues(df):
+def codes(df):
     out = {}
     for r in df.collect():
-        out.setdefault(r.line, set()).add(r.issue.split(":")[0])
+        out.setdefault(r.line, set()).add(f"{r.code}:{r.detail}" if r.detail else r.code)
     return out
 
 
 def test_audits(lines):
     parsed = audit.parse(lines).cache()
     assert sorted(r.line for r in parsed.select("line").collect()) == [1, 3, 4, 5, 6, 7, 8, 9]
-    basic = issues(audit.basic_audit(parsed))
-    assert basic[3] == {"invalid JSON"} and basic[7] == {"roles must be system, user, assistant"} and 1 not in basic
-    got = issues(audit.strict_audit(parsed, audit.Checks(True, True, True, True, 10)))
-    assert got[1] == {"reasoning is too short"}
-    assert {"source_id has noncanonical style", "duplicate user prompt also seen at good.jsonl"} <= got[5]
-    assert {"answer is not valid JSON", "meta.split must be train"} <= got[6]
-    assert {"forbidden phrase", "meta.source_book must equal good"} <= got[8]
-    assert "meta must be an object" in got[9]
-    counts = audit.valid_counts(parsed).first()
-    assert (counts.total_lines, counts.valid_records) == (8, 5)
-    assert set(issues(audit.range_audit(parsed, 3, 4))) == {3, 4}
+    basic = codes(audit.basic_audit(parsed))
+    assert basic == {3: {"json"}, 4: {"messages"}, 7: {"roles:user,user,assistant"}, 9: {"meta"}}
+    checks = (*audit.STRICT, audit.short_reasoning(10), audit.core_keys(), audit.phrases(audit.PHRASES_STRICT), *audit.id_styles(audit.STYLES_STRICT))
+    got = codes(audit.strict_audit(parsed, checks, repeats=True))
+    short = "reasoning_length:3"
+    assert got[1] == {short} and got[3] == {"json"} and got[4] == {"messages"}
+    assert got[5] == {short, "source_id_style:odd id", "repeated_prompt:good.jsonl:1", "repeated_answer:good.jsonl:1"}
+    assert got[6] == {short, "answer_json", "split:eval", "repeated_task_sources:good.jsonl:1"}
+    assert got[8] == {short, "phrase:the passage says", "source_book:other", "repeated_task_sources:good.jsonl:1"}
+    assert got[9] == {short, "meta"}
+    rows = audit.audited(parsed, checks)
+    counts = audit.report(rows, audit.duplicates(parsed)).first()
+    assert (counts.total_lines, counts.valid_records, counts.issues) == (8, 5, sum(map(len, got.values())))
+    assert set(codes(audit.range_audit(parsed, 3, 4))) == {3, 4}
     errors = {r.location: r.error for r in audit.export_errors(parsed).collect()}
-    assert "good.jsonl:1" not in errors and errors["good.jsonl:6"] == "answer is not valid JSON"
+    assert errors == {"good.jsonl:3": "json", "good.jsonl:4": "messages", "good.jsonl:6": "answer_json", "good.jsonl:7": "roles", "good.jsonl:8": "source_book", "good.jsonl:9": "meta"}
+
+
+def test_audit_of_ids_and_flags_of_other_types(spark):
+    rows = [record("a", ids=("mitre-T1059.001", 7, None)), record("b", synthesized="true"), record("c", ids=())]
+    parsed = audit.parse(spark.createDataFrame([("good.jsonl", i, v) for i, v in enumerate(rows, 1)], "file string, line int, value string"))
+    got = codes(audit.strict_audit(parsed, (*audit.STRICT, *audit.id_styles(audit.STYLES_STRICT))))
+    assert got == {1: {"source_id_type:bigint", "source_id_type:void"}, 2: {"synthesized"}, 3: {"source_ids"}}
+    assert audit.audited(parsed.limit(0)).count() == 0
 
 
 def test_export_rows_and_manifest(spark):
@@ -78,11 +89,11 @@ def test_export_rows_and_manifest(spark):
     rows = [json.dumps(ok), json.dumps({"messages": [], "x": 1}), json.dumps({"messages": [{"role": "user", "content": "q"}, {"role": "system", "content": "s", "weight": 2}]})]
     got = {r.location: set(r.issues) for r in audit.validate_rows(spark.createDataFrame(list(enumerate(rows)), "location int, value string")).collect()}
     assert got[0] == set()
-    assert {"missing or empty messages array", "unexpected keys: ['x']"} <= got[1]
-    assert {"weight must be 0 or 1 when present", "system message must be first when present", "at least one assistant message is required"} <= got[2]
+    assert got[1] == {"messages", "keys:x"}
+    assert got[2] == {"weight", "system_first", "no_role:assistant"}
     entries = spark.createDataFrame([("a", 1, "s"), ("b", 2, "s"), ("c", 1, "s")], "file string, records int, sha256 string")
     results = spark.createDataFrame([("a", 1, "s"), ("b", 3, "t"), ("z", 1, "s")], "file string, records int, sha256 string")
-    assert sorted((r.file, r.issue) for r in audit.check_manifest(entries, results).collect()) == [("b", "record count differs"), ("b", "sha256 differs"), ("c", "not among the validated files")]
+    assert sorted((r.file, r.issue) for r in audit.check_manifest(entries, results).collect()) == [("b", "records"), ("b", "sha256"), ("c", "unknown_file")]
 
 
 def test_leaks(spark):

@@ -1,46 +1,51 @@
-"""Contract audits: a record becomes no, one or several (location, issue) rows.
+"""Contract audits: lists of checks, compiled into one pass over the lines of a corpus.
 
-Records are parsed once; every check is an expression, and the issues of a record are an array that is exploded.
+A check names what it looks at, from which level of a line on, and gives the details it finds, none if the line is in
+order.  ``audited`` evaluates a list of checks on every line at once; issues, counts by file and valid records are read
+from its result.  Levels: 0 a line that is no JSON, 1 without three messages, 2 without a meta object, 3 whole.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.text import has_tags, is_json, is_json_object, message_chars, estimated_tokens, CHARS_PER_TOKEN_SYNTHESIS, tagged
+from tidewatch.functions.text import CHARS_PER_TOKEN_SYNTHESIS, estimated_tokens, has_tags, is_json, is_json_object, strip, tagged
 from tidewatch.operators.dedupe import first_seen
 
 ROLES = ("system", "user", "assistant")
 #: Fields, keys, phrases and identifier styles that the audits ask for or forbid.
 META_FIELDS = ("task", "source_ids", "source_book", "split", "synthesized")
-CORE_ANSWER_KEYS = ("actions", "evidence", "hypotheses", "summary")
+CORE_ANSWER_KEYS = ("summary", "evidence", "hypotheses", "actions")
 PHRASES_STRICT = ("from the book", "book excerpt", "raw chunk", "parser output", "the chunk talks about", "the passage says")
 PHRASES_RANGE = (*PHRASES_STRICT, "page ", "chapter ", "excerpt")
+#: Fixed values, as alternatives of one expression; a ``concept-`` name needs no groups of its own, its letters have the hyphen.
 STYLES_STRICT = (
-    r"owasp-[0-9]{4}-a[0-9]{2}",
-    r"mitre-T[0-9]{4}(?:\.[0-9]{3})?",
-    r"cve-[0-9]{4}-[0-9]{4,7}",
+    r"owasp-\d{4}-a\d{2}",
+    r"mitre-T\d{4}(?:\.\d{3})?",
+    r"cve-\d{4}-\d{4,7}",
     r"ghsa-[a-z0-9]{4}-[a-z0-9]{4}-[a-z0-9]{4}",
-    r"cisa-kev-cve-[0-9]{4}-[0-9]{4,7}",
+    r"cisa-kev-cve-\d{4}-\d{4,7}",
     r"gtfobins-[a-z0-9_.+-]+",
     r"lolbas-[a-z0-9_.+-]+",
     r"sigma-[A-Za-z0-9_.:-]+",
     r"concept-[a-z0-9_.+-]+",
 )
 STYLES_RANGE = (
-    r"owasp-[0-9]{4}-a[0-9]{2}",
+    r"owasp-\d{4}-a\d{2}",
     r"owasp-masvs-[a-z0-9_.+-]+",
-    r"mitre-T[0-9]{4}(?:\.[0-9]{3})?",
-    r"mitre-mobile-T[0-9]{4}(?:\.[0-9]{3})?",
-    r"cisa-kev-cve-[0-9]{4}-[0-9]{4,7}",
+    r"mitre-T\d{4}(?:\.\d{3})?",
+    r"mitre-mobile-T\d{4}(?:\.\d{3})?",
+    r"cisa-kev-cve-\d{4}-\d{4,7}",
     r"gtfobins-[a-z0-9_.+-]+",
     r"lolbas-[a-z0-9_.+-]+",
     r"sigma-[A-Za-z0-9_.:-]+",
     r"concept-[a-z0-9_.+-]+",
 )
+#: Keys of an export row.
 ALLOWED_ROOT_KEYS = ("messages", "tools", "weight")
 
 
@@ -49,202 +54,225 @@ def one_of(styles: tuple[str, ...]) -> str:
 
 
 @dataclass(frozen=True)
-class Checks:
-    """What an audit looks at beside the shape of a record."""
+class Check:
+    """``finds``: the details of what is wrong, as an array, or whether anything is; asked of lines of ``level`` or more."""
 
-    source_ids: bool = False
-    duplicates: bool = False
-    answer_schema: bool = False
-    content_lint: bool = False
-    min_reasoning: int = 0
-    phrases: tuple[str, ...] = PHRASES_STRICT
-    styles: tuple[str, ...] = STYLES_STRICT
+    code: str
+    level: int
+    finds: Callable[[], Column]
+    #: Lines of exactly that level only: what keeps a line from the next one.
+    only: bool = False
+
+    def issues(self) -> Column:
+        found = self.finds()
+        at = F.col("level") == self.level if self.only else F.col("level") >= self.level
+        return F.transform(F.when(at, found), lambda d: F.struct(F.lit(self.code).alias("code"), d.alias("detail")))
+
+
+def when(bad: Column, detail: Column | None = None) -> Column:
+    """One detail, empty if there is nothing to say, where ``bad`` holds; null counts as not."""
+    return F.when(F.coalesce(bad, F.lit(False)), F.array(F.lit("") if detail is None else detail))
 
 
 def parse(lines: DataFrame) -> DataFrame:
-    """lines (file, line, value) with the record's parts: messages as variants, roles, contents, meta."""
+    """lines (file, line, value) with their level and a record's parts."""
     rec = F.try_parse_json("value")
     get = lambda path, kind: F.try_variant_get(rec, path, kind)
-    n = F.when(F.get_json_object("value", "$.messages").startswith("["), F.size(F.from_json(F.get_json_object("value", "$.messages"), "array<string>")))
+    of = lambda path: F.get_json_object("value", path)
+    n = F.when(of("$.messages").startswith("["), F.size(F.from_json(of("$.messages"), "array<string>")))
     role, content = ([get(f"$.messages[{i}].{c}", "string") for i in range(3)] for c in ("role", "content"))
-    return lines.select(
-        "*", rec.isNotNull().alias("is_json"), n.alias("n_messages"), F.array(*role).alias("roles"), F.array(*[F.coalesce(c, F.lit("")) for c in content]).alias("contents"),
-        F.when(F.get_json_object("value", "$.meta").startswith("{"), F.get_json_object("value", "$.meta")).alias("meta"),
-    ).withColumns({
+    meta = F.when(of("$.meta").startswith("{"), of("$.meta"))
+    rows = lines.select(
+        "*", F.when(rec.isNull(), 0).when(F.coalesce(n != 3, F.lit(True)), 1).when(meta.isNull(), 2).otherwise(3).alias("level"),
+        F.array(*role).alias("roles"), F.array(*[F.coalesce(c, F.lit("")) for c in content]).alias("contents"), meta.alias("meta"),
+    )
+    ids = F.get_json_object("meta", "$.source_ids")
+    return rows.withColumns({
         "answer": tagged(F.col("contents")[2], "answer"), "reasoning": tagged(F.col("contents")[2], "reasoning"),
-        "source_ids": F.when(F.get_json_object("meta", "$.source_ids").startswith("["), F.from_json(F.get_json_object("meta", "$.source_ids"), "array<string>")),
+        "source_ids": F.when(ids.startswith("["), F.from_json(ids, "array<string>")), "id_types": F.when(ids.startswith("["), F.transform(F.from_json(ids, "array<variant>"), F.schema_of_variant)),
         "task": F.get_json_object("meta", "$.task"), "source_book": F.get_json_object("meta", "$.source_book"),
     })
 
 
-def _issue(when: Column, text) -> Column:
-    return F.when(F.coalesce(when, F.lit(False)), F.lit(text) if isinstance(text, str) else text)
+def _location() -> Column:
+    return F.concat_ws(":", "file", F.col("line").cast("string"))
 
 
-def _names(values: Column) -> Column:
-    return F.concat(F.lit("["), F.array_join(F.transform(values, lambda v: F.concat(F.lit("'"), v, F.lit("'"))), ", "), F.lit("]"))
+def _stem() -> Column:
+    return F.regexp_replace("file", r"\.[^.]*$", "")
 
 
-def _location() -> Column:
-    return F.concat_ws(":", "file", F.col("line").cast("string"))
+def _list(names: tuple[str, ...]) -> Column:
+    return F.array(*[F.lit(n) for n in names])
 
 
-def _rows(parsed: DataFrame, issues: list[Column], more: list[Column] = ()) -> DataFrame:
-    every = F.array_compact(F.array(*issues))
-    for array in more:
-        every = F.concat(every, F.coalesce(array, F.array().cast("array<string>")))
-    return parsed.select(_location().alias("location"), "file", "line", F.explode(every).alias("issue"))
+def _field(name: str) -> Column:
+    return F.coalesce(F.get_json_object("meta", f"$.{name}"), F.lit(""))
 
 
-def _stem() -> Column:
-    return F.regexp_replace("file", r"\.[^.]*$", "")
+def _missing(names: tuple[str, ...], doc: str) -> Column:
+    return F.array_except(_list(names), F.json_object_keys(doc))
+
+
+def _is_true(name: str) -> Column:
+    value = F.try_variant_get(F.try_parse_json("meta"), f"$.{name}", "variant")
+    return F.coalesce((F.schema_of_variant(value) == "BOOLEAN") & (_field(name) == "true"), F.lit(False))
+
+
+NO_JSON = Check("json", 0, lambda: when(F.lit(True)), only=True)
+NO_MESSAGES = Check("messages", 1, lambda: when(F.lit(True)), only=True)
+NO_META = Check("meta", 2, lambda: when(F.lit(True)), only=True)
+WRONG_ROLES = Check("roles", 2, lambda: when(~F.col("roles").eqNullSafe(_list(ROLES)), F.array_join("roles", ",", "?")))
+META_FIELD = Check("meta_fields", 3, lambda: when(F.size(_missing(META_FIELDS, "meta")) > 0, F.array_join(_missing(META_FIELDS, "meta"), ",")))
+NOT_SYNTHESIZED = Check("synthesized", 3, lambda: when(~_is_true("synthesized")))
+
+STRICT = (
+    NO_JSON, NO_MESSAGES, WRONG_ROLES,
+    Check("tags", 2, lambda: F.filter(_list(("reasoning", "answer")), lambda t: ~(F.contains(F.col("contents")[2], F.concat(F.lit("<"), t, F.lit(">"))) & F.contains(F.col("contents")[2], F.concat(F.lit("</"), t, F.lit(">")))))),
+    Check("answer_block", 2, lambda: when(F.col("answer").isNull())),
+    Check("answer_json", 2, lambda: when(F.col("answer").isNotNull() & ~is_json(F.col("answer")))),
+    NO_META, META_FIELD,
+    Check("source_book", 3, lambda: when(_field("source_book") != _stem(), _field("source_book"))),
+    NOT_SYNTHESIZED,
+    Check("split", 3, lambda: when(_field("split") != "train", _field("split"))),
+    Check("source_ids", 3, lambda: when(F.coalesce(F.size("source_ids"), F.lit(0)) <= 0)),
+)
+
+
+def short_reasoning(least: int) -> Check:
+    return Check("reasoning_length", 2, lambda: when(F.length("reasoning") < least, F.length("reasoning").cast("string")))
+
+
+def core_keys() -> Check:
+    missing = lambda: F.array_sort(_missing(CORE_ANSWER_KEYS, "answer"))
+    return Check("answer_keys", 2, lambda: when(is_json_object(F.col("answer")) & (F.size(missing()) > 0), F.array_join(missing(), ",")))
+
+
+def phrases(words: tuple[str, ...]) -> Check:
+    return Check("phrase", 2, lambda: F.filter(_list(words), lambda p: F.contains(F.lower(F.array_join("contents", "\n")), p)))
+
+
+def id_styles(styles: tuple[str, ...]) -> tuple[Check, Check]:
+    pairs = lambda: F.arrays_zip(F.col("source_ids").alias("id"), F.col("id_types").alias("type"))
+    odd = lambda p: (p["type"] == "STRING") & ~F.regexp_like(p["id"], F.lit(one_of(styles)))
+    return (
+        Check("source_id_type", 3, lambda: F.transform(F.filter(pairs(), lambda p: p["type"] != "STRING"), lambda p: F.lower(p["type"]))),
+        Check("source_id_style", 3, lambda: F.transform(F.filter(pairs(), odd), lambda p: p["id"])),
+    )
+
+
+RANGE = (*STRICT, core_keys(), phrases(PHRASES_RANGE), *id_styles(STYLES_RANGE))
+
+
+def _basic(check: Check) -> Check:
+    """As ``check``, of lines with the right roles only: wrong ones end a record's basic audit."""
+    return Check(check.code, check.level, lambda: F.when(F.col("roles").eqNullSafe(_list(ROLES)), check.finds()), check.only)
+
+
+BASIC = (
+    NO_JSON, NO_MESSAGES, WRONG_ROLES,
+    _basic(Check("tags", 2, lambda: when(~(F.contains(F.col("contents")[2], F.lit("<reasoning>")) & F.contains(F.col("contents")[2], F.lit("<answer>")))))),
+    _basic(NO_META), _basic(META_FIELD), _basic(NOT_SYNTHESIZED),
+)
+
+
+def audited(parsed: DataFrame, checks: tuple[Check, ...] = STRICT) -> DataFrame:
+    """``parsed`` with issues: (code, detail) of every check that finds something, in the order of the checks."""
+    every = F.flatten(F.array(*[F.coalesce(c.issues(), F.array().cast("array<struct<code:string,detail:string>>")) for c in checks]))
+    return parsed.withColumn("issues", every)
+
+
+def issues(rows: DataFrame) -> DataFrame:
+    """location, file, line, code, detail: a row an issue of audited lines."""
+    return rows.select(_location().alias("location"), "file", "line", F.explode("issues").alias("i")).select("location", "file", "line", "i.code", "i.detail")
+
+
+def strict_audit(parsed: DataFrame, checks: tuple[Check, ...] = STRICT, repeats: bool = False) -> DataFrame:
+    """Issues of the checks, and with ``repeats`` those of ``duplicates``; wrong roles don't end a record's audit, a wrong level does."""
+    found = issues(audited(parsed, checks))
+    return found.unionByName(duplicates(parsed)) if repeats else found
 
 
 def basic_audit(parsed: DataFrame) -> DataFrame:
-    """Wrong shape or roles end a record's audit; of tags only the opening ones count."""
-    shape = F.coalesce(F.col("n_messages") == 3, F.lit(False))
-    roles = F.col("roles") == F.array(*[F.lit(r) for r in ROLES])
-    ok = F.col("is_json") & shape & roles
-    c = F.col("contents")[2]
-    missing = F.array_except(F.array(*[F.lit(f) for f in META_FIELDS]), F.json_object_keys("meta"))
-    return _rows(parsed, [
-        _issue(~F.col("is_json"), "invalid JSON"),
-        _issue(F.col("is_json") & ~shape, "messages must have exactly 3 entries"),
-        _issue(F.col("is_json") & shape & ~roles, "roles must be system, user, assistant"),
-        _issue(ok & ~(F.contains(c, F.lit("<reasoning>")) & F.contains(c, F.lit("<answer>"))), "assistant content lacks reasoning or answer tags"),
-        _issue(ok & F.col("meta").isNull(), "meta must be an object"),
-        _issue(ok & (F.size(missing) > 0), F.concat(F.lit("missing meta fields: "), _names(missing))),
-        _issue(ok & F.col("meta").isNotNull() & (F.coalesce(F.get_json_object("meta", "$.synthesized"), F.lit("")) != "true"), "synthesized should be true"),
-    ])
-
-
-def strict_audit(parsed: DataFrame, checks: Checks = Checks()) -> DataFrame:
-    """Wrong roles don't end a record's audit; a wrong number of messages, or meta that is no object, do."""
-    whole = F.col("is_json") & F.coalesce(F.col("n_messages") == 3, F.lit(False))
-    meta = whole & F.col("meta").isNotNull()
-    answer, reasoning, ids = F.col("answer"), F.col("reasoning"), F.col("source_ids")
-    missing = F.array_except(F.array(*[F.lit(f) for f in META_FIELDS]), F.json_object_keys("meta"))
-    field = lambda f: F.coalesce(F.get_json_object("meta", f"$.{f}"), F.lit(""))
-    issues = [
-        _issue(~F.col("is_json"), "invalid JSONL record"),
-        _issue(F.col("is_json") & ~whole, "messages must be exactly [system, user, assistant]"),
-        _issue(whole & (F.col("roles") != F.array(*[F.lit(r) for r in ROLES])), "roles must be system, user, assistant"),
-        *[_issue(whole & ~has_tags(F.col("contents")[2], t), f"assistant lacks complete {t} tags") for t in ("reasoning", "answer")],
-        _issue(whole & answer.isNull(), "cannot extract the answer block"),
-        _issue(whole & answer.isNotNull() & ~is_json(answer), "answer is not valid JSON"),
-        _issue(whole & F.col("meta").isNull(), "meta must be an object"),
-        _issue(meta & (F.size(missing) > 0), F.concat(F.lit("missing meta fields: "), _names(missing))),
-        _issue(meta & (field("source_book") != _stem()), F.concat(F.lit("meta.source_book must equal "), _stem())),
-        _issue(meta & (field("synthesized") != "true"), "meta.synthesized must be true"),
-        _issue(meta & (field("split") != "train"), "meta.split must be train"),
-        _issue(meta & (F.coalesce(F.size(ids), F.lit(0)) <= 0), "meta.source_ids must be a non-empty list"),
-    ]
-    more = []
-    if checks.min_reasoning:
-        issues.append(_issue(whole & (F.length(reasoning) < checks.min_reasoning), F.concat(F.lit("reasoning is too short: "), F.length(reasoning).cast("string"))))
-    if checks.answer_schema:
-        core = F.array_except(F.array(*[F.lit(k) for k in CORE_ANSWER_KEYS]), F.json_object_keys(answer))
-        issues.append(_issue(whole & is_json_object(answer) & (F.size(core) > 0), F.concat(F.lit("answer lacks core keys: "), _names(core))))
-    if checks.content_lint:
-        text = F.lower(F.array_join("contents", "\n"))
-        found = F.filter(F.array(*[F.lit(p) for p in checks.phrases]), lambda p: F.contains(text, p))
-        more.append(F.when(whole, F.transform(found, lambda p: F.concat(F.lit("forbidden phrase: "), p))))
-    if checks.source_ids:
-        odd = F.filter(ids, lambda i: ~F.regexp_like(i, F.lit(one_of(checks.styles))))
-        more.append(F.when(meta, F.transform(odd, lambda i: F.concat(F.lit("source_id has noncanonical style: "), i))))
-    out = _rows(parsed, issues, more)
-    if checks.duplicates:
-        out = out.unionByName(duplicates(parsed.where(meta)))
-    return out
-
-
-def range_audit(parsed: DataFrame, first: int, last: int, checks: Checks | None = None) -> DataFrame:
+    return issues(audited(parsed, BASIC))
+
+
+def range_audit(parsed: DataFrame, first: int, last: int) -> DataFrame:
     """The strict audit of a range of lines, with its own phrases and styles and without duplicates."""
-    use = checks or Checks(source_ids=True, answer_schema=True, content_lint=True, phrases=PHRASES_RANGE, styles=STYLES_RANGE)
-    return strict_audit(parsed.where(F.col("line").between(first, last)), use)
+    return issues(audited(parsed.where(F.col("line").between(first, last)), RANGE))
 
 
 def duplicates(parsed: DataFrame) -> DataFrame:
-    """Repeats of a prompt, an answer, or a task with its sources, each with the place of the first."""
-    order = [F.col("file"), F.col("line")]
-    kinds = {
-        "duplicate user prompt": F.sha2(F.col("contents")[1], 256),
-        "duplicate answer": F.sha2("answer", 256),
-        "duplicate task and source_ids": F.when(F.col("source_ids").isNotNull(), F.to_json(F.struct("task", F.array_sort("source_ids").alias("ids")))),
-    }
-    out = None
-    for text, key in kinds.items():
-        rows = first_seen(parsed.withColumn("_k", key).where("_k is not null"), F.col("_k"), order, _location()).where("is_duplicate")
-        part = rows.select(_location().alias("location"), "file", "line", F.concat(F.lit(f"{text} also seen at "), F.col("first_place")).alias("issue"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Repeats of a prompt, an answer, or a task with its sources among whole records; detail: the place of the first."""
+    whole = parsed.where("level = 3").select("file", "line", "contents", "answer", "task", "source_ids")
+    keys = F.array(
+        F.struct(F.lit("repeated_prompt").alias("code"), F.sha2(F.col("contents")[1], 256).alias("key")),
+        F.struct(F.lit("repeated_answer").alias("code"), F.sha2(strip(F.col("answer")), 256).alias("key")),
+        F.struct(F.lit("repeated_task_sources").alias("code"), F.when(F.col("source_ids").isNotNull(), F.to_json(F.struct("task", F.array_sort("source_ids").alias("ids")))).alias("key")),
+    )
+    rows = whole.select("file", "line", F.explode(keys).alias("k")).select("file", "line", "k.code", "k.key").where("key is not null")
+    seen = first_seen(rows, F.struct("code", "key"), [F.col("file"), F.col("line")], _location()).where("is_duplicate")
+    return seen.select(_location().alias("location"), "file", "line", "code", F.col("first_place").alias("detail"))
 
 
-def valid_counts(parsed: DataFrame) -> DataFrame:
-    """file, total_lines, valid_records (those whose audit reached the end), issues aside."""
-    ok = F.col("is_json") & F.coalesce(F.col("n_messages") == 3, F.lit(False)) & F.col("meta").isNotNull()
-    return parsed.groupBy("file").agg(F.count("*").alias("total_lines"), F.count_if(ok).alias("valid_records"))
+def report(rows: DataFrame, repeats: DataFrame | None = None) -> DataFrame:
+    """file, total_lines, valid_records (whole ones, issues aside) and issues of audited lines and, if given, their repeats."""
+    counts = rows.select("file", F.lit(1).alias("lines"), (F.col("level") == 3).cast("int").alias("valid"), F.size("issues").alias("found"))
+    if repeats is not None:
+        counts = counts.unionByName(repeats.select("file", F.lit(0).alias("lines"), F.lit(0).alias("valid"), F.lit(1).alias("found")))
+    return counts.groupBy("file").agg(F.sum("lines").alias("total_lines"), F.sum("valid").alias("valid_records"), F.sum("found").alias("issues"))
 
 
 def export_errors(parsed: DataFrame) -> DataFrame:
-    """The first error of each record that can't be exported: location, error."""
-    whole = F.coalesce(F.col("n_messages") == 3, F.lit(False))
-    field = lambda f: F.coalesce(F.get_json_object("meta", f"$.{f}"), F.lit(""))
+    """The first thing that keeps each record from being exported: location, error."""
     error = (
-        F.when(~F.col("is_json"), "invalid JSON").when(~whole, "messages must be exactly [system, user, assistant]")
-        .when(F.col("roles") != F.array(*[F.lit(r) for r in ROLES]), "roles must be system, user, assistant")
-        .when(F.exists("contents", lambda c: F.trim(c) == ""), "a message is empty")
-        .when(F.col("reasoning").isNull(), "no reasoning").when(F.col("answer").isNull(), "no answer").when(~is_json(F.col("answer")), "answer is not valid JSON")
-        .when(F.col("meta").isNull(), "meta must be an object").when(field("source_book") != _stem(), "meta.source_book must equal the file's stem")
-        .when(field("synthesized") != "true", "meta.synthesized must be true").when(field("split") != "train", "meta.split must be train")
-        .when(F.coalesce(F.size("source_ids"), F.lit(0)) <= 0, "meta.source_ids must be a non-empty list")
+        F.when(F.col("level") == 0, "json").when(F.col("level") == 1, "messages").when(~F.col("roles").eqNullSafe(_list(ROLES)), "roles")
+        .when(F.exists("contents", lambda c: F.trim(c) == ""), "content").when(F.col("reasoning").isNull(), "reasoning")
+        .when(F.col("answer").isNull(), "answer_block").when(~is_json(F.col("answer")), "answer_json").when(F.col("level") == 2, "meta")
+        .when(_field("source_book") != _stem(), "source_book").when(~_is_true("synthesized"), "synthesized").when(_field("split") != "train", "split")
+        .when(F.coalesce(F.size("source_ids"), F.lit(0)) <= 0, "source_ids")
     )
     return parsed.select(_location().alias("location"), error.alias("error")).where("error is not null")
 
 
 def validate_rows(rows: DataFrame, min_reasoning: int = 200, tags: bool = True) -> DataFrame:
-    """Export rows (location, value) -> location, n_tokens, issues: keys, roles, contents, reasoning and answer."""
+    """Export rows (location, value) -> location, n_tokens, issues (codes with their details): keys, roles, contents, answer."""
     msg = "array<struct<role:string,content:string,weight:string,reasoning_content:string>>"
-    keys = F.json_object_keys("value")
-    r = rows.withColumns({"m": F.from_json(F.get_json_object("value", "$.messages"), msg), "extra": F.array_except(keys, F.array(*[F.lit(k) for k in ALLOWED_ROOT_KEYS]))})
-    m = F.col("m")
-    role = F.transform(m, lambda x: x["role"])
-    last = F.element_at(F.filter(m, lambda x: x["role"] == "assistant"), -1)
-    r = r.withColumn("a", F.when(F.array_contains(role, "assistant"), last))
+    r = rows.withColumns({"m": F.from_json(F.get_json_object("value", "$.messages"), msg), "extra": F.array_except(F.json_object_keys("value"), _list(ALLOWED_ROOT_KEYS))})
+    m, role = F.col("m"), F.transform("m", lambda x: x["role"])
+    r = r.withColumn("a", F.when(F.array_contains(role, "assistant"), F.element_at(F.filter(m, lambda x: x["role"] == "assistant"), -1)))
     reasoning = F.coalesce(tagged(F.col("a.content"), "reasoning"), F.trim("a.reasoning_content"))
-    answer = tagged(F.col("a.content"), "answer")
-    has = F.coalesce(F.size(m) > 0, F.lit(False))
-    issues = [
-        _issue(F.size("extra") > 0, F.concat(F.lit("unexpected keys: "), _names(F.array_sort("extra")))),
-        _issue(~has, "missing or empty messages array"),
-        _issue(has & F.exists(m, lambda x: ~F.coalesce(x["role"].isin(*ROLES), F.lit(False))), "a message has an invalid role"),
-        _issue(has & F.exists(m, lambda x: x["content"].isNull()), "content must be a string"),
-        _issue(has & F.exists(m, lambda x: ~F.coalesce(x["weight"].isin("0", "1"), F.lit(True))), "weight must be 0 or 1 when present"),
-        _issue(has & F.array_contains(role, "system") & (F.element_at(role, 1) != "system"), "system message must be first when present"),
-        *[_issue(has & ~F.array_contains(role, x), f"at least one {x} message is required") for x in ("user", "assistant")],
-    ]
+    answer, a, has = tagged(F.col("a.content"), "answer"), F.col("a").isNotNull(), F.coalesce(F.size(m) > 0, F.lit(False))
+    found = {
+        "keys": when(F.size("extra") > 0, F.array_join(F.array_sort("extra"), ",")),
+        "messages": when(~has),
+        "role": when(has & F.exists(m, lambda x: ~F.coalesce(x["role"].isin(*ROLES), F.lit(False)))),
+        "content": when(has & F.exists(m, lambda x: x["content"].isNull())),
+        "weight": when(has & F.exists(m, lambda x: ~F.coalesce(x["weight"].isin("0", "1"), F.lit(True)))),
+        "system_first": when(has & F.array_contains(role, "system") & (F.element_at(role, 1) != "system")),
+        "no_role": F.when(has, F.array_except(_list(("user", "assistant")), role)),
+    }
     if tags:
-        a = F.col("a").isNotNull()
-        issues += [
-            _issue(a & reasoning.isNull(), "assistant lacks reasoning"),
-            _issue(a & (F.length(F.coalesce(reasoning, F.lit(""))) < min_reasoning) & F.lit(min_reasoning > 0), "reasoning is too short"),
-            _issue(a & answer.isNull(), "assistant lacks an answer block"),
-            _issue(a & answer.isNotNull() & ~is_json(answer), "answer does not parse"),
-            _issue(a & is_json(answer) & ~is_json_object(answer), "answer must be an object"),
-        ]
+        found |= {
+            "reasoning": when(a & reasoning.isNull()),
+            "reasoning_length": when(a & F.lit(min_reasoning > 0) & (F.length(F.coalesce(reasoning, F.lit(""))) < min_reasoning)),
+            "answer_block": when(a & answer.isNull()),
+            "answer_json": when(a & answer.isNotNull() & ~is_json(answer)),
+            "answer_object": when(a & is_json(answer) & ~is_json_object(answer)),
+        }
+
+    def named(code: str, details: Column) -> Column:
+        return F.transform(F.coalesce(details, F.array().cast("array<string>")), lambda d: F.when(d == "", F.lit(code)).otherwise(F.concat(F.lit(f"{code}:"), d)))
+
     chars = F.aggregate(m, F.lit(0), lambda s, x: s + F.length(F.coalesce(x["content"], F.lit(""))) + F.length(F.coalesce(x["reasoning_content"], F.lit(""))))
-    return r.select("location", F.coalesce(estimated_tokens(chars, CHARS_PER_TOKEN_SYNTHESIS), F.lit(0).cast("long")).alias("n_tokens"), F.array_compact(F.array(*issues)).alias("issues"))
+    return r.select("location", F.coalesce(estimated_tokens(chars, CHARS_PER_TOKEN_SYNTHESIS), F.lit(0).cast("long")).alias("n_tokens"), F.flatten(F.array(*[named(c, d) for c, d in found.items()])).alias("issues"))
 
 
 def check_manifest(entries: DataFrame, results: DataFrame) -> DataFrame:
     """entries (file, records, sha256) against validated files (file, records, sha256): file, issue; results without an entry are ignored."""
     both = entries.join(results.select("file", F.col("records").alias("_n"), F.col("sha256").alias("_s")), "file", "left")
-    every = F.array_compact(F.array(
-        _issue(F.col("_n").isNull(), "not among the validated files"),
-        _issue(F.col("_n") != F.col("records"), "record count differs"),
-        _issue(F.col("_s") != F.col("sha256"), "sha256 differs"),
-    ))
-    return both.select("file", F.explode(every).alias("issue"))
+    every = F.array(F.when(F.col("_n").isNull(), "unknown_file"), F.when(F.col("_n") != F.col("records"), "records"), F.when(F.col("_s") != F.col("sha256"), "sha256"))
+    return both.select("file", F.explode(F.array_compact(every)).alias("issue"))
 
 
 def uncovered(counts: DataFrame, n: str = "n") -> DataFrame:

@@ -644,3 +644,106 @@ def histogram_json(spark, d):
 @query("SELECT coalesce(lang, 'unknown') AS lang, count(*) AS n FROM documents GROUP BY 1 ORDER BY 1")
 def count_by_key(spark, d):
     return stats.count_by(table(spark, d, "documents"), F.col("lang"), "lang")
+
+
+# --- audits of records -------------------------------------------------------------------------------------------
+
+
+def _audit_lines(spark, d) -> DataFrame:
+    """A conversation as a line of one of five files, spoilt in one of thirteen ways by its number."""
+    c = table(spark, d, "conversations").groupBy("conv_id").agg(F.coalesce(F.min("text"), F.lit("")).alias("t"))
+    n, text = F.col("conv_id"), lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
+    k, number = n % 13, n.cast("string")
+    answer = (
+        F.when(k == 4, '{"summary":').when(k == 12, '{"summary":1,"evidence":1}').when(k == 11, '{"summary":1,"evidence":2,"hypotheses":3,"actions":0}')
+        .otherwise(text('{"summary":1,"evidence":2,"hypotheses":3,"actions":', number, ".5}"))
+    )
+    reasoning = text("<reasoning>", F.repeat(F.lit("r"), (5 + n % 30).cast("int")), "</reasoning>")
+    said = F.when(k == 3, text(reasoning, " nothing")).otherwise(text(reasoning, "\n<answer> ", answer, " </answer>"))
+    asked = F.when(k == 11, text(F.col("t"), " The passage says")).otherwise(F.col("t"))
+    message = lambda role, content: F.struct(role.alias("role"), content.alias("content"))
+    three = F.array(message(F.when(k == 2, "user").otherwise("system"), F.lit("s")), message(F.lit("user"), asked), message(F.lit("assistant"), said))
+    messages = F.to_json(F.slice(three, F.lit(1), F.when(k == 1, 2).otherwise(3)))
+    ids = F.when(k == 9, "[]").when(k == 10, '["odd id","mitre-T1059.001"]').otherwise(text('["concept-', number, '"]'))
+    book, split = F.when(k == 7, "other").otherwise(text("c", (n % 5).cast("string"))), F.when(k == 8, "false").otherwise("true")
+    meta = F.when(k == 5, "3").when(k == 6, text('{"source_ids":', ids, ',"source_book":"', book, '","synthesized":true}')).otherwise(
+        text('{"task":"t","source_ids":', ids, ',"source_book":"', book, '","split":"train","synthesized":', split, "}")
+    )
+    value = F.when(k == 0, "{bad").otherwise(text('{"messages":', messages, ',"meta":', meta, "}"))
+    return c.select(text("c", (n % 5).cast("string"), ".jsonl").alias("file"), (F.floor(n / 5) + 1).alias("line"), value.alias("value"))
+
+
+def _phrase_sql(phrases: tuple[str, ...]) -> str:
+    listed = ", ".join(f"'{p}'" for p in phrases)
+    return f"SELECT conv_id, 'phrase', p FROM (SELECT *, unnest([{listed}]) AS p FROM u WHERE k >= 2) WHERE contains(lower('s\n' || q || '\n' || a), p)"
+
+
+_LINES = """
+    u AS (
+        SELECT *, CASE k WHEN 11 THEN t || ' The passage says' ELSE t END AS q, 'c' || conv_id % 5 AS book, 'c' || conv_id % 5 || '.jsonl:' || (conv_id // 5 + 1) AS location,
+               '<reasoning>' || repeat('r', (5 + conv_id % 30)::INT) || '</reasoning>' || CASE WHEN k = 3 THEN ' nothing' ELSE '<answer></answer>' END AS a,
+               CASE k WHEN 4 THEN '{' WHEN 12 THEN 'short' WHEN 11 THEN 'same' ELSE conv_id::VARCHAR END AS answer, CASE k WHEN 9 THEN 'none' WHEN 10 THEN 'odd' ELSE conv_id::VARCHAR END AS ids
+        FROM (SELECT conv_id, conv_id % 13 AS k, coalesce(min(text), '') AS t FROM conversations GROUP BY conv_id)
+    ),
+    w AS (SELECT *, row_number() OVER (ORDER BY book, conv_id) AS place FROM u WHERE k NOT IN (0, 1, 5)),
+    rep AS (
+        SELECT conv_id, 'repeated_prompt' AS code, first(location) OVER (PARTITION BY q ORDER BY place) AS detail, row_number() OVER (PARTITION BY q ORDER BY place) AS r FROM w
+        UNION ALL SELECT conv_id, 'repeated_answer', first(location) OVER (PARTITION BY answer ORDER BY place), row_number() OVER (PARTITION BY answer ORDER BY place) FROM w WHERE k <> 3
+        UNION ALL SELECT conv_id, 'repeated_task_sources', first(location) OVER (PARTITION BY ids, k = 6 ORDER BY place), row_number() OVER (PARTITION BY ids, k = 6 ORDER BY place) FROM w
+    ),
+    one AS (
+        SELECT conv_id, 'json' AS code, '' AS detail FROM u WHERE k = 0
+        UNION ALL SELECT conv_id, 'messages', '' FROM u WHERE k = 1
+        UNION ALL SELECT conv_id, 'roles', 'user,user,assistant' FROM u WHERE k = 2
+        UNION ALL SELECT conv_id, 'tags', 'answer' FROM u WHERE k = 3
+        UNION ALL SELECT conv_id, 'answer_block', '' FROM u WHERE k = 3
+        UNION ALL SELECT conv_id, 'answer_json', '' FROM u WHERE k = 4
+        UNION ALL SELECT conv_id, 'meta', '' FROM u WHERE k = 5
+        UNION ALL SELECT conv_id, 'meta_fields', 'task,split' FROM u WHERE k = 6
+        UNION ALL SELECT conv_id, 'split', '' FROM u WHERE k = 6
+        UNION ALL SELECT conv_id, 'source_book', 'other' FROM u WHERE k = 7
+        UNION ALL SELECT conv_id, 'synthesized', '' FROM u WHERE k = 8
+        UNION ALL SELECT conv_id, 'source_ids', '' FROM u WHERE k = 9
+    ),
+    strict AS (
+        SELECT * FROM one
+        UNION ALL SELECT conv_id, 'source_id_style', 'odd id' FROM u WHERE k = 10
+        UNION ALL SELECT conv_id, 'answer_keys', 'actions,hypotheses' FROM u WHERE k = 12
+        UNION ALL SELECT conv_id, 'reasoning_length', (5 + conv_id % 30)::VARCHAR FROM u WHERE k >= 2 AND conv_id % 30 < 15
+        UNION ALL {phrases}
+        UNION ALL SELECT conv_id, code, detail FROM rep WHERE r > 1
+    )
+""".replace("{phrases}", _phrase_sql(audit.PHRASES_STRICT))
+
+_STRICT_CHECKS = lambda: (*audit.STRICT, audit.short_reasoning(20), audit.core_keys(), audit.phrases(audit.PHRASES_STRICT), *audit.id_styles(audit.STYLES_STRICT))
+
+
+@query(f"WITH {_LINES} SELECT location, code, detail FROM strict JOIN u USING (conv_id)")
+def audit_strict(spark, d):
+    return audit.strict_audit(audit.parse(_audit_lines(spark, d)), _STRICT_CHECKS(), repeats=True).select("location", "code", "detail")
+
+
+@query(f"""WITH {_LINES}, n AS (SELECT conv_id, count(*) AS issues FROM strict GROUP BY conv_id)
+    SELECT book || '.jsonl' AS file, count(*) AS total_lines, count(*) FILTER (k NOT IN (0, 1, 5)) AS valid_records, coalesce(sum(issues), 0)::BIGINT AS issues FROM u LEFT JOIN n USING (conv_id) GROUP BY book""")
+def audit_report(spark, d):
+    parsed = audit.parse(_audit_lines(spark, d))
+    return audit.report(audit.audited(parsed, _STRICT_CHECKS()), audit.duplicates(parsed))
+
+
+@query(f"WITH {_LINES} SELECT location, code, CASE WHEN code = 'tags' THEN '' ELSE detail END AS detail FROM one JOIN u USING (conv_id) WHERE code IN ('json', 'messages', 'roles', 'tags', 'meta', 'meta_fields', 'synthesized')")
+def audit_basic(spark, d):
+    return audit.basic_audit(audit.parse(_audit_lines(spark, d))).select("location", "code", "detail")
+
+
+@query(f"""WITH {_LINES}, r AS (
+        SELECT * FROM one UNION ALL SELECT conv_id, 'source_id_style', 'odd id' FROM u WHERE k = 10 UNION ALL SELECT conv_id, 'answer_keys', 'actions,hypotheses' FROM u WHERE k = 12
+        UNION ALL {_phrase_sql(audit.PHRASES_RANGE)})
+    SELECT location, code, detail FROM r JOIN u USING (conv_id) WHERE conv_id // 5 + 1 BETWEEN 3 AND 40""")
+def audit_range(spark, d):
+    return audit.range_audit(audit.parse(_audit_lines(spark, d)), 3, 40).select("location", "code", "detail")
+
+
+@query(f"""WITH {_LINES} SELECT location, CASE k WHEN 0 THEN 'json' WHEN 1 THEN 'messages' WHEN 2 THEN 'roles' WHEN 3 THEN 'answer_block' WHEN 4 THEN 'answer_json' WHEN 5 THEN 'meta' WHEN 6 THEN 'split' WHEN 7 THEN 'source_book' WHEN 8 THEN 'synthesized' WHEN 9 THEN 'source_ids' END AS error
+    FROM (SELECT *, CASE WHEN k > 1 AND k <> 2 AND trim(q) = '' THEN TRUE END AS blank FROM u) WHERE k < 10 AND blank IS NULL UNION ALL SELECT location, 'content' FROM u WHERE k > 2 AND trim(q) = ''""")
+def audit_export_errors(spark, d):
+    return audit.export_errors(audit.parse(_audit_lines(spark, d)))
