@@ -12,6 +12,7 @@ from tidewatch.filters import key_filter, passing
 from tidewatch.operators import audit, evalrun, generate, leak, records, split, stats
 from tidewatch.plans import catalog
 from tidewatch.sources import files, sinks
+from tidewatch.tables import ranked
 
 
 def col(spark, values, fn):
@@ -277,3 +278,56 @@ def test_templates_are_filled_in_one_pass(spark):
 def test_every_model_is_crossed(spark):
     models = spark.range(1500).selectExpr("cast(id as string) as label")
     assert evalrun.model_cases(models, spark.createDataFrame([(1,), (2,)], "c int")).distinct().count() == 3000
+
+
+def test_line_numbers_of_a_file_in_many_blocks(spark, tmp_path):
+    rng = random.Random(8)
+    texts = {f"f{k}.jsonl": ["" if rng.random() < 0.2 else " x" * rng.randrange(0, 200) + str(i) for i in range((1, 40, 900, 901)[k])] for k in range(4)}
+    for name, rows in texts.items():
+        (tmp_path / name).write_text("\n".join(rows) + ("\n" if len(rows) % 2 else ""))
+    keys = {"spark.sql.files.maxPartitionBytes": "7000", "spark.sql.files.openCostInBytes": "100"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+        got = {(r.file, r.line): r.value for r in files.numbered_lines(spark, str(tmp_path)).collect()}
+        every = files.numbered_lines(spark, str(tmp_path), blank=True).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {(f, i): v.strip() for f, rows in texts.items() for i, v in enumerate(rows, 1) if v.strip()}
+    assert every == sum(len(r) - (r[-1] == "" and len(r) % 2 == 0) for r in texts.values())
+
+
+def test_ranks_without_a_global_window(spark):
+    keys = {"spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "4000"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        df = spark.range(5000).select("id", F.md5(F.col("id").cast("string")).alias("h"))
+        got = {r.id: r.rank for r in ranked(df, [F.col("h"), F.col("id")]).collect()}
+        assert ranked(df.limit(0), [F.col("id")]).count() == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: r for r, (_, i) in enumerate(sorted((hashlib.md5(str(i).encode()).hexdigest(), i) for i in range(5000)), 1)}
+
+
+def test_quotas_of_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(split, "RANK_BLOCK", 7)
+    rng = random.Random(2)
+    for trial in range(10):
+        sizes = {f"g{i:03d}": rng.choice([1, 1, 2, 3, rng.randrange(1, 400)]) for i in range(rng.choice([1, 5, 60]))}
+        wanted, least = rng.randrange(0, sum(sizes.values()) + 5), rng.choice([0, 1, 3])
+        frame = spark.createDataFrame(list(sizes.items()), "g string, n long")
+        got = {r.g: r.quota for r in split.group_quotas(frame, "g", wanted, least).collect()}
+        assert got == split.quotas(sizes, wanted, least), (trial, wanted, least)
+
+
+def test_quotas_of_a_quarter_million_groups(spark):
+    sizes = spark.range(250_000).select(F.col("id").alias("g"), (F.col("id") % 7 + 1).alias("n"))
+    for least in (0, 1):
+        got = split.group_quotas(sizes, "g", 50_000, least).agg(F.sum("quota").alias("s"), F.count_if(F.col("quota") > F.col("n") - 1).alias("over"), F.count("*").alias("n")).first()
+        assert (got.s, got.over, got.n) == (50_000, 0, 250_000)

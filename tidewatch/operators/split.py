@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.text import seeded
+from tidewatch.tables import ranked, written
 
 
 def shuffled(df: DataFrame, key: str, seed: int) -> DataFrame:
@@ -91,26 +92,77 @@ def quotas(sizes: dict[str, int], wanted: int, least: int = 0) -> dict[str, int]
     return got
 
 
+#: Ranked groups are summed in blocks of so many.
+RANK_BLOCK = 100_000
+
+
+def group_quotas(sizes: DataFrame, group: str, wanted: int, least: int = 0) -> DataFrame:
+    """sizes (group, n) with quota, as ``quotas`` has it, for any number of groups: sums, a histogram and one ranked cut.
+
+    What is over is taken from groups in the order of their fractions, each down to nothing.  What is missing is given in
+    rounds: a group bids for each row that it has room for with what its share is short then, so the bids of whole number
+    L are those of the groups whose range of rounds has L; whole rounds are given down to the one that ends the supply,
+    and in that the largest bids.
+    """
+    total, room_all = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("t"), F.coalesce(F.sum(F.greatest(F.col("n") - 1, F.lit(0))), F.lit(0)).alias("r")).first()
+    wanted = min(wanted, room_all)
+    if wanted <= 0 or not total:
+        return sizes.select(group, "n", F.lit(0).cast("long").alias("quota"))
+    share = F.lit(wanted).cast("double") * F.col("n") / F.lit(total).cast("double")
+    rows = sizes.withColumns({"room": F.greatest(F.col("n") - 1, F.lit(0)), "share": share})
+    rows = rows.withColumn("got", F.least("room", F.greatest(F.when(F.col("n") > 1, least).otherwise(0), F.floor("share"))))
+    rows = written(rows, "quota-shares")
+    spare = rows.agg(F.sum("got").alias("g")).first().g - wanted
+    if spare > 0:
+        taken = rows.where("got > 0").withColumn("fraction", F.col("share") % 1)
+        # groups of one fraction and count are many; what is taken before a group needs their order, so all are ranked
+        placed_ = ranked(taken, [F.col("fraction"), F.col("got"), F.col(group)], "r")
+        upto = placed_.groupBy((F.col("r") / RANK_BLOCK).cast("long").alias("b")).agg(F.sum("got").alias("s")).withColumn("before", F.sum("s").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)))
+        inside = F.sum("got").over(Window.partitionBy("b").orderBy("r").rowsBetween(Window.unboundedPreceding, -1))
+        less = placed_.withColumn("b", (F.col("r") / RANK_BLOCK).cast("long")).join(F.broadcast(upto.select("b", "before")), "b").withColumn("done", F.coalesce("before", F.lit(0)) + F.coalesce(inside, F.lit(0)))
+        less = less.select(F.col(group).alias("_g"), F.least("got", F.greatest(F.lit(spare) - F.col("done"), F.lit(0))).alias("less"))
+        return rows.join(less, F.col(group).eqNullSafe(F.col("_g")), "left").select(group, "n", (F.col("got") - F.coalesce("less", F.lit(0))).alias("quota"))
+    if spare == 0:
+        return rows.select(group, "n", F.col("got").alias("quota"))
+    missing, top = -spare, F.floor(F.col("share") - F.col("got"))
+    bids = rows.withColumns({"hi": top, "lo": top - (F.col("room") - F.col("got")) + 1})
+    # how many bids there are of each whole number, from the numbers at which a group's range begins or ends
+    turns = bids.where("hi >= lo").select(F.explode(F.array(F.struct(F.col("hi").alias("at"), F.lit(1).alias("by")), F.struct((F.col("lo") - 1).alias("at"), F.lit(-1).alias("by")))).alias("x"))
+    steps = sorted(((r["at"], r["by"]) for r in turns.groupBy("x.at").agg(F.sum("x.by").alias("by")).collect()), reverse=True)  # distinct sizes, not groups
+    level, open_, left = steps[0][0], 0, missing
+    for (at, by), (below, _) in zip(steps, [*steps[1:], (steps[-1][0], 0)]):
+        open_ += by
+        level = at
+        if open_ and left <= open_ * (at - below):
+            level = at - (left - 1) // open_
+            left -= (left - 1) // open_ * open_
+            break
+        left -= open_ * (at - below)
+    whole = F.greatest(F.col("hi") - F.greatest(F.lit(level), F.col("lo") - 1), F.lit(0))
+    last = bids.where((F.col("hi") >= level) & (F.col("lo") <= level)).withColumn("bid", F.col("share") - (F.col("got") + F.col("hi") - level))
+    chosen = last.orderBy(F.desc("bid"), F.desc("n"), group).limit(left).select(F.col(group).alias("_g"), F.lit(1).alias("one"))
+    return bids.join(chosen, F.col(group).eqNullSafe(F.col("_g")), "left").select(group, "n", (F.col("got") + whole + F.coalesce("one", F.lit(0))).alias("quota"))
+
+
 def stratified_split(df: DataFrame, group: str, key: str, seed: int, eval_ratio: float = 0.05, eval_count: int | None = None, least: int = 1) -> DataFrame:
     """``df`` with split: of each group, as many keys as its quota, first in the seeded order.
 
-    Group sizes reach the driver: a row for each group.  As in ``first_keys``, a group's keys are counted by the prefix
-    of their hash and only those at its edge are ranked, so a group that holds most rows costs no task of its own.
+    Groups stay a table, however many they are.  As in ``first_keys``, a group's keys are counted by the prefix of their
+    hash and only those at its edge are ranked, so a group that holds most rows costs no task of its own.
     """
-    sizes = {r[0]: r[1] for r in df.groupBy(group).count().orderBy(group).collect()}
-    n = sum(sizes.values())
+    sizes = written(df.groupBy(group).agg(F.count("*").alias("n")), "group-sizes")
+    n = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
     wanted = max(0, min(round(n * eval_ratio) if eval_count is None else eval_count, n))
-    quota = [(g, q) for g, q in quotas(sizes, wanted, least).items() if q]
-    limits = F.broadcast(df.sparkSession.createDataFrame(quota or [("", 0)], f"_g {df.schema[group].dataType.simpleString()}, _q long"))
+    limits = group_quotas(sizes, group, wanted, least).where("quota > 0").select(F.col(group).alias("_other"), F.col("quota").alias("_q"))
     rows = df.select(F.col(group).alias("_g"), F.col(key).alias("_k"), _prefix(key, seed).alias("_p"))
     counts = rows.groupBy("_g", "_p").agg(F.count("*").alias("_n"))
     counts = counts.withColumn("_upto", F.sum("_n").over(Window.partitionBy("_g").orderBy("_p")))
     same = F.col("_g").eqNullSafe(F.col("_other"))
-    edge = counts.join(limits.withColumnRenamed("_g", "_other"), same).where("_upto >= _q and _upto - _n < _q")
-    edge = edge.select("_other", F.col("_p").alias("_edge"), (F.col("_q") - F.col("_upto") + F.col("_n")).alias("_left"))  # a row for each group
+    edge = counts.join(limits, same).where("_upto >= _q and _upto - _n < _q")
+    edge = edge.select("_other", F.col("_p").alias("_edge"), (F.col("_q") - F.col("_upto") + F.col("_n")).alias("_left"))
     place = F.row_number().over(Window.partitionBy("_g").orderBy(seeded(F.col("_k"), seed), "_k"))
-    last = rows.join(F.broadcast(edge), same).where("_p = _edge").withColumn("_r", place).where("_r = _left")
+    last = rows.join(edge, same & (F.col("_p") == F.col("_edge"))).withColumn("_r", place).where("_r = _left")
     last = last.select("_other", F.struct(seeded(F.col("_k"), seed).alias("h"), F.col("_k").alias("k")).alias("_last"))
     own = F.struct(seeded(F.col(key), seed).alias("h"), F.col(key).alias("k"))
-    joined = df.join(F.broadcast(last), F.col(group).eqNullSafe(F.col("_other")), "left")
+    joined = df.join(last, F.col(group).eqNullSafe(F.col("_other")), "left")
     return joined.withColumn("split", F.when(own <= F.col("_last"), "eval").otherwise("train")).drop("_other", "_last")

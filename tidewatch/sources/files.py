@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.tables import placed
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path is there, in whichever file system it names."""
@@ -29,15 +31,16 @@ def jsonl_tolerant(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return row.where("row._bad is null").select("row.*").drop("_bad")
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str, blank: bool = False) -> DataFrame:
     """file, line, value of all lines that aren't blank; line counts physical lines from 1, blank ones too.
 
-    Files are read whole, so this is for files of megabytes.
+    Large files are read in blocks by many tasks: a first pass counts the lines of each block, and a line's number is
+    its place in the block behind the lines of the blocks before.  With ``blank``, blank lines have rows as well.
     """
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
-    rows = files.select("file", F.posexplode(F.split("value", "\n")))
-    text = F.regexp_replace("col", r"(?U)^\s+|\s+$", "")
-    return rows.select("file", (F.col("pos") + 1).alias("line"), text.alias("value")).where("value <> ''")
+    at = F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block")
+    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), *at, "value")
+    rows = placed(lines, ["_path", "_block"], restart=1).select("file", F.col("_place").alias("line"), F.regexp_replace("value", r"(?U)^\s+|\s+$", "").alias("value"))
+    return rows if blank else rows.where("value <> ''")
 
 
 def line_range(lines: DataFrame, first: int, last: int) -> DataFrame:
