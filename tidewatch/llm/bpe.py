@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import materialize
+from tidewatch.llm.common import lean, materialize
 from tidewatch.llm.textkernel import U64, chunks, text_buffer, word_hashes
 
 HEAD_WORDS = 400_000
@@ -411,7 +411,7 @@ class Tokenizer:
                 size = ends[first] - starts[first]
                 yield pa.RecordBatch.from_arrays([_strings(data[np.repeat(starts[first], size) + _spans(size)], size, pa.binary())], ["word"])
 
-        counts = materialize(texts.mapInArrow(distinct, "word binary").groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "bpe-words")
+        counts = materialize(texts.mapInArrow(lean(distinct), "word binary").groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "bpe-words")
         sizes = {r.n: r.many for r in counts.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count("*").alias("many")).collect()}  # 999 rows at most
         least, total = 1001, 0
         for n in sorted(sizes, reverse=True):
@@ -428,7 +428,7 @@ class Tokenizer:
                 key = pa.array(word_hashes(data, edges[:-1], edges[1:]).view(np.int64))
                 yield pa.RecordBatch.from_arrays([key, mine.opened(data, edges[:-1], edges[1:])], ["key", "word"])
 
-        head = counts.where(F.least("n", F.lit(1000)) >= least).select("word").mapInArrow(open_rows, "key long, word array<long>")
+        head = counts.where(F.least("n", F.lit(1000)) >= least).select("word").mapInArrow(lean(open_rows), "key long, word array<long>")
         head = materialize(head.select("key", F.element_at(folded(F.array("word"), self.slots, self.shift), 1).alias("ids")), "bpe-head")
         got = head.dropDuplicates(["key"]).toArrow()  # HEAD_WORDS rows at most
         if got.num_rows:
@@ -521,10 +521,10 @@ class Tokenizer:
 
         no_gaps = self.pattern == _PATTERN
         shape = rows.schema
-        split = rows.mapInArrow(look_up, T.StructType([*shape, T.StructField("code", T.ArrayType(T.IntegerType())), T.StructField("rest", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("begins", T.BooleanType()), T.StructField("leads", T.BooleanType())]))
+        split = rows.mapInArrow(lean(look_up), T.StructType([*shape, T.StructField("code", T.ArrayType(T.IntegerType())), T.StructField("rest", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("begins", T.BooleanType()), T.StructField("leads", T.BooleanType())]))
         joined = split.select("row", "text", "code", F.when(F.size("rest") > 0, folded(F.col("rest"), self.slots, self.shift)).otherwise(F.array().cast("array<array<int>>")).alias("rest"), "begins", "leads")
         out = T.StructType([*shape, *[T.StructField(c, kinds[c]) for c in more]])
-        filled = joined.mapInArrow(fill, out)
+        filled = joined.mapInArrow(lean(fill), out)
         others = [F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in keep]
         return filled.select(*others, *[F.col(c).alias(name) for c, name in wanted.items()])
 

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.tables import shared_dir
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: White space between words, as a Java and DuckDB character class.
 BLANK = r"[\x20\x09-\x0D]+"
 
-_own_dir: str | None = None
-
 
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, every other character as it is; null stays null."""
@@ -31,17 +33,6 @@ def id_bucket(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a folder of our own only where the session names none."""
-    global _own_dir
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if _own_dir is None:
-        _own_dir = tempfile.mkdtemp(prefix="tidewatch-")
-    return _own_dir
-
-
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of 2,000 rows unless the session says otherwise: texts are long, and a task holds several batches."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -49,6 +40,20 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, "2000")
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For mapInArrow: as ``run``, and the worker, which lives on for other tasks, gives free memory back at the end."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass
+
+    return task
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, and a lost executor costs nothing.
 

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import lower_ascii, materialize
+from tidewatch.llm.common import lean, lower_ascii, materialize
 
 PREFIX_BYTES = 32
 _RUN_BITS = 33
@@ -139,11 +139,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     norm = lower_ascii(F.coalesce(F.col(text_col), F.lit("")))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), norm.alias("norm")).withColumn("sha", F.unhex(F.sha2("norm", 256)))
-    local = rows.sortWithinPartitions("norm", _order(keep)).mapInArrow(_local_runs, "doc_id long, sha binary, run long, n long, norm string")
+    local = rows.sortWithinPartitions("norm", _order(keep)).mapInArrow(lean(_local_runs), "doc_id long, sha binary, run long, n long, norm string")
     local = materialize(local, "exact-runs")
     heads = local.where("n is not null").select("norm", "run", "doc_id", "n", "sha")
     ranged = heads.repartitionByRange(F.substring("norm", 1, PREFIX_BYTES), F.col("sha")).drop("sha").sortWithinPartitions("norm", _order(keep), "run")
-    groups = ranged.mapInArrow(_groups, "run long, keep_run long, keep_id long, group_size long")
+    groups = ranged.mapInArrow(lean(_groups), "run long, keep_run long, keep_id long, group_size long")
     return local.select("doc_id", "sha", "run", F.col("n").isNotNull().alias("head")).join(groups, "run").select(
         "doc_id", "keep_id", "group_size", (F.col("head") & (F.col("run") == F.col("keep_run"))).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256")
     )
@@ -157,6 +157,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     norm = lower_ascii(F.coalesce(F.col(text_col), F.lit("")))
     rows = docs.select(norm.alias("norm"), F.col(id_col).cast("long").alias("doc_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     shape = rows.schema
-    local = rows.sortWithinPartitions("norm", _order(keep)).mapInArrow(_first_of_runs, shape)
+    local = rows.sortWithinPartitions("norm", _order(keep)).mapInArrow(lean(_first_of_runs), shape)
     ranged = local.repartitionByRange(F.substring("norm", 1, PREFIX_BYTES), F.sha2("norm", 256)).sortWithinPartitions("norm", _order(keep))
-    return ranged.mapInArrow(_first_of_runs, shape).select("row.*")
+    return ranged.mapInArrow(lean(_first_of_runs), shape).select("row.*")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import materialize
+from tidewatch.llm.common import lean, materialize
 from tidewatch.llm.components import least_reachable
 from tidewatch.llm.shingles import alike, fingerprint_rows, set_rows
 from tidewatch.llm.textkernel import U64, mix
@@ -33,7 +33,7 @@ SEED = 42
 NODE_ROWS = 16_384
 BROADCAST_ROWS = 1_000_000
 STEP_BITS = 8
-_FRONTIER = 1 << 20
+_FRONTIER = 1 << 18
 _SMALL = 64
 
 
@@ -108,7 +108,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(text.alias("text"), F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("digest"))
     shape = "id long, digest long, " + ", ".join(f"f{w} long" for w in range(words))
-    return rows.mapInArrow(_fingerprint_rows(shingle_words, words), shape)
+    return rows.mapInArrow(lean(_fingerprint_rows(shingle_words, words)), shape)
 
 
 def rotate(values: np.ndarray, by: int) -> np.ndarray:
@@ -366,7 +366,7 @@ def near_links(nodes: DataFrame, scheme: Scheme = EXACT, across: bool = False) -
         some = depth + STEP_BITS <= 48 and large.count() > 0
         light = rows.join(large, key, "left_anti") if some else rows
         shape = light.repartition(*key).sortWithinPartitions(*key)
-        got = shape.select(*key, "side", "errs", "node", *more, *[f"f{w}" for w in range(scheme.words)]).mapInArrow(_task_rows(scheme, across), "u long, v long")
+        got = shape.select(*key, "side", "errs", "node", *more, *[f"f{w}" for w in range(scheme.words)]).mapInArrow(lean(_task_rows(scheme, across)), "u long, v long")
         links = got if links is None else links.unionByName(got)
         if not some:
             return links
@@ -431,7 +431,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("digest"), text.alias("text"))
     names = [f"f{w}" for w in range(scheme.words)]
     shape = "id long, digest long, node long, " + ", ".join(f"{c} long" for c in names)
-    marked = materialize(rows.mapInArrow(fingerprint_rows(shingle_words, scheme.words), shape), "near-marks")
+    marked = materialize(rows.mapInArrow(lean(fingerprint_rows(shingle_words, scheme.words)), shape), "near-marks")
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "digest")
     # equal sets are one node, and one of its rows gives its text
     nodes = marked.groupBy("node").agg(F.min(rank).alias("least"), *[F.min(c).alias(c) for c in names])
@@ -455,7 +455,7 @@ def _sets_of(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle_words:
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     chosen = nodes.join(wanted, "node", "left_semi").select(F.col("least.digest").alias("_digest"), F.col("least.id").alias("_id"))
     texts = rows.join(chosen, (rows["digest"] == F.col("_digest")) & rows["id"].eqNullSafe(F.col("_id")), "left_semi").select("text")
-    return texts.mapInArrow(set_rows(shingle_words), "node long, set array<long>").dropDuplicates(["node"])
+    return texts.mapInArrow(lean(set_rows(shingle_words)), "node long, set array<long>").dropDuplicates(["node"])
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import id_bucket, small_batches
+from tidewatch.llm.common import id_bucket, lean, small_batches
 from tidewatch.llm.textkernel import U64, chunks, code_points
 
 _BASE = 0x9E3779B97F4A7C15
@@ -102,7 +102,7 @@ def scored(rows: DataFrame, model, score: Callable, extra: str, keep: tuple[str,
     shape = rows.select(*keep).schema
     for c in extra.split(","):
         shape = shape.add(*c.split())
-    return rows.mapInArrow(run, shape)
+    return rows.mapInArrow(lean(run), shape)
 
 
 class Adagrad:
