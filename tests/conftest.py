@@ -1,4 +1,5 @@
 import os
+import signal
 import sys
 from pathlib import Path
 
@@ -27,3 +28,19 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+#: Seconds that a test may take; one that hangs fails and the others run.
+TEST_SECONDS = 900
+
+
+@pytest.fixture(autouse=True)
+def time_limit():
+    def stop(*_):
+        raise TimeoutError(f"longer than {TEST_SECONDS} s")
+
+    before = signal.signal(signal.SIGALRM, stop)
+    signal.alarm(TEST_SECONDS)
+    yield
+    signal.alarm(0)
+    signal.signal(signal.SIGALRM, before)

@@ -110,7 +110,8 @@ def _field(name: str) -> Column:
     return F.coalesce(F.get_json_object("meta", f"$.{name}"), F.lit(""))
 
 
-def _missing(names: tuple[str, ...], doc: str) -> Column:
+def missing_keys(names: tuple[str, ...], doc: str) -> Column:
+    """The names that a column of JSON objects lacks, in their order; null if it is none."""
     return F.array_except(_list(names), F.json_object_keys(doc))
 
 
@@ -123,7 +124,7 @@ NO_JSON = Check("json", 0, lambda: when(F.lit(True)), only=True)
 NO_MESSAGES = Check("messages", 1, lambda: when(F.lit(True)), only=True)
 NO_META = Check("meta", 2, lambda: when(F.lit(True)), only=True)
 WRONG_ROLES = Check("roles", 2, lambda: when(~F.col("roles").eqNullSafe(_list(ROLES)), F.array_join("roles", ",", "?")))
-META_FIELD = Check("meta_fields", 3, lambda: when(F.size(_missing(META_FIELDS, "meta")) > 0, F.array_join(_missing(META_FIELDS, "meta"), ",")))
+META_FIELD = Check("meta_fields", 3, lambda: when(F.size(missing_keys(META_FIELDS, "meta")) > 0, F.array_join(missing_keys(META_FIELDS, "meta"), ",")))
 NOT_SYNTHESIZED = Check("synthesized", 3, lambda: when(~_is_true("synthesized")))
 
 STRICT = (
@@ -144,7 +145,7 @@ def short_reasoning(least: int) -> Check:
 
 
 def core_keys() -> Check:
-    missing = lambda: F.array_sort(_missing(CORE_ANSWER_KEYS, "answer"))
+    missing = lambda: F.array_sort(missing_keys(CORE_ANSWER_KEYS, "answer"))
     return Check("answer_keys", 2, lambda: when(is_json_object(F.col("answer")) & (F.size(missing()) > 0), F.array_join(missing(), ",")))
 
 

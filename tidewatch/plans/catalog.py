@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import telemetry as tel
 from tidewatch.functions import text as tx
-from tidewatch.operators import api, audit, buckets, dedupe, dlq, evalrun, leak, records, split, stats, store
+from tidewatch.operators import api, audit, buckets, dedupe, dlq, evalrun, generate, leak, records, split, stats, store
+from tidewatch.sources import knowledge
 from tidewatch.sources.adapter import chat_records, security_events, table
 from tidewatch.sources.streams import heartbeats, synthetic_events
-from tidewatch.tables import new_folder
+from tidewatch.tables import new_folder, ranked
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -210,9 +211,8 @@ def lifecycle_projection(spark, d):
 
 @query(ev("SELECT event_id, '{\"event\":\"finding\",\"event_id\":\"' || event_id || '\",\"severity\":\"' || severity || '\"}' AS line FROM fnd"))
 def structured_log(spark, d):
-    f = _findings(spark, d)
-    line = F.to_json(F.struct(F.lit("finding").alias("event"), "event_id", "severity"))
-    return f.select("event_id", line.alias("line"))
+    lines = tel.log_line("finding", _findings(spark, d).select("event_id", "severity"))
+    return lines.select(F.get_json_object("line", "$.event_id").alias("event_id"), "line")
 
 
 @query(ev("SELECT severity, count(*) AS n, round(avg(score), 4) AS avg_score, max(score) AS max_score FROM fnd GROUP BY severity"))
@@ -352,10 +352,11 @@ def token_estimate(spark, d):
     return table(spark, d, "documents").select("doc_id", tx.estimated_tokens(n).alias("tokens"), tx.estimated_tokens(n, tx.CHARS_PER_TOKEN_SYNTHESIS).alias("tokens_synthesis"))
 
 
-@query("SELECT lang, (sum(t) * 3 / 7000.0::DOUBLE / 3600)::DOUBLE AS raw_hours FROM (SELECT lang, floor(length(text) / 3.8::DOUBLE)::BIGINT AS t FROM documents) GROUP BY lang")
+@query("""SELECT lang, round(h, 2) AS a100_hours, round(h * 2.79, 2) AS a100_usd, round(h * 0.6, 2) AS h100_hours, round(h * 0.6 * 3.99, 2) AS h100_usd
+    FROM (SELECT lang, (sum(t) * 3000 / 7000.0::DOUBLE / 3600)::DOUBLE AS h FROM (SELECT lang, floor(length(text) / 3.8::DOUBLE)::BIGINT AS t FROM documents) GROUP BY lang)""")
 def training_cost(spark, d):
     docs = table(spark, d, "documents").groupBy("lang").agg(F.sum(tx.estimated_tokens(F.length("text"))).alias("t"))
-    return docs.select("lang", (F.col("t") * 3 / F.lit(stats.TOKENS_PER_SECOND) / 3600.0).alias("raw_hours"))
+    return docs.select("lang", *[c.alias(n) for n, c in stats.training_cost(F.col("t"), 3000).items()])
 
 
 _CLEAN = r"trim(regexp_replace(regexp_replace(regexp_replace(text, '\(Citation:[^)]+\)', '', 'g'), '\[([^\]]+)\]\([^)]+\)', '\1', 'g'), '\s+', ' ', 'g'))"
@@ -371,10 +372,10 @@ def text_truncate(spark, d):
     return table(spark, d, "documents").select("doc_id", tx.truncate(F.col("text"), 120).alias("short"))
 
 
-@query(r"SELECT doc_id, len(w)::BIGINT AS n_words, array_to_string(list_transform(w[1:10], lambda x: lower(x)), ' ') AS first_words FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z][A-Za-z0-9_''\-]*') AS w FROM documents)")
+@query(r"SELECT doc_id, len(w)::BIGINT AS n_words, array_to_string(list_transform(w, lambda x: lower(x)), ' ') AS words FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z][A-Za-z0-9_''\-]*') AS w FROM documents)")
 def word_tokens(spark, d):
     w = table(spark, d, "documents").select("doc_id", tx.word_tokens(F.col("text")).alias("w"))
-    return w.select("doc_id", F.size("w").cast("long").alias("n_words"), F.array_join(F.slice("w", 1, 10), " ").alias("first_words"))
+    return w.select("doc_id", F.size("w").cast("long").alias("n_words"), F.array_join("w", " ").alias("words"))
 
 
 @query(r"SELECT doc_id, len(w)::BIGINT AS n_words, sha256(array_to_string(list_transform(w, lambda x: lower(x)), ' ')) AS words_sha256 FROM (SELECT doc_id, regexp_extract_all(text, '[A-Za-z][A-Za-z0-9_''\-]*') AS w FROM documents)")
@@ -491,6 +492,12 @@ def seeded_shuffle(spark, d):
     return split.shuffled(table(spark, d, "documents").select("doc_id", tx.seeded(F.col("doc_id"), 42).alias("place")), "doc_id", 42)
 
 
+@query("SELECT doc_id, row_number() OVER (ORDER BY md5('3:' || doc_id), doc_id) AS case_index FROM documents")
+def case_index(spark, d):
+    docs = table(spark, d, "documents").select("doc_id")
+    return ranked(docs, [tx.seeded(F.col("doc_id"), 3), F.col("doc_id")], "case_index")
+
+
 #: Quotas as in ``split.quotas``, where what is missing or over is less than the number of groups.
 _STRATA = """
     WITH g AS (SELECT lang AS grp, count(*) AS n FROM documents GROUP BY 1),
@@ -528,9 +535,8 @@ def content_sha_ids(spark, d):
 
 @query("SELECT doc_id, phrase FROM (SELECT doc_id, lower(text) AS t, unnest(['this ', 'the passage says', 'page ', 'that the', 'worthless']) AS phrase FROM documents) WHERE contains(t, phrase)")
 def forbidden_phrase_lint(spark, d):
-    phrases = F.array(*[F.lit(p) for p in ("this ", "the passage says", "page ", "that the", "worthless")])
-    low = F.lower("text")
-    return table(spark, d, "documents").select("doc_id", F.explode(F.filter(phrases, lambda p: F.contains(low, p))).alias("phrase"))
+    check = audit.phrases(("this ", "the passage says", "page ", "that the", "worthless"))
+    return table(spark, d, "documents").select("doc_id", F.array("text").alias("contents")).select("doc_id", F.explode(check.finds()).alias("phrase"))
 
 
 _STYLES = "CASE p_partkey % 5 WHEN 0 THEN 'mitre-T' || lpad((p_partkey % 10000)::VARCHAR, 4, '0') WHEN 1 THEN 'owasp-2021-a' || lpad((p_partkey % 100)::VARCHAR, 2, '0') WHEN 2 THEN 'CVE-2024-1' WHEN 3 THEN 'concept-' || replace(p_name, ' ', '-') ELSE 'sigma-' || p_brand END"
@@ -549,9 +555,8 @@ def source_id_style(spark, d):
 
 @query("SELECT o_orderkey, list_aggregate(list_filter(['a', 'b', 'o_orderkey', 'o_orderstatus'], lambda x: x NOT IN ('o_orderkey', 'o_custkey', 'o_orderstatus')), 'string_agg', ',') AS missing FROM orders")
 def required_keys_except(spark, d):
-    doc = F.to_json(F.struct("o_orderkey", "o_custkey", "o_orderstatus"))
-    missing = F.array_except(F.array(*[F.lit(k) for k in ("a", "b", "o_orderkey", "o_orderstatus")]), F.json_object_keys(doc))
-    return table(spark, d, "orders").select("o_orderkey", F.array_join(missing, ",").alias("missing"))
+    doc = table(spark, d, "orders").select("o_orderkey", F.to_json(F.struct("o_orderkey", "o_custkey", "o_orderstatus")).alias("doc"))
+    return doc.select("o_orderkey", F.array_join(audit.missing_keys(("a", "b", "o_orderkey", "o_orderstatus"), "doc"), ",").alias("missing"))
 
 
 # --- evaluation, lookups and splits over the business tables -------------------------------------------------------
@@ -747,3 +752,87 @@ def audit_range(spark, d):
     FROM (SELECT *, CASE WHEN k > 1 AND k <> 2 AND trim(q) = '' THEN TRUE END AS blank FROM u) WHERE k < 10 AND blank IS NULL UNION ALL SELECT location, 'content' FROM u WHERE k > 2 AND trim(q) = ''""")
 def audit_export_errors(spark, d):
     return audit.export_errors(audit.parse(_audit_lines(spark, d)))
+
+
+# --- generators of records over the knowledge view ---------------------------------------------------------------
+
+
+_KNOWLEDGE = """
+    t AS (
+        SELECT p_partkey AS k, 'T' || lpad(p_partkey::VARCHAR, 6, '0') AS id, p_name AS name, CASE WHEN p_partkey % 7 = 0 THEN '' ELSE 'x' END AS description, p_brand,
+               ['execution', 'discovery', 'impact', 'collection'][(p_partkey % 4 + 1)::INT] AS tactic
+        FROM part
+    ),
+    r AS (
+        SELECT o_orderkey AS k, 'rule-' || o_orderkey AS rule_id, ['critical', 'High', 'informational', 'odd', NULL][(o_orderkey % 5 + 1)::INT] AS level, o_orderkey % 11 <> 0 AS told, o_orderkey % 13 <> 0 AS readable,
+               CASE WHEN o_custkey % 6 = 0 THEN [] ELSE ['T' || lpad((o_custkey % 300)::VARCHAR, 6, '0'), 'T' || lpad((o_custkey % 7 + 100)::VARCHAR, 6, '0')] END AS ids
+        FROM orders
+    ),
+    s AS (
+        SELECT event_id AS n, [1, 3, 11, 22, 13][(event_id % 5 + 1)::INT] AS eid, ['Image', 'DestinationHostname', 'TargetFilename', 'QueryName', 'TargetObject'][(event_id % 5 + 1)::INT] AS field, event_id % 4 <> 0 AS included,
+               event_id % 9 = 1 AS untold, event_id % 9 = 0 AS brief, CASE WHEN event_id % 10 = 3 THEN [] ELSE ['T' || lpad((user_id % 400)::VARCHAR, 6, '0'), 'T' || lpad((event_id % 3)::VARCHAR, 6, '0')] END AS ids
+        FROM events
+    )
+"""
+
+
+def _facts(made: DataFrame, **more) -> DataFrame:
+    """sources and split_key of records, and columns of their answer (paths) or of a message (expressions)."""
+    answer = tx.tagged(F.col("messages")[2]["content"], "answer")
+    cols = [(F.get_json_object(answer, v) if isinstance(v, str) else v).alias(c) for c, v in more.items()]
+    return made.select(F.array_join("meta.source_ids", ",").alias("sources"), F.col("meta.split_key").alias("split_key"), *cols)
+
+
+@query(f"""WITH {_KNOWLEDGE} SELECT id AS sources, id AS split_key, name, '["' || upper(tactic[1]) || tactic[2:] || '"]' AS tactics,
+    CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END + CASE WHEN k % 5 <> 0 THEN 1 ELSE 0 END AS pointers, k % 3 AS mitigations FROM t WHERE description <> ''""")
+def gen_technique_explanation(spark, d):
+    answer = tx.tagged(F.col("messages")[2]["content"], "answer")
+    count = lambda path: F.coalesce(F.json_array_length(F.get_json_object(answer, path)), F.lit(0))
+    return _facts(generate.explanations(knowledge.techniques(spark, d)), name="$.name", tactics="$.tactics", pointers=count("$.detection_pointers"), mitigations=count("$.top_mitigations"))
+
+
+@query(f"""WITH {_KNOWLEDGE} SELECT id || ',G' || k % 9 AS sources, id AS split_key, CASE WHEN k % 8 = 1 THEN 'intrusion-set' ELSE 'malware' END AS actor_type,
+    'The group ran [redacted' || ']' || ' with ' || trim(repeat('x ', 20)) AS said FROM t WHERE k % 4 = 1""")
+def gen_procedure_to_technique(spark, d):
+    # ids of six digits are no technique ids of the text's pattern, so they are shortened to four here
+    t = knowledge.techniques(spark, d).withColumn("procedure_examples", F.transform("procedure_examples", lambda p: p.withField("procedure", F.regexp_replace(p["procedure"], "T[0-9]+", "T1059"))))
+    said = F.regexp_extract(F.col("messages")[1]["content"], r"The group[^\n]*", 0)
+    return _facts(generate.procedures(t), actor_type="$.actor_attribution.type", said=said)
+
+
+@query(f"WITH {_KNOWLEDGE} SELECT rule_id || ',' || id AS sources, id AS split_key, id AS primary_technique, level AS severity, '[\"' || array_to_string(ids, '\",\"') || '\"]' AS every FROM r JOIN t ON ids[1] = id WHERE told AND len(ids) > 0")
+def gen_sigma_to_technique(spark, d):
+    made = generate.rule_techniques(knowledge.rules(spark, d), knowledge.techniques(spark, d))
+    return _facts(made, primary_technique="$.primary_technique", severity="$.severity", every="$.all_techniques")
+
+
+@query(f"""WITH {_KNOWLEDGE}, n AS (SELECT i, count(*) AS n FROM (SELECT unnest(list_distinct(ids)) AS i FROM r) GROUP BY i)
+    SELECT id || ',DS' || k AS sources, id AS split_key, coalesce(n, 0)::VARCHAR AS n_rules FROM t LEFT JOIN n ON i = id WHERE description <> '' AND k % 5 <> 0""")
+def gen_technique_to_detection(spark, d):
+    return _facts(generate.detections(knowledge.techniques(spark, d), knowledge.rules(spark, d)), n_rules="$.existing_sigma_rules_available")
+
+
+@query(f"""WITH {_KNOWLEDGE}, e AS (SELECT n, pos, i || coalesce(' (' || name || ')', '') AS said FROM (SELECT n, unnest(ids) AS i, generate_subscripts(ids, 1) AS pos FROM s) LEFT JOIN t ON id = i),
+    m AS (SELECT n, string_agg(said, ', ' ORDER BY pos) AS related FROM e GROUP BY n)
+    SELECT 'sysmon:' || eid || ':' || field AS sources, CASE WHEN len(ids) > 0 THEN ids[1] ELSE 'sysmon:' || eid || ':' || field || ':v' || n END AS split_key, CASE WHEN included THEN 'true' ELSE 'false' END AS suspicious, coalesce(related, '') AS related
+    FROM s LEFT JOIN m USING (n) WHERE NOT untold AND NOT brief""")
+def gen_sysmon_rationale(spark, d):
+    related = F.regexp_extract(F.col("messages")[2]["content"], r"Related: ([^.]*)\.", 1)
+    return _facts(generate.sysmon_rationales(knowledge.sysmon(spark, d), knowledge.techniques(spark, d)), suspicious="$.is_suspicious_pattern", related=related)
+
+
+@query(f"""WITH {_KNOWLEDGE}, a AS (SELECT *, CASE lower(level) WHEN 'critical' THEN 'critical' WHEN 'high' THEN 'high' WHEN 'informational' THEN 'low' ELSE 'medium' END AS author FROM r JOIN t ON ids[1] = id WHERE told AND readable AND len(ids) > 0)
+    SELECT id || ',sysmon:' || eid AS sources, id AS split_key, id AS technique_id, CASE WHEN tactic IN ('execution', 'impact') THEN 'high' ELSE 'medium' END AS severity FROM s JOIN t ON ids[1] = id WHERE included AND NOT untold AND len(ids) > 0
+    UNION ALL SELECT id || ',' || rule_id, id, id, CASE WHEN tactic IN ('execution', 'impact') AND author IN ('medium', 'high') THEN 'high' ELSE author END FROM a""")
+def gen_event_to_technique(spark, d):
+    t = knowledge.techniques(spark, d)
+    made = generate.sysmon_triage(knowledge.sysmon(spark, d), t).unionByName(generate.rule_triage(knowledge.rules(spark, d), t))
+    return _facts(made, technique_id="$.technique_id", severity="$.severity")
+
+
+@query(f"""WITH {_KNOWLEDGE}, e AS (SELECT id, k, j, (k + j) % 60 AS m FROM t, (SELECT unnest([0, 1]) AS j) WHERE j < k % 3),
+    l AS (SELECT id, string_agg('- M' || m || ' Mitigation ' || m || rtrim(': ' || CASE WHEN m % 2 = 0 THEN 'note ' || k ELSE coalesce('Full ' || s_name, '') END), chr(10) ORDER BY j) AS lines FROM e LEFT JOIN supplier ON s_suppkey = m AND s_suppkey < 40 GROUP BY id)
+    SELECT id AS sources, id AS split_key, lines FROM l""")
+def gen_mitigation_recommend(spark, d):
+    lines = F.regexp_extract(F.col("messages")[2]["content"], r"(?s)First:\n(.*?)\s*</reasoning>", 1)
+    return _facts(generate.mitigation_advice(knowledge.techniques(spark, d), knowledge.mitigations(spark, d)), lines=F.regexp_replace(lines, r"(?m) +$", ""))
