@@ -23,6 +23,7 @@ import base64
 import heapq
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import lean, materialize
+from tidewatch.llm.common import give_back, lean, materialize
 from tidewatch.llm.textkernel import U64, chunks, text_buffer, word_hashes
 
 HEAD_WORDS = 400_000
@@ -51,6 +52,15 @@ _SWEEP = 1 << 15
 LONG_BYTES = 256
 
 
+@lru_cache(maxsize=2)
+def rank_table(path: str) -> tuple[dict[bytes, int], str, str]:
+    """Ranks of a file, and ``pair_table`` of them as JSON; made once a process."""
+    ranks = load_ranks(path)
+    if max(ranks.values()) >= _NO_RANK:
+        raise ValueError(f"ranks must be below {_NO_RANK}")
+    return ranks, *(json.dumps(x.tolist(), separators=(",", ":")) for x in pair_table(mergeable(ranks)))
+
+
 def load_ranks(path: str) -> dict[bytes, int]:
     """Tokens and ranks of a tiktoken file."""
     pairs = (line.split() for line in Path(path).read_bytes().splitlines() if line)
@@ -131,6 +141,7 @@ def folded(words: Column, slots: Column, shift: Column) -> Column:
     return F.element_at(F.transform(F.array(F.struct(slots.alias("slots"), shift.alias("shift"))), with_table), 1)
 
 
+@lru_cache(maxsize=1)
 def character_classes() -> np.ndarray:
     """Letter, number, white space or other, for each code point."""
     out, block = np.zeros(0x110000, np.uint8), 1 << 11
@@ -382,12 +393,9 @@ class Tokenizer:
     """A rank file and a pattern; ``encode`` and ``decode`` are DataFrame to DataFrame."""
 
     def __init__(self, spark: SparkSession, path: str, pattern: str):
-        self.spark, self.ranks, self.pattern = spark, load_ranks(path), pattern
-        if max(self.ranks.values()) >= _NO_RANK:
-            raise ValueError(f"ranks must be below {_NO_RANK}")
-        slots, shift = pair_table(mergeable(self.ranks))
-        literal = lambda x, kind: F.from_json(F.lit(json.dumps(x.tolist(), separators=(",", ":"))), kind)
-        self.slots, self.shift = literal(slots, "array<bigint>"), literal(shift, "array<int>")
+        self.ranks, slots, shift = rank_table(path)
+        self.spark, self.pattern = spark, pattern
+        self.slots, self.shift = F.from_json(F.lit(slots), "array<bigint>"), F.from_json(F.lit(shift), "array<int>")
 
     def _lexicon(self, texts: DataFrame) -> Lexicon:
         """Tokens, and the ids of the words that are broadcast; texts: one column ``text``."""
@@ -434,8 +442,10 @@ class Tokenizer:
         if got.num_rows:
             ids = got["ids"].combine_chunks()
             lexicon.learn(got["key"].to_numpy().view(U64), ids.value_lengths().to_numpy(), ids.flatten().to_numpy())
-            del got, ids
+            del ids
+        del got
         shared.unpersist()
+        give_back()
         return lexicon
 
     def encode(self, docs: DataFrame, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:

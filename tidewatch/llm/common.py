@@ -40,16 +40,21 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, "2000")
 
 
+def give_back() -> None:
+    """Free memory of this process goes back to the system; allocators keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """For mapInArrow: as ``run``, and the worker, which lives on for other tasks, gives free memory back at the end."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):  # another C library
-            pass
+        give_back()
 
     return task
 
