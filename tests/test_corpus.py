@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import text as tx
 from tidewatch.filters import key_filter, passing
-from tidewatch.operators import audit, evalrun, generate, leak, records, split, stats
+from tidewatch.operators import audit, dlq, evalrun, generate, leak, records, split, stats
 from tidewatch.plans import catalog
 from tidewatch.sources import files, sinks
 from tidewatch.tables import ranked
@@ -331,3 +331,39 @@ def test_quotas_of_a_quarter_million_groups(spark):
     for least in (0, 1):
         got = split.group_quotas(sizes, "g", 50_000, least).agg(F.sum("quota").alias("s"), F.count_if(F.col("quota") > F.col("n") - 1).alias("over"), F.count("*").alias("n")).first()
         assert (got.s, got.over, got.n) == (50_000, 0, 250_000)
+
+
+def test_cases_are_loaded_by_contract(spark, tmp_path):
+    def case(n, **more):
+        return {"messages": [{"role": r, "content": f"{r} {n} é/\\"} for r in ("system", "user", "assistant")], "meta": {"task": "t", "source_ids": ["a"]}} | more
+
+    (tmp_path / "ok.jsonl").write_text("\n".join(["", *[json.dumps(case(n)) for n in range(9)], "", json.dumps(case(9, meta=None))]))
+    lines = files.numbered_lines(spark, str(tmp_path / "ok.jsonl"))
+    rows = evalrun.load_cases(lines, 100, 1).collect()
+    assert [r.line for r in rows] == [*range(2, 11), 12] and rows[-1].source_ids == [] and rows[0].source_ids == ["a"]
+    prompt = json.dumps([{"content": m["content"], "role": m["role"]} for m in case(0)["messages"][:2]], ensure_ascii=False, sort_keys=True)
+    assert rows[0].case_id == f"ok.jsonl:2:{hashlib.sha256(prompt.encode()).hexdigest()[:16]}"
+    some = [r.line for r in evalrun.load_cases(lines, 4, 7).collect()]
+    assert len(some) == 4 and some == sorted(some) == [r.line for r in evalrun.load_cases(lines, 4, 7).collect()]
+    with pytest.raises(ValueError, match="limit"):
+        evalrun.load_cases(lines, 0, 1)
+    two = case(1)
+    two["messages"] = two["messages"][:2]
+    blank = case(1)
+    blank["messages"][1]["content"] = " "
+    for bad, why in (("{x", "json"), (json.dumps(case(1, messages=3)), "messages"), (json.dumps(two), "message 2: assistant"), (json.dumps(blank), "message 1: user"), (json.dumps(case(1, meta=[1])), "meta")):
+        (tmp_path / "bad.jsonl").write_text(json.dumps(case(0)) + "\n" + bad)
+        with pytest.raises(ValueError, match=f"bad.jsonl:2: {why}"):
+            evalrun.load_cases(files.numbered_lines(spark, str(tmp_path / "bad.jsonl")), 5, 1)
+    (tmp_path / "none.jsonl").write_text("\n")
+    with pytest.raises(ValueError, match="no cases"):
+        evalrun.load_cases(files.numbered_lines(spark, str(tmp_path / "none.jsonl")), 5, 1)
+
+
+def test_replay_goes_on_without_a_destination_that_fails(spark, tmp_path):
+    item = lambda stream: json.dumps({"stream": stream, "payload": {"event": "e"}})
+    entries = spark.createDataFrame([("1-0", item("a")), ("2-0", item("b")), ("3-0", "{bad"), ("4-0", item("a"))], "stream_id string, dlq string")
+    (tmp_path / "destination=b").write_text("a file where a folder should be")
+    got = dlq.replay(dlq.replay_plan(entries), str(tmp_path), execute=True, delete=True).first().asDict()
+    assert got == {"scanned": 4, "eligible": 3, "replayed": 2, "skipped": 1, "failed": 1, "deleted": 2}
+    assert spark.read.json(str(tmp_path / "destination=a")).count() == 2

@@ -52,16 +52,28 @@ def replay_plan(entries: DataFrame, start: str = "0-0", limit: int = 100, forced
     return rows.withColumn("destination", F.when(F.col("reason").isNull(), destination(F.col("source_stream"), forced, fallback, dlq_stream)))
 
 
-def replay(plan: DataFrame, folder: str, execute: bool = False) -> DataFrame:
-    """Counters of a replay; with ``execute``, eligible payloads are appended to ``folder/<destination>``.
+def replay(plan: DataFrame, folder: str, execute: bool = False, delete: bool = False) -> DataFrame:
+    """Counters of a replay; with ``execute``, eligible payloads are appended to ``folder/destination=D``.
 
-    Entries carry their dead letter's position, so that a replay run twice is undone by a dedupe on it.
+    Each destination is written by itself, so one that fails counts as failed and the others go on; ``delete`` counts
+    what was replayed as deleted, and ``remaining`` is then what is left.  Entries carry their dead letter's position, so
+    that a replay run twice is undone by a dedupe on it.
     """
     ready = plan.where("reason is null").select("destination", F.col("stream_id").alias("replayed_from"), F.element_at("payload", "event").alias("payload"))
+    lost: list[str] = []
     if execute:
-        ready.write.mode("append").partitionBy("destination").json(folder)
-    done = F.count_if(F.col("reason").isNull()) if execute else F.lit(0)
-    return plan.agg(F.count("*").alias("scanned"), F.count_if(F.col("reason").isNull()).alias("eligible"), done.cast("long").alias("replayed"), F.count_if(F.col("reason").isNotNull()).alias("skipped"))
+        for name in [r.destination for r in ready.select("destination").distinct().collect()]:  # streams, not entries
+            try:
+                ready.where(F.col("destination") == name).drop("destination").write.mode("append").json(f"{folder}/destination={name}")
+            except Exception:  # noqa: BLE001  a destination that can't be written is counted
+                lost.append(name)
+    ok = F.col("reason").isNull()
+    failed = ok & F.col("destination").isin(lost) if lost else F.lit(False)
+    done = ok & ~failed if execute else F.lit(False)
+    count = lambda c, name: F.count_if(c).alias(name)
+    return plan.agg(
+        F.count("*").alias("scanned"), count(ok, "eligible"), count(done, "replayed"), count(~ok, "skipped"), count(failed, "failed"), count(done & F.lit(delete), "deleted"),
+    )
 
 
 def remaining(entries: DataFrame, plan: DataFrame) -> DataFrame:

@@ -9,13 +9,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.functions.text import content_id, is_json_object, tagged
+from tidewatch.functions.text import content_id, is_json_object, seeded, tagged
 
 
 def with_case_ids(cases: DataFrame) -> DataFrame:
     return cases.withColumn("case_id", content_id(16, F.col("system"), F.col("user")))
 
 
+def parsed_cases(lines: DataFrame) -> DataFrame:
+    """lines (file, line, value) -> cases with ``problem``: what keeps a line from being one, null if nothing does.
+
+    A case has a system, a user and an assistant message in this order, each with text; meta, if there, is an object.
+    case_id: file, line, and 16 digits of the SHA-256 of the prompt's messages as JSON.
+    """
+    rec = F.try_parse_json("value")
+    of = lambda path: F.get_json_object("value", path)
+    kind = lambda path: F.schema_of_variant(F.try_variant_get(rec, path, "variant"))
+    problem = F.when(rec.isNull(), "json").when(of("$.messages").isNotNull() & ~of("$.messages").startswith("["), "messages")
+    text = []
+    for i, role in enumerate(("system", "user", "assistant")):
+        said = F.try_variant_get(rec, f"$.messages[{i}].content", "string")
+        right = (F.try_variant_get(rec, f"$.messages[{i}].role", "string") == role) & (kind(f"$.messages[{i}].content") == "STRING") & (F.trim(said) != "")
+        problem = problem.when(~F.coalesce(right, F.lit(False)), f"message {i}: {role}")
+        text.append(said)
+    meta = of("$.meta")
+    problem = problem.when(meta.isNotNull() & ~meta.startswith("{") & ~meta.isin("", "null", "0", "false", "[]"), "meta")
+    quoted = lambda c: F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)
+    prompt = F.concat(F.lit('[{"content": '), quoted(text[0]), F.lit(', "role": "system"}, {"content": '), quoted(text[1]), F.lit(', "role": "user"}]'))
+    case_id = F.concat_ws(":", "file", F.col("line").cast("string"), F.substring(F.sha2(prompt, 256), 1, 16))
+    ids = F.coalesce(F.from_json(F.get_json_object(meta, "$.source_ids"), "array<string>"), F.array().cast("array<string>"))
+    return lines.select(
+        "file", "line", problem.alias("problem"), case_id.alias("case_id"), text[0].alias("system"), text[1].alias("user"), text[2].alias("target"),
+        F.get_json_object(meta, "$.source_book").alias("source_book"), F.get_json_object(meta, "$.task").alias("task"), ids.alias("source_ids"),
+    )
+
+
+def load_cases(lines: DataFrame, limit: int, seed: int) -> DataFrame:
+    """The cases of numbered lines, in their order: all, or ``limit`` of them that the seed fixes; a line that is none fails the load."""
+    if limit < 1:
+        raise ValueError("limit must be at least 1")
+    cases = parsed_cases(lines)
+    bad = cases.where("problem is not null").orderBy("file", "line").select("file", "line", "problem").first()
+    if bad:
+        raise ValueError(f"{bad.file}:{bad.line}: {bad.problem}")
+    if cases.isEmpty():
+        raise ValueError("no cases")
+    return cases.drop("problem").orderBy(seeded(F.col("case_id"), seed), "case_id").limit(limit).orderBy("file", "line")
+
+
 def model_cases(models: DataFrame, cases: DataFrame) -> DataFrame:
     """Every case for every model, however many there are: the models are the small side and are broadcast."""
     return cases.crossJoin(F.broadcast(models.select("label")))
@@ -49,14 +90,15 @@ def run_model(cases: DataFrame, prompt: str, ask: Callable[[pd.Series], pd.Serie
 
 
 def summary(results: DataFrame) -> DataFrame:
-    """Per label: cases, errors, valid answers, latency of rows without an error, tokens, finish reasons as JSON."""
+    """Per label: cases and errors; of rows without an error whole tags, valid answers, latency, tokens, finish reasons as JSON."""
     ok = F.col("error").isNull()
     reasons = results.where(ok).groupBy("label", F.coalesce("finish_reason", F.lit("unknown")).alias("reason")).count()
     reasons = reasons.groupBy("label").agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("reason", "count"))))).alias("finish_reasons"))
     got = results.groupBy("label").agg(
         F.count("*").alias("cases"), F.count_if(~ok).alias("errors"), F.count_if(ok & F.col("answer_json_valid")).alias("valid_json"),
         F.round(F.avg(F.when(ok, F.col("latency_seconds"))), 3).alias("avg_latency"), F.max(F.when(ok, F.col("latency_seconds"))).alias("max_latency"),
-        F.sum(F.when(ok, F.col("completion_tokens"))).alias("completion_tokens"),
+        *[F.count_if(ok & F.col(f"{t}_open") & F.col(f"{t}_close")).alias(f"valid_{t}_tags") for t in ("reasoning", "answer")],
+        *[F.coalesce(F.sum(F.when(ok, F.col(c))), F.lit(0)).alias(c) for c in ("prompt_tokens", "completion_tokens", "total_tokens") if c in results.columns],
     )
     return got.join(reasons, "label", "left")
 

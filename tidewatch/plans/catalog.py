@@ -321,11 +321,23 @@ def dlq_route(spark, d):
     return p.select("stream_id", dlq.destination(F.col("source_stream"), None, "fallback", "security_dlq").alias("destination"))
 
 
-@query("SELECT count(*) AS scanned, count(*) FILTER (event_id % 6 = 5) AS eligible, 0::BIGINT AS replayed, count(*) FILTER (event_id % 6 <> 5) AS skipped FROM (SELECT * FROM events WHERE event_id >= 100 ORDER BY event_id LIMIT 500)")
+@query("SELECT count(*) AS scanned, count(*) FILTER (event_id % 6 = 5) AS eligible, 0::BIGINT AS replayed, count(*) FILTER (event_id % 6 <> 5) AS skipped, 0::BIGINT AS failed, 0::BIGINT AS deleted FROM (SELECT * FROM events WHERE event_id >= 100 ORDER BY event_id LIMIT 500)")
 def dlq_replay(spark, d):
     return dlq.replay(dlq.replay_plan(_dlq_entries(spark, d), "100-0", 500), "", execute=False)
 
 
+@query("SELECT count(*) AS scanned, count(*) FILTER (event_id % 6 = 5) AS eligible, count(*) FILTER (event_id % 6 = 5) AS replayed, count(*) FILTER (event_id % 6 <> 5) AS skipped, 0::BIGINT AS failed, count(*) FILTER (event_id % 6 = 5) AS deleted FROM events")
+def dlq_replay_execute(spark, d):
+    entries = _dlq_entries(spark, d)
+    return dlq.replay(dlq.replay_plan(entries, "0-0", 1 << 30), new_folder(spark, "replayed"), execute=True, delete=True)
+
+
+@query("SELECT event_id::VARCHAR || '-0' AS stream_id FROM events WHERE event_id % 6 <> 5")
+def dlq_remaining(spark, d):
+    entries = _dlq_entries(spark, d)
+    return dlq.remaining(entries, dlq.replay_plan(entries, "0-0", 1 << 30)).select("stream_id")
+
+
 # --- corpus ------------------------------------------------------------------------------------------------------
 
 
@@ -568,17 +580,18 @@ def _results(spark, d):
     content = F.when(k % 4 == 0, "no tags").when(k % 4 == 1, '<answer>{"summary": 1, "actions": []}</answer>').when(k % 4 == 2, "<reasoning>r</reasoning><answer>{bad</answer>").otherwise("<reasoning>r</reasoning>\n<answer> [1] </answer>")
     rows = table(spark, d, "orders").select(
         F.col("o_orderpriority").alias("label"), (k % 100).alias("case_id"), k.alias("row_id"), F.when(k % 17 == 0, "timeout").alias("error"), content.alias("content"),
-        (F.col("o_custkey") % 50 / F.lit(4.0)).alias("latency_seconds"), (k % 1000).alias("completion_tokens"), F.when(k % 3 == 0, "length").when(k % 3 == 1, "stop").alias("finish_reason"),
+        (F.col("o_custkey") % 50 / F.lit(4.0)).alias("latency_seconds"), (k % 1000).alias("completion_tokens"), (k % 300).alias("prompt_tokens"), (k % 1000 + k % 300).alias("total_tokens"), F.when(k % 3 == 0, "length").when(k % 3 == 1, "stop").alias("finish_reason"),
     )
     return evalrun.score_content(rows)
 
 
-_RESULTS = """r AS (SELECT o_orderpriority AS label, o_orderkey % 100 AS case_id, o_orderkey % 17 = 0 AS bad, o_orderkey % 4 = 1 AS valid, (o_custkey % 50) / 4.0::DOUBLE AS lat, o_orderkey % 1000 AS tok,
+_RESULTS = """r AS (SELECT o_orderpriority AS label, o_orderkey % 100 AS case_id, o_orderkey % 17 = 0 AS bad, o_orderkey % 4 = 1 AS valid, (o_custkey % 50) / 4.0::DOUBLE AS lat, o_orderkey % 1000 AS tok, o_orderkey % 300 AS prompt, o_orderkey % 4 AS k4,
     CASE o_orderkey % 3 WHEN 0 THEN 'length' WHEN 1 THEN 'stop' ELSE 'unknown' END AS reason FROM orders)"""
 
 
 @query(f"""WITH {_RESULTS}, f AS (SELECT label, '{{' || string_agg('"' || reason || '":' || n, ',' ORDER BY reason) || '}}' AS finish_reasons FROM (SELECT label, reason, count(*) AS n FROM r WHERE NOT bad GROUP BY 1, 2) GROUP BY label)
-    SELECT label, count(*) AS cases, count(*) FILTER (bad) AS errors, count(*) FILTER (valid AND NOT bad) AS valid_json, round(avg(lat) FILTER (NOT bad), 3) AS avg_latency, max(lat) FILTER (NOT bad) AS max_latency, (sum(tok) FILTER (NOT bad))::BIGINT AS completion_tokens, any_value(finish_reasons) AS finish_reasons
+    SELECT label, count(*) AS cases, count(*) FILTER (bad) AS errors, count(*) FILTER (valid AND NOT bad) AS valid_json, round(avg(lat) FILTER (NOT bad), 3) AS avg_latency, max(lat) FILTER (NOT bad) AS max_latency, (sum(tok) FILTER (NOT bad))::BIGINT AS completion_tokens, (sum(prompt) FILTER (NOT bad))::BIGINT AS prompt_tokens, (sum(tok + prompt) FILTER (NOT bad))::BIGINT AS total_tokens,
+    count(*) FILTER (NOT bad AND k4 >= 2) AS valid_reasoning_tags, count(*) FILTER (NOT bad AND k4 >= 1) AS valid_answer_tags, any_value(finish_reasons) AS finish_reasons
     FROM r JOIN f USING (label) GROUP BY label""")
 def eval_summary(spark, d):
     return evalrun.summary(_results(spark, d))
