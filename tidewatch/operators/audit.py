@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.text import CHARS_PER_TOKEN_SYNTHESIS, estimated_tokens, has_tags, is_json, is_json_object, strip, tagged
+from tidewatch.functions.text import CHARS_PER_TOKEN_SYNTHESIS, estimated_tokens, is_json, is_json_object, strip, tagged
 from tidewatch.operators.dedupe import first_seen
 
 ROLES = ("system", "user", "assistant")
