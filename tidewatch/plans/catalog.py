@@ -659,6 +659,28 @@ def histogram_json(spark, d):
     return stats.histogram_json(table(spark, d, "documents"), "source", "lang")
 
 
+_FILES = "f AS (SELECT source || '.jsonl' AS file, lang AS task, floor(length(text) / 3.8::DOUBLE)::BIGINT AS t FROM documents)"
+
+
+def _file_records(spark, d) -> DataFrame:
+    return table(spark, d, "documents").select(F.concat("source", F.lit(".jsonl")).alias("file"), F.col("lang").alias("task"), tx.estimated_tokens(F.length("text")).alias("n_tokens"))
+
+
+@query(f"""WITH {_FILES}, h AS (SELECT file, '{{' || string_agg('"' || task || '":' || n, ',' ORDER BY task) || '}}' AS tasks FROM (SELECT file, task, count(*) AS n FROM f WHERE task IS NOT NULL GROUP BY 1, 2) GROUP BY file)
+    SELECT file, CASE WHEN file < 'm' THEN 'early' ELSE 'other' END AS domain, count(*) AS records, sum(t)::BIGINT AS tokens, any_value(tasks) AS tasks FROM f LEFT JOIN h USING (file) GROUP BY file""")
+def file_registry(spark, d):
+    rows = _file_records(spark, d)
+    topics = rows.select("file").distinct().where("file < 'm'").withColumn("domain", F.lit("early"))
+    return stats.registry(rows, topics).select("file", "domain", "records", "tokens", "tasks")
+
+
+@query(f"WITH {_FILES} SELECT file, count(*) AS records, sum(t)::BIGINT AS tokens, length(file)::BIGINT AS bytes, sha256(file) AS sha256 FROM f GROUP BY file")
+def file_infos(spark, d):
+    rows = _file_records(spark, d)
+    digests = rows.select("file").distinct().select("file", F.length("file").cast("long").alias("bytes"), F.sha2("file", 256).alias("sha256"))
+    return stats.file_info(rows, digests)
+
+
 @query("SELECT coalesce(lang, 'unknown') AS lang, count(*) AS n FROM documents GROUP BY 1 ORDER BY 1")
 def count_by_key(spark, d):
     return stats.count_by(table(spark, d, "documents"), F.col("lang"), "lang")
