@@ -252,3 +252,14 @@ def test_the_stream_loads_tables(spark, tmp_path):
     assert pl.run_once(stream.start())
     assert sorted(r.event_id for r in tables.read("events").collect()) == ["a", "b", "c"]
     assert tables.read("findings").count() == 3
+
+
+def test_heartbeats_stream_into_their_table(spark, tmp_path):
+    shape = "agent_id string, host_id string, source_type string, seen_at string"
+    tables = Buckets(spark, str(tmp_path / "tables"), {"heartbeats": f"{shape}, status string"}, {"heartbeats": "agent_id"}, 4)
+    (tmp_path / "in").mkdir()
+    for name, rows in (("a", [("x", "h1", "01"), ("y", "h1", "02"), (None, "h9", "09")]), ("b", [("x", "h2", "03"), ("x", "h3", "02"), ("z", "h1", "01")]), ("c", [("x", "h4", "00")])):
+        (tmp_path / "in" / f"{name}.json").write_text("\n".join(json.dumps({"agent_id": a, "host_id": h, "source_type": "logs", "seen_at": t}) for a, h, t in rows))
+    beats = read_stream(spark, str(tmp_path / "in"), shape)
+    assert pl.run_once(beats.writeStream.option("checkpointLocation", str(tmp_path / "c")).foreachBatch(pl.load_heartbeats(tables)).trigger(availableNow=True).start())
+    assert sorted((r.agent_id, r.host_id, r.seen_at, r.status) for r in tables.read("heartbeats").collect()) == [("x", "h2", "03", "online"), ("y", "h1", "02", "online"), ("z", "h1", "01", "online")]

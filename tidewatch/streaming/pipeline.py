@@ -23,7 +23,7 @@ from tidewatch.config import backoff_seconds
 from tidewatch.functions.telemetry import alerts, findings, redact, with_defaults
 from tidewatch.operators.buckets import Buckets, load
 from tidewatch.operators.dlq import dead_letters
-from tidewatch.operators.store import EVENT_FIRST, EVENT_LAST, FINDING_FIRST, FINDING_LAST, first_last, hosts, split_by_key, upsert
+from tidewatch.operators.store import EVENT_FIRST, EVENT_LAST, FINDING_FIRST, FINDING_LAST, first_last, heartbeat_table, hosts, split_by_key, upsert
 from tidewatch.schemas import EVENT
 from tidewatch.sources.streams import position
 
@@ -280,6 +280,23 @@ def load_batch(tables: Buckets, split: Callable[[DataFrame], tuple[DataFrame, Da
     return run
 
 
+def load_heartbeats(tables: Buckets) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: heartbeats (agent_id, host_id, source_type, seen_at) into the table of each agent's last one, always online.
+
+    Only the buckets of the batch's agents are rewritten; an older heartbeat that comes late changes nothing.
+    """
+
+    def run(batch: DataFrame, number: int) -> None:
+        batch, last = batch.where("agent_id is not null").persist(), tables.current(number)
+        own = tables.touched(batch, "agent_id")
+        beats = ["agent_id", "host_id", "source_type", "seen_at"]
+        both = tables.before("heartbeats", last, own).select(*beats).unionByName(batch.select(*beats))
+        tables.commit(number, {"heartbeats": (own, heartbeat_table(both))}, last)
+        batch.unpersist()
+
+    return run
+
+
 def load_tables(events: DataFrame, analyses: DataFrame, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Hosts, events and findings after a batch: events first, then findings whose event is there; others are rejected.
 
