@@ -159,3 +159,19 @@ def test_near_dedup_of_documents_is_exact_jaccard(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.id: r.component_id for r in similar_groups(docs).collect()} == jaccard_closure(rows)
+
+
+@pytest.mark.parametrize("size", [4, 9, 40, 400])
+def test_recall_of_the_budgets_at_the_least_similarity(size):
+    """Of pairs of sets of a similarity of 0.8 and little more, how many some rotation keeps within the scheme's budgets."""
+    rng = np.random.default_rng(size)
+    pairs, shared = 400, -(-8 * size // 9)  # each set has ``size`` hashes, so shared / (2 * size - shared) is 0.8 or more
+    every = rng.integers(0, 1 << 63, (pairs, 2 * size - shared), dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, (pairs, 2 * size - shared), dtype=np.uint64)
+    sides = [every[:, :size], np.concatenate([every[:, :shared], every[:, size:]], axis=1)]
+    a, b = (set_fingerprints(np.ascontiguousarray(s).ravel(), np.arange(pairs + 1) * size, NEAR.words) for s in sides)
+    kept = np.zeros(pairs, bool)
+    for turn in range(NEAR.turns):
+        x = simhash.rotate(a, turn * NEAR.step) ^ simhash.rotate(b, turn * NEAR.step)
+        errors = np.unpackbits(x.byteswap().view(np.uint8).reshape(pairs, -1), axis=1).cumsum(1)
+        kept |= np.all([errors[:, depth - 1] <= most for depth, most in NEAR.budgets], axis=0)
+    assert kept.mean() >= 0.95
