@@ -491,7 +491,7 @@ def holdout_topn_by_hash(spark, d):
 
 @query("SELECT doc_id, CASE WHEN r <= (n * 0.9::DOUBLE)::BIGINT THEN 'train' ELSE 'eval' END AS split FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS r, count(*) OVER () AS n FROM documents)")
 def ratio_split(spark, d):
-    return split.ratio_split(table(spark, d, "documents").select("doc_id"), "doc_id", 42, 0.1)
+    return split.ratio_split(table(spark, d, "documents").select("doc_id"), "doc_id", 42, 0.1, whole=round)
 
 
 @query("SELECT item_id FROM (SELECT item_id FROM benchmark ORDER BY md5('5:' || item_id), item_id LIMIT 12) ORDER BY item_id")
