@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from test_entry import rows_by_sql, rows_of
+from tidewatch.operators import leak
 from tidewatch.plans import catalog
 
 
@@ -30,3 +31,37 @@ def test_mitigations_of_techniques_that_share_an_id(spark, tmp_path):
     assert cols == also == ["lines", "sources", "split_key"]
     bag = lambda rows: [(sorted(lines.split("\n")), *rest) for lines, *rest in rows]
     assert sorted(bag(got)) == sorted(bag(wanted)) and len(got) == 3
+
+
+def test_longest_runs_of_texts_that_name_many_chunks(spark):
+    # words of few kinds, ids that repeat with other texts and other names, chunks of one id, lists without a chunk
+    import random
+
+    rng = random.Random(7)
+    say = lambda n, kinds: " ".join(rng.choice("abcdefgh"[:kinds]) for _ in range(n))
+    recs = [(k % 30, say(rng.randrange(60), 1 + k % 4), [f"c{rng.randrange(25)}" for _ in range(k % 6)] or None, rng.choice([None, "c1", "none"])) for k in range(80)]
+    chunks = [(f"c{k % 22}", say(k * 2, 1 + k % 4)) for k in range(26)]
+
+    def longest(text, chunk):
+        a, b = text.split(), chunk.split()
+        runs = lambda w, n: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+        return next((n for n in range(25, 3, -1) if runs(a, n) & runs(b, n)), 0)
+
+    wanted = [(i, place, c, longest(text, said)) for i, text, ids, own in recs for place, name in enumerate([*(ids or []), own]) for c, said in chunks if c == name]
+    rows = spark.createDataFrame(recs, "text_id int, text string, source_ids array<string>, source_chunk string").repartition(3)
+    got = leak.longest_of_named(rows, spark.createDataFrame(chunks, "chunk_id string, text string"))
+    assert sorted(map(tuple, got.collect())) == sorted(wanted) and len({w[3] for w in wanted}) > 8
+
+
+def test_a_text_is_hashed_once_whatever_it_names():
+    # a text of 200,000 words beside 300 chunks; before, each chunk had it hashed anew for five lengths
+    import time
+
+    import numpy as np
+    import pyarrow as pa
+
+    text = np.random.default_rng(1).integers(0, 1 << 60, 200_000)
+    chunks = [text[k : k + 30].tolist() for k in range(0, 9000, 30)]
+    began = time.process_time()
+    got = leak.longest_runs(pa.array([text.tolist()], pa.list_(pa.int64())), pa.array([chunks], pa.list_(pa.list_(pa.int64()))))
+    assert got.to_pylist() == [[25] * 300] and time.process_time() - began < 10

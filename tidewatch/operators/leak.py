@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,22 +49,105 @@ def shared_shingles(texts: DataFrame, chunks: DataFrame, n: int = LEAK) -> DataF
     return met.select("text_id", "chunk_id", "run").distinct().groupBy("text_id", "chunk_id").agg(F.count("*").alias("n_shared"))
 
 
-def longest_common(pairs: DataFrame, a: str = "text", b: str = "chunk") -> DataFrame:
-    """``pairs`` with lcs: the longest run of words that both have, from 4 to 25; below that 0.
+def _offsets(column: pa.ListArray) -> np.ndarray:
+    return column.offsets.to_numpy().astype(np.int64)
+
+
+def _hashes(runs: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hashes of runs that are a word longer."""
+    x = (runs ^ (runs >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + word
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _in_row(hashes: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Keys of hashes that are told apart by row."""
+    return hashes ^ ((row.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _first_runs(word: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places with ``LEAST`` words or more left in their list, and the hashes of those runs."""
+    at = np.flatnonzero(left >= LEAST)
+    runs = word[at]
+    for k in range(1, LEAST):
+        runs = _hashes(runs, word[at + k])
+    return at, runs
+
+
+def _left(offsets: np.ndarray) -> np.ndarray:
+    """Words from each place to the end of its list."""
+    return np.repeat(offsets[1:], np.diff(offsets)) - np.arange(offsets[0], offsets[-1])
+
 
-    Who shares a run of n words shares shorter ones, so five lengths, each the middle of what is open, tell it.  Runs are
-    compared by their 64-bit hashes.
+def longest_runs(texts: pa.Array, chunks: pa.Array) -> pa.Array:
+    """Of each row's text, a list of word hashes, and each of its chunks: the longest run of words that both have.
+
+    Places of a text and a chunk where a run of 4 words of both begins are carried on a word at a time, up to 25: those
+    whose longer run both have stay.  A text is looked through once, whatever the number of its chunks.
     """
-    rows = pairs.withColumns({"_a": word_tokens(F.col(a)), "_b": word_tokens(F.col(b))})
+    text_at, many = _offsets(texts), np.diff(_offsets(chunks))
+    text = texts.values.to_numpy().view(np.uint64)[text_at[0] : text_at[-1]]
+    inner = chunks.flatten()  # the rows' chunks, one after another
+    chunk_at = _offsets(inner)
+    words = inner.values.to_numpy().view(np.uint64)[chunk_at[0] : chunk_at[-1]]
+    out = np.zeros(len(inner), np.int32)
+    row_of = np.repeat(np.arange(len(texts)), many)
+    chunk = np.repeat(np.arange(len(inner)), np.diff(chunk_at))
+    c_left, t_left = _left(chunk_at), _left(text_at)
+    c, c_runs = _first_runs(words, c_left)
+    t, t_runs = _first_runs(text, t_left)
+    if c.size and t.size:
+        row = np.repeat(np.arange(len(texts)), np.diff(text_at))[t]
+        ours, theirs = _in_row(t_runs, row), _in_row(c_runs, row_of[chunk[c]])
+        order = np.argsort(theirs, kind="stable")
+        keys = theirs[order]
+        size = 1 << int(16 * keys.size).bit_length()
+        known = np.zeros(size, bool)
+        known[(keys & np.uint64(size - 1)).astype(np.int64)] = True
+        maybe = np.flatnonzero(known[(ours & np.uint64(size - 1)).astype(np.int64)])
+        low, high = np.searchsorted(keys, ours[maybe], "left"), np.searchsorted(keys, ours[maybe], "right")
+        n = high - low
+        # a text's place meets each chunk once, however often the chunk has the run
+        place = np.repeat(maybe, n)
+        met = c[order[np.repeat(low, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)]]
+        both = np.unique(np.stack([chunk[met], place], 1), axis=0) if met.size else np.zeros((0, 2), np.int64)
+        pair, place = both[:, 0], both[:, 1]
+        t, runs = t[place], t_runs[place]
+        out[pair] = LEAST
+        for length in range(LEAST + 1, MOST + 1):
+            keep = c_left[c] >= length
+            c, c_runs = c[keep], c_runs[keep]
+            c_runs = _hashes(c_runs, words[c + length - 1])
+            keep = t_left[t] >= length
+            t, runs, pair = t[keep], runs[keep], pair[keep]
+            runs = _hashes(runs, text[t + length - 1])
+            theirs = np.unique(_in_row(c_runs, chunk[c]))
+            mine = _in_row(runs, pair)
+            at = np.minimum(np.searchsorted(theirs, mine), max(theirs.size - 1, 0))
+            keep = theirs[at] == mine if theirs.size else np.zeros(mine.size, bool)
+            t, runs, pair = t[keep], runs[keep], pair[keep]
+            if not t.size:
+                break
+            out[pair] = length
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32)), pa.array(out))
+
+
+def _word_hashes(text: Column) -> Column:
+    return F.transform(word_tokens(text), lambda w: F.xxhash64(w))
+
+
+def _with_longest(rows: DataFrame, words: Column, chunks: Column, name: str) -> DataFrame:
+    """``rows`` with the longest runs of each row's words and its list of chunks, all as hashes of words."""
+    longest = F.arrow_udf(longest_runs, "array<int>")
+    return rows.withColumn(name, longest(words, chunks))
 
-    def between(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low if low >= LEAST else 0)
-        mid = (low + high + 1) // 2
-        has = F.arrays_overlap(run_hashes(F.col("_a"), mid), run_hashes(F.col("_b"), mid))
-        return F.when(has, between(mid, high)).otherwise(between(low, mid - 1))
 
-    return rows.withColumn("lcs", between(LEAST - 1, MOST)).drop("_a", "_b")
+def longest_common(pairs: DataFrame, a: str = "text", b: str = "chunk") -> DataFrame:
+    """``pairs`` with lcs: the longest run of words that both have, from 4 to 25; below that 0.
+
+    Runs are compared by their 64-bit hashes.
+    """
+    return _with_longest(pairs, _word_hashes(F.col(a)), F.array(_word_hashes(F.col(b))), "lcs").withColumn("lcs", F.col("lcs")[0])
 
 
 def candidates(records: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -72,12 +157,29 @@ def candidates(records: DataFrame, chunks: DataFrame) -> DataFrame:
     return named.join(chunks.select("chunk_id", F.col("text").alias("chunk")), "chunk_id")
 
 
+def longest_of_named(records: DataFrame, chunks: DataFrame) -> DataFrame:
+    """text_id, place, chunk_id, lcs: ``longest_common`` of ``candidates``; chunks, as hashes of their words, go to the texts.
+
+    Records that name the same chunks under one id get these once, so each text is moved once however many it names.
+    """
+    names = F.to_json(F.struct("text_id", "source_ids", "source_chunk"))
+    ids = F.concat(F.coalesce("source_ids", F.array().cast("array<string>")), F.array("source_chunk"))
+    named = records.select(names.alias("names"), ids.alias("ids")).dropDuplicates(["names"])
+    named = named.select("names", F.posexplode("ids").alias("place", "chunk_id")).where("chunk_id is not null")
+    beside = named.join(chunks.select("chunk_id", _word_hashes(F.col("text")).alias("words")), "chunk_id")
+    beside = beside.groupBy("names").agg(F.collect_list(F.struct("place", "chunk_id", "words")).alias("named"))
+    rows = records.select(names.alias("names"), "text_id", "text").join(beside, "names")
+    rows = _with_longest(rows.select("text_id", _word_hashes(F.col("text")).alias("_t"), "named"), F.col("_t"), F.col("named.words"), "lcs")
+    rows = rows.select("text_id", F.explode(F.arrays_zip(F.col("named.place").alias("place"), F.col("named.chunk_id").alias("chunk_id"), F.col("lcs"))).alias("x"))
+    return rows.select("text_id", "x.place", "x.chunk_id", "x.lcs")
+
+
 def examined(records: DataFrame, chunks: DataFrame) -> DataFrame:
     """text_id, lcs and leak_chunk of records that name a chunk: chunks are looked at in the order named, up to the first leak.
 
     lcs is the longest run of those looked at; leak_chunk is null if none has a run of 13 words.
     """
-    rows = written(longest_common(candidates(records, chunks)).select("text_id", "place", "chunk_id", "lcs"), "leak-lcs")  # read twice, found once
+    rows = written(longest_of_named(records, chunks), "leak-lcs")  # read twice, found once
     leak = F.col("lcs") >= LEAK
     first = rows.where(leak).groupBy("text_id").agg(F.min(F.struct("place", "chunk_id")).alias("_first"))
     seen = rows.join(first, "text_id", "left").where(F.col("_first").isNull() | (F.col("place") <= F.col("_first.place")))

@@ -454,7 +454,7 @@ def _records(spark, d) -> tuple[DataFrame, DataFrame]:
 
 @query(f"WITH {_CHUNKS} SELECT text_id, chunk_id::VARCHAR AS chunk_id, lcs FROM lcs")
 def longest_common_run(spark, d):
-    return leak.longest_common(leak.candidates(*_records(spark, d))).select("text_id", "chunk_id", "lcs")
+    return leak.longest_of_named(*_records(spark, d)).select("text_id", "chunk_id", "lcs")
 
 
 @query(f"""WITH {_CHUNKS}, l AS (SELECT text_id, min(place) FILTER (lcs >= 13) AS leak FROM lcs GROUP BY 1),
