@@ -9,7 +9,7 @@
 
 A fold keeps an array with an element for each piece: rank of the pair that it opens, place of its first byte, id.  Its
 least element is so the leftmost pair of the lowest rank; it is merged until none has a rank.  Ranks of pairs of ids
-are a literal table of the plan, rows of left ids laid over one another.  Words of more than ``LONG_BYTES`` bytes, for
+are two arrays that scalar subqueries give, rows of left ids laid over one another.  Words of more than ``LONG_BYTES`` bytes, for
 which a fold is quadratic, are merged with a heap; the ids are the same.
 
 Words are known by 64-bit hashes (``textkernel``), but nothing rests on them: every chunk's ids are decoded, and unless
@@ -53,12 +53,12 @@ LONG_BYTES = 256
 
 
 @lru_cache(maxsize=2)
-def rank_table(path: str) -> tuple[dict[bytes, int], str, str]:
-    """Ranks of a file, and ``pair_table`` of them as JSON; made once a process."""
+def rank_table(path: str) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
+    """Ranks of a file, and ``pair_table`` of them; made once a process."""
     ranks = load_ranks(path)
     if max(ranks.values()) >= _NO_RANK:
         raise ValueError(f"ranks must be below {_NO_RANK}")
-    return ranks, *(json.dumps(x.tolist(), separators=(",", ":")) for x in pair_table(mergeable(ranks)))
+    return ranks, *pair_table(mergeable(ranks))
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -395,7 +395,23 @@ class Tokenizer:
     def __init__(self, spark: SparkSession, path: str, pattern: str):
         self.ranks, slots, shift = rank_table(path)
         self.spark, self.pattern = spark, pattern
-        self.slots, self.shift = F.from_json(F.lit(slots), "array<bigint>"), F.from_json(F.lit(shift), "array<int>")
+        self._table = slots, shift.astype(np.int32)
+
+    @property
+    def slots(self) -> Column:
+        return F.from_json(F.lit(json.dumps(self._table[0].tolist())), "array<bigint>")
+
+    @property
+    def shift(self) -> Column:
+        return F.from_json(F.lit(json.dumps(self._table[1].tolist())), "array<int>")
+
+    def _beside_table(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the pair table as ``_slots`` and ``_shift``, to be read once by the next projection.
+
+        They are scalar subqueries: literals of that size stand in the text of each plan, which the driver keeps.
+        """
+        table = lambda x: self.spark.createDataFrame(pa.table({"x": pa.array([x])})).scalar()
+        return rows.select("*", table(self._table[0]).alias("_slots"), table(self._table[1]).alias("_shift"))
 
     def _lexicon(self, texts: DataFrame) -> Lexicon:
         """Tokens, and the ids of the words that are broadcast; texts: one column ``text``."""
@@ -437,7 +453,7 @@ class Tokenizer:
                 yield pa.RecordBatch.from_arrays([key, mine.opened(data, edges[:-1], edges[1:])], ["key", "word"])
 
         head = counts.where(F.least("n", F.lit(1000)) >= least).select("word").mapInArrow(lean(open_rows), "key long, word array<long>")
-        head = materialize(head.select("key", F.element_at(folded(F.array("word"), self.slots, self.shift), 1).alias("ids")), "bpe-head")
+        head = materialize(self._beside_table(head).select("key", F.element_at(folded(F.array("word"), F.col("_slots"), F.col("_shift")), 1).alias("ids")), "bpe-head")
         got = head.dropDuplicates(["key"]).toArrow()  # HEAD_WORDS rows at most
         if got.num_rows:
             ids = got["ids"].combine_chunks()
@@ -532,7 +548,7 @@ class Tokenizer:
         no_gaps = self.pattern == _PATTERN
         shape = rows.schema
         split = rows.mapInArrow(lean(look_up), T.StructType([*shape, T.StructField("code", T.ArrayType(T.IntegerType())), T.StructField("rest", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("begins", T.BooleanType()), T.StructField("leads", T.BooleanType())]))
-        joined = split.select("row", "text", "code", F.when(F.size("rest") > 0, folded(F.col("rest"), self.slots, self.shift)).otherwise(F.array().cast("array<array<int>>")).alias("rest"), "begins", "leads")
+        joined = self._beside_table(split).select("row", "text", "code", F.when(F.size("rest") > 0, folded(F.col("rest"), F.col("_slots"), F.col("_shift"))).otherwise(F.array().cast("array<array<int>>")).alias("rest"), "begins", "leads")
         out = T.StructType([*shape, *[T.StructField(c, kinds[c]) for c in more]])
         filled = joined.mapInArrow(lean(fill), out)
         others = [F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in keep]
