@@ -7,7 +7,7 @@ import xxhash
 
 from tidewatch.llm import simhash
 from tidewatch.llm.components import least_reachable
-from tidewatch.llm.shingles import _sets, set_fingerprints
+from tidewatch.llm.shingles import _sets, may_be_alike, parity_maps, set_fingerprints
 from tidewatch.llm.simhash import NEAR, Scheme, bits_for_similarity, near_dedup, near_groups, near_links, similar_groups
 
 
@@ -175,3 +175,47 @@ def test_recall_of_the_budgets_at_the_least_similarity(size):
         errors = np.unpackbits(x.byteswap().view(np.uint8).reshape(pairs, -1), axis=1).cumsum(1)
         kept |= np.all([errors[:, depth - 1] <= most for depth, most in NEAR.budgets], axis=0)
     assert kept.mean() >= 0.95
+
+
+def test_near_copies_that_are_not_alike_are_not_paired(spark, monkeypatch):
+    """Copies of one text, each with words of its own, so that nearly all pairs have a similarity of 0.6 to 0.75."""
+    rng = random.Random(7)
+    base, rows = [f"w{rng.randrange(5000)}" for _ in range(150)], []
+    for i in range(300):
+        copy = list(base)
+        for k in rng.sample(range(150), rng.choice([2, 5, 6, 7, 8])):
+            copy[k] = f"x{rng.randrange(10**9)}"
+        rows.append((i, " ".join(copy)))
+    pairs, materialize = [], simhash.materialize
+
+    def kept(df, tag):
+        out = materialize(df, tag)
+        if tag == "near-pairs":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "materialize", kept)
+    want = jaccard_closure(rows)
+    assert {r.id: r.component_id for r in similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == want
+    assert len(set(want.values())) > 100
+    assert sum(pairs) < 2000  # of 44,850
+
+
+@pytest.mark.parametrize("size", [0, 1, 60, 500, 1500, 40_000])
+def test_parity_maps_drop_no_pair_that_is_alike(size):
+    rng = np.random.default_rng(size)
+    hashes = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    sets, base = [], hashes(size)
+    for share in (0, 0.05, 0.1, 0.11, 0.12, 0.2, 0.25, 0.5):
+        gone, new = int(share * size), hashes(int(share * size))
+        sets += [np.concatenate([base[gone:], new]), base[gone:], np.concatenate([base, new])]
+    at = np.concatenate([[0], np.cumsum([x.size for x in sets])])
+    maps = parity_maps(np.concatenate(sets), at)
+    offs = np.frombuffer(maps.buffers()[1], np.int32).astype(np.int64)
+    words = (np.frombuffer(maps.buffers()[2], np.uint64), offs[:-1] >> 3, np.diff(offs) >> 3)
+    u, v = (x.ravel() for x in np.meshgrid(*[np.arange(len(sets))] * 2))
+    maybe = may_be_alike(u, v, np.diff(at), words, 0.8)
+    alike = np.array([len(x & y) >= 0.8 * len(x | y) for x, y in ((set(sets[i].tolist()), set(sets[j].tolist())) for i, j in zip(u, v))])
+    assert maybe[alike].all()
+    if size in (60, 500, 1500):
+        assert (~maybe[~alike]).mean() > 0.6

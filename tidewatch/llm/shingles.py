@@ -1,6 +1,8 @@
 """Sets of word shingles: their fingerprints, and exact Jaccard similarity.
 
-A text's set is the 64-bit hashes of its lower-cased (A-Z) word shingles.
+A text's set is the 64-bit hashes of its lower-cased (A-Z) word shingles.  Its parity map says of each slot whether an
+odd number of hashes fall into it: where the maps of two sets differ, a hash is in one set only, so the differing slots
+are at most the hashes that the sets don't share, and ``may_be_alike`` drops no pair that is alike.
 """
 
 from __future__ import annotations
@@ -15,6 +17,9 @@ from pyspark.sql import functions as F
 from tidewatch.llm.textkernel import LOWER_BYTE, U64, chunks, mix, prefix_sums, run_hashes, split_words, word_hashes
 
 _ROWS = 2048
+#: Slots of a parity map, powers of two: as many as the set has hashes or more, up to the most (2 KB).
+LEAST_SLOTS, MOST_SLOTS = 512, 1 << 14
+_MAP_BLOCK = 1 << 20
 #: The eight bits of each byte.
 _BITS = (np.arange(256)[:, None] >> np.arange(8)[None, :] & 1).astype(np.float64)
 
@@ -63,8 +68,42 @@ def set_fingerprints(h: np.ndarray, at: np.ndarray, words: int) -> np.ndarray:
     return out.view(U64)
 
 
+def parity_maps(h: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Each row's parity map; a map of half the slots is the exclusive or of the two halves."""
+    size = np.diff(at)
+    slots = np.clip(1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64), LEAST_SLOTS, MOST_SLOTS)
+    begin = np.concatenate([[0], np.cumsum(slots)])
+    row = np.repeat(np.arange(size.size), size)
+    odd = np.bincount(begin[row] + (h & (slots[row] - 1).astype(U64)).astype(np.int64), minlength=begin[-1]) & 1
+    data = np.packbits(odd.astype(bool), bitorder="little")
+    return pa.Array.from_buffers(pa.binary(), size.size, [None, pa.py_buffer((begin >> 3).astype(np.int32)), pa.py_buffer(data)])
+
+
+def may_be_alike(u: np.ndarray, v: np.ndarray, size: np.ndarray, maps: tuple[np.ndarray, np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """Of pairs of rows u, v: whether their sets' sizes and parity maps allow the similarity.
+
+    maps: all maps' 64-bit words, and where each row's begin and how many there are.
+    """
+    words, begin, width = maps
+    least, both = np.minimum(size[u], size[v]), size[u] + size[v]
+    ok = least >= similarity * (both - least)
+    most = both * ((1 - similarity) / (1 + similarity)) + 1e-6
+    narrow = np.minimum(width[u], width[v])
+    for w in np.unique(narrow[ok]):
+        here = np.flatnonzero(ok & (narrow == w))
+        for i in range(0, here.size, max(1, _MAP_BLOCK // int(w))):
+            k = here[i : i + max(1, _MAP_BLOCK // int(w))]
+            x = np.zeros((k.size, int(w)), U64)
+            for side in (u[k], v[k]):
+                for fold in range(int((width[side] // w).max())):
+                    wide = np.flatnonzero(width[side] > fold * w)
+                    x[wide] ^= words[begin[side[wide], None] + fold * w + np.arange(w)]
+            ok[k] = np.bitwise_count(x).sum(1) <= most[k]
+    return ok
+
+
 def fingerprint_rows(k: int, words: int) -> Callable:
-    """id, digest, text -> id, digest, node, f0, f1, ...; node: a hash of the set."""
+    """id, digest, text -> id, digest, node, f0, f1, ..., size, map; node: a hash of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,7 +112,8 @@ def fingerprint_rows(k: int, words: int) -> Callable:
                 marks = set_fingerprints(h, at, words).view(np.int64)
                 part = batch.slice(a, b - a)
                 cols = [pa.array(np.ascontiguousarray(marks[:, w])) for w in range(words)]
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("digest"), pa.array(_node(h, at).view(np.int64)), *cols], ["id", "digest", "node", *[f"f{w}" for w in range(words)]])
+                cols += [pa.array(np.diff(at)), parity_maps(h, at)]
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("digest"), pa.array(_node(h, at).view(np.int64)), *cols], ["id", "digest", "node", *[f"f{w}" for w in range(words)], "size", "map"])
 
     return run
 

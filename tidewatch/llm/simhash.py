@@ -26,14 +26,15 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.common import lean, materialize
 from tidewatch.llm.components import least_reachable
-from tidewatch.llm.shingles import alike, fingerprint_rows, set_rows
-from tidewatch.llm.textkernel import U64, mix
+from tidewatch.llm.shingles import alike, fingerprint_rows, may_be_alike, set_rows
+from tidewatch.llm.textkernel import U64, mix, text_buffer
 
 SEED = 42
 NODE_ROWS = 16_384
 BROADCAST_ROWS = 1_000_000
 STEP_BITS = 8
 _FRONTIER = 1 << 18
+_HELD_BYTES = 64 << 20
 _SMALL = 64
 
 
@@ -223,22 +224,23 @@ class Forest:
 
 
 class Across:
-    """All distinct links between nodes of different groups."""
+    """All links between nodes of different groups whose sets may have the similarity."""
 
-    def __init__(self, group: np.ndarray):
-        self.group, self.kept = group, []
+    def __init__(self, group: np.ndarray, size: np.ndarray, maps: tuple[np.ndarray, np.ndarray, np.ndarray], similarity: float):
+        self.group, self.size, self.maps, self.similarity, self.kept = group, size, maps, similarity, []
 
     def link(self, u: np.ndarray, v: np.ndarray) -> None:
         open_ = self.group[u] != self.group[v]
-        if open_.any():
-            self.kept.append(np.stack([u[open_], v[open_]], 1))
+        u, v = u[open_], v[open_]
+        if u.size and (ok := may_be_alike(u, v, self.size, self.maps, self.similarity)).any():
+            self.kept.append(np.stack([u[ok], v[ok]], 1))
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         both = np.concatenate([np.zeros((0, 2), np.int64), *self.kept])
         return both[:, 0], both[:, 1]
 
 
-def _task_rows(scheme: Scheme, across: bool) -> Callable:
+def _task_rows(scheme: Scheme, across: float) -> Callable:
     names = [f"f{w}" for w in range(scheme.words)]
 
     def solve(t: dict):
@@ -263,7 +265,12 @@ def _task_rows(scheme: Scheme, across: bool) -> Callable:
         own = first[:, 2] == first[:, 3]
         a = np.flatnonzero(own | mate)
         b = np.where(own[a], a, np.minimum(a + 1, low.size - 1))
-        found = Across(t["root"][order]) if across else Forest(n)
+        if across:
+            data, offs = text_buffer(t["map"])
+            maps = (np.ascontiguousarray(data).view(U64), offs[:-1][order] >> 3, np.diff(offs)[order] >> 3)
+            found = Across(t["root"][order], t["size"][order], maps, across)
+        else:
+            found = Forest(n)
         for depth in np.unique(first[a, 1]):
             here = first[a, 1] == depth
             k, m = a[here], b[here]
@@ -279,14 +286,14 @@ def _task_rows(scheme: Scheme, across: bool) -> Callable:
 
         def flush(parts):
             t = pa.Table.from_batches(parts)
-            return solve({c: t[c].to_numpy() for c in t.column_names})
+            return solve({c: t[c].combine_chunks() if c == "map" else t[c].to_numpy() for c in t.column_names})
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             held.append(batch)
             rows += batch.num_rows
-            if rows < 4 * NODE_ROWS:
+            if rows < 4 * NODE_ROWS and sum(b.nbytes for b in held) < _HELD_BYTES:
                 continue
             t = pa.Table.from_batches(held).combine_chunks()
             key = np.stack([t[c].to_numpy() for c in ("turn", "depth", "a", "b")], 1)
@@ -346,19 +353,19 @@ def _spread(rows: DataFrame, depth: int, bits: int, scheme: Scheme) -> DataFrame
     return out.drop("a", "b", "_m", "_c", "_p").withColumnsRenamed({"_l": "a", "_r": "b"})
 
 
-def near_links(nodes: DataFrame, scheme: Scheme = EXACT, across: bool = False) -> DataFrame:
+def near_links(nodes: DataFrame, scheme: Scheme = EXACT, across: float = 0.0) -> DataFrame:
     """u, v (nodes): a spanning forest of each task's links between fingerprints within the scheme's budgets.
 
     nodes: node (long, unique), f0, f1, ... ; distinct fingerprints if the scheme's distance is to be the only link.
     The transitive closure of the result is that of all links.  ``across``: instead, all links between nodes of
-    different ``root`` (a column of nodes).
+    different ``root`` whose sets may have this Jaccard similarity, as told by ``size`` and ``map`` (columns of nodes).
     """
     n = nodes.count()
     depth = min(scheme.budgets[0][0], max(0, (max(n, 1) // NODE_ROWS).bit_length()))
     if not scheme.budgets[0][1]:
         depth = min(scheme.budgets[0][0], max(depth, STEP_BITS))
     rows = _tasks(nodes, scheme, depth)
-    key, more = ["turn", "depth", "a", "b"], ["root"] if across else []
+    key, more = ["turn", "depth", "a", "b"], ["root", "size", "map"] if across else []
     links = None
     while True:
         sizes = rows.groupBy(*key).agg(F.count("*").alias("n"))
@@ -423,26 +430,28 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Candidates are pairs whose fingerprints of sets of shingles are within the scheme's budgets; a pair is linked if the
     sets' exact similarity is ``similarity`` or more.  First each task's candidates at the distance that the similarity
     stands for are reduced to a spanning forest, and its pairs are checked; then all candidates between groups that are
-    still apart.  So n near copies cost about n comparisons of sets a rotation, and not n squared.
+    still apart, but for those that the sets' parity maps rule out where candidates are found, which drops none that is
+    similar enough.  So n near copies cost about n comparisons of sets a rotation, and not n squared, unless most of
+    their pairs lie just below the similarity.
 
     A text of fewer words than a shingle is one shingle; rows without words, empty or null, are one component.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("digest"), text.alias("text"))
     names = [f"f{w}" for w in range(scheme.words)]
-    shape = "id long, digest long, node long, " + ", ".join(f"{c} long" for c in names)
+    shape = "id long, digest long, node long, " + ", ".join(f"{c} long" for c in names) + ", size long, map binary"
     marked = materialize(rows.mapInArrow(lean(fingerprint_rows(shingle_words, scheme.words)), shape), "near-marks")
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "digest")
     # equal sets are one node, and one of its rows gives its text
-    nodes = marked.groupBy("node").agg(F.min(rank).alias("least"), *[F.min(c).alias(c) for c in names])
+    nodes = marked.groupBy("node").agg(F.min(rank).alias("least"), *[F.min(c).alias(c) for c in (*names, "size", "map")])
     nodes = materialize(nodes, "near-nodes")
     close = Scheme(scheme.words, scheme.step, (*scheme.budgets[:-1], (scheme.budgets[-1][0], bits_for_similarity(similarity, 64 * scheme.words))))
-    forest = materialize(near_links(nodes.drop("least"), close).distinct(), "near-forest")
+    forest = materialize(near_links(nodes.drop("least", "size", "map"), close).distinct(), "near-forest")
     sets = materialize(_sets_of(rows, nodes, forest, shingle_words), "near-sets")
     links = materialize(alike(forest, sets, similarity), "near-links")
     roots = least_reachable(links)
     apart = nodes.drop("least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    pairs = near_links(materialize(apart, "near-apart"), scheme, True).distinct().join(forest, ["u", "v"], "left_anti")
+    pairs = near_links(materialize(apart, "near-apart"), scheme, similarity).distinct().join(forest, ["u", "v"], "left_anti")
     pairs = materialize(pairs, "near-pairs")
     known = sets.select("node")
     sets = sets.unionByName(_sets_of(rows, nodes.join(known, "node", "left_anti"), pairs, shingle_words))
