@@ -116,3 +116,23 @@ def test_sample_has_distinct_texts(spark, monkeypatch):
     monkeypatch.setattr(hmm, "SAMPLE_DOCS", 5)
     docs = spark.createDataFrame([(t,) for t in "abcdefgh" for _ in range(20)], "text string")
     assert len({r.text for r in hmm.sample(docs).collect()}) == hmm.sample(docs).count() == 5
+
+
+def test_the_start_counts_all_texts(spark):
+    """Without a round over all texts, every word of its own has the counts of all texts that it occurs in, by their leaning."""
+    texts = [f"the own{i} own{i} own{i} own{i} of and a{i % 7}" for i in range(2000)]
+    lexicon, model, _, gains = fit(spark.createDataFrame([(t,) for t in texts], "text string"), rounds=0)
+    assert gains == []
+    by_word, total = Counter(), np.zeros(hmm.STATES)
+    for text in texts:
+        data = np.frombuffer(text.encode(), np.uint8)
+        words, at = hmm._tokens(data, np.array([0, data.size]))
+        lean = int(hmm.leanings(words, at, hmm.STATES)[0])
+        total[lean] += words.size
+        for w in words.tolist():
+            by_word[w, lean] += 1
+    want = np.array([[by_word[w, s] for s in range(hmm.STATES)] for w in lexicon.word.tolist()])[lexicon.cls < lexicon.classes]
+    assert lexicon.classes > 2000
+    want = np.concatenate([want, (total - want.sum(0))[None]]) + hmm._PRIOR * lexicon.weight[:, None]
+    assert model.emit == pytest.approx(want / want.sum(0), rel=1e-5)
+    assert (total > 0).sum() > 1

@@ -6,7 +6,9 @@ counts, so the model gives every text a probability.
 
 Baum-Welch runs over all training documents, in segments that overlap by one token, so that every transition counts:
 each task adds up expected counts over its segments, the sums meet by word, and only the model, which has a row for each
-word of its own, reaches the driver.  A small sample is trained first, to start from states that mean something.
+word of its own, reaches the driver.  It starts from states that mean something: each training text leans to one state,
+by signs of its words' hashes, so that texts with the same frequent words lean alike, and the pass that counts the words
+counts them by state.
 Scoring is the scaled forward recursion over whole documents, many documents at a time.
 
 Words are known by a 64-bit hash.  The counts of the commonest ``COUNT_WORDS`` words, and of all with an emission of
@@ -38,11 +40,11 @@ COUNT_WORDS = 1 << 19
 OWN_COUNT = 4
 SEGMENT = 128
 SAMPLE_DOCS = 600
-SAMPLE_ROUNDS = 15
 ROUNDS = 2
 #: The hash that stands for a document's end.
 END = 0x1234_5678_9ABC_DEF1
 _PRIOR = 20.0
+_LARGE = 64
 _CHUNK_BYTES = 4 << 20
 
 
@@ -59,11 +61,29 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, _, data, offs in chunks(batch.column("text"), _CHUNK_BYTES):
-            word, n = np.unique(_tokens(data, offs)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([_signed(word), pa.array(n.astype(np.int64))], ["word", "n"])
+def leanings(tokens: np.ndarray, at: np.ndarray, states: int) -> np.ndarray:
+    """A state for each row: of each of the first bits of its words' hashes, whether more of the words have it than not."""
+    out = np.zeros(at.size - 1, np.int64)
+    for bit in range((states - 1).bit_length()):
+        sign = ((tokens >> U64(63 - bit)) & U64(1)).astype(np.int64) * 2 - 1
+        out = 2 * out + (np.add.reduceat(np.where(tokens == U64(END), 0, sign), at[:-1]) > 0)
+    return out % states
+
+
+def _count_rows(states: int) -> Callable:
+    """Each word and how often it occurs in texts of each leaning."""
+    names = ["word", *[f"s{s}" for s in range(states)]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, offs in chunks(batch.column("text"), _CHUNK_BYTES):
+                tokens, at = _tokens(data, offs)
+                word, where = np.unique(tokens, return_inverse=True)
+                where = where * states + np.repeat(leanings(tokens, at, states), np.diff(at))
+                n = np.bincount(where, minlength=word.size * states).reshape(-1, states)
+                yield pa.RecordBatch.from_arrays([_signed(word), *[pa.array(np.ascontiguousarray(n[:, s])) for s in range(states)]], names)
+
+    return run
 
 
 def _commonest(counts: DataFrame, most: int) -> float:
@@ -95,9 +115,10 @@ class Lexicon:
 
     def look_up(self, tokens: np.ndarray):
         """Class of each token, its count, and whether that count is known here."""
+        tokens, back = np.unique(tokens, return_inverse=True)
         at = np.minimum(np.searchsorted(self.word, tokens), self.word.size - 1)
         hit = self.word[at] == tokens
-        return np.where(hit, self.cls[at], self.classes), np.where(hit, self.n[at], 0.0), hit
+        return np.where(hit, self.cls[at], self.classes)[back], np.where(hit, self.n[at], 0.0)[back], hit[back]
 
 
 class Model:
@@ -112,6 +133,12 @@ class Model:
         even = np.full(states, 1 / states)
         return cls(even, even.copy(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
+    @classmethod
+    def leaning(cls, own: np.ndarray, all_: np.ndarray, weight: np.ndarray) -> Model:
+        """The start: own: how often each class's word occurs in texts that lean to each state; all_: the same of all words."""
+        first = cls.first(weight, all_.size)
+        return first.from_counts(all_, all_, first.move * all_.sum(), np.concatenate([own, (all_ - own.sum(0))[None]]), weight)
+
     def from_counts(self, start, later, move, emit, weight) -> Model:
         norm = lambda x, axis=None: x / x.sum(axis=axis, keepdims=axis is not None)
         return Model(norm(start + 0.1), norm(later + 0.1), norm(move + 0.01, 1), norm(emit + _PRIOR * weight[:, None], 0))
@@ -165,10 +192,10 @@ def expected_counts(model: Model, cls: np.ndarray, at: np.ndarray, sums) -> None
             alpha[t, :m] = gamma
         valid = np.arange(b.size)[None, :] < many[:SEGMENT, None]  # what is the next segment's own is left to it
         alpha, word = alpha[:SEGMENT], word[:SEGMENT]
-        flat = word[valid]
+        flat, alpha = word[valid], alpha[valid]
         used, at_used = np.unique(flat, return_inverse=True)
         for s in range(states):
-            emit[used, s] += np.bincount(at_used, weights=alpha[:, :, s][valid], minlength=used.size)
+            emit[used, s] += np.bincount(at_used, weights=alpha[:, s], minlength=used.size)
 
 
 def _empty_sums(classes: int, states: int):
@@ -189,10 +216,12 @@ def _round_rows(shared, states: int) -> Callable:
         used = np.flatnonzero(emit.sum(1) > 0)
         key = np.concatenate([np.arange(-3 - states, 0), used])
         extra = np.zeros((1, states))
-        extra[0, 0] = np.float32(loglik[0])
-        extra[0, 1 % states] += loglik[0] - extra[0, 0]  # sums travel as floats, this one in two
+        extra[0, 0] = loglik[0]
         rows = np.concatenate([move, start[None], later[None], extra, emit[used]])
-        yield pa.RecordBatch.from_arrays([pa.array(key), *[pa.array(rows[:, s].astype(np.float32)) for s in range(states)]], ["cls", *[f"s{s}" for s in range(states)]])
+        floats = rows.astype(np.float32)
+        large = np.flatnonzero(np.abs(rows).max(1) > _LARGE)  # what a float leaves of a large sum is a row more
+        key, floats = np.append(key, key[large]), np.concatenate([floats, (rows[large] - floats[large]).astype(np.float32)])
+        yield pa.RecordBatch.from_arrays([pa.array(key), *[pa.array(np.ascontiguousarray(floats[:, s])) for s in range(states)]], ["cls", *[f"s{s}" for s in range(states)]])
 
     return run
 
@@ -266,7 +295,7 @@ def _release(df: DataFrame) -> None:
 
 
 def sample(train: DataFrame) -> DataFrame:
-    """``SAMPLE_DOCS`` distinct texts, chosen by their hash before any text is moved; whole, however long."""
+    """``SAMPLE_DOCS`` distinct texts, chosen by their hash before any text is moved; whole, however long.  ``fit`` takes none."""
     texts = train.select(F.xxhash64("text").alias("h"), "text")
     chosen = texts.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS)
     return texts.join(F.broadcast(chosen), "h").groupBy("h").agg(F.min("text").alias("text")).orderBy("h").select("text")
@@ -277,29 +306,27 @@ def fit(train: DataFrame, states: int = STATES, rounds: int = ROUNDS) -> tuple[L
 
     train: one column ``text``, lower-cased, no nulls.
     """
-    counts = train.mapInArrow(_count_rows, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = materialize(counts, "word-counts")
-    whole = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
+    names = [f"s{s}" for s in range(states)]
+    counts = train.mapInArrow(_count_rows(states), "word long, " + ", ".join(f"{c} long" for c in names))
+    counts = counts.groupBy("word").agg(*[F.sum(c).alias(c) for c in names])
+    counts = materialize(counts.select("word", sum(map(F.col, names)).alias("n"), *names), "word-counts")
+    whole = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v"), *[F.sum(c).alias(c) for c in names]).first()
     own = 4 * math.log2(OWN_COUNT)
     known = min(_commonest(counts, COUNT_WORDS), own)
     bucket = F.floor(F.log2("n") * 4)
     end = F.col("word") == F.lit(END)
     head = counts.where((bucket >= known) | end)
-    got = head.toArrow()
+    got = head.select("word", "n").toArrow()
     word, n = got["word"].to_numpy().view(U64), got["n"].to_numpy()
     if END not in word:
         word, n = np.append(word, U64(END)), np.append(n, 0)
     lexicon = Lexicon(word, n, own, int(whole.n or 0), int(whole.v))
-    rest = counts.where(~((bucket >= known) | end))
+    rest = counts.select("word", "n").where(~((bucket >= known) | end))
 
-    model = Model.first(lexicon.weight, states)
-    small = sample(train).toArrow()
-    parts = [(lexicon.look_up(t)[0], at) for t, at in (_tokens(data, offs) for _, _, data, offs in chunks(small["text"].combine_chunks(), _CHUNK_BYTES))]
-    for _ in range(SAMPLE_ROUNDS if parts else 0):
-        sums = _empty_sums(lexicon.classes + 1, states)
-        for cls, at in parts:
-            expected_counts(model, cls, at, sums)
-        model = model.from_counts(*sums[:4], lexicon.weight)
+    lean = counts.where((bucket >= own) | end).select("word", *[F.col(c).cast("float") for c in names]).toArrow()
+    by_state = np.zeros((lexicon.classes + 1, states))
+    by_state[lexicon.look_up(lean["word"].to_numpy().view(U64))[0]] = np.stack([lean[c].to_numpy() for c in names], 1)
+    model = Model.leaning(by_state[:-1], np.array([float(whole[c] or 0) for c in names]), lexicon.weight)
     gains = []
     for _ in range(rounds):
         model, loglik = baum_welch_round(train, lexicon, model)
