@@ -1,12 +1,15 @@
 """Queries beside their SQL on tables that the given ones don't stand for: other row counts and keys."""
 
 import json
+import random
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from test_entry import rows_by_sql, rows_of
+from tidewatch.functions import text as tx
 from tidewatch.operators import generate, leak
 from tidewatch.plans import catalog
 
@@ -76,3 +79,24 @@ def test_a_rule_is_parsed_once(spark):
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
     assert [json.loads(r.event)["fields"] for r in made.orderBy(F.col("rule_id").cast("int")).collect()] == [{"Image": f"x{k}"} for k in range(50)]
+
+
+def test_word_hashes_are_those_of_the_words(spark, monkeypatch):
+    """Words as ``word_tokens`` finds them, whatever stands between them and wherever blocks of texts end."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abZ9_'- é😀\n.") for _ in range(rng.choice([0, 1, 5, 80]))) for _ in range(400)]
+    texts += [None, "", "9a", "a", "b", "-'_", "x" * 100, "X" * 100, "x" * 101, "é" * 40 + "Word", "it's_9-A 9it's"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    words = {r.i: r.w for r in rows.select("i", tx.word_tokens(F.col("text")).alias("w")).collect()}
+    few = {r.i: r.w for r in rows.select("i", tx.word_tokens(tx.first_words(F.col("text"), 3)).alias("w")).collect()}
+    assert few == {i: w[:3] for i, w in words.items()}
+    for most in (leak._BLOCK_BYTES, 7):
+        monkeypatch.setattr(leak, "_BLOCK_BYTES", most)
+        got = leak.word_hashes(pa.array(["before", *texts])[1:]).to_pylist()
+        named = {}
+        for i, hashes in enumerate(got):
+            assert len(hashes) == len(words[i])
+            for word, h in zip(words[i], hashes):
+                assert named.setdefault(word, h) == h
+        assert len(set(named.values())) == len(named) > 300
+    assert leak.word_hashes(pa.array([], pa.string())).to_pylist() == []

@@ -89,6 +89,11 @@ def word_tokens(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0)), F.lower)
 
 
+def first_words(text: Column, n: int) -> Column:
+    """The text up to the end of its n-th word of ``word_tokens``, or of its last if it has fewer; the rest isn't searched."""
+    return F.regexp_extract(F.coalesce(text, F.lit("")), rf"^(?:[^A-Za-z]*+{WORD}+){{0,{n}}}", 0)
+
+
 def shingles(words: Column, n: int) -> Column:
     """Distinct runs of n words, joined by a space; fewer words have none."""
     runs = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))

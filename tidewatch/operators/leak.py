@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import ascii_letters, digits
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -14,6 +16,7 @@ from tidewatch.tables import written
 LEAST, MOST, LEAK = 4, 25, 13
 #: Runs of the chunks are broadcast up to so many, 16 bytes each; beyond that texts' runs pass a filter and are shuffled.
 SMALL_RUNS = 1 << 20
+_BLOCK_WORDS, _BLOCK_BYTES = 1 << 16, 1 << 19
 
 
 def _runs(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -79,8 +82,21 @@ def _left(offsets: np.ndarray) -> np.ndarray:
     return np.repeat(offsets[1:], np.diff(offsets)) - np.arange(offsets[0], offsets[-1])
 
 
+def _blocks(offsets: np.ndarray, most: int) -> list[slice]:
+    """Rows one after another that have about ``most`` items, one at least: what is worked on at once stays in the caches."""
+    cuts = np.searchsorted(offsets, np.arange(offsets[0], offsets[-1] + most, most), "left")
+    cuts = np.unique(np.concatenate([[0], np.minimum(cuts, offsets.size - 1), [offsets.size - 1]]))
+    return [slice(int(a), int(b)) for a, b in zip(cuts[:-1], cuts[1:])]
+
+
 def longest_runs(texts: pa.Array, chunks: pa.Array) -> pa.Array:
-    """Of each row's text, a list of word hashes, and each of its chunks: the longest run of words that both have.
+    """Of each row's text, a list of word hashes, and each of its chunks: the longest run of words that both have."""
+    blocks = [(texts[k], chunks[k]) for k in _blocks(_offsets(texts), _BLOCK_WORDS)]
+    return pa.concat_arrays([_longest_runs(*both) for both in blocks] or [pa.array([], pa.list_(pa.int32()))])
+
+
+def _longest_runs(texts: pa.Array, chunks: pa.Array) -> pa.Array:
+    """``longest_runs`` of a block of rows.
 
     Places of a text and a chunk where a run of 4 words of both begins are carried on a word at a time, up to 25: those
     whose longer run both have stay.  A text is looked through once, whatever the number of its chunks.
@@ -132,8 +148,62 @@ def longest_runs(texts: pa.Array, chunks: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32)), pa.array(out))
 
 
+def _class(chars: str) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(chars.encode())] = True
+    return out
+
+
+_LETTER = _class(ascii_letters)
+_IN_WORD = _class(ascii_letters + digits + "_'-")
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def word_hashes(texts: pa.Array) -> pa.Array:
+    """Of each text, the 64-bit hashes of its words, which are those of ``word_tokens``; null has none."""
+    texts = texts.fill_null("") if texts.null_count else texts
+    if not len(texts):
+        return pa.array([], pa.list_(pa.int64()))
+    wide = pa.types.is_large_string(texts.type)
+    _, offsets, data = texts.buffers()
+    offs = np.frombuffer(offsets, np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    lists = [_hashes_of_words(raw[offs[k.start] : offs[k.stop]], offs[k.start : k.stop + 1] - offs[k.start]) for k in _blocks(offs, _BLOCK_BYTES)]
+    sizes = np.concatenate([[0], *[np.diff(at) for at, _ in lists]])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.array(np.concatenate([h for _, h in lists]).view(np.int64)))
+
+
+def _hashes_of_words(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each row's words begin, and all words' hashes.
+
+    A word is what follows the first letter in a run of letters, digits and ``_'-``; 8 of its bytes are hashed at a time.
+    """
+    inside = np.zeros(raw.size + 2, bool)
+    inside[1:-1] = _IN_WORD[raw]
+    opens, closes = inside[1:] & ~inside[:-1], inside[:-1] & ~inside[1:]
+    cut = offs[1:-1]
+    cut = np.unique(cut[inside[cut] & inside[cut + 1]])  # a run doesn't go on in the next text
+    opens[cut], closes[cut] = True, True
+    start, end = np.flatnonzero(opens), np.flatnonzero(closes)
+    letters = np.flatnonzero(_LETTER[raw])
+    at = np.searchsorted(letters, start)
+    start = np.append(letters, raw.size)[at]
+    start, end = start[start < end], end[start < end]
+    raw = np.concatenate([_LOWER[raw], np.zeros(8, np.uint8)])
+    from_any = np.ndarray(raw.size - 7, "<u8", raw, strides=(1,))
+    size = end - start
+    out = _hashes(size.astype(np.uint64), from_any[start] & _FIRST_BYTES[np.minimum(size, 8)])
+    live, k = np.flatnonzero(size > 8), 8
+    while live.size:
+        out[live] = _hashes(out[live], from_any[start[live] + k] & _FIRST_BYTES[np.minimum(size[live] - k, 8)])
+        k += 8
+        live = live[size[live] > k]
+    return np.searchsorted(start, offs), out
+
+
 def _word_hashes(text: Column) -> Column:
-    return F.transform(word_tokens(text), lambda w: F.xxhash64(w))
+    return F.arrow_udf(word_hashes, "array<bigint>")(text)
 
 
 def _with_longest(rows: DataFrame, words: Column, chunks: Column, name: str) -> DataFrame:

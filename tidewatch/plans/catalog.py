@@ -443,7 +443,7 @@ _CHUNKS = r"""
 
 
 def _records(spark, d) -> tuple[DataFrame, DataFrame]:
-    docs = table(spark, d, "documents").withColumn("w", tx.word_tokens(F.col("text")))
+    docs = table(spark, d, "documents").withColumn("w", tx.word_tokens(tx.first_words(F.col("text"), 33)))
     k = F.col("doc_id")
     chunk = docs.select(k.cast("string").alias("chunk_id"), F.array_join(F.slice("w", F.lit(4), F.greatest(6 + k % 25, F.lit(0)).cast("int")), " ").alias("text"))
     valid = F.when(k % 5 == 0, '<reasoning>x</reasoning> <answer>{"a": [1]}</answer>').when(k % 5 == 1, "<reasoning></reasoning><answer>{bad</answer>").when(k % 5 == 2, "</answer><answer>{}<reasoning></reasoning>").otherwise("<answer>1</answer>")
